@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.text import as_column
-
 # The reply is parsed inside an envelope with a closing marker: Spark's JSON
 # parser stops at the end of the first value, so without the marker text after
 # the reply would go unnoticed.
@@ -15,11 +13,18 @@ END_MARKER = "_end_of_reply"
 NUMERIC_VARIANT = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
-def reply_variant(body: Column | str) -> Column:
-    """The reply as a VARIANT under `$.reply`, NULL unless `body` is one JSON value."""
-    envelope = F.concat(F.lit('{"reply":'), as_column(body), F.lit(f',"{END_MARKER}":0}}'))
-    parsed = F.try_parse_json(envelope)
-    return F.when(F.try_variant_get(parsed, f"$.{END_MARKER}", "int") == 0, parsed)
+def with_parsed(df: DataFrame, body: str) -> DataFrame:
+    """Add `_parsed`: a VARIANT with the reply under `$.reply`, NULL unless `body` is one JSON value.
+
+    In two steps, so that each body is parsed once and the result looked at twice.
+    """
+    envelope = F.concat(F.lit('{"reply":'), F.col(body), F.lit(f',"{END_MARKER}":0}}'))
+    marker = F.try_variant_get(F.col("_envelope"), f"$.{END_MARKER}", "int")
+    return (
+        df.withColumn("_envelope", F.try_parse_json(envelope))
+        .withColumn("_parsed", F.when(marker == 0, F.col("_envelope")))
+        .drop("_envelope")
+    )
 
 
 def reply_path(parsed: Column, path: str, kind: str = "variant") -> Column:
@@ -45,7 +50,7 @@ def parse_replies(df: DataFrame, body: str, fields: dict[str, tuple[str, str]])
         F.lit(None).cast("string"),
     )
     malformed = parsed.isNull() | ~_is_object(F.col(body))
-    out = df.withColumn("_parsed", reply_variant(body))
+    out = with_parsed(df, body)
     values = {name: reply_path(parsed, path, kind) for name, (path, kind) in fields.items()}
     return (
         out.withColumns(values)
@@ -68,7 +73,7 @@ def numeric_id(df: DataFrame, body: str, path: str = "$.id") -> DataFrame:
     malformed = parsed.isNull() | ~_is_object(F.col(body))
     numeric = F.schema_of_variant(found).rlike(NUMERIC_VARIANT)
     return (
-        df.withColumn("_parsed", reply_variant(body))
+        with_parsed(df, body)
         .withColumn(
             "error",
             F.when(malformed, "malformed")
@@ -86,25 +91,27 @@ def explode_jobs(df: DataFrame, body: str) -> DataFrame:
     An empty list gives no row. A body that is not a list gives one `malformed`
     row, and an entry without `jobId` or `status` is a `missing_path` row.
     """
-    parsed = F.col("_parsed")
+    parsed, job = F.col("_parsed"), F.col("_job")
     is_list = F.col(body).rlike(r"^\s*\[")
-    # A malformed reply travels as a one-entry list, so that it keeps its row.
-    jobs = F.when(
-        parsed.isNotNull() & is_list, F.try_variant_get(parsed, "$.reply", "array<variant>")
-    )
-    job = F.col("_job")
-    with_jobs = df.withColumn("_parsed", reply_variant(body)).withColumn("_jobs", jobs)
-    kept = [c for c in df.columns]
-    exploded = with_jobs.filter("_jobs IS NULL OR size(_jobs) > 0").select(
-        *kept, F.col("_jobs").isNull().alias("_bad"), F.posexplode_outer("_jobs").alias("job_pos", "_job")
+    jobs = F.when(is_list, F.try_variant_get(parsed, "$.reply", "array<variant>"))
+    # Outer, with empty lists dropped after it: a plain explode would have Spark
+    # check for empty lists ahead of it, which means parsing each body again.
+    exploded = (
+        with_parsed(df, body)
+        .withColumn("_jobs", jobs)
+        .select(
+            *df.columns,
+            F.col("_jobs").isNull().alias("_bad"),
+            F.posexplode_outer("_jobs").alias("job_pos", "_job"),
+        )
+        .filter("_bad OR job_pos IS NOT NULL")
     )
-    absent = F.coalesce(
+    absent = (
         F.try_variant_get(job, "$.jobId", "variant").isNull()
-        | F.try_variant_get(job, "$.status", "variant").isNull(),
-        F.lit(True),
+        | F.try_variant_get(job, "$.status", "variant").isNull()
     )
     return exploded.select(
-        *kept,
+        *df.columns,
         "job_pos",
         F.try_variant_get(job, "$.jobId", "bigint").alias("job_id"),
         F.try_variant_get(job, "$.status", "string").alias("status"),

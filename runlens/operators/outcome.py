@@ -19,7 +19,9 @@ MICROS = 1_000_000
 
 def run_starts(obs: DataFrame) -> DataFrame:
     """Runs whose start is their first observation."""
-    return obs.groupBy("run_id").agg(F.min("ts").alias("start_ts"))
+    return (
+        obs.filter(F.col("run_id").isNotNull()).groupBy("run_id").agg(F.min("ts").alias("start_ts"))
+    )
 
 
 def elapsed_micros(ts: Column, start: Column) -> Column:

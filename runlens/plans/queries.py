@@ -502,9 +502,12 @@ def stream_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = outcome.run_starts(tables.observations(spark, sf_dir)).select(
         "run_id", F.col("start_ts").cast("timestamp").alias("start_ts")
     )
-    observed = tables.observation_stream(spark, sf_dir).join(starts, "run_id")
+    path = scratch_path(spark, "runs")
+    starts.write.parquet(path)
+    observed = tables.observation_stream(spark, sf_dir)
+    decided = run_outcome_stream(observed, spark.read.parquet(path), RUN_TIMEOUT_SEC)
     with with_rocksdb(spark):
-        reported = drain(run_outcome_stream(observed, RUN_TIMEOUT_SEC), "append", "run-outcome")
+        reported = drain(decided, "append", "run-outcome")
     return reported.select(
         "run_id", "outcome", F.col("decided_ts").cast("timestamp_ntz").alias("decided_ts"), "state"
     )

@@ -1,7 +1,7 @@
 """Run outcomes over a stream of observations.
 
-The stream has rows (run_id, event_id, ts TIMESTAMP, state), and for
-`run_outcome_stream` also start_ts TIMESTAMP, the time the run was submitted.
+The stream has rows (run_id, event_id, ts TIMESTAMP, state); the runs, a table, have
+(run_id, start_ts TIMESTAMP), where start_ts is the time the run was submitted.
 """
 
 from __future__ import annotations
@@ -49,15 +49,15 @@ def first_terminal_stream(stream: DataFrame, delay: str = "0 seconds") -> DataFr
 def _thin_out():
     """Keep, per run and Arrow batch, the first terminal row and the latest row.
 
-    The first is all that can decide the run, the latest moves the watermark on; so
-    a run with very many rows sends only a few to the task that keeps its state.
-    Defined inside a function so that executors need no copy of this package.
+    The first is the only one that can decide the run, the latest moves the watermark
+    on; so a run with very many rows sends a few of them to the task that keeps its
+    state. Defined inside a function so that executors need no copy of this package.
     """
 
     def thin_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             ordered = rows.sort_values(["ts_us", "event_id"])
-            first = ordered[ordered["decides"]].drop_duplicates("run_id", keep="first")
+            first = ordered[ordered["terminal"]].drop_duplicates("run_id", keep="first")
             last = ordered.drop_duplicates("run_id", keep="last")
             yield pd.concat([first, last[~last.index.isin(first.index)]])
 
@@ -133,7 +133,10 @@ def _outcome_processor(output_columns: list[str]) -> StatefulProcessor:
 
 
 def run_outcome_stream(
-    stream: DataFrame, timeout_sec: int = DEFAULT_TIMEOUT_SEC, delay: str = "0 seconds"
+    stream: DataFrame,
+    runs: DataFrame,
+    timeout_sec: int = DEFAULT_TIMEOUT_SEC,
+    delay: str = "0 seconds",
 ) -> DataFrame:
     """success / failed / timeout per run, each run reported once (append mode).
 
@@ -141,24 +144,37 @@ def run_outcome_stream(
     its deadline start_ts + `timeout_sec` if none came by then; observations after
     that are ignored, and the run's state is dropped at the deadline. Agrees with
     `run_outcome_at_deadline`. Start the query with `with_rocksdb`.
+
+    `runs` is read again for every micro-batch, so pass a stored table. The rows of
+    a run are thinned out before they are joined to it and shuffled.
     """
-    ts_us = F.unix_micros("ts")
-    deadline_us = F.unix_micros("start_ts") + F.lit(timeout_sec * MICROS)
-    prepared = stream.select(
+    observed = stream.filter(F.col("run_id").isNotNull()).select(
         "run_id",
         "event_id",
         "ts",
         "state",
-        classify_batch("state").alias("outcome"),
-        ts_us.alias("ts_us"),
-        deadline_us.alias("deadline_us"),
-        (is_terminal() & (ts_us <= deadline_us)).alias("decides"),
+        F.unix_micros("ts").alias("ts_us"),
+        is_terminal().alias("terminal"),
+    )
+    deadline_us = F.unix_micros("start_ts") + F.lit(timeout_sec * MICROS)
+    timed = (
+        observed.mapInPandas(_thin_out(), observed.schema)
+        .withWatermark("ts", delay)
+        .join(runs.select("run_id", "start_ts"), "run_id")
+        .select(
+            "run_id",
+            "event_id",
+            "ts",
+            "ts_us",
+            "state",
+            classify_batch("state").alias("outcome"),
+            deadline_us.alias("deadline_us"),
+            (F.col("terminal") & (F.col("ts_us") <= deadline_us)).alias("decides"),
+        )
     )
     columns = ["run_id", "outcome", "decided_us", "state"]
     return (
-        prepared.mapInPandas(_thin_out(), prepared.schema)
-        .withWatermark("ts", delay)
-        .groupBy("run_id")
+        timed.groupBy("run_id")
         .transformWithStateInPandas(
             statefulProcessor=_outcome_processor(columns),
             outputStructType="run_id BIGINT, outcome STRING, decided_us BIGINT, state STRING",
