@@ -17,17 +17,11 @@ from runlens.operators.validate import ALLOWED_VERIFIERS
 SUCCEEDED = "SUCCEEDED"
 
 
-def _job_verdicts(app_jobs: DataFrame) -> DataFrame:
-    """(app_id, n_jobs, bad_job): the first job per app that did not succeed."""
-    bad = ~F.col("status").eqNullSafe(F.lit(SUCCEEDED))
-    return (
-        app_jobs.filter(F.col("app_id").isNotNull())
-        .groupBy("app_id")
-        .agg(
-            F.count(F.lit(1)).alias("n_jobs"),
-            F.min(F.when(bad, F.struct("ord", "job_id", "status"))).alias("bad_job"),
-        )
-    )
+def _bad_jobs(app_jobs: DataFrame) -> DataFrame:
+    """Jobs that did not succeed: all that matters of a job list, and usually little of it."""
+    return app_jobs.filter(
+        F.col("app_id").isNotNull() & ~F.col("status").eqNullSafe(F.lit(SUCCEEDED))
+    ).select("app_id", F.struct("ord", "job_id", "status").alias("bad_job"))
 
 
 def _final_verdicts(app_final: DataFrame) -> DataFrame:
@@ -56,13 +50,11 @@ def verify_jobs(
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Add the job-list verdict: passed / failed / no_app_id, and the first bad job."""
-    joined = salted_join(
-        runs, _job_verdicts(app_jobs), "app_id", ["run_id"], "left", hot_share, min_hot_rows
-    )
+    first_bad = _bad_jobs(app_jobs).groupBy("app_id").agg(F.min("bad_job").alias("bad_job"))
+    joined = salted_join(runs, first_bad, "app_id", ["run_id"], "left", hot_share, min_hot_rows)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_jobs_result()).alias("verdict"),
-        F.coalesce("n_jobs", F.lit(0)).alias("n_jobs"),
         F.col("bad_job.job_id").alias("bad_job_id"),
         F.col("bad_job.status").alias("bad_status"),
     )
@@ -98,16 +90,16 @@ def reconcile(
     run_failed, unknown_verifier, no_app_id, bad_job, no_final_status,
     bad_final_status) and `bad_status`, the status the verifier objected to.
 
-    Both verifiers' tables meet in one per-app table, so the runs are shuffled once;
-    runs no verifier has to look at carry no key into that join.
+    Bad jobs and final results are gathered per application in one aggregate, so they
+    and the runs are each shuffled for one join; runs that no verifier has to look at
+    carry no key into it.
     """
     per_app = (
-        _job_verdicts(app_jobs)
-        .drop("n_jobs")
+        _bad_jobs(app_jobs)
         .unionByName(_final_verdicts(app_final), allowMissingColumns=True)
         .groupBy(F.col("app_id").alias("_app"))
         .agg(
-            F.max("bad_job").alias("bad_job"),
+            F.min("bad_job").alias("bad_job"),
             F.max("final_status").alias("final_status"),
             F.bool_or("has_final").alias("has_final"),
         )
@@ -160,6 +152,18 @@ def disagreements(reconciled: DataFrame) -> DataFrame:
     )
 
 
+def wants_logs(spill_by_default: bool = True) -> Column:
+    """Whether the logs of a run (run_id, outcome, spill_logs) are to be kept.
+
+    They are if the run was created, so that it has a run_id, and either failed
+    (outcome failed or timeout) or asks for them. `spill_by_default` stands in for a
+    missing `spill_logs`: batch runs keep logs by default, sessions do not.
+    """
+    failed = F.col("outcome").isin("failed", "timeout")
+    asked = F.coalesce(F.col("spill_logs"), F.lit(spill_by_default))
+    return F.col("run_id").isNotNull() & (failed | asked)
+
+
 def select_logs(
     runs: DataFrame,
     logs: DataFrame,
@@ -169,16 +173,7 @@ def select_logs(
     hot_share: float = HOT_SHARE,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Log rows worth keeping: of runs that failed, or that ask for their logs.
-
-    Runs need (run_id, outcome, spill_logs); one that was never created has no
-    run_id. `outcome` failed or timeout counts as failed. `spill_by_default` stands
-    in for a missing `spill_logs` (batch runs keep logs by default, sessions do
-    not). With `kept=False`: the log rows that are dropped.
-    """
-    wanted = F.col("outcome").isin("failed", "timeout") | F.coalesce(
-        F.col("spill_logs"), F.lit(spill_by_default)
-    )
-    chosen = runs.filter(F.col("run_id").isNotNull() & wanted).select("run_id")
+    """Log rows of the runs that want their logs; with `kept=False`, all the others."""
+    chosen = runs.filter(wants_logs(spill_by_default)).select("run_id")
     how = "left_semi" if kept else "left_anti"
     return salted_join(logs, chosen, "run_id", spread_by, how, hot_share, min_hot_rows)

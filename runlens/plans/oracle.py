@@ -67,7 +67,6 @@ RUNS = """runs AS (SELECT o_orderkey AS run_id,
     FROM orders)"""
 JOBS = """app_jobs AS (SELECT l_orderkey AS app_id, l_linenumber AS ord, l_partkey AS job_id,
     CASE WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status FROM lineitem),
-  job_counts AS (SELECT app_id, count(*) AS n_jobs FROM app_jobs GROUP BY app_id),
   bad_jobs AS (SELECT app_id, job_id, status FROM app_jobs WHERE status <> 'SUCCEEDED'
     QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY ord, job_id) = 1)"""
 FINAL = """app_final AS (SELECT l_orderkey AS app_id,
@@ -250,9 +249,8 @@ ORACLE: dict[str, str] = {
         SELECT r.run_id, r.app_id,
             CASE WHEN r.app_id IS NULL THEN 'no_app_id' WHEN b.app_id IS NULL THEN 'passed'
                 ELSE 'failed' END AS verdict,
-            coalesce(n.n_jobs, 0) AS n_jobs, b.job_id AS bad_job_id, b.status AS bad_status
-        FROM runs r LEFT JOIN bad_jobs b ON r.app_id = b.app_id
-            LEFT JOIN job_counts n ON r.app_id = n.app_id""",
+            b.job_id AS bad_job_id, b.status AS bad_status
+        FROM runs r LEFT JOIN bad_jobs b ON r.app_id = b.app_id""",
     "verify_final": f"""WITH {RUNS}, {FINAL}
         SELECT r.run_id, r.app_id,
             CASE WHEN r.app_id IS NULL THEN 'no_app_id' WHEN f.app_id IS NULL THEN 'malformed'

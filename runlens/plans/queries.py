@@ -403,16 +403,18 @@ def dropped_logs_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reconciled outcomes with the number of log lines kept for them."""
-    reconciled = _reconciled(spark, sf_dir)
-    kept = verify.select_logs(reconciled, tables.run_logs(spark, sf_dir), ["pos", "part"])
-    per_run = kept.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    """Reconciled outcomes with the number of log lines to keep for them."""
+    per_run = (
+        tables.run_logs(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    )
+    kept_lines = F.when(verify.wants_logs(), F.col("n_lines"))
     return (
-        reconciled.join(per_run, "run_id", "left")
+        _reconciled(spark, sf_dir)
+        .join(per_run, "run_id", "left")
         .groupBy("outcome", "reason")
         .agg(
             F.count(F.lit(1)).alias("n_runs"),
-            F.coalesce(F.sum("n_lines"), F.lit(0)).alias("n_log_lines"),
+            F.coalesce(F.sum(kept_lines), F.lit(0)).alias("n_log_lines"),
         )
     )
 

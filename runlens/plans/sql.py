@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+Statement = str | Callable[[SparkSession], DataFrame | None]
+
 
 def run_sql(
     spark: SparkSession,
@@ -30,40 +33,43 @@ def run_sql(
 class ScriptRun:
     """Results of the statements that ran, and a status row for every statement."""
 
-    results: list[DataFrame]
+    results: list[DataFrame | None]
     status: DataFrame
 
     @property
-    def last(self) -> DataFrame:
+    def last(self) -> DataFrame | None:
         return self.results[-1]
 
 
 def run_script(
     spark: SparkSession,
-    statements: list[str],
+    statements: list[Statement],
     args: dict | None = None,
     execute: bool = True,
 ) -> ScriptRun:
     """Run statements in order in one session; after a failure none of the rest runs.
 
-    What a statement registers is there for the next one. With `execute` each query
-    is computed in full on the executors (into Spark's no-op sink), so that a
-    failure at run time stops the script too; without it only analysis errors do.
-    `status` holds (pos, status, error) with status ok / failed / not_run.
+    A statement is SQL text, or a function of the session such as `JoinJob.run`. What
+    one registers is there for the next. With `execute` each result is computed in
+    full on the executors (into Spark's no-op sink), so that a failure at run time
+    stops the script too; without it only analysis errors do. `status` holds
+    (pos, status, error) with status ok / failed / not_run.
     """
-    results: list[DataFrame] = []
+    results: list[DataFrame | None] = []
     rows: list[tuple] = []
-    for pos, text in enumerate(statements):
+    for pos, statement in enumerate(statements):
         if rows and rows[-1][1] != "ok":
             rows.append((pos, "not_run", None))
             continue
         try:
-            result = spark.sql(text, args=args or {})
-            if execute and result.columns:
+            is_text = isinstance(statement, str)
+            result = spark.sql(statement, args=args or {}) if is_text else statement(spark)
+            if execute and result is not None and result.columns:
                 result.write.format("noop").mode("overwrite").save()
             results.append(result)
             rows.append((pos, "ok", None))
-        except PySparkException as error:
-            rows.append((pos, "failed", error.getCondition() or type(error).__name__))
+        except Exception as error:  # whatever a statement fails with stops the script
+            condition = error.getCondition() if isinstance(error, PySparkException) else None
+            rows.append((pos, "failed", condition or type(error).__name__))
     status = spark.createDataFrame(rows, "pos INT, status STRING, error STRING")
     return ScriptRun(results, status)

@@ -67,3 +67,16 @@ def test_stops_at_the_first_failure(spark, bad, error):
 def test_without_execution_only_analysis_counts(spark):
     run = run_script(spark, ["SELECT 1 / 0 AS a"], execute=False)
     assert rows(run.status) == [(0, "ok", None)]
+
+
+def test_functions_as_statements(spark):
+    def register(session):
+        session.range(4).createOrReplaceTempView("four")
+
+    run = run_script(spark, [register, lambda session: session.table("four"), "SELECT count(*) AS n FROM four"])
+    assert run.results[0] is None and run.results[1].count() == 4 and rows(run.last) == [(4,)]
+
+    def fail(session):
+        raise ValueError("no")
+
+    assert rows(run_script(spark, [fail, "SELECT 1"]).status) == [(0, "failed", "ValueError"), (1, "not_run", None)]
