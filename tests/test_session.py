@@ -24,5 +24,5 @@ def test_no_machine_local_folder_on_a_cluster():
         scratch_path(FakeSession("yarn", {}), "x")
 
 
-def test_local_folder_on_a_single_machine(spark):
-    assert scratch_path(spark, "x").startswith("file:/")
+def test_local_folder_on_a_single_machine():
+    assert scratch_path(FakeSession("local[4]", {}), "x").startswith("file:/")
