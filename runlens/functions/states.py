@@ -37,16 +37,20 @@ def classify_session(state: Column | str) -> Column:
     return F.when(state == "starting", "pending").when(state == "idle", "ready").otherwise("failed")
 
 
-def classify_statement(state: Column | str, status: Column | str) -> Column:
+def classify_statement(
+    state: Column | str, status: Column | str, has_status: Column | str | None = None
+) -> Column:
     """pending / success / failed / malformed from a statement's state and status.
 
-    The status counts only once the state is `available`; without one the reply
-    is malformed.
+    The status counts only once the state is `available`; a reply without one is then
+    malformed. `has_status` tells a missing status from one that is present but null,
+    which is a failure; without it a NULL status counts as missing.
     """
     state, status = as_column(state), as_column(status)
+    present = status.isNotNull() if has_status is None else as_column(has_status)
     return (
         F.when(state.isin(*PENDING_STATEMENT_STATES), "pending")
-        .when((state == "available") & status.isNull(), "malformed")
+        .when((state == "available") & ~present, "malformed")
         .when((state == "available") & (status == "ok"), "success")
         .otherwise("failed")
     )

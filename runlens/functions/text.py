@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,12 +35,30 @@ def unescape_newlines(col: Column | str) -> Column:
     return F.replace(as_column(col), F.lit("\\n"), F.lit("\n"))
 
 
-def tag_text(col: Column | str, tag: str = "pre") -> Column:
+def decode_basic_entities(text: Column) -> Column:
+    """Decode the five basic HTML entities, inside the JVM."""
+    for entity, char in BASIC_ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def decode_all_entities(text: Column) -> Column:
+    """Decode named and numeric HTML entities alike, for which Spark has no function."""
+
+    @F.pandas_udf("string")
+    def unescape(values: pd.Series) -> pd.Series:
+        return values.map(html.unescape, na_action="ignore")
+
+    return unescape(text)
+
+
+def tag_text(col: Column | str, tag: str = "pre", all_entities: bool = False) -> Column:
     """Text of the last `tag` element of an HTML document, NULL without one.
 
     The text of an element runs to the first closing or self-closing tag of any
     name, and of several text runs in it (parted by opening tags or comments) the
-    last one counts. The five basic entities are decoded.
+    last one counts. The five basic entities are decoded; `all_entities` decodes
+    every one, at the price of passing the text found through Python.
     """
     name = re.escape(tag)
     opening = rf"<{name}(?:\s(?:[^>]*[^/>])?)?>"
@@ -50,6 +70,4 @@ def tag_text(col: Column | str, tag: str = "pre") -> Column:
     runs = F.flatten(F.transform(bodies, lambda body: F.split(body, markup)))
     filled = F.filter(runs, lambda run: run != "")
     text = F.try_element_at(filled, F.lit(-1))
-    for entity, char in BASIC_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return decode_all_entities(text) if all_entities else decode_basic_entities(text)

@@ -197,13 +197,15 @@ def sample_states(
     runs: DataFrame,
     period_sec: int = DEFAULT_POLL_PERIOD_SEC,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
+    stop_when_done: bool = False,
     hot_share: float = HOT_SHARE,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """The state each run is in at its start and every `period_sec` up to the timeout.
 
     (run_id, poll_no, poll_ts, state); the state is NULL before the first
-    observation. No range join: each observation is assigned to the first poll at
+    observation. `stop_when_done` leaves out the polls after the first one that finds
+    the run ended. No range join: each observation is assigned to the first poll at
     or after it by arithmetic, the latest one per poll is kept (before the shuffle
     too), and the few rows per run that remain are filled forward.
     """
@@ -229,17 +231,19 @@ def sample_states(
     polls = runs.select(
         "run_id", "start_ts", F.explode(F.sequence(F.lit(0), F.lit(last_poll))).alias("poll_no")
     )
+    # Both windows span the polls of one run, of which there are few.
+    so_far = Window.partitionBy("run_id").orderBy("poll_no").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = so_far.rowsBetween(Window.unboundedPreceding, -1)
     # A struct, not its state: a NULL state that was observed is in force too.
-    in_force = F.last("seen", ignorenulls=True).over(
-        Window.partitionBy("run_id").orderBy("poll_no").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        polls.join(latest, ["run_id", "poll_no"], "left")
-        .withColumn("in_force", in_force)
-        .select(
-            "run_id",
-            "poll_no",
-            after_seconds(F.col("start_ts"), F.col("poll_no") * period_sec).alias("poll_ts"),
-            F.col("in_force.state").alias("state"),
-        )
+    in_force = F.last("seen", ignorenulls=True).over(so_far)
+    sampled = polls.join(latest, ["run_id", "poll_no"], "left").withColumn("in_force", in_force)
+    if stop_when_done:
+        ended = F.col("in_force").isNotNull() & is_terminal("in_force.state")
+        over = F.coalesce(F.max(ended).over(earlier), F.lit(False))
+        sampled = sampled.withColumn("over", over).filter(~F.col("over"))
+    return sampled.select(
+        "run_id",
+        "poll_no",
+        after_seconds(F.col("start_ts"), F.col("poll_no") * period_sec).alias("poll_ts"),
+        F.col("in_force.state").alias("state"),
     )

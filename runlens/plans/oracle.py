@@ -100,15 +100,16 @@ def _logs(kept: str) -> str:
         WHERE {batch_class('state')} = 'failed' OR coalesce(spill_logs, true))"""
 
 
-RESPONSES = """responses AS (SELECT event_id,
+RESPONSES = """responses AS (SELECT event_id, user_id AS run_id, ts,
     CASE event_type
       WHEN 'click' THEN '{"id": ' || event_id || ', "state": "running", "appId": null, "props": ' || props || '}'
       WHEN 'signup' THEN '{"id": "' || event_id || '", "state": null, "output": {"status": "ok"}}'
       WHEN 'purchase' THEN '[' || props || ']'
       WHEN 'error' THEN props || '}'
       ELSE props END AS body FROM events),
-  replies AS (SELECT event_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j FROM responses),
-  objects AS (SELECT event_id, CASE WHEN json_type(j) = 'OBJECT' THEN j END AS j FROM replies)"""
+  replies AS (SELECT * EXCLUDE (body), CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j
+    FROM responses),
+  objects AS (SELECT * EXCLUDE (j), CASE WHEN json_type(j) = 'OBJECT' THEN j END AS j FROM replies)"""
 
 LINES = """lines AS (SELECT doc_id AS run_id, lang, string_split("text", chr(10)) AS ls FROM documents),
   log_lines AS (SELECT run_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM lines)"""
@@ -292,6 +293,14 @@ ORACLE: dict[str, str] = {
             FROM kinds)
         SELECT event_id, error, CASE WHEN error IS NULL THEN json_extract_string(j, '$.id') END AS id
         FROM errors""",
+    "reply_outcomes": f"""WITH {RESPONSES}, states AS (SELECT run_id, ts, event_id,
+            CASE WHEN j IS NULL THEN 'malformed' WHEN json_type(j, '$.state') IS NULL THEN 'missing_path'
+                ELSE json_extract_string(j, '$.state') END AS state FROM objects),
+        decided AS (SELECT * FROM states WHERE {batch_class('state')} <> 'pending'
+            QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) = 1)
+        SELECT r.run_id, CASE WHEN d.run_id IS NULL THEN 'pending' ELSE {batch_class('d.state')} END AS outcome,
+            d.state, d.ts AS decided_ts, d.event_id
+        FROM (SELECT DISTINCT run_id FROM states) r LEFT JOIN decided d USING (run_id)""",
     "json_explode_jobs": """WITH kinds AS (SELECT l_orderkey, l_linenumber, l_partkey,
             l_returnflag || l_linestatus AS kind FROM lineitem)
         SELECT l_orderkey, l_linenumber, 0 AS job_pos, CAST(l_linenumber AS BIGINT) AS job_id,

@@ -424,7 +424,8 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {"id": ("$.id", "string"), "state": ("$.state", "string"), "k": ("$.props.k", "bigint")}
-    return parse_replies(tables.responses(spark, sf_dir), "body", fields).drop("body")
+    replies = tables.responses(spark, sf_dir).select("event_id", "body")
+    return parse_replies(replies, "body", fields).drop("body")
 
 
 def json_error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -434,7 +435,16 @@ def json_error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_numeric_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numeric_id(tables.responses(spark, sf_dir), "body").drop("body")
+    return numeric_id(tables.responses(spark, sf_dir).select("event_id", "body"), "body").drop("body")
+
+
+def reply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies to run outcomes: a run also ends with a reply that cannot be read."""
+    parsed = parse_replies(
+        tables.responses(spark, sf_dir), "body", {"reported": ("$.state", "string")}
+    )
+    state = F.coalesce("error", "reported").alias("state")
+    return outcome.first_terminal(parsed.select("run_id", "event_id", "ts", state))
 
 
 def json_explode_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,6 +569,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_extract": json_extract,
     "json_error_class": json_error_class,
     "json_numeric_id": json_numeric_id,
+    "reply_outcomes": reply_outcomes,
     "json_explode_jobs": json_explode_jobs,
     "compact_json": compact_json_query,
     "paginate_lines": paginate_lines_query,

@@ -137,6 +137,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "events").select(
         "event_id",
+        F.col("user_id").alias("run_id"),
+        "ts",
         F.when(kind == "click", state)
         .when(kind == "signup", quoted)
         .when(kind == "purchase", F.concat(F.lit("["), props, F.lit("]")))

@@ -79,10 +79,9 @@ def test_no_path_no_write(spark, path):
 def test_save_modes(spark, tmp_path):
     df, out = spark.range(3), str(tmp_path / "o")
     write_delimited(df, out)
-    with pytest.raises(AnalysisException):
-        write_delimited(df, out, mode="error")
-    with pytest.raises(AnalysisException):
-        write_delimited(df, out, mode="errorifexists")
+    for mode in ("error", "errorifexists", "default"):
+        with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+            write_delimited(df, out, mode=mode)
     write_delimited(df, out, mode="ignore")
     assert spark.read.csv(out).count() == 3
     write_delimited(df, out, mode="append")

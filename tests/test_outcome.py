@@ -131,6 +131,21 @@ def test_sample_states(spark, sizes):
     assert rows(outcome.sample_states(df, starts, 7, 60, **sizes)) == sorted(expected, key=repr)
 
 
+def test_sampling_stops_when_a_run_has_ended(spark):
+    obs = observe(7, terminal=0.1)
+    df, starts = frames(spark, obs)
+    expected = []
+    for run, seen in by_run(obs).items():
+        for poll in range(0, 60 // 7 + 1):
+            at = seen[0][0] + timedelta(seconds=7 * poll)
+            state = [o for o in seen if o[0] <= at][-1][2]
+            expected.append((run, poll, at, state))
+            if kind(state) != "pending":
+                break
+    found = outcome.sample_states(df, starts, 7, 60, stop_when_done=True)
+    assert rows(found) == sorted(expected, key=repr)
+
+
 def test_sampling_starts_before_the_first_observation(spark):
     df, _ = frames(spark, [(1, 1, T0 + timedelta(seconds=25), "running"), (2, 1, T0 - timedelta(seconds=9), "busy")])
     runs = spark.createDataFrame([(1, T0 - timedelta(seconds=10))], "run_id BIGINT, start_ts TIMESTAMP_NTZ")

@@ -45,6 +45,12 @@ def test_statement_states(spark, state, status, expected):
     assert found == expected
 
 
+@pytest.mark.parametrize("present,expected", [(True, "failed"), (False, "malformed")])
+def test_null_status_is_not_a_missing_one(spark, present, expected):
+    ddl = "a STRING, b STRING, p BOOLEAN"
+    assert one(spark, ddl, ("available", None, present), classify_statement("a", "b", "p")) == expected
+
+
 DDL = "id INT, kind STRING, verify_in STRING, poke_interval INT, timeout INT"
 
 

@@ -52,6 +52,13 @@ def test_tag_text(spark, html, expected):
     assert value(spark, html, tag_text) == expected
 
 
+def test_all_entities(spark):
+    html = "<pre>&eacute; &#233; &#xe9; &nbsp;&amp;amp; &lt;b&gt;</pre>"
+    found = value(spark, html, lambda t: tag_text(t, all_entities=True))
+    assert found == "é é é \xa0&amp; <b>"
+    assert value(spark, "<p>x</p>", lambda t: tag_text(t, all_entities=True)) is None
+
+
 def test_tag_text_reads_whole_documents(spark):
     body = "line of a long log\n" * 100_000
     found = value(spark, f"<html>{'<p>x</p>' * 10000}<pre>{body}</pre></html>", tag_text)
