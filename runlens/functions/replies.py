@@ -10,18 +10,24 @@ from pyspark.sql import types as T
 # parser stops at the end of the first value, so without the marker text after
 # the reply would go unnoticed.
 END_MARKER = "_end_of_reply"
+JSON_SPACE = " \t\n\r"
 NUMERIC_VARIANT = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
-def with_parsed(df: DataFrame, body: str) -> DataFrame:
-    """Add `_parsed`: a VARIANT with the reply under `$.reply`, NULL unless `body` is one JSON value.
+def with_parsed(df: DataFrame, body: str, opening: str, closing: str) -> DataFrame:
+    """Add `_parsed`: a VARIANT with the reply under `$.reply`.
 
-    In two steps, so that each body is parsed once and the result looked at twice.
+    NULL unless `body` is one JSON value between the given brackets. Those are looked
+    at first: a reply that was cut short is told by its last character, which is far
+    cheaper than having the parser fail on it. The marker is checked in a second step,
+    so that each body is parsed once.
     """
+    trimmed = F.btrim(F.col(body), F.lit(JSON_SPACE))
+    whole = trimmed.startswith(opening) & trimmed.endswith(closing)
     envelope = F.concat(F.lit('{"reply":'), F.col(body), F.lit(f',"{END_MARKER}":0}}'))
     marker = F.try_variant_get(F.col("_envelope"), f"$.{END_MARKER}", "int")
     return (
-        df.withColumn("_envelope", F.try_parse_json(envelope))
+        df.withColumn("_envelope", F.when(whole, F.try_parse_json(envelope)))
         .withColumn("_parsed", F.when(marker == 0, F.col("_envelope")))
         .drop("_envelope")
     )
@@ -32,10 +38,6 @@ def reply_path(parsed: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(parsed, "$.reply" + path.removeprefix("$"), kind)
 
 
-def _is_object(body: Column) -> Column:
-    return body.rlike(r"^\s*\{")
-
-
 def parse_replies(df: DataFrame, body: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Add one typed column per field plus `error` and `missing_path`.
 
@@ -49,8 +51,8 @@ def parse_replies(df: DataFrame, body: str, fields: dict[str, tuple[str, str]])
         *[F.when(reply_path(parsed, path).isNull(), F.lit(path)) for path, _ in fields.values()],
         F.lit(None).cast("string"),
     )
-    malformed = parsed.isNull() | ~_is_object(F.col(body))
-    out = with_parsed(df, body)
+    malformed = parsed.isNull()
+    out = with_parsed(df, body, "{", "}")
     values = {name: reply_path(parsed, path, kind) for name, (path, kind) in fields.items()}
     return (
         out.withColumns(values)
@@ -70,10 +72,10 @@ def numeric_id(df: DataFrame, body: str, path: str = "$.id") -> DataFrame:
     """
     parsed = F.col("_parsed")
     found = reply_path(parsed, path)
-    malformed = parsed.isNull() | ~_is_object(F.col(body))
+    malformed = parsed.isNull()
     numeric = F.schema_of_variant(found).rlike(NUMERIC_VARIANT)
     return (
-        with_parsed(df, body)
+        with_parsed(df, body, "{", "}")
         .withColumn(
             "error",
             F.when(malformed, "malformed")
@@ -92,12 +94,11 @@ def explode_jobs(df: DataFrame, body: str) -> DataFrame:
     row, and an entry without `jobId` or `status` is a `missing_path` row.
     """
     parsed, job = F.col("_parsed"), F.col("_job")
-    is_list = F.col(body).rlike(r"^\s*\[")
-    jobs = F.when(is_list, F.try_variant_get(parsed, "$.reply", "array<variant>"))
+    jobs = F.try_variant_get(parsed, "$.reply", "array<variant>")
     # Outer, with empty lists dropped after it: a plain explode would have Spark
     # check for empty lists ahead of it, which means parsing each body again.
     exploded = (
-        with_parsed(df, body)
+        with_parsed(df, body, "[", "]")
         .withColumn("_jobs", jobs)
         .select(
             *df.columns,
