@@ -1,7 +1,8 @@
 """Per-run outcomes from state observations.
 
-Observations are rows (run_id, event_id, ts, state); runs are rows
-(run_id, start_ts), one per run. "First" means smallest (ts, event_id).
+Observations are rows (run_id, event_id, ts, state), of which those without a run
+count for nothing; runs are rows (run_id, start_ts), and of several for a run the
+earliest start counts. "First" means smallest (ts, event_id).
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from runlens.functions.states import classify_batch
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, salted_join
+from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
 from runlens.operators.validate import DEFAULT_POLL_PERIOD_SEC, DEFAULT_TIMEOUT_SEC
 
 MICROS = 1_000_000
@@ -24,6 +25,19 @@ def run_starts(obs: DataFrame) -> DataFrame:
     )
 
 
+def _one_start_per_run(runs: DataFrame) -> DataFrame:
+    return run_starts(runs.withColumnRenamed("start_ts", "ts"))
+
+
+def _for_all_runs(obs: DataFrame, per_run: DataFrame) -> DataFrame:
+    """`per_run`, an aggregate by run, with a row for every run that was observed.
+
+    Both sides are grouped by run already, so the join needs no shuffle of its own.
+    """
+    seen = obs.select("run_id").filter(F.col("run_id").isNotNull()).distinct()
+    return seen.join(per_run, "run_id", "left")
+
+
 def elapsed_micros(ts: Column, start: Column) -> Column:
     """Microseconds from `start` to `ts`, for either timestamp type."""
     return F.unix_micros(ts.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
@@ -41,30 +55,34 @@ def is_terminal(state: Column | str = "state") -> Column:
 def first_terminal(obs: DataFrame) -> DataFrame:
     """The first terminal observation of each run decides it; without one it is pending.
 
-    One aggregate with partial sums before the shuffle: however many rows a run
-    has, each task sends one on.
+    Only terminal rows reach the aggregate, and only one per run and task the
+    shuffle.
     """
-    found = F.min(F.when(is_terminal(), F.struct("ts", "event_id", "state")))
-    return (
-        obs.groupBy("run_id")
-        .agg(found.alias("first"))
-        .select(
-            "run_id",
-            F.when(F.col("first").isNull(), "pending")
-            .otherwise(classify_batch("first.state"))
-            .alias("outcome"),
-            F.col("first.state").alias("state"),
-            F.col("first.ts").alias("decided_ts"),
-            F.col("first.event_id").alias("event_id"),
-        )
+    ended = (
+        obs.filter(is_terminal())
+        .groupBy("run_id")
+        .agg(F.min(F.struct("ts", "event_id", "state")).alias("first"))
+    )
+    return _for_all_runs(obs, ended).select(
+        "run_id",
+        F.when(F.col("first").isNull(), "pending")
+        .otherwise(classify_batch("first.state"))
+        .alias("outcome"),
+        F.col("first.state").alias("state"),
+        F.col("first.ts").alias("decided_ts"),
+        F.col("first.event_id").alias("event_id"),
     )
 
 
 def first_nonempty(obs: DataFrame, field: str, name: str = "value") -> DataFrame:
     """The first value of `field` per run that is neither NULL nor empty, if any."""
     value = F.col(field)
-    found = F.min(F.when(value != "", F.struct("ts", "event_id", value.alias("v"))))
-    return obs.groupBy("run_id").agg(found.alias("first")).select("run_id", F.col("first.v").alias(name))
+    found = (
+        obs.filter(value != "")
+        .groupBy("run_id")
+        .agg(F.min(F.struct("ts", "event_id", value.alias("v"))).alias("first"))
+    )
+    return _for_all_runs(obs, found).select("run_id", F.col("first.v").alias(name))
 
 
 def run_outcome(
@@ -80,11 +98,11 @@ def run_outcome(
     `timeout_sec` after the start: a terminal state seen late still counts if no
     pending one was seen past the timeout before it.
     """
-    timed = salted_join(
+    starts = _one_start_per_run(runs)
+    timed = split_join(
         obs.select("run_id", "event_id", "ts", "state"),
-        runs.select("run_id", "start_ts"),
+        starts,
         "run_id",
-        ["event_id", "ts"],
         "inner",
         hot_share,
         min_hot_rows,
@@ -97,7 +115,7 @@ def run_outcome(
     )
     kind = classify_batch("first.state")
     return (
-        runs.select("run_id")
+        starts.select("run_id")
         .join(decided, "run_id", "left")
         .select(
             "run_id",
@@ -128,11 +146,11 @@ def run_outcome_at_deadline(
     """
     if as_of is None:
         as_of = obs.agg(F.max("ts")).scalar()
-    timed = salted_join(
+    starts = _one_start_per_run(runs)
+    timed = split_join(
         obs.select("run_id", "event_id", "ts", "state").filter(is_terminal()),
-        runs.select("run_id", "start_ts"),
+        starts,
         "run_id",
-        ["event_id", "ts"],
         "inner",
         hot_share,
         min_hot_rows,
@@ -146,8 +164,7 @@ def run_outcome_at_deadline(
     deadline = after_seconds(F.col("start_ts"), timeout_sec)
     timed_out = F.col("first").isNull() & (deadline < as_of)
     return (
-        runs.select("run_id", "start_ts")
-        .join(decided, "run_id", "left")
+        starts.join(decided, "run_id", "left")
         .select(
             "run_id",
             F.when(timed_out, "timeout")
@@ -172,11 +189,10 @@ def polls_until_done(
         .groupBy("run_id")
         .agg(F.min(F.struct("ts", "event_id")).alias("decision"))
     )
-    made = salted_join(
+    made = split_join(
         obs.select("run_id", "event_id", "ts"),
         decisions,
         "run_id",
-        ["event_id", "ts"],
         "left",
         hot_share,
         min_hot_rows,
@@ -211,11 +227,11 @@ def sample_states(
     """
     last_poll = timeout_sec // period_sec
     period = period_sec * MICROS
-    timed = salted_join(
+    starts = _one_start_per_run(runs)
+    timed = split_join(
         obs.select("run_id", "event_id", "ts", "state"),
-        runs.select("run_id", "start_ts"),
+        starts,
         "run_id",
-        ["event_id", "ts"],
         "inner",
         hot_share,
         min_hot_rows,
@@ -228,7 +244,7 @@ def sample_states(
         .groupBy("run_id", "poll_no")
         .agg(F.max(F.struct("ts", "event_id", "state")).alias("seen"))
     )
-    polls = runs.select(
+    polls = starts.select(
         "run_id", "start_ts", F.explode(F.sequence(F.lit(0), F.lit(last_poll))).alias("poll_no")
     )
     # Both windows span the polls of one run, of which there are few.

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.states import classify_statement
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, salted_join
+from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
 
 
 def fail_fast(
@@ -26,9 +26,7 @@ def fail_fast(
         .groupBy("session_id")
         .agg(F.min("pos").alias("first_failed_pos"))
     )
-    joined = salted_join(
-        classed, first_failure, "session_id", ["pos"], "left", hot_share, min_hot_rows
-    )
+    joined = split_join(classed, first_failure, "session_id", "left", hot_share, min_hot_rows)
     return joined.withColumn(
         "run_class",
         F.when(F.col("pos") > F.col("first_failed_pos"), "not_run").otherwise(F.col("run_class")),

@@ -2,9 +2,9 @@
 
 Spark's own skew handling splits a join side only if it comes straight from a
 shuffle and nothing after the join needs the rows grouped by the same key. The
-joins here are built from aggregates, or feed one, so hot keys are salted
-explicitly: rows of a hot key are spread over several salts, and the key's row in
-the per-key table is repeated once per salt.
+joins here are built from aggregates, or feed one, so hot keys are split off
+explicitly: their rows stay where they are and meet the few hot rows of the per-key
+table by broadcast; all other rows are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -22,24 +22,21 @@ MIN_HOT_ROWS = 1_000_000
 KEY_GROUPS = 32
 TRACKED_KEYS = 512
 TOP_KEYS = 128
-# Rows without a key match nothing; they are spread over this many salts.
-NULL_SALTS = 1 << 16
 
 
 def hot_keys(
     rows: DataFrame, key: str, hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
-    """(key, n_salts) of the hot keys, one salt per `hot_share` of the rows.
+    """The values of `key` that hold at least `hot_share` of the rows.
 
     Reads the key column only. Counts are frequent-item summaries, which never
     shuffle the keys themselves; they are off by less than a hundredth of the rows
-    of a key's group. That is close enough here: salts decide where rows are joined,
+    of a key's group. That is close enough here: it decides where rows are joined,
     not what they join with.
     """
     group = F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS))
     top = F.expr(f"approx_top_k(`{key}`, {TOP_KEYS}, {TRACKED_KEYS})")
     n_all = F.sum("_n").over(Window.partitionBy(F.lit(0)))
-    per_salt = F.greatest(F.lit(float(min_hot_rows)), F.lit(hot_share) * F.col("_n_all"))
     return (
         rows.filter(F.col(key).isNotNull())
         .groupBy(group.alias("_group"))
@@ -47,32 +44,32 @@ def hot_keys(
         # A window over the few groups, not over the rows.
         .withColumn("_n_all", n_all)
         .select("_n_all", F.inline("_top"))
-        .filter(F.col("count") >= per_salt)
-        .select(F.col("item").alias(key), F.ceil(F.col("count") / per_salt).cast("int").alias("_n_salts"))
+        .filter(F.col("count") >= F.greatest(F.lit(min_hot_rows), F.lit(hot_share) * F.col("_n_all")))
+        .select(F.col("item").alias(key))
     )
 
 
-def salted_join(
+def split_join(
     rows: DataFrame,
     per_key: DataFrame,
     key: str,
-    spread_by: list[str],
     how: str = "left",
     hot_share: float = HOT_SHARE,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Join `rows` to `per_key` on `key` with hot keys salted; nothing is dropped.
+    """Join `rows` to `per_key` on `key` with hot keys split off; nothing is dropped.
 
-    `spread_by` are columns of `rows` that tell apart the rows of one key. Salts are
-    a hash of them rather than random, so a task that runs again after an executor
-    was lost makes the same choice. `how`: inner, left, left_semi or left_anti.
+    `per_key` must hold one row per key, as an aggregate does: that bounds the
+    broadcast. `how`: inner, left, left_semi or left_anti. Rows without a key match
+    nothing and are not shuffled. If no key is hot, adaptive execution drops the hot
+    part before it runs, and a plain join is left.
     """
     hot = F.broadcast(hot_keys(rows, key, hot_share, min_hot_rows))
-    spread = F.xxhash64(*spread_by)
-    salt = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SALTS))).otherwise(
-        F.pmod(spread, F.coalesce(F.col("_n_salts"), F.lit(1)))
-    )
-    salted_rows = rows.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_n_salts")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_n_salts"), F.lit(1)) - 1)
-    salted_keys = per_key.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_n_salts")
-    return salted_rows.join(salted_keys, [key, "_salt"], how).drop("_salt")
+    hot_per_key = F.broadcast(per_key.join(hot, key, "left_semi"))
+    keyed = rows.filter(F.col(key).isNotNull())
+    hot_part = keyed.join(hot, key, "left_semi").join(hot_per_key, key, how)
+    cold_part = keyed.join(hot, key, "left_anti").join(per_key, key, how)
+    joined = hot_part.unionByName(cold_part)
+    if how in ("left", "left_anti"):
+        joined = joined.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
+    return joined

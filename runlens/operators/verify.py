@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.states import classify_batch
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, salted_join
+from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
 from runlens.operators.validate import ALLOWED_VERIFIERS
 
 # Fixed value: the status a job and an application must end with.
@@ -30,6 +30,11 @@ def _final_verdicts(app_final: DataFrame) -> DataFrame:
     )
 
 
+def _final_aggregates() -> list[Column]:
+    """One final result per application, should there be several rows for one."""
+    return [F.max("final_status").alias("final_status"), F.bool_or("has_final").alias("has_final")]
+
+
 def _jobs_result() -> Column:
     # An application without jobs passes.
     return F.when(F.col("bad_job").isNull(), "passed").otherwise("failed")
@@ -51,7 +56,7 @@ def verify_jobs(
 ) -> DataFrame:
     """Add the job-list verdict: passed / failed / no_app_id, and the first bad job."""
     first_bad = _bad_jobs(app_jobs).groupBy("app_id").agg(F.min("bad_job").alias("bad_job"))
-    joined = salted_join(runs, first_bad, "app_id", ["run_id"], "left", hot_share, min_hot_rows)
+    joined = split_join(runs, first_bad, "app_id", "left", hot_share, min_hot_rows)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_jobs_result()).alias("verdict"),
@@ -67,9 +72,8 @@ def verify_final(
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Add the final-status verdict: passed / failed / malformed (no row) / no_app_id."""
-    joined = salted_join(
-        runs, _final_verdicts(app_final), "app_id", ["run_id"], "left", hot_share, min_hot_rows
-    )
+    verdicts = _final_verdicts(app_final).groupBy("app_id").agg(*_final_aggregates())
+    joined = split_join(runs, verdicts, "app_id", "left", hot_share, min_hot_rows)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_final_result()).alias("verdict"),
@@ -98,20 +102,15 @@ def reconcile(
         _bad_jobs(app_jobs)
         .unionByName(_final_verdicts(app_final), allowMissingColumns=True)
         .groupBy(F.col("app_id").alias("_app"))
-        .agg(
-            F.min("bad_job").alias("bad_job"),
-            F.max("final_status").alias("final_status"),
-            F.bool_or("has_final").alias("has_final"),
-        )
+        .agg(F.min("bad_job").alias("bad_job"), *_final_aggregates())
     )
     primary = classify_batch("state")
     verifier = F.col("verify_in")
     looked_up = (primary == "success") & verifier.isin(*ALLOWED_VERIFIERS)
-    joined = salted_join(
+    joined = split_join(
         runs.withColumn("_app", F.when(looked_up, F.col("app_id"))),
         per_app,
         "_app",
-        ["run_id"],
         "left",
         hot_share,
         min_hot_rows,
@@ -167,13 +166,12 @@ def wants_logs(spill_by_default: bool = True) -> Column:
 def select_logs(
     runs: DataFrame,
     logs: DataFrame,
-    spread_by: list[str],
     spill_by_default: bool = True,
     kept: bool = True,
     hot_share: float = HOT_SHARE,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Log rows of the runs that want their logs; with `kept=False`, all the others."""
-    chosen = runs.filter(wants_logs(spill_by_default)).select("run_id")
+    chosen = runs.filter(wants_logs(spill_by_default)).select("run_id").distinct()
     how = "left_semi" if kept else "left_anti"
-    return salted_join(logs, chosen, "run_id", spread_by, how, hot_share, min_hot_rows)
+    return split_join(logs, chosen, "run_id", how, hot_share, min_hot_rows)

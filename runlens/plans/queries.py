@@ -394,12 +394,12 @@ def _own_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def select_logs_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     log_rows = tables.run_logs(spark, sf_dir)
-    return verify.select_logs(_own_outcomes(spark, sf_dir), log_rows, ["pos", "part"])
+    return verify.select_logs(_own_outcomes(spark, sf_dir), log_rows)
 
 
 def dropped_logs_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     log_rows = tables.run_logs(spark, sf_dir)
-    return verify.select_logs(_own_outcomes(spark, sf_dir), log_rows, ["pos", "part"], kept=False)
+    return verify.select_logs(_own_outcomes(spark, sf_dir), log_rows, kept=False)
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,8 @@ def first_terminal_stream(stream: DataFrame, delay: str = "0 seconds") -> DataFr
     """
     found = F.min(F.when(is_terminal(), F.struct("ts", "event_id", "state")))
     return (
-        stream.withWatermark("ts", delay)
+        stream.filter(F.col("run_id").isNotNull())
+        .withWatermark("ts", delay)
         .groupBy("run_id")
         .agg(found.alias("first"))
         .filter("first IS NOT NULL")

@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens.operators import outcome
-from runlens.operators.skew import hot_keys, salted_join
+from runlens.operators.skew import hot_keys, split_join
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
 PENDING = ["not_started", "starting", "running", "busy"]
 # Tiny thresholds, so that the small tables of a test have hot keys.
-SALTED = {"hot_share": 0.02, "min_hot_rows": 2}
+SPLIT = {"hot_share": 0.02, "min_hot_rows": 2}
 PLAIN = {"hot_share": 1.0, "min_hot_rows": 10**9}
 
 
@@ -54,7 +54,7 @@ def test_first_terminal(spark, seed):
     assert rows(outcome.first_terminal(frames(spark, obs)[0])) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [PLAIN, SALTED], ids=["plain", "salted"])
+@pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 @pytest.mark.parametrize("timeout", [5, 30, 500])
 def test_run_outcome(spark, timeout, sizes):
     obs = observe(3, terminal=0.02)
@@ -71,7 +71,7 @@ def test_run_outcome(spark, timeout, sizes):
     assert rows(outcome.run_outcome(df, starts, timeout, **sizes)) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [PLAIN, SALTED], ids=["plain", "salted"])
+@pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 @pytest.mark.parametrize("timeout", [5, 30, 500])
 def test_run_outcome_at_deadline(spark, timeout, sizes):
     obs = observe(4, terminal=0.02)
@@ -108,7 +108,7 @@ def test_runs_without_observations_are_pending(spark):
     assert [r[:2] for r in rows(outcome.run_outcome(df, runs, 5))] == [(1, "success"), (2, "pending")]
 
 
-@pytest.mark.parametrize("sizes", [PLAIN, SALTED], ids=["plain", "salted"])
+@pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 def test_polls_until_done(spark, sizes):
     obs = observe(5, terminal=0.02)
     expected = []
@@ -118,7 +118,7 @@ def test_polls_until_done(spark, sizes):
     assert rows(outcome.polls_until_done(frames(spark, obs)[0], **sizes)) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [PLAIN, SALTED], ids=["plain", "salted"])
+@pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 def test_sample_states(spark, sizes):
     obs = observe(6)
     df, starts = frames(spark, obs)
@@ -168,43 +168,57 @@ def test_first_nonempty(spark):
     assert rows(outcome.first_nonempty(df, "info.url", "url")) == [(1, "a"), (2, None)]
 
 
-def test_hot_keys_are_found_and_bounded(spark):
+def test_hot_keys_are_found(spark):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id"
     )
-    assert rows(hot_keys(df, "k", 0.01, 10)) == [(-1, 34)]
+    assert rows(hot_keys(df, "k", 0.01, 10)) == [(-1,)]
     assert hot_keys(df, "k").count() == 0
     assert hot_keys(df.filter("id < 0"), "k", 0.01, 10).count() == 0
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+@pytest.mark.parametrize("sizes", [PLAIN, {"hot_share": 0.01, "min_hot_rows": 5}], ids=["plain", "split"])
+def test_split_join_equals_plain_join(spark, how, sizes):
     left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 != 0, F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(1))
+        .when(F.col("id") % 5 == 0, F.lit(90))
+        .when(F.col("id") % 7 != 0, F.col("id") % 50)
+        .alias("k"),
         F.col("id").alias("v"),
     )
-    right = spark.createDataFrame([(k, str(k)) for k in range(0, 40)] + [(1, "again"), (None, "null")], "k BIGINT, w STRING")
-    salted = salted_join(left, right, "k", ["v"], how, 0.01, 5)
+    right = spark.createDataFrame([(k, str(k)) for k in range(0, 40)] + [(None, "null")], "k BIGINT, w STRING")
+    split = split_join(left, right, "k", how, **sizes)
     plain = left.join(right, "k", how)
-    assert salted.columns == plain.columns
-    assert rows(salted) == rows(plain)
+    assert split.columns == plain.columns
+    assert rows(split) == rows(plain)
 
 
-def test_hot_and_null_keys_are_spread(spark):
-    """No shuffle partition of the join may hold a third of the rows."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+def hot_and_null_keys(spark):
+    left = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    return left, spark.range(30000).select(F.col("id").alias("k"), F.lit(True).alias("w"))
+
+
+def test_no_task_gets_all_rows_of_a_hot_or_null_key(spark):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        left = spark.range(30000).select(
-            F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"),
-            F.col("id").alias("v"),
-        )
-        right = spark.range(30000).select(F.col("id").alias("k"), F.lit(True).alias("w"))
-        joined = salted_join(left, right, "k", ["v"], "left", 0.01, 5)
+        joined = split_join(*hot_and_null_keys(spark), "k", "left", 0.01, 5)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert len(sizes) == 4 and max(sizes) < 30000 * 0.3
+        assert sum(sizes) == 30000 and max(sizes) < 30000 * 0.15
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_without_hot_keys_a_plain_join_is_left(spark):
+    joined = split_join(*hot_and_null_keys(spark), "k", "inner")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert plan.count("Join") > 3 and final.count("Join") == 1 and "Union" not in final

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from runlens.operators import scripts, verify
 from tests.conftest import rows
 
-SALTED = {"hot_share": 0.02, "min_hot_rows": 2}
+SPLIT = {"hot_share": 0.02, "min_hot_rows": 2}
 PLAIN = {"hot_share": 1.0, "min_hot_rows": 10**9}
-BOTH = pytest.mark.parametrize("sizes", [PLAIN, SALTED], ids=["plain", "salted"])
+BOTH = pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 
 RUNS = [
     # run_id, app_id, state, verify_in, spill_logs
@@ -115,8 +115,8 @@ def test_select_logs(spark, tables, by_default, sizes):
         F.col("id").alias("pos"),
     )
     wanted = {3, 4, 5, 7, 8, 9, 11} | ({1} if by_default else set())
-    kept = verify.select_logs(reconciled, log, ["pos"], by_default, **sizes)
-    dropped = verify.select_logs(reconciled, log, ["pos"], by_default, kept=False, **sizes)
+    kept = verify.select_logs(reconciled, log, by_default, **sizes)
+    dropped = verify.select_logs(reconciled, log, by_default, kept=False, **sizes)
     assert rows(kept) == rows(log.filter(F.col("run_id").isin(*wanted)))
     assert rows(dropped) == rows(log.filter(~F.col("run_id").isin(*wanted)))
 
@@ -124,8 +124,8 @@ def test_select_logs(spark, tables, by_default, sizes):
 def test_run_that_was_never_created_keeps_no_logs(spark):
     runs = spark.createDataFrame([(None, "failed", True)], "run_id BIGINT, outcome STRING, spill_logs BOOLEAN")
     log = spark.createDataFrame([(None, 1)], "run_id BIGINT, pos BIGINT")
-    assert verify.select_logs(runs, log, ["pos"]).count() == 0
-    assert verify.select_logs(runs, log, ["pos"], kept=False).count() == 1
+    assert verify.select_logs(runs, log).count() == 0
+    assert verify.select_logs(runs, log, kept=False).count() == 1
 
 
 DDL = "session_id BIGINT, pos BIGINT, state STRING, status STRING"
