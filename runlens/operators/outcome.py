@@ -221,9 +221,12 @@ def sample_states(
 
     (run_id, poll_no, poll_ts, state); the state is NULL before the first
     observation. `stop_when_done` leaves out the polls after the first one that finds
-    the run ended. No range join: each observation is assigned to the first poll at
-    or after it by arithmetic, the latest one per poll is kept (before the shuffle
-    too), and the few rows per run that remain are filled forward.
+    the run ended.
+
+    No range join: arithmetic assigns each observation to the first poll at or after
+    it, and the latest one per poll is kept, before the shuffle too. What is left of a
+    run is at most one row per poll; each stands until the next, and the polls in
+    between are made last, where nothing shuffles them any more.
     """
     last_poll = timeout_sec // period_sec
     period = period_sec * MICROS
@@ -237,29 +240,39 @@ def sample_states(
         min_hot_rows,
     )
     waited = elapsed_micros(F.col("ts"), F.col("start_ts")) + F.lit(period - 1)
-    poll_no = F.greatest(F.lit(0), F.call_function("div", waited, F.lit(period)))
+    poll_no = F.greatest(F.lit(0), F.call_function("div", waited, F.lit(period))).cast("int")
+    seen = timed.select(
+        "run_id", poll_no.alias("poll_no"), F.struct("ts", "event_id", "state").alias("seen")
+    ).filter(F.col("poll_no") <= last_poll)
+    # Every run has a row for its first poll, which also brings the start along.
+    first_polls = starts.withColumn("poll_no", F.lit(0))
     latest = (
-        timed.withColumn("poll_no", poll_no.cast("int"))
-        .filter(F.col("poll_no") <= last_poll)
+        first_polls.unionByName(seen, allowMissingColumns=True)
         .groupBy("run_id", "poll_no")
-        .agg(F.max(F.struct("ts", "event_id", "state")).alias("seen"))
+        .agg(F.max("seen").alias("seen"), F.max("start_ts").alias("start_ts"))
     )
-    polls = starts.select(
-        "run_id", "start_ts", F.explode(F.sequence(F.lit(0), F.lit(last_poll))).alias("poll_no")
+    by_poll = Window.partitionBy("run_id").orderBy("poll_no")
+    earlier = by_poll.rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.col("seen").isNotNull() & is_terminal("seen.state"), F.lit(False))
+    spans = latest.select(
+        "run_id",
+        "poll_no",
+        F.col("seen.state").alias("state"),
+        F.first("start_ts").over(by_poll).alias("start_ts"),
+        F.coalesce(F.lead("poll_no").over(by_poll) - 1, F.lit(last_poll)).alias("until"),
+        ended.alias("ended"),
+        F.coalesce(F.max(ended).over(earlier), F.lit(False)).alias("over"),
     )
-    # Both windows span the polls of one run, of which there are few.
-    so_far = Window.partitionBy("run_id").orderBy("poll_no").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = so_far.rowsBetween(Window.unboundedPreceding, -1)
-    # A struct, not its state: a NULL state that was observed is in force too.
-    in_force = F.last("seen", ignorenulls=True).over(so_far)
-    sampled = polls.join(latest, ["run_id", "poll_no"], "left").withColumn("in_force", in_force)
     if stop_when_done:
-        ended = F.col("in_force").isNotNull() & is_terminal("in_force.state")
-        over = F.coalesce(F.max(ended).over(earlier), F.lit(False))
-        sampled = sampled.withColumn("over", over).filter(~F.col("over"))
-    return sampled.select(
+        spans = spans.filter(~F.col("over")).withColumn(
+            "until", F.when(F.col("ended"), F.col("poll_no")).otherwise(F.col("until"))
+        )
+    polls = spans.select(
+        "run_id", "start_ts", "state", F.explode(F.sequence("poll_no", "until")).alias("poll_no")
+    )
+    return polls.select(
         "run_id",
         "poll_no",
         after_seconds(F.col("start_ts"), F.col("poll_no") * period_sec).alias("poll_ts"),
-        F.col("in_force.state").alias("state"),
+        "state",
     )
