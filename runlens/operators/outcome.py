@@ -29,13 +29,14 @@ def _one_start_per_run(runs: DataFrame) -> DataFrame:
     return run_starts(runs.withColumnRenamed("start_ts", "ts"))
 
 
-def _for_all_runs(obs: DataFrame, per_run: DataFrame) -> DataFrame:
-    """`per_run`, an aggregate by run, with a row for every run that was observed.
+def _first_per_run(obs: DataFrame, wanted: Column, columns: list[Column | str]) -> DataFrame:
+    """(run_id, first): the first wanted observation of each run, NULL if there is none.
 
-    Both sides are grouped by run already, so the join needs no shuffle of its own.
+    One pass over the observations with partial results before the shuffle: however
+    many rows a run has, each task sends one on.
     """
-    seen = obs.select("run_id").filter(F.col("run_id").isNotNull()).distinct()
-    return seen.join(per_run, "run_id", "left")
+    found = F.min(F.when(wanted, F.struct("ts", "event_id", *columns)))
+    return obs.filter(F.col("run_id").isNotNull()).groupBy("run_id").agg(found.alias("first"))
 
 
 def elapsed_micros(ts: Column, start: Column) -> Column:
@@ -53,17 +54,8 @@ def is_terminal(state: Column | str = "state") -> Column:
 
 
 def first_terminal(obs: DataFrame) -> DataFrame:
-    """The first terminal observation of each run decides it; without one it is pending.
-
-    Only terminal rows reach the aggregate, and only one per run and task the
-    shuffle.
-    """
-    ended = (
-        obs.filter(is_terminal())
-        .groupBy("run_id")
-        .agg(F.min(F.struct("ts", "event_id", "state")).alias("first"))
-    )
-    return _for_all_runs(obs, ended).select(
+    """The first terminal observation of each run decides it; without one it is pending."""
+    return _first_per_run(obs, is_terminal(), ["state"]).select(
         "run_id",
         F.when(F.col("first").isNull(), "pending")
         .otherwise(classify_batch("first.state"))
@@ -77,12 +69,8 @@ def first_terminal(obs: DataFrame) -> DataFrame:
 def first_nonempty(obs: DataFrame, field: str, name: str = "value") -> DataFrame:
     """The first value of `field` per run that is neither NULL nor empty, if any."""
     value = F.col(field)
-    found = (
-        obs.filter(value != "")
-        .groupBy("run_id")
-        .agg(F.min(F.struct("ts", "event_id", value.alias("v"))).alias("first"))
-    )
-    return _for_all_runs(obs, found).select("run_id", F.col("first.v").alias(name))
+    found = _first_per_run(obs, value != "", [value.alias("v")])
+    return found.select("run_id", F.col("first.v").alias(name))
 
 
 def run_outcome(
