@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
+from runlens.plans.oracle import ORACLE
+from runlens.plans.queries import QUERIES
 from tests.oracle_check import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -19,7 +21,7 @@ def duck():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = spark_entry.queries()[name](spark, SF_DIR)
     assert differences(df, duck, spark_entry.oracle_sql()[name]) is None
@@ -31,4 +33,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(ORACLE) <= set(spark_entry.oracle_sql())
