@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import html, packing, tokens
+from runlens.llm import html, ngram_join, packing, tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,8 +28,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
 }
