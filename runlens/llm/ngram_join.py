@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm.components import components
+from runlens.llm.meeting import lists_of, unpacked
 from runlens.llm.shared import pick, stored, text_batches, texts_of
-from runlens.llm.words import windows, word_hashes
+from runlens.llm.words import mixed, windows, word_hashes
 
 WINDOW = 5
 # Jaccard threshold as a fraction; compared in whole numbers.
@@ -42,8 +43,8 @@ FANOUT = 16
 FREQUENT, LISTED = 1 / 4096, 65_536
 # A task reports windows that so many of its documents share, and holds so many at once.
 REPORTED, HELD = 16, 1 << 21
-# Windows in a bucket on average, and documents in a block of a frequent window's group.
-BUCKET, BLOCK = 1 << 20, 2048
+# Documents in a block of a frequent window's group.
+BLOCK = 2048
 
 _U8 = np.dtype("<u8")
 _U4 = np.dtype("<u4")
@@ -58,8 +59,6 @@ def sets_of(texts: list[str]) -> Iterator[np.ndarray]:
 
 def fingerprint(found: np.ndarray) -> bytes:
     """16 bytes that equal sets share: two sums modulo 2^64 of differently mixed members."""
-    from runlens.llm.words import mixed
-
     first = int(found.sum(dtype=np.uint64)) if len(found) else 0
     second = int(mixed(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) if len(found) else 0
     return ((first << 64) | second).to_bytes(16, "little")
@@ -191,63 +190,11 @@ def _described(docs: DataFrame, frequent) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, key binary, point binary, rare binary, common binary")
 
 
-def _groups(classes: DataFrame, buckets: int) -> DataFrame:
-    """Distinct lists of classes that share a rare first window, as packed ascending ids."""
-
-    def deal(batches):
-        for batch in batches:
-            ids = np.array(batch.column("class").to_pylist(), np.uint64)
-            raw = [np.frombuffer(x, _U8) for x in batch.column("rare").to_pylist()]
-            if not raw:
-                continue
-            hashes = np.concatenate(raw)
-            owners = np.repeat(ids, [len(x) for x in raw])
-            to = (hashes % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            to, hashes, owners = to[order], hashes[order], owners[order]
-            used, starts = np.unique(to, return_index=True)
-            ends = [*starts[1:], len(to)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used, pa.int64()),
-                    pa.array([hashes[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
-                    pa.array([owners[i:j].tobytes() for i, j in zip(starts, ends, strict=True)], pa.binary()),
-                ],
-                names=["bucket", "hashes", "owners"],
-            )
-
-    def meet(table: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(x.as_py(), _U8) for x in table.column("hashes")])
-        owners = np.concatenate([np.frombuffer(x.as_py(), _U8) for x in table.column("owners")])
-        order = np.lexsort((owners, hashes))
-        hashes, owners = hashes[order], owners[order]
-        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        ends = np.concatenate([starts[1:], [len(hashes)]])
-        many = np.flatnonzero(ends - starts > 1)
-        lists = {owners[starts[i] : ends[i]].tobytes() for i in many}
-        return pa.table({"members": pa.array(sorted(lists), pa.binary())})
-
-    dealt = classes.select("class", "rare").mapInArrow(deal, "bucket long, hashes binary, owners binary")
-    met = dealt.groupBy("bucket").applyInArrow(meet, "members binary")
-    return met.distinct()
-
-
-def _unpacked(groups: DataFrame) -> DataFrame:
-    """(gid, class) of every member of every list."""
-
-    def run(batches):
-        for batch in batches:
-            lists = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
-            if lists:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(batch.column("gid").to_numpy(), [len(x) for x in lists])),
-                        pa.array(np.concatenate(lists)),
-                    ],
-                    names=["gid", "class"],
-                )
-
-    return groups.mapInArrow(run, "gid long, class long")
+def _owned(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """First windows of the batch's classes, and whose they are."""
+    owners = np.array(batch.column("class").to_pylist(), np.uint64)
+    raw = [np.frombuffer(x, _U8) for x in batch.column("rare").to_pylist()]
+    return np.concatenate([np.zeros(0, _U8), *raw]), np.repeat(owners, [len(x) for x in raw])
 
 
 def _within_bound(a: str, b: str):
@@ -329,10 +276,9 @@ def join(docs: DataFrame) -> DataFrame:
 
     # Groups of classes that share a rare first window.
     n_windows = linkable.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
-    buckets = max(1, math.ceil(n_windows / 8 / BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    lists = stored(_groups(linkable, buckets), "lists")
+    lists = lists_of(linkable.select("class", "rare"), _owned, n_windows // 8)
     groups = stored(lists.withColumn("gid", F.monotonically_increasing_id()), "groups")
-    rare = stored(_unpacked(groups), "rare-members")
+    rare = stored(unpacked(groups).withColumnRenamed("member", "class"), "rare-members")
 
     # Frequent windows, no more than are listed: their members stay where they are.
     def listed(batches):

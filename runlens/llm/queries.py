@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import html, ngram_join, packing, tokens
+from runlens.llm import html, lines, ngram_join, packing, tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.without_repeats(docs)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -35,6 +40,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
 }
