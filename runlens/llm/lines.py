@@ -31,6 +31,8 @@ EDITS = 2
 LEAST_CHARS = 24
 # Classes that characters are counted in, for a quick bound on the distance.
 CLASSES = 16
+# Lines that a task remembers having looked up.
+HELD = 1 << 20
 # Characters of line pairs verified at once.
 VERIFIED = 1 << 21
 
@@ -254,14 +256,23 @@ def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> D
         ~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("row") == F.col("first_row")) & (F.col("number") == F.col("first_number")))
     )
 
-    def hashed(batch):
-        found = list({y for x in texts_of(batch) for y in lines_in(x) if len(y) >= least})
-        names = np.frombuffer(b"".join(map(key_of, found)), "<u8").reshape(-1, 2)[:, 0] & ~np.uint64(1)
-        hashes, places, own = segment_hashes(found, edits)
-        return hashes, names[places] | own.astype(np.uint64)
+    def start():
+        seen: set[int] = set()
+
+        def hashed(batch):
+            found = {y for x in texts_of(batch) for y in lines_in(x) if len(y) >= least}
+            found = {int.from_bytes(key_of(x)[:8], "little") & ~1: x for x in found}
+            if len(seen) > HELD:
+                seen.clear()
+            names = np.array(sorted(found.keys() - seen), np.uint64)
+            seen.update(names.tolist())
+            hashes, places, own = segment_hashes([found[x] for x in names.tolist()], edits)
+            return hashes, names[places] | own.astype(np.uint64)
+
+        return hashed
 
     n_lines = lines.count()
-    lists = lists_of(docs.select("text"), hashed, n_lines * sum(1 for _ in _probes(edits)), marked=True)
+    lists = lists_of(docs.select("text"), start, n_lines * sum(1 for _ in _probes(edits)), marked=True)
     groups = stored(lists.withColumn("gid", F.monotonically_increasing_id()), "groups")
     met = unpacked(groups).withColumnRenamed("member", "line")
     # Two lines whose 64 bits agree by chance count as the earlier one here.

@@ -22,14 +22,14 @@ BUCKET = 1 << 20
 
 def lists_of(
     rows: DataFrame,
-    hashed: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]],
+    start: Callable[[], Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]],
     expected: int,
     marked: bool = False,
 ) -> DataFrame:
     """(members) of every distinct list of two or more owners that share a hash.
 
-    `hashed` gives the hashes of a batch and the owner of each, both 64-bit; `expected`
-    is about how many there are. If `marked`, the lowest bit of an owner is a mark and
+    `start`, called once in each task, gives a function that makes the hashes of a batch
+    and the owner of each, both 64-bit; `expected` is about how many there are. If `marked`, the lowest bit of an owner is a mark and
     not part of it, and only lists with a marked owner count. Members are packed, in
     ascending order. Callers keep hashes that a large share of owners has out of it.
     """
@@ -37,6 +37,7 @@ def lists_of(
     buckets = max(4 * partitions, math.ceil(expected / BUCKET))
 
     def deal(batches):
+        hashed = start()
         for batch in batches:
             hashes, owners = hashed(batch)
             to = (hashes % np.uint64(buckets)).astype(np.int64)

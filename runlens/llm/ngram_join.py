@@ -33,7 +33,7 @@ WINDOW = 5
 # Jaccard threshold as a fraction; compared in whole numbers.
 NEAR = (80, 100)
 # Groups that windows are hashed into: the dimensions of a point.
-GROUPS = 64
+GROUPS = 256
 # Points in a leaf, and children of a node.
 FANOUT = 16
 
@@ -57,11 +57,9 @@ def sets_of(texts: list[str]) -> Iterator[np.ndarray]:
             yield np.unique(windows(hashes[first[i] : first[i + 1]], WINDOW))
 
 
-def fingerprint(found: np.ndarray) -> bytes:
-    """16 bytes that equal sets share: two sums modulo 2^64 of differently mixed members."""
-    first = int(found.sum(dtype=np.uint64)) if len(found) else 0
-    second = int(mixed(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) if len(found) else 0
-    return ((first << 64) | second).to_bytes(16, "little")
+def name_of(found: np.ndarray) -> int:
+    """64 bits that equal sets share; different ones do with a chance of about 2^-64."""
+    return int(mixed(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) if len(found) else 0
 
 
 def least_overlap(total):
@@ -162,47 +160,77 @@ def _frequent(docs: DataFrame, n_docs: int) -> np.ndarray:
     return np.sort(np.array([r["window"] for r in rows], np.int64).view(np.uint64))
 
 
+def _first_windows(found: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set's first windows, rare ones and then frequent ones, each by hash."""
+    need = prefix_length(len(found)) if len(found) else 0
+    usual = np.isin(found, last, assume_unique=True) if len(last) else np.zeros(len(found), bool)
+    rare = found[~usual][:need]
+    return rare, found[usual][: need - len(rare)]
+
+
 def _described(docs: DataFrame, frequent) -> DataFrame:
-    """Each document's set: size, fingerprint, point, and first windows rare and frequent."""
+    """Each document's set: size, class, point, and those first windows that are frequent."""
 
     def run(batches):
-        last = frequent.value
         for batch in batches:
             rows = []
             for found in sets_of(texts_of(batch)):
-                need = prefix_length(len(found)) if len(found) else 0
-                usual = np.isin(found, last, assume_unique=True) if len(last) else np.zeros(len(found), bool)
-                rare, common = found[~usual][:need], found[usual]
-                common = common[: need - len(rare)]
-                # The order uses a hash's upper bits; the group must not follow from it.
+                # The order of windows follows upper bits of their hashes, groups the lowest.
                 point = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                rows.append((len(found), fingerprint(found), point.astype(_U4).tobytes(), rare.tobytes(), common.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+                common = _first_windows(found, frequent.value)[1]
+                rows.append((len(found), name_of(found), point.astype(_U4).tobytes(), common.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(columns[0], pa.int64()),
-                    *(pa.array(x, pa.binary()) for x in columns[1:]),
-                ],
-                names=["doc_id", "n", "key", "point", "rare", "common"],
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "n", "class", "point", "common"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, point binary, rare binary, common binary")
+    return docs.mapInArrow(run, "doc_id long, n long, class long, point binary, common binary")
+
+
+def _rare_windows(frequent):
+    """For lists_of: the rare first windows of every set that the task has not seen yet."""
+
+    def start():
+        seen: set[int] = set()
+
+        def hashed(batch):
+            hashes, owners = [np.zeros(0, _U8)], [np.zeros(0, _U8)]
+            if len(seen) > HELD:
+                seen.clear()
+            for found in sets_of(texts_of(batch)):
+                name = name_of(found)
+                if name in seen or not len(found):
+                    continue  # a copy; its windows are on their way
+                seen.add(name)
+                hashes.append(_first_windows(found, frequent.value)[0])
+                owners.append(np.full(len(hashes[-1]), name, np.int64).view(_U8))
+            return np.concatenate(hashes), np.concatenate(owners)
+
+        return hashed
+
+    return start
 
 
-def _owned(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """First windows of the batch's classes, and whose they are."""
-    owners = np.array(batch.column("class").to_pylist(), np.uint64)
-    raw = [np.frombuffer(x, _U8) for x in batch.column("rare").to_pylist()]
-    return np.concatenate([np.zeros(0, _U8), *raw]), np.repeat(owners, [len(x) for x in raw])
+def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs whose points allow enough overlap."""
 
+    def run(batches):
+        for batch in batches:
+            a = np.frombuffer(b"".join(batch.column("p").to_pylist()), _U4).reshape(-1, GROUPS)
+            b = np.frombuffer(b"".join(batch.column("q").to_pylist()), _U4).reshape(-1, GROUPS)
+            shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(shared >= least_overlap(total)))
 
-def _within_bound(a: str, b: str):
-    """SQL condition: the summed smaller counts of points a and b reach the least overlap."""
     near, of = NEAR
-    shared = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    total = F.aggregate(F.concat(a, b), F.lit(0).cast("long"), lambda s, x: s + x)
-    return shared * (near + of) >= total * near
+    p = points.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p"))
+    q = points.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("q"))
+    # Sizes first, so that few points travel.
+    sizes = pairs.join(p.drop("p"), "a").join(q.drop("q"), "b")
+    sizes = sizes.where(F.least("n_a", "n_b") * of >= F.greatest("n_a", "n_b") * near).select("a", "b")
+    return sizes.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long")
 
 
 def _searched(points: DataFrame, *keys: str) -> DataFrame:
@@ -222,24 +250,23 @@ def _searched(points: DataFrame, *keys: str) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs of classes whose sets are near, by the sets themselves."""
     near, of = NEAR
-    pairs = stored(pairs.where("a <> b").distinct(), "pairs")
     both = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = stored(classes.join(both, "class", "left_semi").select("class", "key", "rep", "n"), "wanted")
+    wanted = stored(classes.join(both, "class", "left_semi").select("class", "rep", "n"), "wanted")
 
     def run(batches):
         for batch in batches:
             found = list(sets_of(texts_of(batch)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([fingerprint(x) for x in found], pa.binary()),
+                    pa.array([name_of(x) for x in found], pa.int64()),
                     pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
                 ],
-                names=["key", "found"],
+                names=["class", "found"],
             )
 
     texts = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = texts.select("text").mapInArrow(run, "key binary, found array<long>")
-    sets = stored(sets.join(wanted, "key").dropDuplicates(["class"]).select("class", "n", "found"), "sets")
+    sets = texts.select("text").mapInArrow(run, "class long, found array<long>")
+    sets = stored(sets.join(wanted, "class").dropDuplicates(["class"]).select("class", "n", "found"), "sets")
     a = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("found").alias("found_a"))
     b = sets.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("found").alias("found_b"))
     shared = F.size(F.array_intersect("found_a", "found_b"))
@@ -253,32 +280,25 @@ def join(docs: DataFrame) -> DataFrame:
     One row per input row. Documents with the same class_id have equal sets. A NULL or
     empty text, or one of white space, has no set (n_shingles 0), links with nothing and
     is its own component. Repeated rows are alike; rows that repeat an id with other
-    texts are documents of their own. A NULL doc_id stays NULL, and is no component's
-    name while another is there. Other columns are ignored; an empty table gives none.
+    texts are documents of their own. A NULL doc_id stays NULL and links nothing. Other
+    columns are ignored; an empty table gives none.
     """
     spark: SparkSession = docs.sparkSession
     text_batches(spark)
     docs = pick(docs, doc_id="long", text="string")
-    n_docs = docs.count()
-    frequent = spark.sparkContext.broadcast(_frequent(docs, n_docs))
+    frequent = spark.sparkContext.broadcast(_frequent(docs, docs.count()))
     described = stored(_described(docs, frequent), "sets")
-
-    classes = described.where("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("rep"),
-        F.first("n").alias("n"),
-        F.first("point").alias("point"),
-        F.first("rare").alias("rare"),
-        F.first("common").alias("common"),
+    linkable = described.where("n > 0 and doc_id is not null")
+    named = linkable.groupBy("class").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")
     )
-    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    linkable = classes.where("rep is not null")
-    points = linkable.select("class", "point")
+    classes = stored(named, "classes")
 
     # Groups of classes that share a rare first window.
-    n_windows = linkable.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
-    lists = lists_of(linkable.select("class", "rare"), _owned, n_windows // 8)
+    n_windows = (classes.agg(F.sum("n")).first()[0] or 0) * (NEAR[1] - NEAR[0]) // NEAR[1]
+    lists = lists_of(docs.where("doc_id is not null").select("text"), _rare_windows(frequent), n_windows)
     groups = stored(lists.withColumn("gid", F.monotonically_increasing_id()), "groups")
-    rare = stored(unpacked(groups).withColumnRenamed("member", "class"), "rare-members")
+    rare = unpacked(groups).withColumnRenamed("member", "class")
 
     # Frequent windows, no more than are listed: their members stay where they are.
     def listed(batches):
@@ -293,72 +313,69 @@ def join(docs: DataFrame) -> DataFrame:
                     names=["window", "class"],
                 )
 
-    common = stored(
-        linkable.where(F.octet_length("common") > 0).select("class", "common").mapInArrow(listed, "window long, class long"),
-        "common-members",
-    )
+    common = linkable.where(F.octet_length("common") > 0).select("class", "common")
+    common = stored(common.mapInArrow(listed, "window long, class long").distinct(), "common-members")
 
     # First every member with the first of its group, if the bound allows.
     leaders = F.broadcast(common.groupBy("window").agg(F.min("class").alias("a")))
-    first = rare.groupBy("gid").agg(F.min("class").alias("a"))
-    stars = rare.join(first, "gid").select("a", F.col("class").alias("b")).union(
-        common.join(leaders, "window").select("a", F.col("class").alias("b"))
-    )
-    numbers = _numbers(points)
-    a = numbers.select(F.col("class").alias("a"), F.col("counts").alias("p"))
-    b = numbers.select(F.col("class").alias("b"), F.col("counts").alias("q"))
-    stars = stored(stars.where("a <> b").distinct(), "stars")
-    bounded = stars.join(a, "a").join(b, "b").where(_within_bound("p", "q")).select("a", "b")
-    links = stored(_verified(bounded, linkable, docs), "star-links")
+    first = _firsts(groups)
+    stars = first.union(common.join(leaders, "window").select("a", F.col("class").alias("b")))
+    stars = stored(_bounded(stars.where("a <> b").distinct(), classes), "stars")
+    links = stored(_verified(stars, classes, docs), "star-links")
     roots = stored(components(links), "roots")
 
     # Then what those links leave apart, by trees over the points of a group.
     root = F.coalesce("root", "class").alias("root")
     at = rare.join(roots, F.col("class") == F.col("node"), "left").select("gid", "class", root)
+    at = stored(at, "rare-members")
     apart = at.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
     apart = stored(apart.where("x <> y and m > 2").select("gid"), "apart")
-    at = at.join(apart, "gid", "left_semi").join(points, "class")
-    searched = _searched(at, "gid")
+    points = classes.select("class", "point")
+    searched = _searched(at.join(apart, "gid", "left_semi").join(points, "class"), "gid")
 
     wide = common.join(roots, F.col("class") == F.col("node"), "left").select("window", "class", root)
     apart = wide.groupBy("window").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
-    apart = stored(apart.where("x <> y and m > 2").select("window", F.ceil(F.col("m") / BLOCK).alias("blocks")), "apart")
-    block = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    wide = wide.join(F.broadcast(apart), "window").withColumn("i", block)
+    blocks = F.ceil(F.col("m") / BLOCK).alias("blocks")
+    apart = stored(apart.where("x <> y and m > 2").select("window", blocks), "wide-apart")
+    wide = wide.join(F.broadcast(apart), "window").withColumn("i", F.pmod(F.xxhash64("class"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     wide = wide.withColumn("j", other).select(
         "window", "class", "root", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")
     )
     searched = searched.union(_searched(wide.join(points, "class"), "window", "i", "j"))
-    more = searched.join(stars, ["a", "b"], "left_anti")
-    links = stored(links.union(_verified(more, linkable, docs)), "links")
+    more = stored(searched.distinct().join(stars, ["a", "b"], "left_anti"), "tree-pairs")
+    links = stored(links.union(_verified(more, classes, docs)), "links")
 
     roots = components(links)
-    named = roots.join(linkable.select(F.col("class").alias("node"), "rep"), "node")
-    least = stored(named.groupBy("root").agg(F.min("rep").alias("least")), "least")
-    linked = stored(named.join(least, "root").select(F.col("node").alias("class"), "least"), "linked")
+    placed = roots.join(classes.select(F.col("class").alias("node"), "rep"), "node")
+    least = stored(placed.groupBy("root").agg(F.min("rep").alias("least")), "least")
+    linked = stored(placed.join(least, "root").select(F.col("node").alias("class"), "least"), "linked")
     of_class = classes.join(linked, "class", "left").select(
-        "key", F.col("class").alias("class_id"), F.coalesce("least", "rep").alias("component_id")
+        "class", F.coalesce("least", "rep").alias("component_id")
     )
     of_class = stored(of_class, "of-class")
-    return described.select("doc_id", "n", "key").join(of_class, "key", "left").select(
+    linked = F.when(F.col("n") > 0, F.col("component_id"))
+    return described.select("doc_id", "n", "class").join(of_class, "class", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        "class_id",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("class")).alias("class_id"),
     )
 
 
-def _numbers(points: DataFrame) -> DataFrame:
-    """Points as arrays of numbers."""
+def _firsts(groups: DataFrame) -> DataFrame:
+    """(a, b): the first member of each list with every other."""
 
     def run(batches):
         for batch in batches:
-            raw = b"".join(batch.column("point").to_pylist())
-            counts = pa.array(np.frombuffer(raw, _U4).astype(np.int64))
-            edges = pa.array(np.arange(0, len(counts) + 1, GROUPS, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.ListArray.from_arrays(edges, counts)], names=["class", "counts"]
-            )
+            found = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([np.full(len(x) - 1, x[0]) for x in found])),
+                        pa.array(np.concatenate([x[1:] for x in found])),
+                    ],
+                    names=["a", "b"],
+                )
 
-    return points.mapInArrow(run, "class long, counts array<long>")
+    return groups.select("members").mapInArrow(run, "a long, b long")

@@ -28,7 +28,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     jvm, context = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(context).deleteOnExit(target)
