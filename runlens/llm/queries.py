@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import html, lines, ngram_join, packing, tokens
+from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +20,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -37,10 +41,16 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_quality_classifier": op2_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }

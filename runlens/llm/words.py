@@ -8,7 +8,9 @@ of about 2^-64.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 
@@ -93,3 +95,78 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         total *= np.uint64(_BASE)
         total += hashes[i : len(hashes) - n + 1 + i]
     return mixed(total)
+
+
+# Kinds of characters.
+LETTER, DIGIT, MARK, GAP = 1, 2, 3, 0
+
+_tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kind, lower case and 64-bit value of each character of the basic plane; others are letters."""
+    if not _tables:
+        kinds = np.full(0x10001, LETTER, np.uint8)
+        lower = np.arange(0x10001, dtype=np.uint32)
+        for i in range(0x10000):
+            c = chr(i)
+            if c.isspace():
+                kinds[i] = GAP
+            elif c.isdecimal():
+                kinds[i] = DIGIT
+            elif not c.isalpha() and unicodedata.category(c)[0] != "M":
+                kinds[i] = MARK
+            if len(c.lower()) == 1:
+                lower[i] = ord(c.lower())
+        _tables.append((kinds, lower, mixed(np.arange(1, 0x10002, dtype=np.uint64) * np.uint64(_BASE))))
+    return _tables[0]
+
+
+def is_capital(points: np.ndarray) -> np.ndarray:
+    return _characters()[1][points] != points
+
+
+class Tokens(NamedTuple):
+    """Tokens of a buffer of texts: runs of letters, of digits, or of other marks.
+
+    `first` has the first token of each text and the end; `text` is the buffer that
+    `starts` and `ends` point into.
+    """
+
+    text: str
+    starts: np.ndarray
+    ends: np.ndarray
+    kinds: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    points: np.ndarray
+
+
+def tokens_of(texts: list[str], lower: bool) -> Iterator[tuple[int, Tokens]]:
+    """(first text, its tokens and those of its neighbours) by buffer.
+
+    A point or comma between two digits belongs to the number.
+    """
+    kind_of, lower_of, value_of = _characters()
+    for part in runs_of([len(x) + 1 for x in texts], BUFFER):
+        some = texts[part]
+        text = "\n".join(["", *some, ""])
+        points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 0x10000)
+        kinds = kind_of[points]
+        inside = np.zeros(len(points), bool)
+        digit = kinds == DIGIT
+        inside[1:-1] = digit[:-2] & digit[2:] & ((points[1:-1] == 44) | (points[1:-1] == 46))
+        kinds[inside] = DIGIT
+        starts = np.flatnonzero((kinds[1:] != kinds[:-1]) & (kinds[1:] != GAP)) + 1
+        ends = np.flatnonzero((kinds[1:] != kinds[:-1]) & (kinds[:-1] != GAP)) + 1
+        lengths = np.fromiter(map(len, some), np.int64, len(some))
+        edges = np.concatenate([[1], 1 + np.cumsum(lengths + 1)])
+        first = np.searchsorted(starts, edges)
+        if len(starts):
+            _powers.grow(len(points))
+            values = value_of[lower_of[points] if lower else points] * _powers.up[: len(points)]
+            values[kinds == GAP] = 0
+            hashes = mixed(np.add.reduceat(values, starts) * _powers.down[starts])
+        else:
+            hashes = np.zeros(0, np.uint64)
+        yield part.start, Tokens(text, starts, ends, kinds[starts], hashes, first, points)
