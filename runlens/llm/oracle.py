@@ -3,3 +3,19 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op4_exact_topk"] = """
+WITH flat AS (
+    SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+), ints AS (
+    SELECT vec_id, i, floor(64 * x)::BIGINT AS x FROM flat
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+    FROM ints q JOIN ints c ON q.i = c.i AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+    GROUP BY ALL
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores
+QUALIFY rank <= 20
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, tokens
+from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, tokens, topk
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -48,6 +52,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_exact_topk": op4_exact_topk,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
