@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, tokens, topk
+from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, surrogates, tokens, topk
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
+# In use, a secret of the user's; here any text does.
+SURROGATE_KEY = "for the registered query"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,6 +27,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, SURROGATE_KEY)
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"))
 
@@ -52,6 +60,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_exact_topk": op4_exact_topk,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
