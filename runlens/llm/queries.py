@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import decontaminate, html, lines, ngram_join, packing, quality, surrogates, tokens, topk
+from runlens.llm import decontaminate, html, lines, lm, ngram_join, packing, quality, surrogates, tokens, topk
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -57,6 +57,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
@@ -67,4 +71,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
