@@ -6,36 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The reply is parsed inside an envelope with a closing marker: Spark's JSON
-# parser stops at the end of the first value, so without the marker text after
-# the reply would go unnoticed.
-END_MARKER = "_end_of_reply"
+# The reply is parsed as the first of two elements of a list, the second a zero:
+# Spark's JSON parser stops at the end of the first value, so without the zero text
+# after the reply would go unnoticed, and text that brings elements of its own moves
+# the zero from its place.
 JSON_SPACE = " \t\n\r"
 NUMERIC_VARIANT = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
 def with_parsed(df: DataFrame, body: str, opening: str, closing: str) -> DataFrame:
-    """Add `_parsed`: a VARIANT with the reply under `$.reply`.
+    """Add `_parsed`: a VARIANT with the reply under `$[0]`.
 
     NULL unless `body` is one JSON value between the given brackets. Those are looked
     at first: a reply that was cut short is told by its last character, which is far
-    cheaper than having the parser fail on it. The marker is checked in a second step,
+    cheaper than having the parser fail on it. The zero is checked in a second step,
     so that each body is parsed once.
     """
     trimmed = F.btrim(F.col(body), F.lit(JSON_SPACE))
     whole = trimmed.startswith(opening) & trimmed.endswith(closing)
-    envelope = F.concat(F.lit('{"reply":'), F.col(body), F.lit(f',"{END_MARKER}":0}}'))
-    marker = F.try_variant_get(F.col("_envelope"), f"$.{END_MARKER}", "int")
+    envelope = F.concat(F.lit("["), F.col(body), F.lit(",0]"))
+    second = F.try_variant_get(F.col("_envelope"), "$[1]", "variant")
+    third = F.try_variant_get(F.col("_envelope"), "$[2]", "variant")
+    # A reply that holds text after its value puts something else at the second place.
+    ends = (F.schema_of_variant(second) == "BIGINT") & (second.cast("int") == 0) & third.isNull()
     return (
         df.withColumn("_envelope", F.when(whole, F.try_parse_json(envelope)))
-        .withColumn("_parsed", F.when(marker == 0, F.col("_envelope")))
+        .withColumn("_parsed", F.when(ends, F.col("_envelope")))
         .drop("_envelope")
     )
 
 
 def reply_path(parsed: Column, path: str, kind: str = "variant") -> Column:
     """Value at `path` (`$.a.b`). With kind `variant`, NULL only if the path is absent."""
-    return F.try_variant_get(parsed, "$.reply" + path.removeprefix("$"), kind)
+    return F.try_variant_get(parsed, "$[0]" + path.removeprefix("$"), kind)
 
 
 def parse_replies(df: DataFrame, body: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
@@ -65,6 +68,25 @@ def parse_replies(df: DataFrame, body: str, fields: dict[str, tuple[str, str]])
     )
 
 
+def statement_states(df: DataFrame, body: str) -> DataFrame:
+    """Add `state`, `status` and `has_status` from replies about statements.
+
+    The status matters only once the state is `available`; a reply that cannot be read,
+    or has no state, gets its error class as its state. `has_status` tells a missing
+    status from one that is null.
+    """
+    parsed = F.col("_parsed")
+    state = reply_path(parsed, "$.state")
+    error = F.when(parsed.isNull(), "malformed").when(state.isNull(), "missing_path")
+    return (
+        with_parsed(df, body, "{", "}")
+        .withColumn("state", F.coalesce(error, reply_path(parsed, "$.state", "string")))
+        .withColumn("status", reply_path(parsed, "$.output.status", "string"))
+        .withColumn("has_status", reply_path(parsed, "$.output.status").isNotNull())
+        .drop("_parsed")
+    )
+
+
 def numeric_id(df: DataFrame, body: str, path: str = "$.id") -> DataFrame:
     """Add `id` (as text) and `error`, which is `not_a_number` for a non-numeric id.
 
@@ -94,7 +116,7 @@ def explode_jobs(df: DataFrame, body: str) -> DataFrame:
     row, and an entry without `jobId` or `status` is a `missing_path` row.
     """
     parsed, job = F.col("_parsed"), F.col("_job")
-    jobs = F.try_variant_get(parsed, "$.reply", "array<variant>")
+    jobs = F.try_variant_get(parsed, "$[0]", "array<variant>")
     # Outer, with empty lists dropped after it: a plain explode would have Spark
     # check for empty lists ahead of it, which means parsing each body again.
     exploded = (

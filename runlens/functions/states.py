@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,3 +57,28 @@ def classify_statement(
         .when((state == "available") & (status == "ok"), "success")
         .otherwise("failed")
     )
+
+
+@dataclass(frozen=True)
+class Rule:
+    """How rows of one kind are classed: the columns it looks at, and the class of their values.
+
+    Every class but `pending` ends a run.
+    """
+
+    columns: tuple[str, ...]
+    classify: Callable[..., Column]
+
+    def __call__(self, of: str = "") -> Column:
+        """Class of a row, or of the columns of the struct `of`."""
+        return self.classify(*(F.col(f"{of}.{c}" if of else c) for c in self.columns))
+
+    def ends(self, of: str = "") -> Column:
+        return self(of) != "pending"
+
+
+BATCH = Rule(("state",), classify_batch)
+SESSION = Rule(("state",), classify_session)
+STATEMENT = Rule(("state", "status"), classify_statement)
+# With a column that tells a missing status from one that is null.
+STATEMENT_REPLY = Rule(("state", "status", "has_status"), classify_statement)

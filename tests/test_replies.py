@@ -19,8 +19,9 @@ def bodies(spark, *texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, body STRING")
 
 
-MALFORMED = ['{"id":{}', '{{"id": 2, "state": }}', '{"invalid":json]}', "<!DOCTYPE html>", "", None, "[1]", "null", '"s"', "7"]
-TRAILING = ['{"id": 1}}', '{"id": 1} x', '{"id": 1}{"id": 2}', '{"id": 1},{"id": 2}', '{"id": 1}]', '{"id": 1}] x']
+MALFORMED = ['{"id": [}', '{"id" 4}', '{"log": ["a", }', "<p>502</p>", "", None, "[1]", "null", '"s"', "7"]
+TRAILING = ['{"id": 1}}', '{"id": 1} x', '{"id": 1}{"id": 2}', '{"id": 1},{"id": 2}', '{"id": 1}]', '{"id": 1}] x',
+            '{"id": 1},"x":{"id": 2}', '{"id": 1}],"x":[{"id": 2}', '{"id": 1},0],[{"id": 2}', '{"id": 1},0,{"id": 2}']
 
 
 @pytest.mark.parametrize("body", MALFORMED + TRAILING)
@@ -75,13 +76,13 @@ def test_values_are_typed(spark):
         ('{"id": 123}', ("123", None)),
         ('{"id": -1.5}', ("-1.5", None)),
         ('{"id": 123456789012345678901234567890}', ("123456789012345678901234567890", None)),
-        ('{"id": "unexpectedly, a string!"}', (None, "not_a_number")),
+        ('{"id": "four"}', (None, "not_a_number")),
         ('{"id": "123"}', (None, "not_a_number")),
         ('{"id": true}', (None, "not_a_number")),
         ('{"id": null}', (None, "not_a_number")),
         ('{"id": {}}', (None, "not_a_number")),
         ('{"no": 1}', (None, "missing_path")),
-        ('{"id":{}', (None, "malformed")),
+        ('{"id": 4', (None, "malformed")),
     ],
 )
 def test_numeric_id(spark, body, expected):
@@ -94,10 +95,12 @@ def test_job_lists(spark):
         spark,
         '[{"jobId": 1, "status": "SUCCEEDED"}, {"jobId": 2, "status": "FAILED"}]',
         "[]",
-        '{"unparseable": "obj"}',
+        '{"jobs": []}',
         '[{"jobId": 1, "status": "SUCCEEDED"}',
         '[{"jobId": 1}, 5, {"jobId": 3, "status": null}]',
         None,
+        '[{"jobId":1,"status":"SUCCEEDED"}],"x":[{"jobId":2,"status":"FAILED"}]',
+        '[{"jobId":1,"status":"SUCCEEDED"}],0,[{"jobId":2,"status":"FAILED"}]',
     )
     assert rows(explode_jobs(df, "body").drop("body")) == sorted(
         [
@@ -109,38 +112,32 @@ def test_job_lists(spark):
             (4, 1, None, None, "missing_path"),
             (4, 2, 3, None, None),
             (5, None, None, None, "malformed"),
+            (6, None, None, None, "malformed"),
+            (7, None, None, None, "malformed"),
         ],
         key=repr,
     )
 
 
-TEXTS = ["proxy_user", "driver_memory", "executor_memory", "name"]
-LISTS = ["jars", "py_files", "files", "archives"]
-
-
-def full_record(extra: dict) -> dict:
-    record = {name: name for name in TEXTS}
-    record |= {name: [f"{name}1", f"{name}2"] for name in LISTS}
-    record |= {"driver_cores": 1, "executor_cores": 2, "num_executors": 3, "conf": {"key1": "val1"}}
-    return record | extra
-
-
-@pytest.mark.parametrize(
-    "mapping,extra",
-    [
-        (BATCH_FIELDS, {"file": "f", "class_name": "c", "arguments": ["a", "b"], "queue": "q"}),
-        (SESSION_FIELDS, {"kind": "pyspark", "yarn_queue": "q", "heartbeat_timeout": 9}),
-    ],
-    ids=["batch", "session"],
-)
-def test_full_record(spark, mapping, extra):
-    record = full_record(extra)
-    assert set(record) == set(mapping)
-    kinds = {str: "STRING", int: "INT", list: "ARRAY<STRING>", dict: "MAP<STRING,STRING>"}
-    ddl = ", ".join(f"{name} {kinds[type(value)]}" for name, value in record.items())
-    df = spark.createDataFrame([tuple(record.values())], ddl)
-    payload = json.loads(compact_json(df, mapping).first().payload)
-    assert payload == {mapping[name]: value for name, value in record.items()}
+VALUES = {
+    "STRING": "some text",
+    "INT": 7,
+    "ARRAY<STRING>": ["one"],
+    "MAP<STRING,STRING>": {"spark.ui.port": "0"},
+}
+KINDS = {"driver_cores": "INT", "executor_cores": "INT", "num_executors": "INT", "heartbeat_timeout": "INT"}
+KINDS |= dict.fromkeys(("arguments", "jars", "py_files", "files", "archives"), "ARRAY<STRING>")
+KINDS |= {"conf": "MAP<STRING,STRING>"}
+
+
+@pytest.mark.parametrize("mapping", [BATCH_FIELDS, SESSION_FIELDS], ids=["batch", "session"])
+def test_every_field_gets_its_name(spark, mapping):
+    """One filled column at a time, all others NULL: the record holds that field alone."""
+    ddl = ", ".join(f"{name} {KINDS.get(name, 'STRING')}" for name in mapping)
+    wanted = [(name, VALUES[KINDS.get(name, "STRING")]) for name in mapping]
+    table = [tuple(value if other == name else None for other in mapping) for name, value in wanted]
+    found = compact_json(spark.createDataFrame(table, ddl), mapping).select("payload").collect()
+    assert [json.loads(r.payload) for r in found] == [{mapping[name]: value} for name, value in wanted]
 
 
 def test_empty_fields_are_dropped(spark):
