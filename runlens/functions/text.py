@@ -61,9 +61,11 @@ def tag_text(col: Column | str, tag: str = "pre", all_entities: bool = False) ->
     every one, at the price of passing the text found through Python.
     """
     name = re.escape(tag)
-    opening = rf"<{name}(?:\s(?:[^>]*[^/>])?)?>"
-    closing = r"(?:</[a-z]|<[a-z][^>]*/>|\z)"
-    markup = r"<[^>]+>"
+    # Quoted attribute values count as units: they may hold `>` and `/`.
+    quoted = r"""\"[^\"]*+\"|'[^']*+'"""
+    opening = rf"<{name}(?:\s(?:{quoted}|[^>\"'/]|/(?!>))*+)?>"
+    closing = rf"(?:</[a-z]|<[a-z](?:{quoted}|[^>\"'/]|/(?!>))*+/>|\z)"
+    markup = rf"<(?:{quoted}|[^>\"'])+>"
     # A comment must neither open an element nor join two runs.
     no_comments = F.regexp_replace(as_column(col), r"(?s)<!--.*?-->", "<!>")
     bodies = F.regexp_extract_all(no_comments, F.lit(rf"(?is){opening}(.*?){closing}"), F.lit(1))

@@ -63,9 +63,24 @@ def _page_malformed() -> Column:
     return F.col("log").isNull() | F.col("from").isNull() | F.col("total").isNull()
 
 
+def _one_page_per_offset(pages: DataFrame) -> DataFrame:
+    """Well-formed pages, one for each run and offset: of repeated ones the longest."""
+    best = F.max(F.struct(F.size("log").alias("n"), "total", "log")).alias("page")
+    return (
+        pages.filter(~_page_malformed())
+        .groupBy("run_id", "from")
+        .agg(best)
+        .select("run_id", "from", "page.n", "page.total", "page.log")
+    )
+
+
 def assemble_pages(pages: DataFrame) -> DataFrame:
-    """Lines of all well-formed pages with their number: (run_id, pos, line)."""
-    return pages.filter(~_page_malformed()).select(
+    """Lines of all well-formed pages with their number: (run_id, pos, line).
+
+    A page fetched several times gives its lines once. Pages that overlap otherwise give
+    the lines they share once each.
+    """
+    return _one_page_per_offset(pages).select(
         "run_id", "from", F.posexplode("log").alias("offset", "line")
     ).select("run_id", (F.col("from") + F.col("offset")).alias("pos"), "line")
 
@@ -73,32 +88,43 @@ def assemble_pages(pages: DataFrame) -> DataFrame:
 def page_status(pages: DataFrame) -> DataFrame:
     """How far each run's pages reach: (run_id, n_pages, n_lines, next_from, status).
 
-    `complete` once a page reaches its total; `malformed` if a page lacks its log,
-    offset or total; `stalled` if a page short of its total holds no line, since the
-    next fetch would ask for the same offset again; else `incomplete`, to go on from
-    `next_from`.
+    `n_pages` counts all pages, `n_lines` the lines of well-formed ones, repeated offsets
+    once. Each page leads to the offset where it ends; `next_from` is the first offset,
+    from 0 on, that no page with lines starts at. `malformed` if a page lacks its log,
+    offset or total; `complete` if `next_from` reaches the total; `stalled` if a page
+    without lines is there, since the next fetch would ask for the same offset again;
+    else `incomplete`, to go on from `next_from`.
+
+    Pages meet by run and offset, so the pages of a long log don't meet in one task.
     """
-    reach = F.col("from") + F.size("log")
-    done = reach >= F.col("total")
-    return (
-        pages.withColumn("_bad", _page_malformed())
+    spans = _one_page_per_offset(pages).select("run_id", "from", "n", "total")
+    filled = spans.filter("n > 0")
+    starts = filled.select("run_id", F.col("from").alias("at"))
+    ends = spans.select("run_id", (F.col("from") + F.col("n")).alias("at"), (F.col("n") > 0).alias("filled"))
+    first_hole = (
+        ends.join(starts, ["run_id", "at"], "left_anti")
         .groupBy("run_id")
-        .agg(
-            F.count(F.lit(1)).alias("n_pages"),
-            F.sum(F.when(~F.col("_bad"), F.size("log")).otherwise(0)).alias("n_lines"),
-            F.max(F.when(~F.col("_bad"), reach)).alias("next_from"),
-            F.bool_or("_bad").alias("_any_bad"),
-            F.bool_or(~F.col("_bad") & done).alias("_done"),
-            F.bool_or(~F.col("_bad") & ~done & (F.size("log") == 0)).alias("_stalled"),
-        )
+        .agg(F.min(F.struct("at", "filled")).alias("hole"))
+    )
+    per_run = pages.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.bool_or(_page_malformed()).alias("_bad")
+    )
+    lines = spans.groupBy("run_id").agg(
+        F.sum("n").alias("n_lines"), F.max("total").alias("_total"), F.min("from").alias("_first")
+    )
+    next_from = F.when(F.col("_first") > 0, F.lit(0)).otherwise(F.col("hole.at"))
+    return (
+        per_run.join(lines, "run_id", "left")
+        .join(first_hole, "run_id", "left")
+        .withColumn("next_from", next_from)
         .select(
             "run_id",
             "n_pages",
-            "n_lines",
+            F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
             "next_from",
-            F.when(F.col("_any_bad"), "malformed")
-            .when(F.col("_done"), "complete")
-            .when(F.col("_stalled"), "stalled")
+            F.when(F.col("_bad"), "malformed")
+            .when(F.col("next_from") >= F.col("_total"), "complete")
+            .when((F.col("next_from") == F.col("hole.at")) & ~F.col("hole.filled"), "stalled")
             .otherwise("incomplete")
             .alias("status"),
         )

@@ -13,7 +13,7 @@ def value(spark, text, function):
 
 
 def test_path_safe(spark):
-    assert value(spark, "hello:world:1", path_safe) == "hello-world-1"
+    assert value(spark, "run 4:05:06", path_safe) == "run 4-05-06"
     assert value(spark, None, path_safe) is None
 
 
@@ -41,6 +41,9 @@ def test_quote_name():
         ("<pre>a<br>b</pre>", "b"),
         ("<pre>never closed", "never closed"),
         ("<pre/>after", None),
+        ('<pre title="a>b">x</pre>', "x"),
+        ("<pre title='a/>b' id=c>x<i title=\"d>e\">y</i></pre>", "y"),
+        ('<pre title="a"/>after', None),
         ("<prefix>x</prefix>", None),
         ("<!-- <pre>hidden</pre> --><p>x</p>", None),
         ("<pre>a<!-- c -->b</pre>", "b"),
@@ -101,6 +104,9 @@ def test_page_status(spark):
             (5, 0, 1, None),
             (6, 0, 0, []),
             (7, 0, 3, ["a"]), (7, 1, 3, ["b", "c"]),
+            (8, 0, 3, ["a"]), (8, 2, 3, ["c"]),
+            (9, 0, 3, ["a", "b"]), (9, 0, 3, ["a", "b"]),
+            (10, 1, 3, ["b", "c"]),
         ],
         "run_id BIGINT, from BIGINT, total BIGINT, log ARRAY<STRING>",
     )
@@ -112,7 +118,13 @@ def test_page_status(spark):
         (5, 1, 0, None, "malformed"),
         (6, 1, 0, 0, "complete"),
         (7, 2, 3, 3, "complete"),
+        (8, 2, 2, 1, "incomplete"),
+        (9, 2, 2, 2, "incomplete"),
+        (10, 1, 2, 0, "incomplete"),
     ]
+    assert rows(logs.assemble_pages(pages.filter("run_id IN (8, 9)"))) == [
+        (8, 0, "a"), (8, 2, "c"), (9, 0, "a"), (9, 1, "b"),
+    ]
 
 
 def test_lines_of_a_text(spark):
