@@ -1,8 +1,10 @@
 """Per-run outcomes from state observations.
 
-Observations are rows (run_id, event_id, ts, state), of which those without a run
-count for nothing; runs are rows (run_id, start_ts), and of several for a run the
-earliest start counts. "First" means smallest (ts, event_id).
+Observations are rows (run_id, event_id, ts, state), of which those without a run or
+without a time count for nothing; runs are rows (run_id, start_ts), and of several for
+a run the earliest start counts. "First" means smallest (ts, event_id). How states are
+classed is a `Rule`: of batch runs unless told otherwise, of sessions, or of statements,
+whose rows have a status as well.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from runlens.functions.states import classify_batch
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
+from runlens.functions.states import BATCH, Rule
+from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, split_join
 from runlens.operators.validate import DEFAULT_POLL_PERIOD_SEC, DEFAULT_TIMEOUT_SEC
 
 MICROS = 1_000_000
@@ -25,6 +27,10 @@ def run_starts(obs: DataFrame) -> DataFrame:
     )
 
 
+def _timed(obs: DataFrame) -> DataFrame:
+    return obs.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull())
+
+
 def _one_start_per_run(runs: DataFrame) -> DataFrame:
     return run_starts(runs.withColumnRenamed("start_ts", "ts"))
 
@@ -35,7 +41,7 @@ def _first_per_run(obs: DataFrame, wanted: Column, columns: list[Column | str])
     One pass over the observations with partial results before the shuffle: however
     many rows a run has, each task sends one on.
     """
-    found = F.min(F.when(wanted, F.struct("ts", "event_id", *columns)))
+    found = F.min(F.when(wanted & F.col("ts").isNotNull(), F.struct("ts", "event_id", *columns)))
     return obs.filter(F.col("run_id").isNotNull()).groupBy("run_id").agg(found.alias("first"))
 
 
@@ -49,16 +55,12 @@ def after_seconds(start: Column, seconds: Column | int) -> Column:
     return start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def is_terminal(state: Column | str = "state") -> Column:
-    return classify_batch(state) != "pending"
-
-
-def first_terminal(obs: DataFrame) -> DataFrame:
+def first_terminal(obs: DataFrame, rule: Rule = BATCH) -> DataFrame:
     """The first terminal observation of each run decides it; without one it is pending."""
-    return _first_per_run(obs, is_terminal(), ["state"]).select(
+    return _first_per_run(obs, rule.ends(), list(rule.columns)).select(
         "run_id",
         F.when(F.col("first").isNull(), "pending")
-        .otherwise(classify_batch("first.state"))
+        .otherwise(rule("first"))
         .alias("outcome"),
         F.col("first.state").alias("state"),
         F.col("first.ts").alias("decided_ts"),
@@ -77,10 +79,11 @@ def run_outcome(
     obs: DataFrame,
     runs: DataFrame,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
-    hot_share: float = HOT_SHARE,
+    rule: Rule = BATCH,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """success / failed / timeout / pending for each run.
+    """The class of the deciding observation, or timeout or pending, for each run.
 
     Decided by the first observation that is terminal, or still pending more than
     `timeout_sec` after the start: a terminal state seen late still counts if no
@@ -88,20 +91,20 @@ def run_outcome(
     """
     starts = _one_start_per_run(runs)
     timed = split_join(
-        obs.select("run_id", "event_id", "ts", "state"),
+        _timed(obs).select("run_id", "event_id", "ts", *rule.columns),
         starts,
         "run_id",
         "inner",
-        hot_share,
+        hot_part,
         min_hot_rows,
     )
     late = elapsed_micros(F.col("ts"), F.col("start_ts")) > timeout_sec * MICROS
     decided = (
-        timed.filter(is_terminal() | late)
+        timed.filter(rule.ends() | late)
         .groupBy("run_id")
-        .agg(F.min(F.struct("ts", "event_id", "state")).alias("first"))
+        .agg(F.min(F.struct("ts", "event_id", *rule.columns)).alias("first"))
     )
-    kind = classify_batch("first.state")
+    kind = rule("first")
     return (
         starts.select("run_id")
         .join(decided, "run_id", "left")
@@ -122,7 +125,8 @@ def run_outcome_at_deadline(
     runs: DataFrame,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
     as_of: Column | None = None,
-    hot_share: float = HOT_SHARE,
+    rule: Rule = BATCH,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Like `run_outcome`, but the deadline itself ends a run.
@@ -136,18 +140,18 @@ def run_outcome_at_deadline(
         as_of = obs.agg(F.max("ts")).scalar()
     starts = _one_start_per_run(runs)
     timed = split_join(
-        obs.select("run_id", "event_id", "ts", "state").filter(is_terminal()),
+        _timed(obs).filter(rule.ends()).select("run_id", "event_id", "ts", *rule.columns),
         starts,
         "run_id",
         "inner",
-        hot_share,
+        hot_part,
         min_hot_rows,
     )
     in_time = elapsed_micros(F.col("ts"), F.col("start_ts")) <= timeout_sec * MICROS
     decided = (
         timed.filter(in_time)
         .groupBy("run_id")
-        .agg(F.min(F.struct("ts", "event_id", "state")).alias("first"))
+        .agg(F.min(F.struct("ts", "event_id", *rule.columns)).alias("first"))
     )
     deadline = after_seconds(F.col("start_ts"), timeout_sec)
     timed_out = F.col("first").isNull() & (deadline < as_of)
@@ -157,7 +161,7 @@ def run_outcome_at_deadline(
             "run_id",
             F.when(timed_out, "timeout")
             .when(F.col("first").isNull(), "pending")
-            .otherwise(classify_batch("first.state"))
+            .otherwise(rule("first"))
             .alias("outcome"),
             F.when(timed_out, deadline).otherwise(F.col("first.ts")).alias("decided_ts"),
             F.col("first.state").alias("state"),
@@ -166,14 +170,15 @@ def run_outcome_at_deadline(
 
 
 def polls_until_done(
-    obs: DataFrame, hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS
+    obs: DataFrame, rule: Rule = BATCH, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Observations of each run up to and including the one that decided it.
 
     `n_polls` counts all of them for a run that is not decided yet.
     """
+    obs = _timed(obs)
     decisions = (
-        obs.filter(is_terminal())
+        obs.filter(rule.ends())
         .groupBy("run_id")
         .agg(F.min(F.struct("ts", "event_id")).alias("decision"))
     )
@@ -182,7 +187,7 @@ def polls_until_done(
         decisions,
         "run_id",
         "left",
-        hot_share,
+        hot_part,
         min_hot_rows,
     )
     counted = F.col("decision").isNull() | (F.struct("ts", "event_id") <= F.col("decision"))
@@ -202,7 +207,8 @@ def sample_states(
     period_sec: int = DEFAULT_POLL_PERIOD_SEC,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
     stop_when_done: bool = False,
-    hot_share: float = HOT_SHARE,
+    rule: Rule = BATCH,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """The state each run is in at its start and every `period_sec` up to the timeout.
@@ -220,17 +226,17 @@ def sample_states(
     period = period_sec * MICROS
     starts = _one_start_per_run(runs)
     timed = split_join(
-        obs.select("run_id", "event_id", "ts", "state"),
+        _timed(obs).select("run_id", "event_id", "ts", "state", rule.ends().alias("ends")),
         starts,
         "run_id",
         "inner",
-        hot_share,
+        hot_part,
         min_hot_rows,
     )
     waited = elapsed_micros(F.col("ts"), F.col("start_ts")) + F.lit(period - 1)
     poll_no = F.greatest(F.lit(0), F.call_function("div", waited, F.lit(period))).cast("int")
     seen = timed.select(
-        "run_id", poll_no.alias("poll_no"), F.struct("ts", "event_id", "state").alias("seen")
+        "run_id", poll_no.alias("poll_no"), F.struct("ts", "event_id", "state", "ends").alias("seen")
     ).filter(F.col("poll_no") <= last_poll)
     # Every run has a row for its first poll, which also brings the start along.
     first_polls = starts.withColumn("poll_no", F.lit(0))
@@ -241,7 +247,7 @@ def sample_states(
     )
     by_poll = Window.partitionBy("run_id").orderBy("poll_no")
     earlier = by_poll.rowsBetween(Window.unboundedPreceding, -1)
-    ended = F.coalesce(F.col("seen").isNotNull() & is_terminal("seen.state"), F.lit(False))
+    ended = F.coalesce(F.col("seen.ends"), F.lit(False))
     spans = latest.select(
         "run_id",
         "poll_no",

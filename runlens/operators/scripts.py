@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.states import classify_statement
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
+from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, split_join
 
 
 def fail_fast(
-    statements: DataFrame, hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS
+    statements: DataFrame, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Add `run_class`: that of the statement, or `not_run` after a failure.
 
@@ -26,7 +26,7 @@ def fail_fast(
         .groupBy("session_id")
         .agg(F.min("pos").alias("first_failed_pos"))
     )
-    joined = split_join(classed, first_failure, "session_id", "left", hot_share, min_hot_rows)
+    joined = split_join(classed, first_failure, "session_id", "left", hot_part, min_hot_rows)
     return joined.withColumn(
         "run_class",
         F.when(F.col("pos") > F.col("first_failed_pos"), "not_run").otherwise(F.col("run_class")),
@@ -34,11 +34,11 @@ def fail_fast(
 
 
 def script_summary(
-    statements: DataFrame, hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS
+    statements: DataFrame, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Per session: statements submitted, whether all succeeded, first failure."""
     return (
-        fail_fast(statements, hot_share, min_hot_rows)
+        fail_fast(statements, hot_part, min_hot_rows)
         .groupBy("session_id")
         .agg(
             F.count(F.lit(1)).alias("n_statements"),

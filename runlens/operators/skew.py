@@ -2,41 +2,51 @@
 
 Spark's own skew handling splits a join side only if it comes straight from a
 shuffle and nothing after the join needs the rows grouped by the same key. The
-joins here are built from aggregates, or feed one, so hot keys are split off
-explicitly: their rows stay where they are and meet the few hot rows of the per-key
-table by broadcast; all other rows are joined by shuffle.
+joins here are built from aggregates, or feed one, so rows of hot keys are dealt out
+explicitly: each gets one of as many salts as its key needs tasks, and the few hot
+rows of the per-key table are repeated for every salt.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot from this share of all rows on.
-HOT_SHARE = 0.001
+# A task's fair share is the rows over the shuffle partitions. A key is hot from this
+# part of it on, so no task gets more than its share and about as much again.
+HOT_PART = 0.5
 # Below this many rows a key fits one task, whatever its share.
 MIN_HOT_ROWS = 1_000_000
-# Keys are counted in this many groups, each with a summary of at most so many
-# keys. This bounds what a task sends, and what is broadcast: the top keys of every
-# group, at most KEY_GROUPS * TOP_KEYS rows whatever the size of the input.
-KEY_GROUPS = 32
+# Keys are counted in groups, each with a summary of at most so many keys, which finds
+# every key with a 512th of its group's rows. There are as many groups as it takes to
+# find keys with half a task's share.
 TRACKED_KEYS = 512
-TOP_KEYS = 128
+TOP_KEYS = 256
+LEAST_GROUPS = 32
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(
-    rows: DataFrame, key: str, hot_share: float = HOT_SHARE, min_hot_rows: int = MIN_HOT_ROWS
+    rows: DataFrame, key: str, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
-    """The values of `key` that hold at least `hot_share` of the rows.
+    """(key, n_salts): keys with at least `hot_part` of a task's share of the rows, and in
+    how many parts to deal them.
 
-    Reads the key column only. Counts are frequent-item summaries, which never
-    shuffle the keys themselves; they are off by less than a hundredth of the rows
-    of a key's group. That is close enough here: it decides where rows are joined,
-    not what they join with.
+    Reads the key column only. Counts are frequent-item summaries, which never shuffle
+    the keys themselves; they are off by less than a hundredth of the rows of a key's
+    group. That is close enough here: it decides where rows are joined, not what they
+    join with. Shares add up to one, so there are at most partitions / `hot_part` hot
+    keys, and not many more salts, whatever the size of the input.
     """
-    group = F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS))
+    partitions = _partitions(rows)
+    groups = max(LEAST_GROUPS, -(-partitions // 64))
+    group = F.pmod(F.xxhash64(key), F.lit(groups))
     top = F.expr(f"approx_top_k(`{key}`, {TOP_KEYS}, {TRACKED_KEYS})")
     n_all = F.sum("_n").over(Window.partitionBy(F.lit(0)))
+    share = F.greatest(F.col("_n_all") * F.lit(hot_part) / partitions, F.lit(min_hot_rows))
     return (
         rows.filter(F.col(key).isNotNull())
         .groupBy(group.alias("_group"))
@@ -44,8 +54,8 @@ def hot_keys(
         # A window over the few groups, not over the rows.
         .withColumn("_n_all", n_all)
         .select("_n_all", F.inline("_top"))
-        .filter(F.col("count") >= F.greatest(F.lit(min_hot_rows), F.lit(hot_share) * F.col("_n_all")))
-        .select(F.col("item").alias(key))
+        .filter(F.col("count") >= share)
+        .select(F.col("item").alias(key), F.ceil(F.col("count") / share).alias("n_salts"))
     )
 
 
@@ -54,22 +64,21 @@ def split_join(
     per_key: DataFrame,
     key: str,
     how: str = "left",
-    hot_share: float = HOT_SHARE,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Join `rows` to `per_key` on `key` with hot keys split off; nothing is dropped.
+    """Join `rows` to `per_key` on `key` with hot keys dealt out; nothing is dropped.
 
-    `per_key` must hold one row per key, as an aggregate does: that bounds the
-    broadcast. `how`: inner, left, left_semi or left_anti. Rows without a key match
-    nothing and are not shuffled. If no key is hot, adaptive execution drops the hot
-    part before it runs, and a plain join is left.
+    `per_key` must hold one row per key, as an aggregate does: so little of it is
+    repeated. `how`: inner, left, left_semi or left_anti. Rows without a key match
+    nothing and are spread over all tasks. The rows are read once for their keys and
+    once for the join.
     """
-    hot = F.broadcast(hot_keys(rows, key, hot_share, min_hot_rows))
-    hot_per_key = F.broadcast(per_key.join(hot, key, "left_semi"))
-    keyed = rows.filter(F.col(key).isNotNull())
-    hot_part = keyed.join(hot, key, "left_semi").join(hot_per_key, key, how)
-    cold_part = keyed.join(hot, key, "left_anti").join(per_key, key, how)
-    joined = hot_part.unionByName(cold_part)
-    if how in ("left", "left_anti"):
-        joined = joined.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
-    return joined
+    hot = F.broadcast(hot_keys(rows, key, hot_part, min_hot_rows))
+    spread = F.coalesce(F.col("n_salts"), F.when(F.col(key).isNull(), F.lit(_partitions(rows))), F.lit(1))
+    if how in ("inner", "left_semi"):
+        rows = rows.filter(F.col(key).isNotNull())
+    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), spread))
+    salts: Column = F.sequence(F.lit(0).cast("bigint"), F.coalesce("n_salts", F.lit(1)).cast("bigint") - 1)
+    repeated = per_key.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("n_salts")
+    return salted.drop("n_salts").join(repeated, [key, "_salt"], how).drop("_salt")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.states import classify_batch
-from runlens.operators.skew import HOT_SHARE, MIN_HOT_ROWS, split_join
+from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, split_join
 from runlens.operators.validate import ALLOWED_VERIFIERS
 
 # Fixed value: the status a job and an application must end with.
@@ -18,10 +18,16 @@ SUCCEEDED = "SUCCEEDED"
 
 
 def _bad_jobs(app_jobs: DataFrame) -> DataFrame:
-    """Jobs that did not succeed: all that matters of a job list, and usually little of it."""
-    return app_jobs.filter(
-        F.col("app_id").isNotNull() & ~F.col("status").eqNullSafe(F.lit(SUCCEEDED))
-    ).select("app_id", F.struct("ord", "job_id", "status").alias("bad_job"))
+    """Jobs that did not succeed: all that matters of a job list, and usually little of it.
+
+    What could not be read comes first: such a list is malformed as a whole.
+    """
+    unread = _unread(app_jobs)
+    bad = unread | ~F.col("status").eqNullSafe(F.lit(SUCCEEDED))
+    readable = (~unread).alias("readable")
+    return app_jobs.filter(F.col("app_id").isNotNull() & bad).select(
+        "app_id", F.struct(readable, "ord", "job_id", "status", unread.alias("unread")).alias("bad_job")
+    )
 
 
 def _final_verdicts(app_final: DataFrame) -> DataFrame:
@@ -31,13 +37,28 @@ def _final_verdicts(app_final: DataFrame) -> DataFrame:
 
 
 def _final_aggregates() -> list[Column]:
-    """One final result per application, should there be several rows for one."""
-    return [F.max("final_status").alias("final_status"), F.bool_or("has_final").alias("has_final")]
+    """One final result per application, should there be several rows for one.
+
+    Any status but SUCCEEDED wins over it, and of several such the first in the alphabet;
+    a row without a status counts as one that did not succeed.
+    """
+    succeeded = F.col("final_status").eqNullSafe(F.lit(SUCCEEDED))
+    worst = F.min(F.when(F.col("has_final"), F.struct(succeeded, "final_status")))
+    return [worst["final_status"].alias("final_status"), F.bool_or("has_final").alias("has_final")]
 
 
 def _jobs_result() -> Column:
     # An application without jobs passes.
-    return F.when(F.col("bad_job").isNull(), "passed").otherwise("failed")
+    return (
+        F.when(F.col("bad_job").isNull(), "passed")
+        .when(F.col("bad_job.unread"), "malformed")
+        .otherwise("failed")
+    )
+
+
+def _unread(app_jobs: DataFrame) -> Column:
+    """Whether a row stands for a job list, or an entry of one, that could not be read."""
+    return F.col("error").isNotNull() if "error" in app_jobs.columns else F.lit(False)
 
 
 def _final_result() -> Column:
@@ -51,12 +72,16 @@ def _final_result() -> Column:
 def verify_jobs(
     runs: DataFrame,
     app_jobs: DataFrame,
-    hot_share: float = HOT_SHARE,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Add the job-list verdict: passed / failed / no_app_id, and the first bad job."""
+    """Add the job-list verdict: passed / failed / malformed / no_app_id, and the first bad job.
+
+    `app_jobs` may have an `error`, as `explode_jobs` gives it: a list that could not be
+    read, or an entry without its fields, is malformed.
+    """
     first_bad = _bad_jobs(app_jobs).groupBy("app_id").agg(F.min("bad_job").alias("bad_job"))
-    joined = split_join(runs, first_bad, "app_id", "left", hot_share, min_hot_rows)
+    joined = split_join(runs, first_bad, "app_id", "left", hot_part, min_hot_rows)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_jobs_result()).alias("verdict"),
@@ -68,12 +93,12 @@ def verify_jobs(
 def verify_final(
     runs: DataFrame,
     app_final: DataFrame,
-    hot_share: float = HOT_SHARE,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Add the final-status verdict: passed / failed / malformed (no row) / no_app_id."""
     verdicts = _final_verdicts(app_final).groupBy("app_id").agg(*_final_aggregates())
-    joined = split_join(runs, verdicts, "app_id", "left", hot_share, min_hot_rows)
+    joined = split_join(runs, verdicts, "app_id", "left", hot_part, min_hot_rows)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_final_result()).alias("verdict"),
@@ -81,18 +106,26 @@ def verify_final(
     )
 
 
+def _own(runs: DataFrame) -> Column:
+    """A run's own result."""
+    return F.col("own") if "own" in runs.columns else classify_batch("state")
+
+
 def reconcile(
     runs: DataFrame,
     app_jobs: DataFrame,
     app_final: DataFrame,
-    hot_share: float = HOT_SHARE,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Overall result: the run must succeed by itself, then its verifier decides.
 
-    Adds `outcome` (success / failed / pending), `reason` (NULL unless failed:
-    run_failed, unknown_verifier, no_app_id, bad_job, no_final_status,
-    bad_final_status) and `bad_status`, the status the verifier objected to.
+    A run's own result is its column `own`, such as the outcome of `run_outcome`, or if
+    there is none the class of its `state`. Adds `outcome` (success / failed / pending),
+    `reason` (NULL unless failed: run_failed, timeout, unknown_verifier, no_app_id,
+    bad_jobs_reply, bad_job, no_final_status, bad_final_status) and `bad_status`, the
+    status the verifier objected to. A run that has timed out has failed, whatever its
+    verifier would say.
 
     Bad jobs and final results are gathered per application in one aggregate, so they
     and the runs are each shuffled for one join; runs that no verifier has to look at
@@ -104,7 +137,7 @@ def reconcile(
         .groupBy(F.col("app_id").alias("_app"))
         .agg(F.min("bad_job").alias("bad_job"), *_final_aggregates())
     )
-    primary = classify_batch("state")
+    primary = _own(runs)
     verifier = F.col("verify_in")
     looked_up = (primary == "success") & verifier.isin(*ALLOWED_VERIFIERS)
     joined = split_join(
@@ -112,16 +145,18 @@ def reconcile(
         per_app,
         "_app",
         "left",
-        hot_share,
+        hot_part,
         min_hot_rows,
     )
     final_result = _final_result()
     reason = (
         F.when(primary == "pending", F.lit(None))
-        .when(primary == "failed", "run_failed")
+        .when(primary == "timeout", "timeout")
+        .when(primary != "success", "run_failed")
         .when(verifier.isNull(), F.lit(None))
         .when(~verifier.isin(*ALLOWED_VERIFIERS), "unknown_verifier")
         .when(F.col("app_id").isNull(), "no_app_id")
+        .when((verifier == "spark") & F.col("bad_job.unread"), "bad_jobs_reply")
         .when((verifier == "spark") & F.col("bad_job").isNotNull(), "bad_job")
         .when((verifier == "yarn") & (final_result == "malformed"), "no_final_status")
         .when((verifier == "yarn") & (final_result == "failed"), "bad_final_status")
@@ -145,7 +180,7 @@ def disagreements(reconciled: DataFrame) -> DataFrame:
     Takes the output of `reconcile`; one row per verifier, reason and status.
     """
     return (
-        reconciled.filter((classify_batch("state") == "success") & (F.col("outcome") == "failed"))
+        reconciled.filter((_own(reconciled) == "success") & (F.col("outcome") == "failed"))
         .groupBy("verify_in", "reason", "bad_status")
         .agg(F.count(F.lit(1)).alias("n_runs"))
     )
@@ -168,10 +203,10 @@ def select_logs(
     logs: DataFrame,
     spill_by_default: bool = True,
     kept: bool = True,
-    hot_share: float = HOT_SHARE,
+    hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Log rows of the runs that want their logs; with `kept=False`, all the others."""
     chosen = runs.filter(wants_logs(spill_by_default)).select("run_id").distinct()
     how = "left_semi" if kept else "left_anti"
-    return split_join(logs, chosen, "run_id", how, hot_share, min_hot_rows)
+    return split_join(logs, chosen, "run_id", how, hot_part, min_hot_rows)

@@ -29,6 +29,9 @@ def batch_class(state: str) -> str:
 
 OBS = f"obs AS (SELECT event_id, user_id AS run_id, ts, {STATE} AS state FROM events)"
 STARTS = "starts AS (SELECT run_id, min(ts) AS start_ts FROM obs GROUP BY run_id)"
+ALL_STARTS = """starts AS (SELECT user_id AS run_id, min(ts) AS start_ts FROM events GROUP BY user_id
+    UNION ALL SELECT DISTINCT c_custkey, (SELECT min(ts) FROM events) FROM customer
+    WHERE c_custkey NOT IN (SELECT user_id FROM events))"""
 FIRST_TERMINAL = f"""first_terminal AS (
     SELECT * FROM obs WHERE {batch_class('state')} <> 'pending'
     QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) = 1)"""
@@ -46,7 +49,7 @@ IN_TIME = f"""in_time AS (
 
 
 def _deadline_outcomes() -> str:
-    return f"""WITH {OBS}, {STARTS}, {IN_TIME},
+    return f"""WITH {OBS}, {ALL_STARTS}, {IN_TIME},
     ends AS (SELECT run_id, start_ts + INTERVAL {RUN_TIMEOUT_SEC} SECOND AS deadline FROM starts),
     now AS (SELECT max(ts) AS ts FROM obs)
     SELECT e.run_id,
@@ -58,6 +61,12 @@ def _deadline_outcomes() -> str:
     FROM ends e LEFT JOIN in_time f USING (run_id)"""
 
 
+SETTINGS = """settings AS (SELECT o_orderkey AS run_id,
+    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderkey END AS app_id,
+    CASE WHEN o_totalprice >= 325000 THEN 'yarn' WHEN o_totalprice >= 150000 THEN 'spark' END AS verify_in,
+    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN true
+        WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN false END AS spill_logs
+    FROM orders)"""
 RUNS = """runs AS (SELECT o_orderkey AS run_id,
     CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderkey END AS app_id,
     CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'running' ELSE 'error' END AS state,
@@ -105,7 +114,8 @@ RESPONSES = """responses AS (SELECT event_id, user_id AS run_id, ts,
       WHEN 'click' THEN '{"id": ' || event_id || ', "state": "running", "appId": null, "props": ' || props || '}'
       WHEN 'signup' THEN '{"id": "' || event_id || '", "state": null, "output": {"status": "ok"}}'
       WHEN 'purchase' THEN '[' || props || ']'
-      WHEN 'error' THEN props || '}'
+      WHEN 'error' THEN CASE event_id % 3 WHEN 0 THEN props || '}' WHEN 1 THEN props || ',"x":' || props
+        ELSE props || '],[0,' || props END
       ELSE props END AS body FROM events),
   replies AS (SELECT * EXCLUDE (body), CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j
     FROM responses),
@@ -114,21 +124,23 @@ RESPONSES = """responses AS (SELECT event_id, user_id AS run_id, ts,
 LINES = """lines AS (SELECT doc_id AS run_id, lang, string_split("text", chr(10)) AS ls FROM documents),
   log_lines AS (SELECT run_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM lines)"""
 PAGES = f"""{LINES},
-  starts AS (SELECT *, len(ls) AS n, unnest(range(0, len(ls), {SHORT_PAGE})) AS f FROM lines),
-  pages_cut AS (SELECT run_id, f,
-      CASE WHEN lang = 'de' AND f > 0 THEN NULL ELSE n END AS total,
-      CASE WHEN lang = 'fr' AND f > 0 THEN CAST([] AS VARCHAR[])
-          ELSE list_slice(ls, f + 1, f + {SHORT_PAGE}) END AS log
-    FROM starts WHERE NOT (lang = 'es' AND f > 0))"""
+  offsets AS (SELECT *, len(ls) AS n, unnest(range(0, len(ls), {SHORT_PAGE})) AS f FROM lines),
+  whole AS (SELECT run_id, lang, f, n AS total, least({SHORT_PAGE}, n - f) AS size FROM offsets),
+  damaged AS (SELECT -1 - run_id AS run_id, lang, f,
+      CASE WHEN lang = 'de' AND f > 0 THEN NULL ELSE total END AS total,
+      CASE WHEN lang = 'fr' AND f > 0 THEN 0 ELSE size END AS size
+    FROM whole WHERE NOT (lang = 'es' AND f = {SHORT_PAGE})),
+  fetched AS (SELECT * FROM whole UNION ALL SELECT * FROM damaged
+    UNION ALL SELECT * FROM damaged WHERE lang = 'en')"""
 
 
+# Told by cutting the page at its tags, not by the pattern that the function uses: the pages at hand
+# have no attributes on these elements, and no comment or self-closing tag in them.
 def _tag_text(tag: str) -> str:
-    body = (
-        "flatten(list_transform(regexp_extract_all(regexp_replace(html, '<!--.*?-->', '<!>', 'gs'), "
-        f"'(?is)<{tag}(?:\\s(?:[^>]*[^/>])?)?>(.*?)(?:</[a-z]|<[a-z][^>]*/>|\\z)', 1), "
-        "lambda b: string_split_regex(b, '<[^>]+>')))"
-    )
-    text = f"list_filter({body}, lambda r: r <> '')[-1]"
+    bodies = f"list_transform(string_split(html, '<{tag}>')[2:], lambda b: string_split(b, '</')[1])"
+    pieces = "list_transform(string_split('>' || b, '<'), lambda r: substr(r, strpos(r, '>') + 1))"
+    runs = f"flatten(list_transform({bodies}, lambda b: {pieces}))"
+    text = f"list_filter({runs}, lambda r: r <> '')[-1]"
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         text = f"replace({text}, '{entity}', '{char}')"
     return text
@@ -164,10 +176,11 @@ VALIDATED = f"""{SUBMISSIONS}, validated AS (SELECT *,
 ORACLE: dict[str, str] = {
     "scan_csv_schema": "SELECT * FROM customer",
     "scan_csv_infer": """SELECT CAST(o_orderkey AS INTEGER) AS _c0, CAST(o_custkey AS INTEGER) AS _c1,
-        o_orderstatus AS _c2, o_totalprice AS _c3, o_orderpriority AS _c4 FROM orders""",
+        o_orderstatus AS _c2, o_totalprice AS _c3, o_orderdate AS _c4, o_orderpriority AS _c5
+        FROM orders""",
     "sink_csv_roundtrip": "SELECT * FROM orders",
-    "sink_append_twice": "SELECT o_orderstatus, 2 * count(*) AS n_orders FROM orders GROUP BY 1",
-    "sink_ignore_existing": "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY 1",
+    "sink_append_twice": "SELECT *, 2 AS n FROM orders",
+    "sink_ignore_existing": "SELECT * FROM orders",
     "join_two_files": """SELECT c_custkey, c_name, n_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "join_renamed": """SELECT c_custkey AS id, c_name AS full_name, n_name || ', ' || c_mktsegment AS place
@@ -188,8 +201,8 @@ ORACLE: dict[str, str] = {
     "literal_rows": """SELECT label, count(*) AS n_orders
         FROM orders JOIN (VALUES ('finished', 'F'), ('open', 'O'), ('partial', 'P')) t(label, status)
             ON o_orderstatus = status GROUP BY label""",
-    "literal_column": """SELECT event_type, count(*) AS n_events FROM events
-        WHERE event_type IN ('click', 'purchase', 'refund') GROUP BY 1""",
+    "literal_column": """SELECT event_type, event_type IN ('click', 'purchase', 'refund') AS wanted,
+        count(*) AS n_events FROM events GROUP BY 1, 2""",
     "select_literal": """SELECT o_orderstatus, (SELECT 'orders by status') AS note, count(*) AS n_orders
         FROM orders GROUP BY o_orderstatus""",
     "sql_over_views": """SELECT c_mktsegment, o_orderstatus, count(*) AS n_orders
@@ -200,8 +213,12 @@ ORACLE: dict[str, str] = {
             CAST(sum(n) AS BIGINT) AS n_orders
         FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
             ON c_custkey = o_custkey GROUP BY 1""",
-    "concat_params": """SELECT c_custkey,
-        concat('Hello world', ' in segment ', c_mktsegment, ' - ', c_name) AS message FROM customer""",
+    "script_status": """SELECT * FROM (VALUES (0, 'ok', NULL, 1),
+            (1, 'ok', NULL, (SELECT count(DISTINCT o_orderstatus) FROM orders)),
+            (2, 'failed', 'UNRESOLVED_COLUMN.WITH_SUGGESTION', NULL), (3, 'not_run', NULL, NULL))
+        t(pos, status, error, n_rows)""",
+    "concat_params": """SELECT c_custkey, c_name || ' buys ' || c_mktsegment || ' #' || c_nationkey AS label
+        FROM customer""",
     "path_safe": "SELECT page_id, replace(url, ':', '-') AS path FROM pages",
     "classify_batch": f"""WITH {OBS}
         SELECT state, {batch_class('state')} AS class, count(*) AS n FROM obs GROUP BY 1, 2""",
@@ -240,6 +257,26 @@ ORACLE: dict[str, str] = {
             arg_min('http://logs/' || event_id, (ts, event_id)) FILTER (WHERE event_type = 'click')
                 AS driver_log_url
         FROM events GROUP BY user_id""",
+    "session_outcome": f"""WITH obs AS (SELECT event_id, user_id AS run_id, ts,
+            CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'starting'
+                WHEN event_type = 'purchase' THEN 'idle' ELSE event_type END AS state FROM events),
+        {STARTS}, decided AS (
+            SELECT o.run_id, o.ts, o.state FROM obs o JOIN starts s USING (run_id)
+            WHERE o.state <> 'starting' OR o.ts > s.start_ts + INTERVAL {RUN_TIMEOUT_SEC} SECOND
+            QUALIFY row_number() OVER (PARTITION BY o.run_id ORDER BY o.ts, o.event_id) = 1)
+        SELECT s.run_id, CASE WHEN d.run_id IS NULL THEN 'pending' WHEN d.state = 'starting' THEN 'timeout'
+                WHEN d.state = 'idle' THEN 'ready' ELSE 'failed' END AS outcome,
+            d.ts AS decided_ts, d.state
+        FROM starts s LEFT JOIN decided d USING (run_id)""",
+    "statement_outcome": """WITH classed AS (SELECT user_id AS run_id, ts, event_id,
+            CASE WHEN event_type = 'view' THEN 'waiting' WHEN event_type = 'click' THEN 'running'
+                WHEN event_type IN ('signup', 'purchase') THEN 'available' ELSE 'malformed' END AS state,
+            CASE WHEN event_type = 'signup' THEN 'success' WHEN event_type <> 'purchase' THEN 'failed'
+                WHEN event_id % 2 = 0 THEN 'malformed' ELSE 'failed' END AS class FROM events),
+        decided AS (SELECT * FROM classed WHERE state NOT IN ('waiting', 'running')
+            QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) = 1)
+        SELECT r.run_id, coalesce(d.class, 'pending') AS outcome, d.state, d.ts AS decided_ts, d.event_id
+        FROM (SELECT DISTINCT run_id FROM classed) r LEFT JOIN decided d USING (run_id)""",
     "fail_fast_prefix": f"WITH {FAIL_FAST} SELECT session_id, pos, run_class FROM ran",
     "script_summary": f"""WITH {FAIL_FAST}
         SELECT session_id, count(*) AS n_statements,
@@ -311,39 +348,105 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, 1, NULL, 'SUCCEEDED', 'missing_path' FROM kinds WHERE kind = 'NO'
         UNION ALL
         SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, 'malformed' FROM kinds WHERE kind IN ('RO', 'RF')""",
+    "end_to_end": f"""WITH {RESPONSES}, {ALL_STARTS}, {SETTINGS}, {FINAL}, {LOGS},
+        states AS (SELECT run_id, ts, event_id,
+            CASE WHEN j IS NULL THEN 'malformed' WHEN json_type(j, '$.state') IS NULL THEN 'missing_path'
+                ELSE json_extract_string(j, '$.state') END AS state FROM objects),
+        decided AS (SELECT o.run_id, o.state FROM states o JOIN starts s USING (run_id)
+            WHERE {batch_class('o.state')} <> 'pending' OR o.ts > s.start_ts + INTERVAL {RUN_TIMEOUT_SEC} SECOND
+            QUALIFY row_number() OVER (PARTITION BY o.run_id ORDER BY o.ts, o.event_id) = 1),
+        owns AS (SELECT s.run_id, CASE WHEN d.run_id IS NULL THEN 'pending'
+                WHEN {batch_class('d.state')} = 'pending' THEN 'timeout' ELSE {batch_class('d.state')} END AS own
+            FROM starts s LEFT JOIN decided d USING (run_id)),
+        lists AS (SELECT l_orderkey AS app_id,
+                bool_or(l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linestatus = 'O')) AS unread,
+                bool_or(l_returnflag = 'A' AND l_linestatus = 'O') AS failed
+            FROM lineitem GROUP BY 1),
+        reasons AS (SELECT r.run_id, o.own, r.spill_logs, f.final_status, CASE WHEN o.own = 'pending' THEN NULL
+                WHEN o.own = 'timeout' THEN 'timeout' WHEN o.own <> 'success' THEN 'run_failed'
+                WHEN r.verify_in IS NULL THEN NULL WHEN r.app_id IS NULL THEN 'no_app_id'
+                WHEN r.verify_in = 'spark' AND l.unread THEN 'bad_jobs_reply'
+                WHEN r.verify_in = 'spark' AND l.failed THEN 'bad_job'
+                WHEN r.verify_in = 'yarn' AND f.app_id IS NULL THEN 'no_final_status'
+                WHEN r.verify_in = 'yarn' AND f.final_status <> 'SUCCEEDED' THEN 'bad_final_status' END AS reason
+            FROM settings r JOIN owns o USING (run_id) LEFT JOIN lists l ON r.app_id = l.app_id
+                LEFT JOIN app_final f ON r.app_id = f.app_id),
+        results AS (SELECT *, CASE WHEN own = 'pending' THEN 'pending' WHEN reason IS NULL THEN 'success'
+                ELSE 'failed' END AS outcome FROM reasons),
+        per_run AS (SELECT run_id, count(*) AS n FROM logs GROUP BY 1)
+        SELECT r.run_id, own, outcome, reason,
+            CASE reason WHEN 'bad_job' THEN 'FAILED' WHEN 'bad_final_status' THEN final_status END AS bad_status,
+            CASE WHEN outcome = 'failed' OR coalesce(spill_logs, true) THEN n END AS n_lines
+        FROM results r LEFT JOIN per_run p ON r.run_id = p.run_id""",
     "compact_json": """SELECT p_partkey AS id, '{"file":"' || p_name || '"'
+            || CASE WHEN p_size % 2 = 0 THEN ',"proxyUser":"user-' || p_size || '"' ELSE '' END
             || CASE WHEN p_type <> 'PROMO' THEN ',"className":"' || p_type || '"' ELSE '' END
             || CASE WHEN p_size > 25 THEN ',"args":["' || replace(p_name, ' ', '","') || '"]' ELSE '' END
+            || CASE WHEN p_size % 3 = 0 THEN ',"jars":["' || lower(p_brand) || '.jar"]' ELSE '' END
+            || CASE WHEN p_size % 5 = 0 THEN ',"pyFiles":["' || lower(p_brand) || '.py"]' ELSE '' END
+            || CASE WHEN p_size % 7 = 0 THEN ',"files":["' || lower(p_brand) || '.txt"]' ELSE '' END
+            || CASE WHEN p_size > 30 THEN ',"driverMemory":"' || p_size || 'g"' ELSE '' END
             || CASE WHEN p_size > 20 THEN ',"driverCores":' || (p_size - 20) ELSE '' END
             || CASE WHEN p_size <= 10 THEN ',"executorMemory":"' || p_size || 'g"' ELSE '' END
+            || CASE WHEN p_size > 30 THEN ',"executorCores":' || (p_size - 30) ELSE '' END
+            || CASE WHEN p_size > 40 THEN ',"numExecutors":' || (p_size - 40) ELSE '' END
+            || CASE WHEN p_size % 11 = 0 THEN ',"archives":["' || lower(p_brand) || '.zip"]' ELSE '' END
             || ',"queue":"' || lower(p_brand) || '"'
+            || CASE WHEN p_size % 4 = 0 THEN ',"name":"part ' || p_partkey || '"' ELSE '' END
             || CASE WHEN p_size > 40 THEN ',"conf":{"spark.app.size":"' || p_size || '"}' ELSE '' END
             || '}' AS payload
         FROM part""",
+    "compact_session_json": """SELECT s_suppkey AS id, '{"kind":"' || CASE WHEN s_suppkey % 2 = 0 THEN 'sql'
+                ELSE 'spark' END || '"'
+            || CASE WHEN s_suppkey % 3 <> 0 THEN ',"proxyUser":"' || s_name || '"' ELSE '' END
+            || CASE WHEN s_suppkey % 4 = 0 THEN ',"jars":["a.jar","b.jar"]' ELSE '' END
+            || CASE WHEN s_suppkey % 5 = 0 THEN ',"pyFiles":["a.py"]' ELSE '' END
+            || CASE WHEN s_suppkey % 6 = 0 THEN ',"files":["a.txt"]' ELSE '' END
+            || CASE WHEN s_suppkey % 7 = 0 THEN ',"driverMemory":"2g"' ELSE '' END
+            || CASE WHEN s_suppkey % 8 <> 0 THEN ',"driverCores":' || (s_suppkey % 8) ELSE '' END
+            || CASE WHEN s_suppkey % 9 = 0 THEN ',"executorMemory":"3g"' ELSE '' END
+            || CASE WHEN s_suppkey % 10 <> 0 THEN ',"executorCores":' || (s_suppkey % 10) ELSE '' END
+            || CASE WHEN s_nationkey <> 0 THEN ',"numExecutors":' || s_nationkey ELSE '' END
+            || CASE WHEN s_suppkey % 11 = 0 THEN ',"archives":["a.zip"]' ELSE '' END
+            || CASE WHEN s_suppkey % 12 = 0 THEN ',"queue":"nightly"' ELSE '' END
+            || CASE WHEN s_suppkey % 13 = 0 THEN ',"name":"probe"' ELSE '' END
+            || CASE WHEN s_suppkey % 14 = 0 THEN ',"conf":{"spark.app.key":"' || s_suppkey || '"}' ELSE '' END
+            || CASE WHEN s_suppkey % 15 = 0 AND s_suppkey <> 0
+                THEN ',"heartbeatTimeoutInSecond":' || s_suppkey ELSE '' END
+            || '}' AS payload
+        FROM supplier""",
+    "paginate_full_pages": f"""WITH {LINES}
+        SELECT run_id, (pos // 100) * 100 AS "from", CAST(count(*) AS INTEGER) AS n_lines,
+            string_agg(line, chr(10) ORDER BY pos) AS log_text
+        FROM log_lines GROUP BY 1, 2""",
+    "page_counts_empty_logs": """SELECT o_orderkey AS run_id, count(l_orderkey) AS n_lines,
+            greatest(1, CAST(ceil(count(l_orderkey) / 100) AS BIGINT)) AS n_pages
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
     "paginate_lines": f"""WITH {LINES}
         SELECT run_id, (pos // {SHORT_PAGE}) * {SHORT_PAGE} AS "from", CAST(count(*) AS INTEGER) AS n_lines,
             string_agg(line, chr(10) ORDER BY pos) AS log_text
         FROM log_lines GROUP BY 1, 2""",
-    "page_counts": f"""WITH {LINES}, spoken AS (SELECT run_id, count(*) AS n FROM log_lines
-            WHERE length(line) > 60 GROUP BY 1)
-        SELECT doc_id AS run_id, coalesce(n, 0) AS n_lines,
-            greatest(1, CAST(ceil(coalesce(n, 0) / {SHORT_PAGE}) AS BIGINT)) AS n_pages
-        FROM documents LEFT JOIN spoken ON doc_id = run_id""",
-    "assemble_log_lines": f"""WITH {PAGES}
-        SELECT run_id, f + generate_subscripts(log, 1) - 1 AS pos, unnest(log) AS line
-        FROM pages_cut WHERE total IS NOT NULL""",
-    "log_completeness": f"""WITH {PAGES}, marked AS (SELECT *, f + len(log) AS reach FROM pages_cut)
-        SELECT run_id, count(*) AS n_pages,
-            CAST(coalesce(sum(len(log)) FILTER (WHERE total IS NOT NULL), 0) AS BIGINT) AS n_lines,
-            max(reach) FILTER (WHERE total IS NOT NULL) AS next_from,
-            CASE WHEN bool_or(total IS NULL) THEN 'malformed' WHEN bool_or(reach >= total) THEN 'complete'
-                WHEN bool_or(len(log) = 0) THEN 'stalled' ELSE 'incomplete' END AS status
-        FROM marked GROUP BY run_id""",
+    "page_counts": f"""WITH {LINES}
+        SELECT run_id, count(*) AS n_lines,
+            greatest(1, CAST(ceil(count(*) / {SHORT_PAGE}) AS BIGINT)) AS n_pages
+        FROM log_lines GROUP BY 1""",
+    "assemble_log_lines": f"WITH {LINES} SELECT run_id, pos, line FROM log_lines",
+    "log_completeness": f"""WITH {PAGES}, counts AS (SELECT run_id, count(*) AS n_pages FROM fetched GROUP BY 1),
+        once AS (SELECT DISTINCT run_id, lang, f, total, size FROM fetched),
+        good AS (SELECT run_id, lang, sum(size) AS n_lines, max(total) AS total, max(f) AS last,
+                bool_or(f = {SHORT_PAGE}) AS has_second
+            FROM once WHERE total IS NOT NULL GROUP BY 1, 2)
+        SELECT run_id, n_pages, CAST(n_lines AS BIGINT) AS n_lines,
+            CASE WHEN run_id < 0 AND lang IN ('de', 'fr', 'es') AND total > {SHORT_PAGE} THEN {SHORT_PAGE}
+                ELSE total END AS next_from,
+            CASE WHEN run_id >= 0 OR total <= {SHORT_PAGE} THEN 'complete' WHEN lang = 'de' THEN 'malformed'
+                WHEN lang = 'fr' THEN 'stalled' WHEN lang = 'es' THEN 'incomplete' ELSE 'complete' END AS status
+        FROM good JOIN counts USING (run_id)""",
     "unescape_lines": """SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS pos,
             unnest(ls) AS line
         FROM (SELECT doc_id, string_split("text", chr(10)) AS ls FROM documents)""",
     "html_tag_text": f"""SELECT page_id, {_tag_text('title')} AS title, {_tag_text('p')} AS last_p,
-            {_tag_text('pre')} AS pre
+            {_tag_text('h1')} AS heading
         FROM pages""",
     "stream_first_terminal": f"SELECT * FROM ({FIRST_TERMINAL_ROWS}) WHERE outcome <> 'pending'",
     # A drained stream has seen time pass up to its last whole millisecond.

@@ -9,20 +9,28 @@ from pyspark.sql import functions as F
 
 from runlens.functions.replies import (
     BATCH_FIELDS,
+    SESSION_FIELDS,
     compact_json,
     explode_jobs,
     numeric_id,
     parse_replies,
+    statement_states,
+)
+from runlens.functions.states import (
+    SESSION,
+    STATEMENT_REPLY,
+    classify_batch,
+    classify_session,
+    classify_statement,
 )
-from runlens.functions.states import classify_batch, classify_session, classify_statement
 from runlens.functions.text import path_safe, tag_text
 from runlens.operators import logs, outcome, scripts, verify
 from runlens.operators.join_files import FileInput, JoinJob, join_two_files, preview
 from runlens.operators.validate import split_valid, validate
 from runlens.plans import tables
 from runlens.plans.sql import run_script, run_sql
-from runlens.plans.tables import ddl_of, staged_text, table
-from runlens.session import scratch_path
+from runlens.plans.tables import NTZ_FORMAT, ddl_of, staged_text, table
+from runlens.session import remove_at_end, scratch_path
 from runlens.sources.delimited import read_delimited, register, write_delimited
 from runlens.sources.rows import id_range, literal_column, literal_rows
 from runlens.streaming.outcome import (
@@ -37,9 +45,6 @@ RUN_TIMEOUT_SEC = 12 * 3600
 SAMPLE_PERIOD_SEC = 6 * 3600
 SAMPLE_TIMEOUT_SEC = 10 * 24 * 3600
 
-# Written and read with all digits, so that text keeps the exact time.
-NTZ_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-
 
 # --- delimited files -------------------------------------------------------
 
@@ -50,7 +55,7 @@ def _customer_text(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def _orders_text(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     return staged_text(spark, sf_dir, "orders", orders, "\t", False), ddl_of(orders)
 
 
@@ -66,35 +71,40 @@ def scan_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = _orders_text(spark, sf_dir)
-    return read_delimited(spark, path, infer_schema=True, header="", quote=None)
+    # Inferred times have a zone; the session's is UTC.
+    found = read_delimited(spark, path, infer_schema=True, header="", quote=None)
+    return found.withColumn("_c4", F.col("_c4").cast("timestamp_ntz"))
 
 
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    path = scratch_path(spark, "roundtrip")
+    path = _scratch(spark, "roundtrip")
     write_delimited(orders, None)
     write_delimited(orders, path, header=True, **NTZ_FORMAT)
     return read_delimited(spark, path, ddl_of(orders), header=True, **NTZ_FORMAT)
 
 
 def sink_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    path = scratch_path(spark, "append")
-    write_delimited(orders, path)
-    write_delimited(orders, path, mode="append")
-    return _count_by_status(read_delimited(spark, path, ddl_of(orders), header=False))
+    orders = table(spark, sf_dir, "orders")
+    path = _scratch(spark, "append")
+    write_delimited(orders, path, **NTZ_FORMAT)
+    write_delimited(orders, path, mode="append", **NTZ_FORMAT)
+    both = read_delimited(spark, path, ddl_of(orders), header=False, **NTZ_FORMAT)
+    return both.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def sink_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    path = scratch_path(spark, "ignore")
-    write_delimited(orders, path)
-    write_delimited(orders.withColumn("o_orderstatus", F.lit("X")), path, mode="ignore")
-    return _count_by_status(read_delimited(spark, path, ddl_of(orders), header=False))
+    orders = table(spark, sf_dir, "orders")
+    path = _scratch(spark, "ignore")
+    write_delimited(orders, path, **NTZ_FORMAT)
+    write_delimited(orders.withColumn("o_orderstatus", F.lit("X")), path, mode="ignore", **NTZ_FORMAT)
+    return read_delimited(spark, path, ddl_of(orders), header=False, **NTZ_FORMAT)
 
 
-def _count_by_status(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
+def _scratch(spark: SparkSession, name: str) -> str:
+    path = scratch_path(spark, name)
+    remove_at_end(spark, path)
+    return path
 
 
 # --- joins of delimited files ----------------------------------------------
@@ -220,8 +230,8 @@ def literal_column_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = literal_column(spark, ["click", "purchase", "refund"], "event_type")
     return (
         table(spark, sf_dir, "events")
-        .join(wanted, "event_type", "left_semi")
-        .groupBy("event_type")
+        .join(wanted.withColumn("wanted", F.lit(True)), "event_type", "left")
+        .groupBy("event_type", F.col("wanted").isNotNull().alias("wanted"))
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
 
@@ -279,9 +289,8 @@ def concat_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(table(spark, sf_dir, "customer"), "customer")
     return run_sql(
         spark,
-        "SELECT c_custkey, concat(:greeting, ' in segment ', c_mktsegment, ' - ', c_name) AS message "
-        "FROM customer",
-        args={"greeting": "Hello world"},
+        "SELECT c_custkey, CONCAT(c_name, :gap, c_mktsegment, :unit, c_nationkey) AS label FROM customer",
+        args={"gap": " buys ", "unit": " #"},
     )
 
 
@@ -289,6 +298,22 @@ def path_safe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", path_safe("url").alias("path"))
 
 
+def script_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of a script whose third statement names a column that isn't there."""
+    register(table(spark, sf_dir, "orders"), "orders")
+    run = run_script(
+        spark,
+        [
+            "SELECT count(*) AS n FROM orders",
+            "SELECT o_orderstatus, max(o_totalprice) AS top FROM orders GROUP BY o_orderstatus",
+            "SELECT o_orderkey, no_such_column FROM orders",
+            "SELECT min(o_orderdate) AS first FROM orders",
+        ],
+    )
+    sizes = [(pos, result.count()) for pos, result in enumerate(run.results)]
+    return run.status.join(spark.createDataFrame(sizes, "pos INT, n_rows BIGINT"), "pos", "left")
+
+
 # --- classification and validation ------------------------------------------
 
 
@@ -335,8 +360,8 @@ def run_outcome_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_outcome_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = tables.observations(spark, sf_dir)
-    return outcome.run_outcome_at_deadline(obs, outcome.run_starts(obs), RUN_TIMEOUT_SEC)
+    obs, starts = tables.observations(spark, sf_dir), tables.run_starts(spark, sf_dir)
+    return outcome.run_outcome_at_deadline(obs, starts, RUN_TIMEOUT_SEC)
 
 
 def polls_until_done_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,6 +378,17 @@ def first_nonempty_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.first_nonempty(obs, "app_info.driver_log_url", "driver_log_url")
 
 
+def session_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = tables.session_observations(spark, sf_dir)
+    return outcome.run_outcome(obs, outcome.run_starts(obs), RUN_TIMEOUT_SEC, SESSION)
+
+
+def statement_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of statements from replies; a reply that cannot be read ends one."""
+    obs = statement_states(tables.statement_replies(spark, sf_dir), "body")
+    return outcome.first_terminal(obs, STATEMENT_REPLY)
+
+
 def fail_fast_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scripts.fail_fast(tables.statements(spark, sf_dir)).select("session_id", "pos", "run_class")
 
@@ -447,6 +483,27 @@ def reply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.first_terminal(parsed.select("run_id", "event_id", "ts", state))
 
 
+def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From replies to kept logs: state replies and timeouts, job lists, final statuses, log lines."""
+    replies = parse_replies(tables.responses(spark, sf_dir), "body", {"reported": ("$.state", "string")})
+    obs = replies.select("run_id", "event_id", "ts", F.coalesce("error", "reported").alias("state"))
+    own = outcome.run_outcome(obs, tables.run_starts(spark, sf_dir), RUN_TIMEOUT_SEC)
+    settings = tables.runs(spark, sf_dir).drop("state")
+    runs = settings.join(own.select("run_id", F.col("outcome").alias("own")), "run_id")
+    lists = explode_jobs(tables.job_list_replies(spark, sf_dir), "body")
+    jobs = lists.select(
+        F.col("l_orderkey").alias("app_id"),
+        (F.col("l_linenumber") * 2 + F.coalesce("job_pos", F.lit(0))).alias("ord"),
+        "job_id",
+        "status",
+        "error",
+    )
+    result = verify.reconcile(runs, jobs, tables.app_final(spark, sf_dir))
+    kept = verify.select_logs(result, tables.run_logs(spark, sf_dir))
+    lines = kept.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    return result.join(lines, "run_id", "left").select("run_id", "own", "outcome", "reason", "bad_status", "n_lines")
+
+
 def json_explode_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_jobs(tables.job_list_replies(spark, sf_dir), "body").drop("body")
 
@@ -455,6 +512,10 @@ def compact_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_json(tables.batch_settings(spark, sf_dir), BATCH_FIELDS).select("id", "payload")
 
 
+def compact_session_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_json(tables.session_settings(spark, sf_dir), SESSION_FIELDS).select("id", "payload")
+
+
 # --- logs and pages ----------------------------------------------------------
 
 
@@ -465,18 +526,32 @@ def paginate_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paginate_full_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = logs.paginate_lines(tables.log_lines(spark, sf_dir))
+    return pages.select(
+        "run_id", "from", F.size("log").alias("n_lines"), F.array_join("log", "\n").alias("log_text")
+    )
+
+
 def page_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spoken = tables.log_lines(spark, sf_dir).filter(F.length("line") > 60)
-    runs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("run_id"))
-    return logs.page_counts(spoken, runs, tables.SHORT_PAGE)
+    """Fetches per document, at a short page."""
+    return logs.page_counts(tables.log_lines(spark, sf_dir), size=tables.SHORT_PAGE)
+
+
+def page_counts_empty_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetches per order at full pages; some orders have no line, and so an empty log."""
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"))
+    return logs.page_counts(tables.run_logs(spark, sf_dir), runs)
 
 
 def assemble_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.assemble_pages(tables.log_pages(spark, sf_dir))
+    return logs.assemble_pages(tables.log_pages(spark, sf_dir, logs.PAGE_LINES))
 
 
 def log_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.page_status(tables.log_pages(spark, sf_dir))
+    """Whole logs are complete; damaged copies of them show every other status."""
+    pages = tables.log_pages(spark, sf_dir, tables.SHORT_PAGE)
+    return logs.page_status(tables.damaged_pages(pages, tables.SHORT_PAGE))
 
 
 def unescape_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,7 +566,7 @@ def html_tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id",
         tag_text("html", "title").alias("title"),
         tag_text("html", "p").alias("last_p"),
-        tag_text("html", "pre").alias("pre"),
+        tag_text("html", "h1").alias("heading"),
     )
 
 
@@ -499,9 +574,9 @@ def html_tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_first_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updates = drain(
-        first_terminal_stream(tables.observation_stream(spark, sf_dir)), "update", "first-terminal"
-    )
+    decided = first_terminal_stream(tables.observation_stream(spark, sf_dir))
+    with with_rocksdb(spark):
+        updates = drain(decided, "update", "first-terminal")
     row = F.max_by(F.struct("outcome", "state", "decided_ts", "event_id"), "batch_id").alias("r")
     return (
         updates.groupBy("run_id")
@@ -511,13 +586,15 @@ def stream_first_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    starts = outcome.run_starts(tables.observations(spark, sf_dir)).select(
+    """Four micro-batches; some runs are never seen, all starts are known from the first on."""
+    starts = tables.run_starts(spark, sf_dir).select(
         "run_id", F.col("start_ts").cast("timestamp").alias("start_ts")
     )
-    path = scratch_path(spark, "runs")
-    starts.write.parquet(path)
+    path = _scratch(spark, "starts")
+    starts.coalesce(1).write.parquet(path)
+    started = spark.readStream.schema(starts.schema).parquet(path)
     observed = tables.observation_stream(spark, sf_dir)
-    decided = run_outcome_stream(observed, spark.read.parquet(path), RUN_TIMEOUT_SEC)
+    decided = run_outcome_stream(observed, started, RUN_TIMEOUT_SEC)
     with with_rocksdb(spark):
         reported = drain(decided, "append", "run-outcome")
     return reported.select(
@@ -544,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_over_views": sql_over_views,
     "sql_params": sql_params,
     "sql_script": sql_script,
+    "script_status": script_status,
     "concat_params": concat_params,
     "path_safe": path_safe_query,
     "classify_batch": classify_batch_query,
@@ -557,6 +635,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_outcome_deadline": run_outcome_deadline,
     "polls_until_done": polls_until_done_query,
     "first_nonempty": first_nonempty_query,
+    "session_outcome": session_outcome,
+    "statement_outcome": statement_outcome,
     "fail_fast_prefix": fail_fast_prefix,
     "script_summary": script_summary_query,
     "verify_jobs": verify_jobs_query,
@@ -570,10 +650,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_error_class": json_error_class,
     "json_numeric_id": json_numeric_id,
     "reply_outcomes": reply_outcomes,
+    "end_to_end": end_to_end,
     "json_explode_jobs": json_explode_jobs,
     "compact_json": compact_json_query,
+    "compact_session_json": compact_session_json,
     "paginate_lines": paginate_lines_query,
+    "paginate_full_pages": paginate_full_pages,
     "page_counts": page_counts_query,
+    "page_counts_empty_logs": page_counts_empty_logs,
     "assemble_log_lines": assemble_log_lines,
     "log_completeness": log_completeness,
     "unescape_lines": unescape_lines_query,

@@ -38,7 +38,8 @@ class ScriptRun:
 
     @property
     def last(self) -> DataFrame | None:
-        return self.results[-1]
+        """Result of the last statement that ran; None if the first one failed."""
+        return self.results[-1] if self.results else None
 
 
 def run_script(

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.text import quote_name
-from runlens.session import scratch_path
+from runlens.session import remove_at_end, scratch_path
 from runlens.sources.delimited import write_delimited
 
 # Rows of one log page where whole logs are short.
 SHORT_PAGE = 10
 
+# Written and read with all digits, so that text keeps the exact time.
+NTZ_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 _staged: dict[tuple, str] = {}
 
 
@@ -26,7 +29,8 @@ def staged_text(
     key = (spark.sparkContext.applicationId, sf_dir, name, sep, header)
     if key not in _staged:
         path = scratch_path(spark, f"text-{name}")
-        write_delimited(df, path, sep, header)
+        write_delimited(df, path, sep, header, **NTZ_FORMAT)
+        remove_at_end(spark, path)
         _staged[key] = path
     return _staged[key]
 
@@ -58,17 +62,37 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same observations as a stream of files."""
-    schema = table(spark, sf_dir, "events").schema
-    # The star lets a single file and a folder of files be read alike.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    return events.select(
+def observation_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """The same observations as a stream of `batches` micro-batches, in order of time."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    path = scratch_path(spark, "observations")
+    remove_at_end(spark, path)
+    observed = events.select(
         "event_id",
         F.col("user_id").alias("run_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         event_state().alias("state"),
     )
+    step = (last - first) / batches if first else None
+    for i in range(batches if first else 1):
+        part = observed
+        if first and i:
+            part = part.filter(F.col("ts") >= F.lit(first + i * step).cast("timestamp"))
+        if first and i < batches - 1:
+            part = part.filter(F.col("ts") < F.lit(first + (i + 1) * step).cast("timestamp"))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(observed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, start_ts): users start with their first event, customers without any with the first of all."""
+    events = table(spark, sf_dir, "events")
+    seen = events.filter("user_id IS NOT NULL").groupBy(F.col("user_id").alias("run_id"))
+    seen = seen.agg(F.min("ts").alias("start_ts"))
+    silent = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id")).distinct()
+    silent = silent.join(seen, "run_id", "left_anti").join(events.agg(F.min("ts").alias("start_ts")))
+    return seen.unionByName(silent)
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +150,10 @@ def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies made from event properties, most kinds of event damaged in one way."""
+    """Replies made from event properties, most kinds of event damaged in one way.
+
+    Some hold a second value, or more members, behind the first.
+    """
     kind, props = F.col("event_type"), F.col("props")
     state = F.concat(
         F.lit('{"id": '), F.col("event_id"), F.lit(', "state": "running", "appId": null, "props": '),
@@ -142,14 +169,16 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "click", state)
         .when(kind == "signup", quoted)
         .when(kind == "purchase", F.concat(F.lit("["), props, F.lit("]")))
-        .when(kind == "error", F.concat(props, F.lit("}")))
+        .when((kind == "error") & (F.col("event_id") % 3 == 0), F.concat(props, F.lit("}")))
+        .when((kind == "error") & (F.col("event_id") % 3 == 1), F.concat(props, F.lit(',"x":'), props))
+        .when(kind == "error", F.concat(props, F.lit("],[0,"), props))
         .otherwise(props)
         .alias("body"),
     )
 
 
 def job_list_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job lists of up to two jobs, some cut short, some not a list, some incomplete."""
+    """Job lists of up to two jobs: some cut short, no list, incomplete, or with text behind."""
     flag = F.col("l_returnflag")
     first = F.concat(F.lit('{"jobId": '), F.col("l_linenumber"), F.lit(', "status": "SUCCEEDED"}'))
     second = F.concat(F.lit('{"jobId": '), F.col("l_partkey"), F.lit(', "status": "FAILED"}'))
@@ -162,7 +191,8 @@ def job_list_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((flag == "N") & (status == "O"), F.concat(F.lit("["), first, F.lit(", "), nameless, F.lit("]")))
         .when((flag == "N") & (status == "F"), F.lit("[]"))
         .when((flag == "R") & (status == "O"), first)
-        .otherwise(F.concat(F.lit("["), first, F.lit(",")))
+        .when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("["), first, F.lit(",")))
+        .otherwise(F.concat(F.lit("["), first, F.lit('],"x":['), second, F.lit("]")))
     )
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", body.alias("body"))
 
@@ -176,8 +206,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_pages(spark: SparkSession, sf_dir: str, size: int = SHORT_PAGE) -> DataFrame:
-    """Pages of the same logs; some languages lack totals, lines, or later pages."""
+def log_pages(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Pages of the same logs, with the language."""
     docs = table(spark, sf_dir, "documents")
     lines = docs.select(
         F.col("doc_id").alias("run_id"), "lang", F.split("text", "\n").alias("lines")
@@ -189,16 +219,32 @@ def log_pages(spark: SparkSession, sf_dir: str, size: int = SHORT_PAGE) -> DataF
         "lines",
         F.explode(F.expr(f"sequence(0, n - 1, {size})")).alias("from"),
     )
-    lang, late = F.col("lang"), F.col("from") > 0
-    log = F.slice("lines", F.col("from") + 1, F.lit(size))
-    return pages.filter(~((lang == "es") & late)).select(
+    return pages.select(
         "run_id",
+        "lang",
         F.col("from").cast("bigint").alias("from"),
-        F.when(~((lang == "de") & late), F.col("n")).cast("bigint").alias("total"),
-        F.when((lang == "fr") & late, F.array().cast("array<string>")).otherwise(log).alias("log"),
+        F.col("n").cast("bigint").alias("total"),
+        F.slice("lines", F.col("from") + 1, F.lit(size)).alias("log"),
     )
 
 
+def damaged_pages(pages: DataFrame, size: int) -> DataFrame:
+    """The pages, and copies of them as runs of their own (-1 - run_id) that are damaged.
+
+    Of the copies some languages lack totals or lines on later pages, some the second
+    page, and English ones have every page twice.
+    """
+    lang, late = F.col("lang"), F.col("from") > 0
+    copies = pages.filter(~((lang == "es") & (F.col("from") == size))).select(
+        (-1 - F.col("run_id")).alias("run_id"),
+        "lang",
+        "from",
+        F.when(~((lang == "de") & late), F.col("total")).alias("total"),
+        F.when((lang == "fr") & late, F.array().cast("array<string>")).otherwise(F.col("log")).alias("log"),
+    )
+    return pages.unionByName(copies).unionByName(copies.filter(lang == "en"))
+
+
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per conversation, one statement per turn."""
     size = F.length("text")
@@ -228,17 +274,77 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Submission records with some fields empty."""
+    """Submission records of all fields, some of them empty."""
     size = F.col("p_size")
+    name = F.lower("p_brand")
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("file"),
         F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_type")).alias("class_name"),
         F.when(size > 25, F.split("p_name", " ")).otherwise(F.array().cast("array<string>")).alias("arguments"),
+        F.when(size % 2 == 0, F.concat(F.lit("user-"), size)).alias("proxy_user"),
+        F.when(size % 3 == 0, F.array(F.concat(name, F.lit(".jar")))).alias("jars"),
+        F.when(size % 5 == 0, F.array(F.concat(name, F.lit(".py")))).alias("py_files"),
+        F.when(size % 7 == 0, F.array(F.concat(name, F.lit(".txt")))).alias("files"),
+        F.when(size % 11 == 0, F.array(F.concat(name, F.lit(".zip")))).alias("archives"),
+        F.when(size > 30, F.concat(size, F.lit("g"))).otherwise(F.lit("")).alias("driver_memory"),
         F.greatest(F.lit(0), size - 20).alias("driver_cores"),
+        F.greatest(F.lit(0), size - 30).alias("executor_cores"),
+        F.greatest(F.lit(0), size - 40).alias("num_executors"),
+        F.when(size % 4 == 0, F.concat(F.lit("part "), F.col("p_partkey"))).alias("name"),
         F.when(size <= 10, F.concat(size.cast("string"), F.lit("g"))).alias("executor_memory"),
         F.lower("p_brand").alias("queue"),
         F.when(size > 40, F.create_map(F.lit("spark.app.size"), size.cast("string")))
         .otherwise(F.create_map().cast("map<string,string>"))
         .alias("conf"),
     )
+
+
+def session_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session records from suppliers, some fields empty."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("id"),
+        F.when(key % 2 == 0, "sql").otherwise("spark").alias("kind"),
+        F.when(key % 3 == 0, "").otherwise(F.col("s_name")).alias("proxy_user"),
+        F.when(key % 4 == 0, F.array(F.lit("a.jar"), F.lit("b.jar"))).alias("jars"),
+        F.when(key % 5 == 0, F.array(F.lit("a.py"))).otherwise(F.array().cast("array<string>")).alias("py_files"),
+        F.when(key % 6 == 0, F.array(F.lit("a.txt"))).alias("files"),
+        F.when(key % 7 == 0, F.lit("2g")).alias("driver_memory"),
+        (key % 8).alias("driver_cores"),
+        F.when(key % 9 == 0, F.lit("3g")).alias("executor_memory"),
+        (key % 10).alias("executor_cores"),
+        nation.alias("num_executors"),
+        F.when(key % 11 == 0, F.array(F.lit("a.zip"))).alias("archives"),
+        F.when(key % 12 == 0, F.lit("nightly")).alias("yarn_queue"),
+        F.when(key % 13 == 0, F.lit("probe")).alias("name"),
+        F.when(key % 14 == 0, F.create_map(F.lit("spark.app.key"), key.cast("string"))).alias("conf"),
+        F.when(key % 15 == 0, key).alias("heartbeat_timeout"),
+    )
+
+
+def session_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as states a session was seen in while it started."""
+    kind = F.col("event_type")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("user_id").alias("run_id"),
+        "ts",
+        F.when(kind.isin("view", "click", "signup"), "starting").when(kind == "purchase", "idle").otherwise(kind).alias("state"),
+    )
+
+
+def statement_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies about statements, one statement per user; some without a status, or with a null one."""
+    kind = F.col("event_type")
+    body = (
+        F.when(kind == "view", '{"state": "waiting"}')
+        .when(kind == "click", '{"state": "running", "output": null}')
+        .when(kind == "signup", '{"state": "available", "output": {"status": "ok"}}')
+        .when((kind == "purchase") & (F.col("event_id") % 2 == 0), '{"state": "available", "output": {}}')
+        .when(kind == "purchase", '{"state": "available", "output": {"status": null}}')
+        .otherwise('{"state": "available", "output": {"status": "error"}')
+    )
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("run_id"), "ts", body.alias("body")
+    )

@@ -29,6 +29,12 @@ def build_session(app_name: str = "runlens", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have the folder at `path` removed when the application ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by `spark.checkpoint.dir`.
 

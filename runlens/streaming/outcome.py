@@ -1,6 +1,6 @@
 """Run outcomes over a stream of observations.
 
-The stream has rows (run_id, event_id, ts TIMESTAMP, state); the runs, a table, have
+The stream has rows (run_id, event_id, ts TIMESTAMP, state); the starts, a stream as well,
 (run_id, start_ts TIMESTAMP), where start_ts is the time the run was submitted.
 """
 
@@ -13,33 +13,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from runlens.functions.states import classify_batch
-from runlens.operators.outcome import MICROS, is_terminal
+from runlens.functions.states import BATCH, Rule
+from runlens.operators.outcome import MICROS
 from runlens.operators.validate import DEFAULT_TIMEOUT_SEC
-from runlens.session import scratch_path
+from runlens.session import remove_at_end, scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
-def first_terminal_stream(stream: DataFrame, delay: str = "0 seconds") -> DataFrame:
+def first_terminal_stream(stream: DataFrame, rule: Rule = BATCH) -> DataFrame:
     """First terminal observation per run, updated as observations arrive.
 
-    A plain streaming aggregate: rows of a run are reduced before the shuffle, and
-    the state is one row per run. Nothing bounds how late an earlier observation of a
+    A plain streaming aggregate over the observations that can decide a run: they are
+    reduced before the shuffle, and the state is one row per decided run; runs without a
+    terminal observation take none. Nothing bounds how late an earlier observation of a
     run may come, so that row is kept for good; `run_outcome_stream` lets go of runs.
-    Use output mode update, where the latest row of a run replaces earlier ones.
+    Use output mode update, where the latest row of a run replaces earlier ones, and
+    `with_rocksdb`, which keeps the state on disk.
     """
-    found = F.min(F.when(is_terminal(), F.struct("ts", "event_id", "state")))
+    found = F.min(F.struct("ts", "event_id", *rule.columns))
     return (
-        stream.filter(F.col("run_id").isNotNull())
-        .withWatermark("ts", delay)
+        stream.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull() & rule.ends())
         .groupBy("run_id")
         .agg(found.alias("first"))
-        .filter("first IS NOT NULL")
         .select(
             "run_id",
-            classify_batch("first.state").alias("outcome"),
+            rule("first").alias("outcome"),
             F.col("first.state").alias("state"),
             F.col("first.ts").alias("decided_ts"),
             F.col("first.event_id").alias("event_id"),
@@ -48,25 +48,28 @@ def first_terminal_stream(stream: DataFrame, delay: str = "0 seconds") -> DataFr
 
 
 def _thin_out():
-    """Keep, per run and Arrow batch, the first terminal row and the latest row.
+    """Keep, per run and Arrow batch, the start, the first terminal row and the latest row.
 
-    The first is the only one that can decide the run, the latest moves the watermark
-    on; so a run with very many rows sends a few of them to the task that keeps its
-    state. Defined inside a function so that executors need no copy of this package.
+    The start sets the deadline, the first terminal row is the only one that can decide
+    the run, the latest moves the watermark on; so a run with very many rows sends a few
+    of them to the task that keeps its state. Defined inside a function so that executors
+    need no copy of this package.
     """
 
     def thin_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             ordered = rows.sort_values(["ts_us", "event_id"])
+            start = ordered[ordered["starts"]].drop_duplicates("run_id", keep="first")
             first = ordered[ordered["terminal"]].drop_duplicates("run_id", keep="first")
             last = ordered.drop_duplicates("run_id", keep="last")
-            yield pd.concat([first, last[~last.index.isin(first.index)]])
+            kept = start.index.union(first.index).union(last.index)
+            yield rows.loc[kept]
 
     return thin_out
 
 
-def _outcome_processor(output_columns: list[str]) -> StatefulProcessor:
-    """Per run: wait for a terminal row or the deadline, report once, then forget."""
+def _outcome_processor(output_columns: list[str], timeout_us: int) -> StatefulProcessor:
+    """Per run: learn its start, wait for a terminal row or the deadline, report once, forget."""
 
     class OutcomeProcessor(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
@@ -74,19 +77,20 @@ def _outcome_processor(output_columns: list[str]) -> StatefulProcessor:
             self.run = handle.getValueState(
                 "run",
                 "deadline_us BIGINT, first_us BIGINT, first_id BIGINT, "
-                "state STRING, outcome STRING, reported BOOLEAN",
+                "state STRING, outcome STRING, reported BOOLEAN, timer_ms BIGINT",
             )
 
         def handleInputRows(self, key, rows, timerValues):
             # The watermark has whole milliseconds; timers round up to the next one.
             watermark_ms = timerValues.getCurrentWatermarkInMs()
-            known = self.run.get() if self.run.exists() else None
-            deadline_us, first_us, first_id, state, outcome, reported = known or (None,) * 5 + (False,)
-            before = (first_us, first_id)
+            known = self.run.get() if self.run.exists() else (None,) * 5 + (False, None)
+            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known
             for batch in rows:
-                if deadline_us is None:
-                    deadline_us = int(batch["deadline_us"].min())
-                deciding = batch[batch["decides"]]
+                starts = batch[batch["starts"]]
+                if len(starts):
+                    found = int(starts["ts_us"].min()) + timeout_us
+                    deadline_us = found if deadline_us is None else min(deadline_us, found)
+                deciding = batch[batch["terminal"]]
                 if not len(deciding):
                     continue
                 best = deciding.sort_values(["ts_us", "event_id"]).iloc[0]
@@ -95,37 +99,48 @@ def _outcome_processor(output_columns: list[str]) -> StatefulProcessor:
                     first_us, first_id = found
                     state = None if pd.isna(best["state"]) else str(best["state"])
                     outcome = str(best["outcome"])
-            deadline_ms = -(-deadline_us // 1000)
-            # Rows of a run that is over, or was reported, change nothing any more.
-            if reported or watermark_ms >= deadline_ms:
+            if reported:
+                return  # nothing changes a run that was reported
+            if deadline_us is None:
+                # No start yet: the row waits with its run for it.
+                self.run.update((None, first_us, first_id, state, outcome, False, None))
                 return
-            if known is None:
-                self.handle.registerTimer(deadline_ms)
-            if (first_us, first_id) != before:
-                if before[0] is not None and -(-before[0] // 1000) != deadline_ms:
-                    self.handle.deleteTimer(-(-before[0] // 1000))
-                self.handle.registerTimer(-(-first_us // 1000))
-            self.run.update((deadline_us, first_us, first_id, state, outcome, False))
-            return
-            yield  # makes this a generator, as Spark expects
+            due_us = deadline_us if first_us is None else min(first_us, deadline_us)
+            due_ms = -(-due_us // 1000)
+            if due_ms <= watermark_ms:  # a start or row that comes after its time
+                yield self.report(key, deadline_us, first_us, outcome, state)
+                self.keep_until_deadline(deadline_us, watermark_ms, timer_ms)
+                return
+            if timer_ms != due_ms:
+                if timer_ms is not None:
+                    self.handle.deleteTimer(timer_ms)
+                self.handle.registerTimer(due_ms)
+            self.run.update((deadline_us, first_us, first_id, state, outcome, False, due_ms))
+
+        def report(self, key, deadline_us, first_us, outcome, state):
+            in_time = first_us is not None and first_us <= deadline_us
+            row = (key[0], outcome, first_us, state) if in_time else (key[0], "timeout", deadline_us, None)
+            return pd.DataFrame([row], columns=output_columns)
+
+        def keep_until_deadline(self, deadline_us, now_ms, timer_ms):
+            """A reported run is remembered for as long as its rows may still come."""
+            if timer_ms is not None and timer_ms > now_ms:
+                self.handle.deleteTimer(timer_ms)
+            forget_ms = max(-(-deadline_us // 1000), now_ms) + timeout_us // 1000 + 1
+            self.handle.registerTimer(forget_ms)
+            self.run.update((deadline_us, None, None, None, None, True, forget_ms))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             if not self.run.exists():
                 return
-            deadline_us, first_us, first_id, state, outcome, reported = self.run.get()
-            at_deadline = expiredTimerInfo.getExpiryTimeInMs() >= -(-deadline_us // 1000)
-            if not reported:
-                row = (
-                    (key[0], "timeout", deadline_us, None)
-                    if first_us is None
-                    else (key[0], outcome, first_us, state)
-                )
-                yield pd.DataFrame([row], columns=output_columns)
-            if at_deadline:
+            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = self.run.get()
+            if expiredTimerInfo.getExpiryTimeInMs() != timer_ms:
+                return  # an earlier timer, due in the same batch as rows that changed it
+            if reported:
                 self.run.clear()
-            else:
-                # Kept until the deadline, so that later rows are seen as such.
-                self.run.update((deadline_us, first_us, first_id, state, outcome, True))
+                return
+            yield self.report(key, deadline_us, first_us, outcome, state)
+            self.keep_until_deadline(deadline_us, expiredTimerInfo.getExpiryTimeInMs(), None)
 
         def close(self) -> None:
             pass
@@ -135,49 +150,50 @@ def _outcome_processor(output_columns: list[str]) -> StatefulProcessor:
 
 def run_outcome_stream(
     stream: DataFrame,
-    runs: DataFrame,
+    starts: DataFrame,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
     delay: str = "0 seconds",
+    rule: Rule = BATCH,
 ) -> DataFrame:
-    """success / failed / timeout per run, each run reported once (append mode).
+    """The deciding class or timeout per run, each run reported once (append mode).
 
-    A run is reported when the watermark passes its first terminal observation, or
-    its deadline start_ts + `timeout_sec` if none came by then; observations after
-    that are ignored, and the run's state is dropped at the deadline. Agrees with
-    `run_outcome_at_deadline`. Start the query with `with_rocksdb`.
+    `starts` is a stream too, of (run_id, start_ts): a start is one more event of its run,
+    so runs that are never observed are reported as well, and nothing is joined. A run is
+    reported when the watermark passes its first terminal observation, or its deadline
+    start_ts + `timeout_sec` if none came by then; at once if its start arrives after
+    that. Observations of a reported run are ignored, and the run is forgotten one
+    timeout after its deadline. Rows that come before their run's start wait for it.
+    Agrees with `run_outcome_at_deadline`. Start the query with `with_rocksdb`.
 
-    `runs` is read again for every micro-batch, so pass a stored table. The rows of
-    a run are thinned out before they are joined to it and shuffled.
+    The rows of a run are thinned out before they are shuffled.
     """
-    observed = stream.filter(F.col("run_id").isNotNull()).select(
-        "run_id",
-        "event_id",
-        "ts",
-        "state",
+    observed = stream.select(
+        "run_id", "event_id", "ts", "state",
         F.unix_micros("ts").alias("ts_us"),
-        is_terminal().alias("terminal"),
-    )
-    deadline_us = F.unix_micros("start_ts") + F.lit(timeout_sec * MICROS)
-    timed = (
-        observed.mapInPandas(_thin_out(), observed.schema)
-        .withWatermark("ts", delay)
-        .join(runs.select("run_id", "start_ts"), "run_id")
-        .select(
-            "run_id",
-            "event_id",
-            "ts",
-            "ts_us",
-            "state",
-            classify_batch("state").alias("outcome"),
-            deadline_us.alias("deadline_us"),
-            (F.col("terminal") & (F.col("ts_us") <= deadline_us)).alias("decides"),
-        )
+        rule().alias("outcome"),
+        rule.ends().alias("terminal"),
+        F.lit(False).alias("starts"),
+    )
+    started = starts.select(
+        "run_id",
+        F.lit(-1).cast("long").alias("event_id"),
+        F.lit(None).cast("timestamp").alias("ts"),
+        F.lit(None).cast("string").alias("state"),
+        F.unix_micros("start_ts").alias("ts_us"),
+        F.lit(None).cast("string").alias("outcome"),
+        F.lit(False).alias("terminal"),
+        F.lit(True).alias("starts"),
     )
+    events = observed.unionByName(started)
+    events = events.filter(F.col("run_id").isNotNull() & F.col("ts_us").isNotNull())
+    # Starts have no time of their own in `ts`: they don't move the watermark, and are
+    # not dropped as late, since a late start still wants its report.
+    timed = events.mapInPandas(_thin_out(), events.schema).withWatermark("ts", delay)
     columns = ["run_id", "outcome", "decided_us", "state"]
     return (
         timed.groupBy("run_id")
         .transformWithStateInPandas(
-            statefulProcessor=_outcome_processor(columns),
+            statefulProcessor=_outcome_processor(columns, timeout_sec * MICROS),
             outputStructType="run_id BIGINT, outcome STRING, decided_us BIGINT, state STRING",
             outputMode="Append",
             timeMode="eventTime",
@@ -209,10 +225,13 @@ def drain(result: DataFrame, mode: str, name: str) -> DataFrame:
     """Process everything there is now into a table, and return it.
 
     Each micro-batch overwrites its own folder, so one that is repeated after a
-    failure does not double its rows. Adds `batch_id`.
+    failure does not double its rows. Adds `batch_id`. The table stays until the
+    application ends.
     """
     spark = result.sparkSession
-    table = scratch_path(spark, name)
+    table, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+    remove_at_end(spark, table)
+    remove_at_end(spark, state)
     spark.createDataFrame([], result.schema).write.parquet(f"{table}/batch_id=-1")
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -221,7 +240,7 @@ def drain(result: DataFrame, mode: str, name: str) -> DataFrame:
     query = (
         result.writeStream.foreachBatch(save)
         .outputMode(mode)
-        .option("checkpointLocation", scratch_path(spark, f"{name}-state"))
+        .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
     )

@@ -93,8 +93,8 @@ def test_save_modes(spark, tmp_path):
 def test_literals_and_range(spark):
     assert id_range(spark, 5).count() == 5
     assert rows(id_range(spark, 2, 4)) == [(2,), (3,)]
-    df = literal_rows(spark, [("One", 1), ("Two", 2)], ["Hello world", "run:1"], ["STRING", "INT"])
-    assert df.columns == ["Hello world", "run:1"]
-    assert rows(df) == [("One", 1), ("Two", 2)]
+    df = literal_rows(spark, [("left", 4), ("right", 9)], ["which side", "run:7"], ["STRING", "INT"])
+    assert df.columns == ["which side", "run:7"]
+    assert rows(df) == [("left", 4), ("right", 9)]
     assert rows(literal_column(spark, ["a", "b"], "c")) == [("a",), ("b",)]
-    assert df.agg(F.sum("`run:1`")).first()[0] == 3
+    assert df.agg(F.sum("`run:7`")).first()[0] == 13

@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from runlens.functions.replies import statement_states
+from runlens.functions.states import SESSION, STATEMENT_REPLY
 from runlens.operators import outcome
 from runlens.operators.skew import hot_keys, split_join
 from tests.conftest import rows
@@ -13,8 +15,8 @@ from tests.conftest import rows
 T0 = datetime(2024, 1, 1)
 PENDING = ["not_started", "starting", "running", "busy"]
 # Tiny thresholds, so that the small tables of a test have hot keys.
-SPLIT = {"hot_share": 0.02, "min_hot_rows": 2}
-PLAIN = {"hot_share": 1.0, "min_hot_rows": 10**9}
+SPLIT = {"hot_part": 0.08, "min_hot_rows": 2}
+PLAIN = {"hot_part": 1.0, "min_hot_rows": 10**9}
 
 
 def kind(state):
@@ -172,13 +174,14 @@ def test_hot_keys_are_found(spark):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id"
     )
-    assert rows(hot_keys(df, "k", 0.01, 10)) == [(-1,)]
+    # A third of the rows, at 30000 * 0.04 / 4 rows for each salt.
+    assert rows(hot_keys(df, "k", 0.04, 10)) == [(-1, 34)]
     assert hot_keys(df, "k").count() == 0
-    assert hot_keys(df.filter("id < 0"), "k", 0.01, 10).count() == 0
+    assert hot_keys(df.filter("id < 0"), "k", 0.04, 10).count() == 0
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("sizes", [PLAIN, {"hot_share": 0.01, "min_hot_rows": 5}], ids=["plain", "split"])
+@pytest.mark.parametrize("sizes", [PLAIN, {"hot_part": 0.04, "min_hot_rows": 5}], ids=["plain", "split"])
 def test_split_join_equals_plain_join(spark, how, sizes):
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1))
@@ -208,17 +211,62 @@ def test_no_task_gets_all_rows_of_a_hot_or_null_key(spark):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        joined = split_join(*hot_and_null_keys(spark), "k", "left", 0.01, 5)
+        joined = split_join(*hot_and_null_keys(spark), "k", "left", 0.04, 5)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 30000 and max(sizes) < 30000 * 0.15
+        assert sum(sizes) == 30000 and max(sizes) < 30000 * 0.4
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (") <= 4  # two of the rows, one of the other side and one to find hot keys again
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
 
 
-def test_without_hot_keys_a_plain_join_is_left(spark):
-    joined = split_join(*hot_and_null_keys(spark), "k", "inner")
-    joined.collect()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    final = plan[: plan.index("== Initial Plan ==")]
-    assert plan.count("Join") > 3 and final.count("Join") == 1 and "Union" not in final
+def test_many_keys_just_under_a_tasks_share(spark):
+    """Keys with a tenth of the rows each, fewer than a task's share of a quarter."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    left = spark.range(30000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    right = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = split_join(left, right, "k", "inner", 0.1, 5)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30000 and max(sizes) < 2 * 30000 / 4
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_rows_without_time_or_run_count_for_nothing(spark):
+    obs = [(1, 1, None, "error"), (2, 1, T0, "success"), (3, None, T0, "dead"), (4, 2, None, "success")]
+    df, starts = frames(spark, obs)
+    assert [(r.run_id, r.outcome) for r in outcome.first_terminal(df).orderBy("run_id").collect()] == [
+        (1, "success"), (2, "pending"),
+    ]
+    assert rows(outcome.polls_until_done(df)) == [(1, 1, True)]
+    found = outcome.run_outcome(df, starts.filter("start_ts IS NOT NULL"), 60)
+    assert [(r.run_id, r.outcome) for r in found.collect()] == [(1, "success")]
+
+
+def test_rules_of_sessions_and_statements(spark):
+    seen = [(1, 1, T0, "starting"), (2, 1, T0 + timedelta(seconds=5), "idle"), (3, 2, T0, "starting")]
+    df, starts = frames(spark, seen + [(4, 2, T0 + timedelta(seconds=90), "starting")])
+    found = outcome.run_outcome(df, starts, 60, SESSION)
+    assert [r.outcome for r in found.orderBy("run_id").collect()] == ["ready", "timeout"]
+    assert [r.outcome for r in outcome.first_terminal(df).orderBy("run_id").collect()] == ["pending"] * 2
+    replies = spark.createDataFrame(
+        [
+            (1, 1, T0, '{"state": "waiting"}'),
+            (2, 1, T0, '{"state": "available", "output": {"status": "ok"}}'),
+            (3, 2, T0, '{"state": "available", "output": {"result": 1}}'),
+            (4, 3, T0, '{"state": "available", "output": {"status": null}}'),
+            (5, 4, T0, '{"state": "running", "output": null}'),
+            (6, 5, T0, '{"state": "paused"}'),
+        ],
+        "event_id BIGINT, run_id BIGINT, ts TIMESTAMP_NTZ, body STRING",
+    )
+    found = outcome.first_terminal(statement_states(replies, "body"), STATEMENT_REPLY)
+    assert [r.outcome for r in found.orderBy("run_id").collect()] == [
+        "success", "malformed", "failed", "pending", "failed",
+    ]

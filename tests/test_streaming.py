@@ -44,15 +44,16 @@ def stream_of(spark, path, obs, files):
     )
 
 
-def starts_of(spark, obs, path):
-    outcome.run_starts(spark.createDataFrame(obs, SCHEMA)).write.parquet(str(path))
-    return spark.read.parquet(str(path))
+def starts_of(spark, runs, path):
+    """(run_id, start_ts) as a table and as a stream."""
+    runs.coalesce(1).write.parquet(str(path))
+    return spark.read.parquet(str(path)), spark.readStream.schema(runs.schema).parquet(str(path))
 
 
 @pytest.mark.parametrize("files", [1, 4])
 def test_first_terminal_stream_equals_batch(spark, tmp_path, files):
     obs = observe(1)
-    updates = drain(first_terminal_stream(stream_of(spark, tmp_path / "in", obs, files), "1 hour"), "update", "t1")
+    updates = drain(first_terminal_stream(stream_of(spark, tmp_path / "in", obs, files)), "update", "t1")
     last = F.max_by(F.struct("outcome", "state", "decided_ts", "event_id"), "batch_id").alias("r")
     found = updates.groupBy("run_id").agg(last).select("run_id", "r.*")
     batch = outcome.first_terminal(spark.createDataFrame(obs, SCHEMA)).filter("outcome <> 'pending'")
@@ -64,13 +65,16 @@ def test_run_outcome_stream_equals_batch(spark, tmp_path, files, shuffled, delay
     obs, timeout = observe(2), 90
     # A late last row moves the watermark past every deadline.
     obs.append((10_000, 99, T0 + timedelta(days=1), "running"))
-    runs = starts_of(spark, obs, tmp_path / "runs")
+    # Run 50 is never observed.
+    runs = outcome.run_starts(spark.createDataFrame(obs, SCHEMA))
+    runs = runs.union(spark.createDataFrame([(50, T0)], "run_id BIGINT, start_ts TIMESTAMP"))
+    runs, started = starts_of(spark, runs, tmp_path / "runs")
     if shuffled:
         head = obs[:-1]
         random.Random(3).shuffle(head)
         obs = head + obs[-1:]
     with with_rocksdb(spark):
-        result = run_outcome_stream(stream_of(spark, tmp_path / "in", obs, files), runs, timeout, delay)
+        result = run_outcome_stream(stream_of(spark, tmp_path / "in", obs, files), started, timeout, delay)
         found = drain(result, "append", "t2").drop("batch_id").filter("run_id <> 99")
     batch = outcome.run_outcome_at_deadline(spark.createDataFrame(obs, SCHEMA), runs, timeout)
     batch = batch.filter("run_id <> 99")
@@ -94,12 +98,19 @@ def test_late_rows_and_silence(spark, tmp_path):
         part, obs = obs[:n], obs[n:]
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(path))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(path))
-    starts = [(1, T0), (2, T0), (3, T0)]
-    runs = spark.createDataFrame(starts, "run_id BIGINT, start_ts TIMESTAMP")
+    # Run 4 is never seen, and the starts of runs 5 and 6 come after their deadlines, which
+    # is too late for the success of run 6 to be waited for but not for its report.
+    starts = [[(1, T0), (2, T0), (3, T0), (4, T0)], [(7, at(35))], [(5, T0), (6, at(1))]]
+    for part in starts:
+        made = spark.createDataFrame(part, "run_id BIGINT, start_ts TIMESTAMP")
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "starts"))
+    started = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "starts"))
     with with_rocksdb(spark):
-        found = drain(run_outcome_stream(stream, runs, 30), "append", "t3").drop("batch_id")
+        found = drain(run_outcome_stream(stream, started, 30), "append", "t3").drop("batch_id")
     assert rows(found) == [
         (1, "success", at(20), "success"), (2, "timeout", at(30), None), (3, "timeout", at(30), None),
+        (4, "timeout", at(30), None), (5, "timeout", at(30), None), (6, "timeout", at(31), None),
+        (7, "timeout", at(65), None),
     ]
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from runlens.operators import scripts, verify
 from tests.conftest import rows
 
-SPLIT = {"hot_share": 0.02, "min_hot_rows": 2}
-PLAIN = {"hot_share": 1.0, "min_hot_rows": 10**9}
+SPLIT = {"hot_part": 0.08, "min_hot_rows": 2}
+PLAIN = {"hot_part": 1.0, "min_hot_rows": 10**9}
 BOTH = pytest.mark.parametrize("sizes", [PLAIN, SPLIT], ids=["plain", "split"])
 
 RUNS = [
