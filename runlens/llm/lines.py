@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,8 @@ EDITS = 2
 LEAST_CHARS = 24
 # Classes that characters are counted in, for a quick bound on the distance.
 CLASSES = 16
+# Lines of a group that are searched together.
+BLOCK = 4096
 # Lines that a task remembers having looked up.
 HELD = 1 << 20
 # Characters of line pairs verified at once.
@@ -216,6 +219,43 @@ def _bounded(pairs: DataFrame, edits: int) -> DataFrame:
     return pairs.select("a", "b", "counts_a", "counts_b").mapInArrow(run, "a long, b long")
 
 
+def _searched(states: DataFrame, edits: int) -> DataFrame:
+    """(a, b): each open line b with every earlier line a of a group that the counts allow.
+
+    Groups are dealt into blocks, and pairs of blocks are searched, each in one task.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("long")
+    dealt = states.withColumn("i", F.pmod(F.xxhash64("line"), blocks))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    dealt = dealt.withColumn("j", other).select(
+        "gid", "line", "at.*", "counts", "open", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")
+    )
+
+    def search(table: pa.Table) -> pa.Table:
+        lines, is_open = table.column("line").to_numpy(), table.column("open").to_numpy(zero_copy_only=False)
+        known = pc.is_valid(table.column("doc_id")).to_numpy(zero_copy_only=False)
+        place = [pc.fill_null(table.column(x), 0).to_numpy() for x in ("number", "row", "doc_id")]
+        rank = np.empty(len(lines), np.int64)
+        rank[np.lexsort((*place, known))] = np.arange(len(lines))
+        counts = np.frombuffer(b"".join(x.as_py() for x in table.column("counts")), np.uint8)
+        counts = counts.reshape(-1, CLASSES).astype(np.int16)
+        # An edit changes the sum of counts by one at most: only near sums can be near lines.
+        sums = counts.sum(axis=1)
+        order = np.argsort(sums, kind="stable")
+        low = np.searchsorted(sums[order], sums - edits)
+        high = np.searchsorted(sums[order], sums + edits, side="right")
+        a, b = [lines[:0]], [lines[:0]]
+        for x in np.flatnonzero(is_open).tolist():
+            near = order[low[x] : high[x]]
+            near = near[rank[near] < rank[x]]
+            near = near[np.abs(counts[near] - counts[x]).sum(axis=1) <= 2 * edits]
+            a.append(lines[near])
+            b.append(np.full(len(near), lines[x]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return dealt.groupBy("gid", "i", "j").applyInArrow(search, "a long, b long")
+
+
 def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, edits: int, least: int) -> DataFrame:
     """The pairs of lines that are at most `edits` apart, by their texts."""
     both = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
@@ -289,12 +329,14 @@ def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> D
     places = unique.select("line", "at.*")
     late = stored(_verified(stars, places, docs, edits, least).select(F.col("b").alias("line")).distinct(), "late")
 
-    # The others with every earlier line of their groups.
-    left = met.join(late, "line", "left_anti")
-    open_ = left.select("gid", F.col("line").alias("b"), F.col("at").alias("at_b"), F.col("counts").alias("counts_b"))
-    pairs = met.join(open_, "gid").where("at < at_b").select("line", "b", "counts", "counts_b")
-    pairs = pairs.withColumnsRenamed({"line": "a", "counts": "counts_a"})
-    pairs = stored(_bounded(pairs, edits).distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+    # The others with earlier lines of their groups that the counts allow.
+    first = met.groupBy("gid").agg(F.min("at").alias("first"), F.count("*").alias("m"))
+    states = met.join(late.withColumn("settled", F.lit(True)), "line", "left").join(first, "gid")
+    is_open = F.col("settled").isNull() & (F.col("at") != F.col("first"))
+    states = states.select("gid", "line", "at", "counts", "m", is_open.alias("open"))
+    wanted = states.where("open and m > 2").select("gid").distinct()
+    pairs = _searched(states.join(wanted, "gid", "left_semi"), edits)
+    pairs = stored(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
     more = _verified(pairs, places, docs, edits, least).select(F.col("b").alias("line")).distinct()
     gone = late.union(more)
     near = places.join(gone, "line", "left_semi").select("doc_id", "row", "number")
