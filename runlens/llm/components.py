@@ -17,25 +17,26 @@ def components(links: DataFrame) -> DataFrame:
     with a hot node can be split at run time. Links of a node with itself and repeated
     links do no harm; no links give no rows.
     """
-    links = stored(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "links",
-    )
-    before = None
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = stored(links.distinct(), "links", narrow=True)
     while True:
         # Large star: neighbours above a node go to the smallest around it.
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
-        links = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        links = stored(links, "large-star")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = stored(least, "least", narrow=True)
+        moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        links = stored(moved, "large-star", narrow=True)
         # Small star: neighbours below a node, and the node, go to the smallest of them.
-        least = stored(links.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = stored(links.groupBy("a").agg(F.min("b").alias("m")), "least", narrow=True)
         moved = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         kept = least.select("a", F.col("m").alias("b"))
-        links = stored(moved.union(kept).where("a <> b").distinct(), "small-star")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        links = stored(moved.union(kept).where("a <> b").distinct(), "small-star", narrow=True)
+        # Done when every node has one link down at most, and none goes to a node that has one.
+        ends = links.select("a", F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+            links.select("b", F.lit(0), F.lit(1))
+        )
+        seen = ends.groupBy("a").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+        if seen.where("down > 1 or down = 1 and up = 1").isEmpty():
             break
-        before = now
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

@@ -74,11 +74,24 @@ def prefix_length(n: int) -> int:
     return n - (-(-near * n // of)) + 1
 
 
+def packed_point(counts: np.ndarray) -> bytes:
+    """Counts as one byte each, or as four if one needs them."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else _U4).tobytes()
+
+
+def points_of(packed: list[bytes]) -> np.ndarray:
+    """Packed points as rows of a matrix."""
+    if all(len(x) == GROUPS for x in packed):
+        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS)
+    return np.array([np.frombuffer(x, np.uint8 if len(x) == GROUPS else _U4) for x in packed]).reshape(-1, GROUPS)
+
+
 class CountTree:
     """A bulk-loaded R-tree over count vectors, searched against itself."""
 
     def __init__(self, points: np.ndarray, labels: np.ndarray):
-        sizes = points.sum(axis=1)
+        sizes = points.sum(axis=1, dtype=np.int64)
+        points = points.astype(np.min_scalar_type(int(points.max(initial=0))))
         # Neighbours in size first, then in their fullest groups.
         self.order = np.lexsort((points.argmax(axis=1), sizes))
         self.points, self.sizes, self.labels = points[self.order], sizes[self.order], labels[self.order]
@@ -94,29 +107,29 @@ class CountTree:
             least = np.minimum.reduceat(least, starts)
             small, large = np.minimum.reduceat(small, starts), np.maximum.reduceat(large, starts)
 
-    def _bounded(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which of the pairs of nodes may hold a near pair with different labels."""
+    def _bounded(self, level: int, a: np.ndarray, b: np.ndarray):
+        """The pairs of nodes that may hold a near pair with different labels, and their bounds."""
         high, least, small, large = self.levels[level]
-        out = np.zeros(len(a), bool)
+        apart = (small[a] != large[b]) | (large[a] != small[b])
+        a, b = a[apart], b[apart]
+        shared = np.zeros(len(a), np.int64)
         for at in range(0, len(a), 1 << 14):
             x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
-            shared = np.minimum(high[x], high[y]).sum(axis=1)
-            apart = (small[x] != large[y]) | (large[x] != small[y])
-            out[at : at + (1 << 14)] = apart & (shared >= least_overlap(least[x] + least[y]))
-        return out
+            np.minimum(high[x], high[y]).sum(axis=1, dtype=np.int64, out=shared[at : at + (1 << 14)])
+        near = shared >= least_overlap(least[a] + least[b])
+        return a[near], b[near], shared[near]
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of points, by their place in the input, that the bound lets through."""
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of points, by place in the input, that the bound lets through, and the similarity it allows."""
         top = len(self.levels) - 1
         stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
             level, a, b = stack.pop()
-            keep = self._bounded(level, a, b)
-            a, b = a[keep], b[keep]
+            a, b, shared = self._bounded(level, a, b)
             if not len(a):
                 continue
             if level == 0:
-                yield self.order[a], self.order[b]
+                yield self.order[a], self.order[b], shared / (self.sizes[a] + self.sizes[b] - shared)
                 continue
             n = len(self.levels[level - 1][0])
             for at in range(0, len(a), 256):
@@ -178,15 +191,15 @@ def _described(docs: DataFrame, frequent) -> DataFrame:
                 # The order of windows follows upper bits of their hashes, groups the lowest.
                 point = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                 common = _first_windows(found, frequent.value)[1]
-                rows.append((len(found), name_of(found), point.astype(_U4).tobytes(), common.tobytes()))
+                rows.append((len(found), name_of(found), packed_point(point), common.tobytes()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                names=["doc_id", "n", "class", "point", "common"],
+                [batch.column("doc_id"), batch.column("row"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "row", "n", "class", "point", "common"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, class long, point binary, common binary")
+    return docs.mapInArrow(run, "doc_id long, row long, n long, class long, point binary, common binary")
 
 
 def _rare_windows(frequent):
@@ -218,8 +231,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            a = np.frombuffer(b"".join(batch.column("p").to_pylist()), _U4).reshape(-1, GROUPS)
-            b = np.frombuffer(b"".join(batch.column("q").to_pylist()), _U4).reshape(-1, GROUPS)
+            a, b = points_of(batch.column("p").to_pylist()), points_of(batch.column("q").to_pylist())
             shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
             total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
             yield batch.select(["a", "b"]).filter(pa.array(shared >= least_overlap(total)))
@@ -233,18 +245,35 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return sizes.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long")
 
 
-def _searched(points: DataFrame, *keys: str) -> DataFrame:
-    """Pairs (a, b) with different roots in each group that its R-tree lets through."""
+def _searched(points: DataFrame, most: int, *keys: str) -> DataFrame:
+    """Pairs (a, b) with different roots that a group's R-tree lets through.
+
+    Each member gives the `most` pairs in which the bound allows the greatest similarity;
+    a group with more pairs than that also gives a row with its first key and no pair.
+    """
 
     def search(table: pa.Table) -> pa.Table:
         ids = table.column("class").to_numpy()
-        at = np.frombuffer(b"".join(x.as_py() for x in table.column("point")), _U4).reshape(-1, GROUPS)
-        found = list(CountTree(at.astype(np.int64), table.column("root").to_numpy()).pairs())
-        a = np.concatenate([ids[:0], *(ids[x] for x, _ in found)])
-        b = np.concatenate([ids[:0], *(ids[x] for _, x in found)])
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return points.groupBy(*keys).applyInArrow(search, "a long, b long")
+        at = points_of(table.column("point").to_pylist())
+        found = list(CountTree(at, table.column("root").to_numpy()).pairs())
+        if not found:
+            none = pa.array([], pa.int64())
+            return pa.table({"a": none, "b": none, "over": none})
+        a, b, similar = (np.concatenate(x) for x in zip(*found, strict=True))
+        pair = np.tile(np.arange(len(a)), 2)
+        node = np.concatenate([a, b])
+        order = np.lexsort((np.tile(-similar, 2), node))
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(node[order]) > 0]))
+        rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(order)]])))
+        kept = np.unique(pair[order[rank < most]])
+        x, y = ids[a[kept]], ids[b[kept]]
+        x, y, over = pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.nulls(len(x), pa.int64())
+        if len(kept) < len(a):
+            none, key = pa.nulls(1, pa.int64()), pa.array(table.column(keys[0])[:1].to_numpy())
+            x, y, over = (pa.concat_arrays(z) for z in ((x, none), (y, none), (over, key)))
+        return pa.table({"a": x, "b": y, "over": over})
+
+    return points.groupBy(*keys).applyInArrow(search, "a long, b long, over long")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -283,9 +312,37 @@ def join(docs: DataFrame) -> DataFrame:
     texts are documents of their own. A NULL doc_id stays NULL and links nothing. Other
     columns are ignored; an empty table gives none.
     """
+    return _joined(docs).drop("row")
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """`docs` with one document of each component, the one with the smallest doc_id.
+
+    All columns stay. Documents without words or without a doc_id stay; of rows that
+    agree in doc_id and text one stays.
+    """
+    found = stored(_joined(docs).select("doc_id", "row", "component_id"), "near-copies")
+    gone = found.where("component_id <> doc_id").select("doc_id", "row").distinct()
+    twice = found.where("doc_id is not null").groupBy("doc_id", "row").count().where("count > 1")
+    twice = stored(twice.select("doc_id", "row"), "repeated-rows")
+
+    def among(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        same = (F.col("d.doc_id").cast("long") == F.col("o.doc_id")) & (
+            F.xxhash64(F.col("d.text").cast("string")) == F.col("o.row")
+        )
+        return rows.alias("d").join(other.alias("o"), same, how)
+
+    left = among(docs, stored(gone, "copies"), "left_anti")
+    if twice.isEmpty():
+        return left
+    return among(left, twice, "left_anti").unionByName(among(left, twice, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def _joined(docs: DataFrame) -> DataFrame:
+    """What `join` gives, with `row`, a hash of the text."""
     spark: SparkSession = docs.sparkSession
     text_batches(spark)
-    docs = pick(docs, doc_id="long", text="string")
+    docs = pick(docs, doc_id="long", text="string").withColumn("row", F.xxhash64("text"))
     frequent = spark.sparkContext.broadcast(_frequent(docs, docs.count()))
     described = stored(_described(docs, frequent), "sets")
     linkable = described.where("n > 0 and doc_id is not null")
@@ -324,29 +381,32 @@ def join(docs: DataFrame) -> DataFrame:
     links = stored(_verified(stars, classes, docs), "star-links")
     roots = stored(components(links), "roots")
 
-    # Then what those links leave apart, by trees over the points of a group.
-    root = F.coalesce("root", "class").alias("root")
-    at = rare.join(roots, F.col("class") == F.col("node"), "left").select("gid", "class", root)
-    at = stored(at, "rare-members")
-    apart = at.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
-    apart = stored(apart.where("x <> y and m > 2").select("gid"), "apart")
+    # Then what links leave apart, by trees over the points of a group. Most members need
+    # few more links to hang together, so members give few pairs at first, and more in groups
+    # that have others left: at the end every pair is linked already or has been tried.
+    rare = stored(rare, "rare-members")
     points = classes.select("class", "point")
-    searched = _searched(at.join(apart, "gid", "left_semi").join(points, "class"), "gid")
-
-    wide = common.join(roots, F.col("class") == F.col("node"), "left").select("window", "class", root)
-    apart = wide.groupBy("window").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).alias("blocks")
-    apart = stored(apart.where("x <> y and m > 2").select("window", blocks), "wide-apart")
-    wide = wide.join(F.broadcast(apart), "window").withColumn("i", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    wide = wide.withColumn("j", other).select(
-        "window", "class", "root", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")
-    )
-    searched = searched.union(_searched(wide.join(points, "class"), "window", "i", "j"))
-    more = stored(searched.distinct().join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-    links = stored(links.union(_verified(more, classes, docs)), "links")
+    roots = stored(components(links), "roots", narrow=True)
+    tried, most = stars, 2
+    while True:
+        searched = _apart(rare, roots, points, most).withColumn("wide", F.lit(False)).union(
+            _apart_wide(common, roots, points, most).withColumn("wide", F.lit(True))
+        )
+        found = stored(searched.distinct(), "tree-pairs")
+        pairs = found.where("a is not null").select("a", "b").distinct()
+        fresh = stored(pairs.join(tried, ["a", "b"], "left_anti"), "fresh-pairs", narrow=True)
+        links = stored(links.union(_verified(fresh, classes, docs)), "links", narrow=True)
+        roots = stored(components(links), "roots", narrow=True)
+        over = found.where("a is null").select("wide", "over").distinct()
+        if over.isEmpty():
+            break
+        tried = stored(tried.union(fresh), "tried-pairs", narrow=True)
+        rare = rare.join(over.where("not wide").select(F.col("over").alias("gid")), "gid", "left_semi")
+        rare = stored(rare, "rare-members", narrow=True)
+        common = common.join(over.where("wide").select(F.col("over").alias("window")), "window", "left_semi")
+        common = stored(common, "common-members", narrow=True)
+        most *= 16
 
-    roots = components(links)
     placed = roots.join(classes.select(F.col("class").alias("node"), "rep"), "node")
     least = stored(placed.groupBy("root").agg(F.min("rep").alias("least")), "least")
     linked = stored(placed.join(least, "root").select(F.col("node").alias("class"), "least"), "linked")
@@ -355,14 +415,42 @@ def join(docs: DataFrame) -> DataFrame:
     )
     of_class = stored(of_class, "of-class")
     linked = F.when(F.col("n") > 0, F.col("component_id"))
-    return described.select("doc_id", "n", "class").join(of_class, "class", "left").select(
+    return described.select("doc_id", "row", "n", "class").join(of_class, "class", "left").select(
         "doc_id",
+        "row",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("class")).alias("class_id"),
     )
 
 
+def _rooted(members: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    root = F.coalesce("root", "class").alias("root")
+    return members.join(roots, F.col("class") == F.col("node"), "left").select(key, "class", root)
+
+
+def _apart(members: DataFrame, roots: DataFrame, points: DataFrame, most: int) -> DataFrame:
+    """Pairs from the groups that links leave in several parts."""
+    at = stored(_rooted(members, roots, "gid"), "rooted")
+    apart = at.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
+    apart = apart.where("x <> y and m > 2").select("gid")
+    return _searched(at.join(apart, "gid", "left_semi").join(points, "class"), most, "gid")
+
+
+def _apart_wide(members: DataFrame, roots: DataFrame, points: DataFrame, most: int) -> DataFrame:
+    """The same for groups of any size: each is dealt into blocks, and pairs of blocks are searched."""
+    wide = _rooted(members, roots, "window")
+    apart = wide.groupBy("window").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
+    blocks = F.ceil(F.col("m") / BLOCK).alias("blocks")
+    apart = stored(apart.where("x <> y and m > 2").select("window", blocks), "wide-apart")
+    wide = wide.join(F.broadcast(apart), "window").withColumn("i", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    wide = wide.withColumn("j", other).select(
+        "window", "class", "root", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")
+    )
+    return _searched(wide.join(points, "class"), most, "window", "i", "j")
+
+
 def _firsts(groups: DataFrame) -> DataFrame:
     """(a, b): the first member of each list with every other."""
 

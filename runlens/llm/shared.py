@@ -20,14 +20,23 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_ROWS))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# Shuffle partitions that go into one file of a table of a few numbers a row.
+NARROW = 8
+
+
+def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """`df` written to the shared folder and read back: lineage ends there.
 
+    Tables of a few numbers a row, told by `narrow`, get fewer and larger files.
+
     Every executor reads the files, so the loss of one costs nothing. They are
     removed when the application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if narrow:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.coalesce(max(1, -(-partitions // NARROW)))
     df.write.option("compression", "zstd").parquet(path)
     jvm, context = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
