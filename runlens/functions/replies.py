@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The reply is parsed as the first of two elements of a list, the second a zero:
-# Spark's JSON parser stops at the end of the first value, so without the zero text
-# after the reply would go unnoticed, and text that brings elements of its own moves
-# the zero from its place.
+# The reply is parsed as the first of two elements of a list, the second a hash of the
+# reply: Spark's JSON parser stops at the end of the first value, so without it text
+# after the reply would go unnoticed. Text that brings elements of its own, or closes
+# the list, leaves something else at the second place; it cannot hold its own hash.
 JSON_SPACE = " \t\n\r"
 NUMERIC_VARIANT = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
@@ -19,16 +19,14 @@ def with_parsed(df: DataFrame, body: str, opening: str, closing: str) -> DataFra
 
     NULL unless `body` is one JSON value between the given brackets. Those are looked
     at first: a reply that was cut short is told by its last character, which is far
-    cheaper than having the parser fail on it. The zero is checked in a second step,
+    cheaper than having the parser fail on it. The hash is checked in a second step,
     so that each body is parsed once.
     """
     trimmed = F.btrim(F.col(body), F.lit(JSON_SPACE))
     whole = trimmed.startswith(opening) & trimmed.endswith(closing)
-    envelope = F.concat(F.lit("["), F.col(body), F.lit(",0]"))
-    second = F.try_variant_get(F.col("_envelope"), "$[1]", "variant")
-    third = F.try_variant_get(F.col("_envelope"), "$[2]", "variant")
-    # A reply that holds text after its value puts something else at the second place.
-    ends = (F.schema_of_variant(second) == "BIGINT") & (second.cast("int") == 0) & third.isNull()
+    mark = F.xxhash64(body)
+    envelope = F.concat(F.lit("["), F.col(body), F.lit(","), mark.cast("string"), F.lit("]"))
+    ends = F.try_variant_get(F.col("_envelope"), "$[1]", "bigint") == mark
     return (
         df.withColumn("_envelope", F.when(whole, F.try_parse_json(envelope)))
         .withColumn("_parsed", F.when(ends, F.col("_envelope")))

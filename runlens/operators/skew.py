@@ -78,7 +78,7 @@ def split_join(
     spread = F.coalesce(F.col("n_salts"), F.when(F.col(key).isNull(), F.lit(_partitions(rows))), F.lit(1))
     if how in ("inner", "left_semi"):
         rows = rows.filter(F.col(key).isNotNull())
-    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), spread))
+    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), spread))
     salts: Column = F.sequence(F.lit(0).cast("bigint"), F.coalesce("n_salts", F.lit(1)).cast("bigint") - 1)
     repeated = per_key.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("n_salts")
     return salted.drop("n_salts").join(repeated, [key, "_salt"], how).drop("_salt")
