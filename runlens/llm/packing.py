@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import bisect
 import functools
+import gc
 import os
+import struct
 import zlib
 from collections import Counter
 
@@ -28,33 +30,61 @@ from pyspark.sql import functions as F
 from runlens.llm.shared import pick, stored, text_batches, texts_of
 from runlens.llm.tokens import chunks_of
 
-# Most chunks whose ids a worker keeps; the table starts anew beyond it.
-KEPT_CHUNKS = 400_000
+# Most chunks and words whose ids a worker keeps; a table starts anew beyond it.
+KEPT = 600_000
 
 _RUN = "length long, first_rank long, n long, each long, sequence long, at long"
 
 
 class Ids:
-    """Ids of texts by the library; each chunk between white space is encoded once."""
+    """Ids of texts by the library; each word and each chunk between white space is encoded once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Chunks of letters, and perhaps a mark, are put together from a word and the mark."""
+        parts, wanted = [], set()
+        for chunk in chunks:
+            mark = chunk[-1] if chunk[-1] in ".," else ""
+            word = chunk[:-1] if mark else chunk
+            if not word.isalpha() or "Σ" in word:  # lower() treats a last sigma in its own way
+                word, mark = chunk, ""
+            else:
+                word = word.lower()
+            parts.append((chunk, word, mark))
+            wanted.add(word)
+            wanted.add(mark)
+        new = list(wanted.difference(self.words))
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            for word, made in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                found = made.ids
+                self.words[word] = struct.pack(f"<{len(found)}I", *found)
+        self.chunks.update((chunk, self.words[word] + self.words[mark]) for chunk, word, mark in parts)
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
+        if len(self.chunks) > KEPT:
+            self.chunks.clear()
+        if len(self.words) > KEPT:
+            self.words.clear()
         cut = [chunks_of(x) for x in texts]
-        new = list({x for parts in cut for x in parts}.difference(self.known))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for chunk, made in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(made.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        new = {x for parts in cut for x in parts}.difference(self.chunks)
+        if new:
+            # Nothing cyclic is made here, and the collector would go over all that is
+            # kept again and again.
+            gc.disable()
+            try:
+                self._learn(new)
+            finally:
+                gc.enable()
+        return [b"".join(map(self.chunks.__getitem__, parts)) for parts in cut]
 
 
 @functools.cache
