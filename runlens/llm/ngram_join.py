@@ -32,7 +32,8 @@ from runlens.llm.words import mixed, windows, word_hashes
 WINDOW = 5
 # Jaccard threshold as a fraction; compared in whole numbers.
 NEAR = (80, 100)
-# Groups that windows are hashed into: the dimensions of a point.
+# Groups that windows are hashed into: the dimensions of a tree. Points of long documents
+# have more, about one for two windows, and bound a pair more closely.
 GROUPS = 256
 # Points in a leaf, and children of a node.
 FANOUT = 16
@@ -74,16 +75,36 @@ def prefix_length(n: int) -> int:
     return n - (-(-near * n // of)) + 1
 
 
-def packed_point(counts: np.ndarray) -> bytes:
-    """Counts as one byte each, or as four if one needs them."""
-    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else _U4).tobytes()
+def point_of(found: np.ndarray) -> bytes:
+    """Counts of a set's members by group, packed: GROUPS of them, or about one for two members.
+
+    Groups are told by the lowest bits of a hash, so a finer point folds into a coarser one.
+    """
+    groups = max(GROUPS, 1 << max(0, len(found) // 2 - 1).bit_length())
+    counts = np.bincount((found & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    small = counts.max(initial=0) < 256
+    return (b"\1" if small else b"\4") + counts.astype(np.uint8 if small else _U4).tobytes()
+
+
+def unpacked_point(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8 if packed[0] == 1 else _U4, offset=1)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point's counts by fewer groups."""
+    return point if len(point) == groups else point.reshape(-1, groups).sum(axis=0, dtype=np.int64)
+
+
+def points_of(packed: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Points as they are, and folded to GROUPS as rows of a matrix."""
+    fine = [unpacked_point(x) for x in packed]
+    return fine, np.array([folded(x, GROUPS) for x in fine], np.int64).reshape(-1, GROUPS)
 
 
-def points_of(packed: list[bytes]) -> np.ndarray:
-    """Packed points as rows of a matrix."""
-    if all(len(x) == GROUPS for x in packed):
-        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, GROUPS)
-    return np.array([np.frombuffer(x, np.uint8 if len(x) == GROUPS else _U4) for x in packed]).reshape(-1, GROUPS)
+def shared_bound(p: np.ndarray, q: np.ndarray) -> int:
+    """Most that two sets can share, by the finest groups that both points have."""
+    groups = min(len(p), len(q))
+    return int(np.minimum(folded(p, groups), folded(q, groups)).sum(dtype=np.int64))
 
 
 class CountTree:
@@ -188,10 +209,8 @@ def _described(docs: DataFrame, frequent) -> DataFrame:
         for batch in batches:
             rows = []
             for found in sets_of(texts_of(batch)):
-                # The order of windows follows upper bits of their hashes, groups the lowest.
-                point = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                 common = _first_windows(found, frequent.value)[1]
-                rows.append((len(found), name_of(found), packed_point(point), common.tobytes()))
+                rows.append((len(found), name_of(found), point_of(found), common.tobytes()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -231,10 +250,11 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            a, b = points_of(batch.column("p").to_pylist()), points_of(batch.column("q").to_pylist())
-            shared = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-            total = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-            yield batch.select(["a", "b"]).filter(pa.array(shared >= least_overlap(total)))
+            points = zip(batch.column("p").to_pylist(), batch.column("q").to_pylist(), strict=True)
+            shared = [shared_bound(unpacked_point(x), unpacked_point(y)) for x, y in points]
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            near = np.array(shared, np.int64) >= least_overlap(total)
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
     near, of = NEAR
     p = points.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p"))
@@ -242,7 +262,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     # Sizes first, so that few points travel.
     sizes = pairs.join(p.drop("p"), "a").join(q.drop("q"), "b")
     sizes = sizes.where(F.least("n_a", "n_b") * of >= F.greatest("n_a", "n_b") * near).select("a", "b")
-    return sizes.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long")
+    return sizes.join(p, "a").join(q, "b").select("a", "b", "p", "q", "n_a", "n_b").mapInArrow(run, "a long, b long")
 
 
 def _searched(points: DataFrame, most: int, *keys: str) -> DataFrame:
@@ -254,12 +274,18 @@ def _searched(points: DataFrame, most: int, *keys: str) -> DataFrame:
 
     def search(table: pa.Table) -> pa.Table:
         ids = table.column("class").to_numpy()
-        at = points_of(table.column("point").to_pylist())
+        fine, at = points_of(table.column("point").to_pylist())
         found = list(CountTree(at, table.column("root").to_numpy()).pairs())
         if not found:
             none = pa.array([], pa.int64())
             return pa.table({"a": none, "b": none, "over": none})
         a, b, similar = (np.concatenate(x) for x in zip(*found, strict=True))
+        # Long documents have finer points than the tree; they bound once more.
+        groups, sizes = np.array([len(x) for x in fine]), at.sum(axis=1)
+        for k in np.flatnonzero(np.minimum(groups[a], groups[b]) > GROUPS).tolist():
+            shared, total = shared_bound(fine[a[k]], fine[b[k]]), sizes[a[k]] + sizes[b[k]]
+            similar[k] = shared / (total - shared) if shared >= least_overlap(total) else -1
+        a, b, similar = a[similar >= 0], b[similar >= 0], similar[similar >= 0]
         pair = np.tile(np.arange(len(a)), 2)
         node = np.concatenate([a, b])
         order = np.lexsort((np.tile(-similar, 2), node))
