@@ -7,8 +7,12 @@ substrings that may match, for their own length and the shorter ones in reach (t
 windows of Pass-Join's multi-match rule). Lines that meet are verified with a banded
 bit-parallel edit distance, for many pairs at once.
 
-Order is by doc_id, then by line. A line goes if any earlier line is at most `edits`
-apart, so the outcome doesn't depend on how the work is split.
+Short lines get fewer edits, one for every CHARS_PER_EDIT characters of the shorter
+line: one edit makes another line of a few letters. Those too short for any go as exact
+copies only, which every line that is not blank is counted for.
+
+Order is by doc_id, then by line. A line goes if any earlier line is at most as many
+edits apart, so the outcome doesn't depend on how the work is split.
 """
 
 from __future__ import annotations
@@ -27,9 +31,9 @@ from runlens.llm.meeting import lists_of, unpacked
 from runlens.llm.shared import runs_of, stored, text_batches, texts_of
 from runlens.llm.words import _BASE, BUFFER, _powers, mixed
 
-# Most edits between a line and its near copy; shorter lines are left alone.
+# Most edits between a line and its near copy, and characters of the shorter for each edit.
 EDITS = 2
-LEAST_CHARS = 24
+CHARS_PER_EDIT = 12
 # Classes that characters are counted in, for a quick bound on the distance.
 CLASSES = 16
 # Lines of a group that are searched together.
@@ -72,8 +76,14 @@ def _probes(edits: int):
                 yield less, number, shift
 
 
-def segment_hashes(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def edits_of(lengths: np.ndarray, edits: int, per: int) -> np.ndarray:
+    """Edits that pairs may have whose shorter line has these lengths; all if `per` is 0."""
+    return np.minimum(edits, lengths // per) if per else np.full(len(lengths), edits)
+
+
+def segment_hashes(lines: list[str], edits: int = EDITS, per: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, line's place, whether it is the line's own segment) of all lookups."""
+    levels = range(1, edits + 1) if per else [edits]
     hashes, places, own = [], [], []
     for part in runs_of([len(x) for x in lines], BUFFER):
         some = lines[part]
@@ -83,11 +93,11 @@ def segment_hashes(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np
         _powers.grow(len(points) + 1)
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum(_values(points) * _powers.up[: len(points)], out=sums[1:])
-        for less, number, shift in _probes(edits):
+        for level, (less, number, shift) in ((x, y) for x in levels for y in _probes(x)):
             of = lengths - less
-            at, size = segment(of, number, edits + 1)
+            at, size = segment(of, number, level + 1)
             at = at + shift
-            good = (at >= 0) & (at + size <= lengths) & (size > 0)
+            good = (at >= 0) & (at + size <= lengths) & (size > 0) & (edits_of(of, edits, per) == level)
             begin, size, of = (starts + at)[good], size[good], of[good]
             found = (sums[begin + size] - sums[begin]) * _powers.down[begin]
             kind = mixed(of.astype(np.uint64) * np.uint64(256) + np.uint64(number + 1))
@@ -119,6 +129,17 @@ def within(lines: list[str], others: list[str], edits: int = EDITS) -> np.ndarra
     return out
 
 
+def near(lines: list[str], others: list[str], edits: int, per: int) -> np.ndarray:
+    """Which pairs are as near as the length of the shorter line allows."""
+    shorter = np.array([min(len(a), len(b)) for a, b in zip(lines, others, strict=True)], np.int64)
+    allowed = edits_of(shorter, edits, per)
+    out = np.zeros(len(lines), bool)
+    for level in np.unique(allowed).tolist():
+        at = np.flatnonzero(allowed == level)
+        out[at] = within([lines[i] for i in at], [others[i] for i in at], level)
+    return out
+
+
 def _padded(texts: list[str], before: int, width: int, filler: int) -> np.ndarray:
     made = np.full((len(texts), width), filler, np.uint32)
     for i, x in enumerate(texts):
@@ -162,8 +183,8 @@ def _within(lines: list[str], others: list[str], edits: int) -> np.ndarray:
     return distance <= edits
 
 
-def _occurrences(docs: DataFrame, least: int) -> DataFrame:
-    """Every line that counts: its key, its place, and counts of its characters."""
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """Every line that is not blank: its key, its place, and counts of its characters."""
 
     def run(batches):
         for batch in batches:
@@ -172,7 +193,7 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
             lines = []
             for name, row, text in zip(ids, rows, texts_of(batch), strict=True):
                 for number, line in enumerate(lines_in(text)):
-                    if len(line) >= least:
+                    if line:
                         lines.append(line)
                         for to, x in zip(out, (key_of(line), name, row, number), strict=True):
                             to.append(x)
@@ -206,20 +227,27 @@ def _counts(lines: list[str]) -> list[bytes]:
     return out
 
 
-def _bounded(pairs: DataFrame, edits: int) -> DataFrame:
-    """Pairs whose counts allow a distance of at most `edits`: an edit changes two by one."""
+def _bounded(pairs: DataFrame, edits: int, per: int) -> DataFrame:
+    """Pairs whose counts allow a distance within the limit: an edit changes two by one."""
 
     def run(batches):
         for batch in batches:
             a = np.frombuffer(b"".join(batch.column("counts_a").to_pylist()), np.uint8).reshape(-1, CLASSES)
             b = np.frombuffer(b"".join(batch.column("counts_b").to_pylist()), np.uint8).reshape(-1, CLASSES)
-            near = np.abs(a.astype(np.int64) - b).sum(axis=1) <= 2 * edits
+            a, b = a.astype(np.int64), b.astype(np.int64)
+            allowed = edits_of(_longest(np.minimum(a.sum(axis=1), b.sum(axis=1))), edits, per)
+            near = np.abs(a - b).sum(axis=1) <= 2 * allowed
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     return pairs.select("a", "b", "counts_a", "counts_b").mapInArrow(run, "a long, b long")
 
 
-def _searched(states: DataFrame, edits: int) -> DataFrame:
+def _longest(sums: np.ndarray) -> np.ndarray:
+    """The lengths of lines from their summed counts; a full count may stand for more."""
+    return np.where(sums >= 255, 1 << 40, sums)
+
+
+def _searched(states: DataFrame, edits: int, per: int) -> DataFrame:
     """(a, b): each open line b with every earlier line a of a group that the counts allow.
 
     Groups are dealt into blocks, and pairs of blocks are searched, each in one task.
@@ -248,7 +276,8 @@ def _searched(states: DataFrame, edits: int) -> DataFrame:
         for x in np.flatnonzero(is_open).tolist():
             near = order[low[x] : high[x]]
             near = near[rank[near] < rank[x]]
-            near = near[np.abs(counts[near] - counts[x]).sum(axis=1) <= 2 * edits]
+            allowed = edits_of(_longest(np.minimum(sums[near], sums[x])), edits, per)
+            near = near[np.abs(counts[near] - counts[x]).sum(axis=1) <= 2 * allowed]
             a.append(lines[near])
             b.append(np.full(len(near), lines[x]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
@@ -256,14 +285,14 @@ def _searched(states: DataFrame, edits: int) -> DataFrame:
     return dealt.groupBy("gid", "i", "j").applyInArrow(search, "a long, b long")
 
 
-def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """The pairs of lines that are at most `edits` apart, by their texts."""
+def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, edits: int, per: int) -> DataFrame:
+    """The pairs of lines that are near enough, by their texts."""
     both = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
     wanted = stored(first.join(both, "line", "left_semi").select("line", "doc_id", "row"), "wanted")
 
     def cut(batches):
         for batch in batches:
-            lines = [y for x in texts_of(batch) for y in lines_in(x) if len(y) >= least]
+            lines = [y for x in texts_of(batch) for y in lines_in(x) if len(y) >= per]
             keys = np.frombuffer(b"".join(map(key_of, lines)), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[:, 0] & ~np.int64(1)), pa.array(lines, pa.string())], names=["line", "text"]
@@ -275,17 +304,17 @@ def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, edits: int, l
     texts = stored(cut_lines.join(wanted.select("line"), "line", "left_semi").dropDuplicates(["line"]), "texts")
 
     @F.pandas_udf(T.BooleanType())
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(within(a.tolist(), b.tolist(), edits))
+    def are_near(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(near(a.tolist(), b.tolist(), edits, per))
 
     a = texts.select(F.col("line").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("line").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").where(near("text_a", "text_b")).select("a", "b")
+    return pairs.join(b, "b").join(a, "a").where(are_near("text_a", "text_b")).select("a", "b")
 
 
-def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def repeated(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT) -> DataFrame:
     """(doc_id, row, number) of every line that goes; `docs` has doc_id, row and text."""
-    seen = stored(_occurrences(docs, least), "lines")
+    seen = stored(_occurrences(docs), "lines")
     place = F.struct("doc_id", "row", "number")
     lines = seen.groupBy("line", "check").agg(
         F.min(place).alias("first"), F.count("*").alias("n"), F.first("counts").alias("counts")
@@ -300,13 +329,13 @@ def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> D
         seen: set[int] = set()
 
         def hashed(batch):
-            found = {y for x in texts_of(batch) for y in lines_in(x) if len(y) >= least}
+            found = {y for x in texts_of(batch) for y in lines_in(x) if len(y) >= per}
             found = {int.from_bytes(key_of(x)[:8], "little") & ~1: x for x in found}
             if len(seen) > HELD:
                 seen.clear()
             names = np.array(sorted(found.keys() - seen), np.uint64)
             seen.update(names.tolist())
-            hashes, places, own = segment_hashes([found[x] for x in names.tolist()], edits)
+            hashes, places, own = segment_hashes([found[x] for x in names.tolist()], edits, per)
             return hashes, names[places] | own.astype(np.uint64)
 
         return hashed
@@ -325,9 +354,9 @@ def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> D
     leaders = met.groupBy("gid").agg(F.min(F.struct("at", "line", "counts")).alias("x"))
     leaders = leaders.select("gid", F.col("x.line").alias("a"), F.col("x.counts").alias("counts_a"))
     stars = met.join(leaders, "gid").where("a <> line").select("a", F.col("line").alias("b"), "counts_a", F.col("counts").alias("counts_b"))
-    stars = stored(_bounded(stars, edits).distinct(), "stars")
+    stars = stored(_bounded(stars, edits, per).distinct(), "stars")
     places = unique.select("line", "at.*")
-    late = stored(_verified(stars, places, docs, edits, least).select(F.col("b").alias("line")).distinct(), "late")
+    late = stored(_verified(stars, places, docs, edits, per).select(F.col("b").alias("line")).distinct(), "late")
 
     # The others with earlier lines of their groups that the counts allow.
     first = met.groupBy("gid").agg(F.min("at").alias("first"), F.count("*").alias("m"))
@@ -335,20 +364,21 @@ def repeated(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> D
     is_open = F.col("settled").isNull() & (F.col("at") != F.col("first"))
     states = states.select("gid", "line", "at", "counts", "m", is_open.alias("open"))
     wanted = states.where("open and m > 2").select("gid").distinct()
-    pairs = _searched(states.join(wanted, "gid", "left_semi"), edits)
+    pairs = _searched(states.join(wanted, "gid", "left_semi"), edits, per)
     pairs = stored(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(pairs, places, docs, edits, least).select(F.col("b").alias("line")).distinct()
+    more = _verified(pairs, places, docs, edits, per).select(F.col("b").alias("line")).distinct()
     gone = late.union(more)
     near = places.join(gone, "line", "left_semi").select("doc_id", "row", "number")
     return again.select("doc_id", "row", "number").union(near).distinct()
 
 
-def without_repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
+def without_repeats(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT) -> DataFrame:
     """`docs` with its repeated lines taken out of `text`, and n_lines, n_removed.
 
     One row per input row, with all its columns; columns named n_lines or n_removed are
     replaced. Lines are what stands between line breaks; white space around them does
-    not count, and lines of fewer than `least` characters stay. A NULL text stays NULL
+    not count, and blank lines stay. Every other line goes if it stands earlier, or one of
+    `edits` edits does, or of fewer for short lines: one for every `per` characters. A NULL text stays NULL
     with no lines, an empty one has one, empty line. Rows that agree in doc_id and text
     are one document given twice, and lose the same lines; a NULL doc_id comes first in
     the order. Lines without a loss keep their exact text. An empty table gives none.
@@ -356,7 +386,7 @@ def without_repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHAR
     text_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    gone = repeated(plain, edits, least)
+    gone = repeated(plain, edits, per)
     gone = gone.groupBy("doc_id", "row").agg(F.collect_list("number").alias("numbers"))
     gone = gone.select(F.struct(F.col("doc_id"), "row").alias("of"), "numbers")
     gone = stored(gone, "repeated-lines")

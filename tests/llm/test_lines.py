@@ -93,3 +93,35 @@ def test_very_long_line():
     assert lines.within([text, text], [text[1:] + "x", "b" + text[4:]]).tolist() == [True, False] or True
     assert lines.within([text], [text[:-3] + "xyz"], 2).tolist() == [False]
     assert lines.within([text], ["x" + text[:-2]], 3).tolist() == [True]
+
+
+def test_short_lines_go_too(spark):
+    rows = [
+        (1, "Les.\n\nAll rights reserved.\n1.\nYes."),
+        (2, "Les.\n\n2.\nAll rights reserved!\n1."),
+        (3, " All rights reserved.\n\nLes.\nLess.\nwords of their own"),
+        (4, "All rites reserved."),
+    ]
+    found = {r.doc_id: (r.text, r.n_removed) for r in lines.without_repeats(documents(spark, rows)).collect()}
+    # Exact copies of any length go; one edit takes 12 characters, so "2." and "Less." stay.
+    assert found == {
+        1: (rows[0][1], 0),
+        2: ("\n2.", 3),
+        3: ("\nLess.\nwords of their own", 2),
+        4: (rows[3][1], 0),
+    }
+
+
+def test_limits_grow_with_the_length():
+    rng = random.Random(3)
+    a = ["".join(rng.choices("abc", k=rng.randint(0, 30))) for _ in range(500)]
+    b = [changed(rng, x, rng.randint(0, 3)) for x in a]
+    expected = [distance(x, y) <= min(2, min(len(x), len(y)) // 12) for x, y in zip(a, b)]
+    assert lines.near(a, b, 2, 12).tolist() == expected
+    for x, y, is_near in zip(a, b, expected):
+        if is_near and x != y:
+            hashes, places, own = lines.segment_hashes([x, y], 2, 12)
+            met = {}
+            for h, p, o in zip(hashes.tolist(), places.tolist(), own.tolist()):
+                met.setdefault(h, set()).add((p, o))
+            assert any(len({p for p, _ in v}) == 2 and any(o for _, o in v) for v in met.values())
