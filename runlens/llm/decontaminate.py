@@ -2,7 +2,9 @@
 
 Texts are brought to a template: letters in lower case, numbers and the units behind
 them replaced by typed placeholders, and in a second template capitalised words inside
-a sentence as well. Windows of both templates are hashed and joined. Where document
+a sentence as well. Windows of both templates are hashed and joined; those with few
+words besides placeholders are hashed with their values, so exact copies of them meet
+too. Where document
 and benchmark agree in a run of windows, the values behind the placeholders must
 correspond one to one; then it is the same question, perhaps with other values.
 """
@@ -22,7 +24,7 @@ WORDS = 8
 COVERED = 13
 # Items of fewer words are found anywhere by chance and match nothing.
 LEAST_WORDS = 5
-# Least share of a window that must not be placeholders.
+# Least share of a window that must not be placeholders; others are compared by their values.
 LITERAL = 0.5
 # Bits of the filter that documents' windows pass first; it has this size always.
 FILTER_BITS = 26
@@ -36,7 +38,7 @@ UNITS = (
     "kmh mph km2 m2 m3 w kw kwh j kj cal kcal v a hz khz mhz ghz kb mb gb tb"
 ).split()
 
-_NUMBER, _UNIT, _NAME = (mixed(np.array([x], np.uint64))[0] for x in (1001, 1002, 1003))
+_NUMBER, _UNIT, _NAME, _RAW = (mixed(np.array([x], np.uint64))[0] for x in (1001, 1002, 1003, 1004))
 _units: list[np.ndarray] = []
 
 
@@ -56,7 +58,8 @@ def templates(texts: list[str]):
         # Sentence ends before each token; a point inside a number is none.
         before = np.concatenate([[0], np.cumsum(ends)])[found.starts]
         place = np.flatnonzero(word)
-        starts, stops, hashes = found.starts[place], found.ends[place], found.hashes[place].copy()
+        starts, stops, hashes = found.starts[place], found.ends[place], found.hashes[place]
+        raw, hashes = hashes, hashes.copy()
         number, before = number[place], before[place]
         after_number = np.concatenate([[False], number[:-1]])
         unit = after_number & ~number & _is_unit(hashes)
@@ -70,18 +73,18 @@ def templates(texts: list[str]):
         for i in range(len(found.first) - 1):
             part = slice(first[i], first[i + 1])
             slots = (number | unit)[part]
-            yield _Text(found.text, starts[part], stops[part], hashes[part], named[part], slots, name[part])
+            yield _Text(found.text, starts[part], stops[part], hashes[part], named[part], raw[part], slots, name[part])
 
 
 class _Text:
-    """One text's words: where they stand, both templates, and which are placeholders."""
+    """One text's words: where they stand, both templates and the words, and which are placeholders."""
 
-    def __init__(self, text, starts, stops, plain, named, slots, names):
+    def __init__(self, text, starts, stops, plain, named, raw, slots, names):
         self.text, self.starts, self.stops = text, starts, stops
-        self.plain, self.named, self.slots, self.names = plain, named, slots, names
+        self.plain, self.named, self.raw, self.slots, self.names = plain, named, raw, slots, names
 
     def windows(self, size: int):
-        """(position, hash, with names) of every window with enough literal words."""
+        """(position, hash, with names) of every window; one of few literal words has its values hashed."""
         n = len(self.plain) - size + 1
         if n < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -91,15 +94,20 @@ class _Text:
         named_sums = np.concatenate([[0], np.cumsum(self.names)])
         some = named_sums[size:] - named_sums[:-size]
         named = (some > 0) & (sums[size:] - sums[:-size] + some <= most)
-        a, b = np.flatnonzero(plain), np.flatnonzero(named)
         kind = np.uint64(size)
-        hashes = np.concatenate([windows(self.plain, size)[a], windows(self.named, size)[b]]) ^ mixed(np.array([kind]))
-        return np.concatenate([a, b]), hashes, np.repeat([False, True], [len(a), len(b)])
+        hashes = windows(self.plain, size)
+        if not plain.all():
+            hashes = np.where(plain, hashes, windows(self.raw, size) ^ _RAW)
+        b = np.flatnonzero(named)
+        hashes = np.concatenate([hashes, windows(self.named, size)[b]]) ^ mixed(np.array([kind]))
+        return np.concatenate([np.arange(n), b]), hashes, np.repeat([False, True], [n, len(b)])
 
     def values(self, at: int, size: int, with_names: bool) -> list[str]:
         """What stands behind the placeholders of a window, as place in it and value."""
         part = slice(at, at + size)
         slots = self.slots[part] | self.names[part] if with_names else self.slots[part]
+        if not with_names and slots.sum() > int(size * (1 - LITERAL)):  # its values are hashed and agree
+            slots = np.zeros(size, bool)
         return [
             f"{k}\t{self.text[self.starts[at + k] : self.stops[at + k]].lower()}" for k in np.flatnonzero(slots).tolist()
         ]

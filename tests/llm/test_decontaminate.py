@@ -63,3 +63,16 @@ def test_every_planted_passage_is_found(spark):
     expected = {(i, k) for i, t in rows for k, x in items if f" {x} " in f" {t} "}
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, rows), bench).collect()}
     assert found == expected and expected
+
+
+def test_items_of_numbers_are_found_as_exact_copies(spark):
+    items = [(1, "Compute 3 4 5 6 2 11 3 8 9 40 7"), (2, "Sort these four numbers here 8 1 9 4 7 2 5")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, f"Now: {items[0][1]}, at once."),
+        (2, f"Now: {items[1][1]}, at once."),
+        # Other values in a stretch of nothing else are no evidence.
+        (3, "Now: compute 4 3 6 5 1 12 2 9 8 30 6, at once."),
+    ]
+    found = decontaminate.leaks(documents(spark, rows), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.changed) for r in found) == [(1, 1, False), (2, 2, False)]
