@@ -4,7 +4,8 @@ Texts are brought to a template: letters in lower case, numbers and the units be
 them replaced by typed placeholders, and in a second template capitalised words inside
 a sentence as well. Windows of both templates are hashed and joined; those with few
 words besides placeholders are hashed with their values, so exact copies of them meet
-too. Where document
+too. In a second form of the text neighbouring capitalised words are one name, also
+at the start of a sentence, so names there and those of several words can differ. Where document
 and benchmark agree in a run of windows, the values behind the placeholders must
 correspond one to one; then it is the same question, perhaps with other values.
 """
@@ -67,13 +68,32 @@ def templates(texts: list[str]):
         inner = np.concatenate([[False], before[1:] == before[:-1]])
         capital = is_capital(found.points[starts]) & ~is_capital(found.points[stops - 1]) & (stops - starts > 1)
         name = inner & capital & ~number & ~unit
+        start = ~inner & capital & ~number & ~unit
+        # Neighbouring capitalised words of a sentence are one in the second form.
+        beside = np.concatenate([[False], place[1:] == place[:-1] + 1])
+        capital = name | start
+        heads = np.flatnonzero(~(name & beside & np.concatenate([[False], capital[:-1]])))
+        tails = np.append(heads[1:], len(place)) - 1
+        alone = start[heads] & (heads == tails)
+        joined = hashes[heads]
+        joined_named = np.where(capital[heads], _NAME, joined)
+        joined_inner = np.where(capital[heads] & ~alone, _NAME, joined)
         named = hashes.copy()
         named[name] = _NAME
         first = np.searchsorted(place, found.first)
+        first_head = np.searchsorted(heads, first)
         for i in range(len(found.first) - 1):
             part = slice(first[i], first[i + 1])
             slots = (number | unit)[part]
-            yield _Text(found.text, starts[part], stops[part], hashes[part], named[part], raw[part], slots, name[part])
+            text = _Text(found.text, starts[part], stops[part], hashes[part], named[part], raw[part], slots, name[part])
+            part = slice(first_head[i], first_head[i + 1])
+            head, tail = heads[part], tails[part]
+            slots = (number | unit)[head]
+            text.joined = _Joined(
+                found.text, starts[head], stops[tail], joined_inner[part], joined_named[part], slots, capital[head], alone[part]
+            )
+            text.joined.words = np.append(head, first[i + 1]) - first[i]
+            yield text
 
 
 class _Text:
@@ -113,29 +133,71 @@ class _Text:
         ]
 
 
-_WINDOW = "window long, at int, named boolean, size int, slots array<string>"
+class _Joined(_Text):
+    """The second form: a run of names is one word; at a sentence's start one word alone may be none.
+
+    `words` has the first word of each and the end.
+    """
+
+    def __init__(self, text, starts, stops, plain, named, slots, names, alone):
+        super().__init__(text, starts, stops, plain, named, plain, slots, names)
+        self.alone = alone
+
+    def windows(self, size: int):
+        """(position, hash, with words alone at a sentence's start as names) of every window with enough literal words."""
+        n = len(self.plain) - size + 1
+        if n < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        most = int(size * (1 - LITERAL))
+        sums = np.concatenate([[0], np.cumsum(self.slots | self.names)])
+        found = sums[size:] - sums[:-size]
+        sums = np.concatenate([[0], np.cumsum(self.alone)])
+        alone = sums[size:] - sums[:-size]
+        a, b = np.flatnonzero(found <= most), np.flatnonzero((alone > 0) & (found - alone <= most))
+        hashes = windows(self.named, size)[a]
+        if len(b):
+            hashes = np.concatenate([hashes, windows(self.plain, size)[b]])
+        kind = mixed(np.array([size + 256], np.uint64))
+        return np.concatenate([a, b]), hashes ^ kind, np.repeat([True, False], [len(a), len(b)])
+
+    def values(self, at: int, size: int, with_names: bool) -> list[str]:
+        part = slice(at, at + size)
+        slots = self.slots[part] | (self.names[part] if with_names else self.names[part] & ~self.alone[part])
+        return [
+            f"{k}\t{self.text[self.starts[at + k] : self.stops[at + k]].lower()}" for k in np.flatnonzero(slots).tolist()
+        ]
+
+
+_WINDOW = "window long, at int, named boolean, size int, slots array<string>, form int, start int, stop int"
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """Every window of every item; an item of fewer words is one window."""
+    """Every window of every item in both forms; an item of fewer words is one window."""
 
     def run(batches):
         for batch in batches:
             out = []
             for item, text in zip(batch.column("item_id").to_pylist(), templates(texts_of(batch)), strict=True):
-                size = min(WORDS, len(text.plain))
+                size, n = min(WORDS, len(text.plain)), len(text.plain)
                 if size >= LEAST_WORDS:
                     for at, window, named in zip(*(x.tolist() for x in text.windows(size)), strict=True):
                         slots = text.values(at, size, named)
-                        out.append((item, len(text.plain), window, at, named, size, slots))
+                        out.append((item, n, window, at, named, size, slots, 0, at, at + size))
+                joined = text.joined
+                size = min(WORDS, len(joined.plain))
+                if size >= LEAST_WORDS and joined.names.any():
+                    for at, window, named in zip(*(x.tolist() for x in joined.windows(size)), strict=True):
+                        start, stop = int(joined.words[at]), int(joined.words[at + size])
+                        slots = joined.values(at, size, named)
+                        out.append((item, n, window, at, named, size, slots, 1, start, stop))
             yield _batch(out, ["item_id", "n_words"], [pa.int64(), pa.int32()])
 
     return benchmark.mapInArrow(run, f"item_id long, n_words int, {_WINDOW}")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    names = [*names, "window", "at", "named", "size", "slots"]
-    kinds = [*kinds, pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.string())]
+    names = [*names, "window", "at", "named", "size", "slots", "form", "start", "stop"]
+    kinds = [*kinds, pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.string()), *[pa.int32()] * 3]
     columns = list(zip(*rows, strict=True)) or [()] * len(names)
     at = names.index("window")
     columns[at] = np.array(columns[at], np.uint64).view(np.int64)
@@ -153,7 +215,7 @@ def _filter(items: DataFrame) -> np.ndarray:
     return made.view(np.uint64)
 
 
-def _document_windows(docs: DataFrame, bits, sizes: list[int]) -> DataFrame:
+def _document_windows(docs: DataFrame, bits, sizes: list[tuple[int, int]]) -> DataFrame:
     """The windows of every document that may be an item's."""
     mask = np.uint64((1 << FILTER_BITS) - 1)
 
@@ -162,12 +224,14 @@ def _document_windows(docs: DataFrame, bits, sizes: list[int]) -> DataFrame:
             out = []
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             for name, row, text in zip(ids, rows, templates(texts_of(batch)), strict=True):
-                for size in sizes:
-                    at, found, named = text.windows(size)
+                for form, size in sizes:
+                    of = text.joined if form else text
+                    at, found, named = of.windows(size)
                     place = found & mask
                     hit = bits.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
                     for k, window, n in zip(at[hit].tolist(), found[hit].tolist(), named[hit].tolist(), strict=True):
-                        out.append((name, row, window, k, n, size, text.values(k, size, n)))
+                        start, stop = (int(of.words[k]), int(of.words[k + size])) if form else (k, k + size)
+                        out.append((name, row, window, k, n, size, of.values(k, size, n), form, start, stop))
             yield _batch(out, ["doc_id", "row"], [pa.int64(), pa.int64()])
 
     return docs.mapInArrow(run, f"doc_id long, row long, {_WINDOW}")
@@ -177,35 +241,44 @@ def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, row, item_id, ...) for each item that stands in a document; `docs` has a row hash."""
     spark = docs.sparkSession
     items = stored(_item_windows(benchmark), "item-windows")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    sizes = sorted((r["form"], r["size"]) for r in items.select("form", "size").distinct().collect())
     bits = spark.sparkContext.broadcast(_filter(items))
-    theirs = items.withColumnsRenamed({"at": "item_at", "slots": "item_slots"}).drop("named", "size")
-    met = _document_windows(docs, bits, sizes).join(theirs, "window")
+    theirs = items.withColumnsRenamed({"at": "item_at", "slots": "item_slots", "start": "item_start", "stop": "item_stop"})
+    met = _document_windows(docs, bits, sizes).join(theirs.drop("named", "size"), ["window", "form"])
     met = met.withColumn("diagonal", F.col("at") - F.col("item_at"))
 
     # Windows in one line: how many words they cover, and what stands behind placeholders.
-    line = ["doc_id", "row", "item_id", "n_words", "diagonal"]
+    line = ["doc_id", "row", "item_id", "n_words", "form", "diagonal"]
     once = met.groupBy(*line, "item_at").agg(
-        F.max("size").alias("size"),
-        F.max("named").alias("named"),
+        F.min("item_start").alias("begin"),
+        F.max("item_stop").alias("end"),
+        F.min(F.col("start") - F.col("item_start")).alias("shift"),
         F.max_by(F.arrays_zip("item_slots", "slots"), F.col("named").cast("int")).alias("pairs"),
     )
     order = Window.partitionBy(*line).orderBy("item_at")
-    ahead = F.coalesce(F.lead("item_at").over(order) - F.col("item_at"), F.col("size"))
-    covered = once.withColumn("new", F.least(ahead, F.col("size")))
+    covered = once.withColumn("new", F.least(F.lead("begin").over(order), F.col("end")) - F.col("begin"))
     value = lambda x: F.substring_index(x, "\t", -1)
     pairs = F.transform("pairs", lambda x: F.struct(value(x["item_slots"]).alias("x"), value(x["slots"]).alias("y")))
     found = covered.groupBy(*line).agg(
-        F.sum("new").alias("covered"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs")
+        F.sum("new").alias("covered"),
+        F.min("shift").alias("low"),
+        F.max("shift").alias("high"),
+        F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"),
     )
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct("pairs.x")) == n) & (F.size(F.array_distinct("pairs.y")) == n)
     enough = F.col("covered") >= F.least(F.lit(COVERED), F.col("n_words"))
     changed = F.exists("pairs", lambda x: x["x"] != x["y"])
     found = found.where(one_to_one & enough).withColumn("changed", changed)
-    return found.groupBy("doc_id", "row", "item_id", "n_words").agg(
-        F.max("covered").alias("covered"), F.count("*").alias("places"), F.min("changed").alias("changed")
+    found = found.groupBy("doc_id", "row", "item_id", "n_words").agg(
+        F.max("covered").alias("covered"),
+        F.collect_list(F.struct("form", "low", "high")).alias("lines"),
+        F.min("changed").alias("changed"),
     )
+    # A place that both forms have found counts once.
+    twice = lambda x: F.exists("lines", lambda y: (y["form"] == 0) & y["low"].between(x["low"], x["high"]))
+    places = F.size(F.filter("lines", lambda x: (x["form"] == 0) | ~twice(x))).cast("long")
+    return found.select("doc_id", "row", "item_id", "n_words", "covered", places.alias("places"), "changed")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

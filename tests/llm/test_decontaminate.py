@@ -76,3 +76,25 @@ def test_items_of_numbers_are_found_as_exact_copies(spark):
     ]
     found = decontaminate.leaks(documents(spark, rows), bench).collect()
     assert sorted((r.doc_id, r.item_id, r.changed) for r in found) == [(1, 1, False), (2, 2, False)]
+
+
+NAMES = [
+    (1, "Tom has 12 apples. Tom gives 3 to Ann."),
+    (2, "New York is a city where every winter brings 30 days of snow. Then Mary walks 4 km over the bridge to New York again."),
+]
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ("Jim has 15 apples. Jim gives 4 to Eve.", [(1, True, 9, 1)]),
+        (NAMES[0][1], [(1, False, 9, 1)]),
+        ("Jim has 15 apples. Bob gives 4 to Eve.", []),
+        ("Paris is a city where every winter brings 20 days of snow. Then Anna Maria walks 6 km over the bridge to Paris again.", [(2, True, 25, 1)]),
+        (f"{NAMES[1][1]} {NAMES[1][1]}", [(2, False, 25, 2)]),
+    ],
+)
+def test_names_at_starts_and_of_several_words(spark, text, found):
+    bench = spark.createDataFrame(NAMES, "item_id long, text string")
+    rows = decontaminate.leaks(documents(spark, [(7, text)]), bench).collect()
+    assert [(r.item_id, r.changed, r.covered, r.places) for r in rows] == found
