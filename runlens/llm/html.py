@@ -45,14 +45,21 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that are no article text wherever they stand, and names, ids and roles of others.
 _ASIDE = frozenset("nav header footer aside form menu dialog head".split())
-_ASIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline-?links|comments?|comment-?list|cookies?|"
+_ASIDE_WORD = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline-?links|comments?|comment-?list|cookies?|"
     r"consent|disclaimer|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|alert|"
     r"pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|side-?bar|social|"
     r"sponsor\w*|subscribe|widgets?|disqus\w*|contentinfo|complementary|search|toolbar|skip-?link)"
-    r"(?:$|[\s_-])",
-    re.IGNORECASE,
 )
+# What may stand beside such a word in a name of the same meaning.
+_BESIDE = (
+    r"(?:site|page|global|main|primary|secondary|top|bottom|left|right|inner|outer|box|block|container|wrapper|wrap|"
+    r"area|bar|list|links?|icons?|buttons?|form|section|posts?|articles?|items?|slot|unit|\d+)"
+)
+_ASIDE_NAME = re.compile(
+    rf"(?:^|\s)(?:{_BESIDE}[_-]+)*{_ASIDE_WORD}(?:[_-]+(?:{_ASIDE_WORD}|{_BESIDE}))*(?:$|\s)", re.IGNORECASE
+)
+_HEADING = re.compile(r"h[1-6]\Z")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 # What an author marks an article with.
@@ -83,15 +90,64 @@ def _is_aside(name: str, rest: str) -> bool:
         return True
     if not rest or "=" not in rest and "hidden" not in rest:
         return False
-    if _HIDDEN.search(rest):
-        return True
+    return _HIDDEN.search(rest) is not None
+
+
+def _is_named_aside(name: str, rest: str) -> bool:
+    """Whether a whole class, id or role says so; those of headings are made from titles."""
+    if not rest or "=" not in rest or _HEADING.match(name):
+        return False
     return any(_ASIDE_NAME.search(a or b or c) for a, b, c in _NAMES.findall(rest))
 
 
-def steps(page: str) -> Iterator[Step]:
-    """The page as tags and runs of words, each with what surrounds it."""
-    open_: list[tuple[str, bool, bool]] = []  # name, aside, marked, each with what is around it
-    links = 0
+def steps(page: str) -> list[Step]:
+    """The page as tags and runs of words, each with what surrounds it.
+
+    A name of an element that is or holds the article, or most of the words of a page
+    without one, doesn't make it stand aside.
+    """
+    spans: list[_Span] = []
+    found = list(_steps(page, spans, frozenset()))
+    if not any(x.named for x in spans):
+        return found
+    words = [0]
+    for step in found:
+        words.append(words[-1] + step.words)
+    size = lambda x: words[x.end] - words[x.begin]
+    marked = [x for x in spans if x.name in _MARKED]
+    # Of several articles, as in lists of comments, the one with the most words.
+    most = max((x for x in marked if x.name == "article"), key=size, default=None)
+    wanted = [x for x in marked if x.name == "main" or x is most]
+    spared = frozenset(
+        x.at
+        for x in spans
+        if x.named
+        and (any(x.begin <= y.begin and y.end <= x.end for y in wanted) if wanted else 2 * size(x) > words[-1])
+    )
+    return list(_steps(page, [], spared)) if spared else found
+
+
+class _Span:
+    """An article, or an element whose name says that it stands aside: its place and its steps."""
+
+    __slots__ = ("at", "name", "named", "begin", "end")
+
+    def __init__(self, at, name, named, begin):
+        self.at, self.name, self.named, self.begin, self.end = at, name, named, begin, None
+
+
+def _steps(page: str, spans: list[_Span], spared: frozenset[int]) -> Iterator[Step]:
+    """The same, without regard to the names of the elements that begin at the `spared` places."""
+    # Name, aside, marked, each with what is around it; the element's span if it has one.
+    open_: list[tuple[str, bool, bool, _Span | None]] = []
+    links = n = 0
+
+    def close(at):
+        for x in open_[at:]:
+            if x[3] is not None:
+                x[3].end = n
+        del open_[at:]
+
     for part in _PARTS.finditer(page):
         name = part["name"]
         if name:
@@ -102,31 +158,38 @@ def steps(page: str) -> Iterator[Step]:
                 continue  # their end tags are often misplaced
             if name == "p" and not closes or closes and name not in _INLINE:
                 while open_ and open_[-1][0] == "p" and name != "p":
-                    open_.pop()
-            around = open_[-1] if open_ else ("", False, False)
+                    close(-1)
+            around = open_[-1] if open_ else ("", False, False, None)
             if closes:
                 at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
                 if at is not None:
                     around = open_[at]
-                    del open_[at:]
+                    close(at)
             elif name not in _VOID:
-                aside = around[1] or _is_aside(name, part["rest"])
+                named = part.start() not in spared and _is_named_aside(name, part["rest"])
+                own = named or _is_aside(name, part["rest"])
+                aside = around[1] or own
                 if name not in _INLINE or aside and not around[1]:
                     if name == "p" and around[0] == "p":
-                        open_.pop()
-                        outer = open_[-1] if open_ else ("", False, False)
-                        aside = outer[1] or _is_aside(name, part["rest"])
-                    around = (name, aside, around[2] or name in _MARKED)
+                        close(-1)
+                        outer = open_[-1] if open_ else ("", False, False, None)
+                        aside = outer[1] or own
+                    span = _Span(part.start(), name, named, n) if named or name in _MARKED else None
+                    if span is not None:
+                        spans.append(span)
+                    around = (name, aside, around[2] or name in _MARKED, span)
                     open_.append(around)
             cut = name not in _INLINE
             text = " " if name == "br" else ""
+            n += 1
             yield Step(("tag", around[1], name), text, 0, cut, around[1], around[2])
         elif part["text"] is not None:
             text = html.unescape(part["text"])
-            around = open_[-1] if open_ else ("", False, False)
+            around = open_[-1] if open_ else ("", False, False, None)
             kind = "link" if links else around[0]
+            n += 1
             yield Step(("word", around[1], kind), text, len(text.split()), False, around[1], around[2])
-
+    close(0)
 
 def observed(page: str) -> Counter:
     """Counts of (kind, aside, name, content) on a labelled page; empty for other pages."""
@@ -162,7 +225,7 @@ class Weights:
 
 def main_text(page: str, weight: Weights) -> str:
     """The blocks of the best stretch, without what stands aside in it."""
-    found = list(steps(page))
+    found = steps(page)
     best, best_from, best_to = 0.0, 0, 0
     total, begin = 0.0, 0
     for i, step in enumerate(found):

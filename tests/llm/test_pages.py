@@ -66,3 +66,17 @@ def test_extract(spark):
 def test_very_long_page():
     text = "word " * 200_000
     assert html.main_text(f"<nav>menu</nav><p>{text}</p>", PRIOR) == text.strip()
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "layout-sidebar-right", "no-sidebar", "widget", "sidebar"])
+def test_names_of_wrappers_keep_the_article(name):
+    body = "<p>Words of the article stand here and go on.</p><h2 id='related-work'>Related work</h2><p>More of them.</p>"
+    text = "Words of the article stand here and go on.\n\nRelated work\n\nMore of them."
+    aside = "<div class='sidebar'>Buy this</div><section id='comments'><article class='comment'>nice</article></section>"
+    pages = [
+        f"<body><div class='{name}'><article class='post comments-open'>{body}</article></div>{aside}</body>",
+        f"<body><div class='{name}'>{body}</div></body>",
+        f"<body><main><section id='search-methods'>{body}</section></main>{aside}</body>",
+    ]
+    for page in pages:
+        assert html.main_text(page, html.Weights({})) == text
