@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runlens.llm import decontaminate, html, lines, lm, ngram_join, packing, quality, surrogates, tokens, topk
+from runlens.llm import decontaminate, html, lines, lm, negatives, ngram_join, packing, quality, surrogates, tokens, topk
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +62,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", noisy))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
@@ -72,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_hard_negatives": op11_hard_negatives,
 }
