@@ -8,9 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import decontaminate, html, lines, lm, negatives, ngram_join, packing, quality, surrogates, tokens, topk
+from runlens.llm import (
+    alignment,
+    decontaminate,
+    html,
+    lines,
+    lm,
+    negatives,
+    ngram_join,
+    packing,
+    quality,
+    surrogates,
+    token_files,
+    tokens,
+    topk,
+)
+from runlens.session import remove_at_end, scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 # In use, a secret of the user's; here any text does.
 SURROGATE_KEY = "for the registered query"
@@ -68,6 +85,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", noisy))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(read(spark, sf_dir, "documents"), BYTE_VOCABULARY, path, end=2)
+    remove_at_end(spark, path)
+    return token_files.read(spark, path, ids=False)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
@@ -80,4 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_files": op12_token_files,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
