@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,56 +22,137 @@ from runlens.session import remove_at_end, scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
+# Seconds that a decided run is remembered after its last terminal observation.
+KEEP_SEC = 24 * 3600
 
-def first_terminal_stream(stream: DataFrame, rule: Rule = BATCH) -> DataFrame:
+
+def _thin_out(latest_per_run: bool):
+    """Keep, per run and Arrow batch, the start and the first terminal row, and one latest row.
+
+    The start sets the deadline, the first terminal row is the only one that can decide
+    the run, and the latest row of the batch moves the watermark on; so a run with very
+    many rows sends a few of them to the task that keeps its state. `latest_per_run` keeps
+    the last terminal row of each run as well, which tells how long it is remembered.
+    Defined inside a function so that executors need no copy of this package.
+    """
+
+    def thin_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("event_id").fill_null(-(1 << 63)).to_numpy()
+            order = np.lexsort((ids, batch.column("ts_us").to_numpy()))
+            run = batch.column("run_id").dictionary_encode().indices.to_numpy()
+            starts, ends = (
+                batch.column(x).fill_null(False).to_numpy(zero_copy_only=False) for x in ("starts", "terminal")
+            )
+
+            def one_per_run(places):
+                return places[np.unique(run[places], return_index=True)[1]]
+
+            kept = [one_per_run(order[starts[order]]), one_per_run(order[ends[order]]), order[~starts[order]][-1:]]
+            if latest_per_run:
+                kept.append(one_per_run(order[ends[order]][::-1]))
+            yield batch.take(pa.array(np.unique(np.concatenate(kept))))
+
+    return thin_out
+
+
+def _observed(stream: DataFrame, rule: Rule) -> DataFrame:
+    """Observations with their class, whether they end a run, and their time in microseconds."""
+    return stream.select(
+        "run_id", "event_id", "ts", "state",
+        F.unix_micros("ts").alias("ts_us"),
+        rule().alias("outcome"),
+        rule.ends().alias("terminal"),
+        F.lit(False).alias("starts"),
+    ).filter(F.col("run_id").isNotNull() & F.col("ts_us").isNotNull())
+
+
+def _first_terminal_processor(keep_us: int) -> StatefulProcessor:
+    """Per run: its first terminal row so far, reported when it changes, until it has been silent."""
+
+    class FirstTerminalProcessor(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.run = handle.getValueState("run", "first_us BIGINT, first_id BIGINT, last_us BIGINT, timer_ms BIGINT")
+
+        def handleInputRows(self, key, rows, timerValues):
+            order = lambda row: (row.ts_us, row.event_id is not None, row.event_id or 0)
+            ends = [row for row in rows if row.terminal]
+            if not ends:
+                return
+            best, last_us = min(ends, key=order), max(row.ts_us for row in ends)
+            known, watermark_ms = self.run.get(), timerValues.getCurrentWatermarkInMs()
+            # Timers are due after the rows of a batch; what should be gone by now is gone.
+            if known is None or -(-(known[2] + keep_us) // 1000) <= watermark_ms:
+                timer_ms = max(-(-(last_us + keep_us) // 1000), watermark_ms + 1)
+                self.handle.registerTimer(timer_ms)
+                self.run.update((best.ts_us, best.event_id, last_us, timer_ms))
+                yield self.report(key, best)
+                return
+            first_us, first_id, known_us, timer_ms = known
+            better = order(best) < (first_us, first_id is not None, first_id or 0)
+            if better:
+                first_us, first_id = best.ts_us, best.event_id
+                yield self.report(key, best)
+            if better or last_us > known_us:
+                self.run.update((first_us, first_id, max(last_us, known_us), timer_ms))
+
+        def report(self, key, row):
+            return Row(run_id=key[0], outcome=row.outcome, state=row.state, decided_us=row.ts_us, event_id=row.event_id)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            known = self.run.get()
+            if known is None:
+                return
+            # The timer stays where it was while the run went on, and is moved only now.
+            due_ms = -(-(known[2] + keep_us) // 1000)
+            if due_ms > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due_ms)
+                self.run.update((*known[:3], due_ms))
+            else:
+                self.run.clear()
+            yield from ()
+
+        def close(self) -> None:
+            pass
+
+    return FirstTerminalProcessor()
+
+
+def first_terminal_stream(
+    stream: DataFrame, rule: Rule = BATCH, keep_sec: int = KEEP_SEC, delay: str = "0 seconds"
+) -> DataFrame:
     """First terminal observation per run, updated as observations arrive.
 
-    A plain streaming aggregate over the observations that can decide a run: they are
-    reduced before the shuffle, and the state is one row per decided run; runs without a
-    terminal observation take none. Nothing bounds how late an earlier observation of a
-    run may come, so that row is kept for good; `run_outcome_stream` lets go of runs.
     Use output mode update, where the latest row of a run replaces earlier ones, and
-    `with_rocksdb`, which keeps the state on disk.
+    `with_rocksdb`. Only observations that can decide a run are kept: a run has one row of
+    state from its first one on, until `keep_sec` after its last one by the watermark, which
+    follows the latest observation of any run by `delay`. A run that ends again after such
+    a silence is reported anew; rows later than the watermark are dropped. So state grows
+    with the runs that ended within `keep_sec`, not with all that ever did.
     """
-    found = F.min(F.struct("ts", "event_id", *rule.columns))
+    timed = _observed(stream, rule)
+    timed = timed.mapInArrow(_thin_out(True), timed.schema).withWatermark("ts", delay)
     return (
-        stream.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull() & rule.ends())
-        .groupBy("run_id")
-        .agg(found.alias("first"))
-        .select(
-            "run_id",
-            rule("first").alias("outcome"),
-            F.col("first.state").alias("state"),
-            F.col("first.ts").alias("decided_ts"),
-            F.col("first.event_id").alias("event_id"),
+        timed.groupBy("run_id")
+        .transformWithState(
+            statefulProcessor=_first_terminal_processor(keep_sec * MICROS),
+            outputStructType="run_id BIGINT, outcome STRING, state STRING, decided_us BIGINT, event_id BIGINT",
+            outputMode="Update",
+            timeMode="eventTime",
         )
+        .select("run_id", "outcome", "state", F.timestamp_micros("decided_us").alias("decided_ts"), "event_id")
     )
 
 
-def _thin_out():
-    """Keep, per run and Arrow batch, the start, the first terminal row and the latest row.
+def _outcome_processor(timeout_us: int, wait_us: int) -> StatefulProcessor:
+    """Per run: learn its start, wait for a terminal row or the deadline, report once, forget.
 
-    The start sets the deadline, the first terminal row is the only one that can decide
-    the run, the latest moves the watermark on; so a run with very many rows sends a few
-    of them to the task that keeps its state. Defined inside a function so that executors
-    need no copy of this package.
+    Whatever is kept of a run has one timer, at whose time it is reported or forgotten.
     """
 
-    def thin_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            ordered = rows.sort_values(["ts_us", "event_id"])
-            start = ordered[ordered["starts"]].drop_duplicates("run_id", keep="first")
-            first = ordered[ordered["terminal"]].drop_duplicates("run_id", keep="first")
-            last = ordered.drop_duplicates("run_id", keep="last")
-            kept = start.index.union(first.index).union(last.index)
-            yield rows.loc[kept]
-
-    return thin_out
-
-
-def _outcome_processor(output_columns: list[str], timeout_us: int) -> StatefulProcessor:
-    """Per run: learn its start, wait for a terminal row or the deadline, report once, forget."""
-
     class OutcomeProcessor(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
@@ -81,29 +163,30 @@ def _outcome_processor(output_columns: list[str], timeout_us: int) -> StatefulPr
             )
 
         def handleInputRows(self, key, rows, timerValues):
+            known = self.run.get()
+            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known or (None,) * 5 + (False, None)
+            changed = False
+            for row in rows:
+                if row.starts:
+                    if deadline_us is None or row.ts_us + timeout_us < deadline_us:
+                        deadline_us, changed = row.ts_us + timeout_us, True
+                elif row.terminal:
+                    found = (row.ts_us, row.event_id is not None, row.event_id or 0)
+                    if first_us is None or found < (first_us, first_id is not None, first_id or 0):
+                        first_us, first_id, state, outcome = row.ts_us, row.event_id, row.state, row.outcome
+                        changed = True
+            if reported or not changed:
+                return  # nothing changes a run that was reported
             # The watermark has whole milliseconds; timers round up to the next one.
             watermark_ms = timerValues.getCurrentWatermarkInMs()
-            known = self.run.get() if self.run.exists() else (None,) * 5 + (False, None)
-            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known
-            for batch in rows:
-                starts = batch[batch["starts"]]
-                if len(starts):
-                    found = int(starts["ts_us"].min()) + timeout_us
-                    deadline_us = found if deadline_us is None else min(deadline_us, found)
-                deciding = batch[batch["terminal"]]
-                if not len(deciding):
-                    continue
-                best = deciding.sort_values(["ts_us", "event_id"]).iloc[0]
-                found = (int(best["ts_us"]), int(best["event_id"]))
-                if first_us is None or found < (first_us, first_id):
-                    first_us, first_id = found
-                    state = None if pd.isna(best["state"]) else str(best["state"])
-                    outcome = str(best["outcome"])
-            if reported:
-                return  # nothing changes a run that was reported
             if deadline_us is None:
-                # No start yet: the row waits with its run for it.
-                self.run.update((None, first_us, first_id, state, outcome, False, None))
+                # No start yet: the row waits for it, but not for good.
+                if timer_ms is None:
+                    timer_ms = -(-(first_us + wait_us) // 1000)
+                    if timer_ms <= watermark_ms:
+                        return
+                    self.handle.registerTimer(timer_ms)
+                self.run.update((None, first_us, first_id, state, outcome, False, timer_ms))
                 return
             due_us = deadline_us if first_us is None else min(first_us, deadline_us)
             due_ms = -(-due_us // 1000)
@@ -118,9 +201,9 @@ def _outcome_processor(output_columns: list[str], timeout_us: int) -> StatefulPr
             self.run.update((deadline_us, first_us, first_id, state, outcome, False, due_ms))
 
         def report(self, key, deadline_us, first_us, outcome, state):
-            in_time = first_us is not None and first_us <= deadline_us
-            row = (key[0], outcome, first_us, state) if in_time else (key[0], "timeout", deadline_us, None)
-            return pd.DataFrame([row], columns=output_columns)
+            if first_us is not None and first_us <= deadline_us:
+                return Row(run_id=key[0], outcome=outcome, decided_us=first_us, state=state)
+            return Row(run_id=key[0], outcome="timeout", decided_us=deadline_us, state=None)
 
         def keep_until_deadline(self, deadline_us, now_ms, timer_ms):
             """A reported run is remembered for as long as its rows may still come."""
@@ -131,16 +214,17 @@ def _outcome_processor(output_columns: list[str], timeout_us: int) -> StatefulPr
             self.run.update((deadline_us, None, None, None, None, True, forget_ms))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if not self.run.exists():
+            known = self.run.get()
+            if known is None:
                 return
-            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = self.run.get()
+            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known
             if expiredTimerInfo.getExpiryTimeInMs() != timer_ms:
                 return  # an earlier timer, due in the same batch as rows that changed it
-            if reported:
+            if reported or deadline_us is None:
                 self.run.clear()
                 return
             yield self.report(key, deadline_us, first_us, outcome, state)
-            self.keep_until_deadline(deadline_us, expiredTimerInfo.getExpiryTimeInMs(), None)
+            self.keep_until_deadline(deadline_us, timer_ms, None)
 
         def close(self) -> None:
             pass
@@ -154,6 +238,7 @@ def run_outcome_stream(
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
     delay: str = "0 seconds",
     rule: Rule = BATCH,
+    wait_sec: int | None = None,
 ) -> DataFrame:
     """The deciding class or timeout per run, each run reported once (append mode).
 
@@ -162,38 +247,37 @@ def run_outcome_stream(
     reported when the watermark passes its first terminal observation, or its deadline
     start_ts + `timeout_sec` if none came by then; at once if its start arrives after
     that. Observations of a reported run are ignored, and the run is forgotten one
-    timeout after its deadline. Rows that come before their run's start wait for it.
-    Agrees with `run_outcome_at_deadline`. Start the query with `with_rocksdb`.
+    timeout after its deadline. Agrees with `run_outcome_at_deadline`. Start the query with
+    `with_rocksdb`.
+
+    Rows that do not end a run leave no state. Terminal rows that come before their run's
+    start wait for it for `wait_sec` (the timeout, unless said otherwise) after their time,
+    and are then forgotten, as are those of a run that goes on after it was forgotten; a
+    start that comes still later finds none of them. So all state is gone once the watermark
+    has passed it, whatever comes of a run.
 
     The rows of a run are thinned out before they are shuffled.
     """
-    observed = stream.select(
-        "run_id", "event_id", "ts", "state",
-        F.unix_micros("ts").alias("ts_us"),
-        rule().alias("outcome"),
-        rule.ends().alias("terminal"),
-        F.lit(False).alias("starts"),
-    )
+    observed = _observed(stream, rule)
     started = starts.select(
         "run_id",
-        F.lit(-1).cast("long").alias("event_id"),
+        F.lit(None).cast("long").alias("event_id"),
         F.lit(None).cast("timestamp").alias("ts"),
         F.lit(None).cast("string").alias("state"),
         F.unix_micros("start_ts").alias("ts_us"),
         F.lit(None).cast("string").alias("outcome"),
         F.lit(False).alias("terminal"),
         F.lit(True).alias("starts"),
-    )
+    ).filter(F.col("run_id").isNotNull() & F.col("ts_us").isNotNull())
     events = observed.unionByName(started)
-    events = events.filter(F.col("run_id").isNotNull() & F.col("ts_us").isNotNull())
     # Starts have no time of their own in `ts`: they don't move the watermark, and are
     # not dropped as late, since a late start still wants its report.
-    timed = events.mapInPandas(_thin_out(), events.schema).withWatermark("ts", delay)
-    columns = ["run_id", "outcome", "decided_us", "state"]
+    timed = events.mapInArrow(_thin_out(False), events.schema).withWatermark("ts", delay)
+    wait_us = (timeout_sec if wait_sec is None else wait_sec) * MICROS
     return (
         timed.groupBy("run_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_outcome_processor(columns, timeout_sec * MICROS),
+        .transformWithState(
+            statefulProcessor=_outcome_processor(timeout_sec * MICROS, wait_us),
             outputStructType="run_id BIGINT, outcome STRING, decided_us BIGINT, state STRING",
             outputMode="Append",
             timeMode="eventTime",
@@ -237,12 +321,8 @@ def drain(result: DataFrame, mode: str, name: str) -> DataFrame:
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
-    query = (
-        result.writeStream.foreachBatch(save)
-        .outputMode(mode)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = result.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", state)
+    with with_rocksdb(spark):
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(table)

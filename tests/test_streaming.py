@@ -114,6 +114,78 @@ def test_late_rows_and_silence(spark, tmp_path):
     ]
 
 
+def state_rows(result, mode, path):
+    """Rows of state after each micro-batch, and all rows that came out."""
+    out = []
+    query = (
+        result.writeStream.foreachBatch(lambda batch, n: out.extend((n, *r) for r in batch.collect()))
+        .outputMode(mode)
+        .option("checkpointLocation", str(path))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]], out
+
+
+def test_first_terminal_state_is_bounded(spark, tmp_path):
+    """Each hour other runs end; state holds those of the last hours only."""
+    hours, per_hour = 8, 20
+    obs = [
+        (100 * h + i, 100 * h + i, T0 + timedelta(hours=h, minutes=i), "success") for h in range(hours) for i in range(per_hour)
+    ]
+    # Run 0 goes on ending, and so is remembered and not reported again.
+    obs += [(5000 + h, 0, T0 + timedelta(hours=h, minutes=30), "dead") for h in range(hours)]
+    obs.sort(key=lambda r: r[2])
+    result = first_terminal_stream(stream_of(spark, tmp_path / "in", obs, hours), keep_sec=2 * 3600)
+    with with_rocksdb(spark):
+        sizes, found = state_rows(result, "update", tmp_path / "state")
+    # A run has its row and a timer in two tables.
+    assert max(sizes) <= 2 * 4 * per_hour < 2 * hours * per_hour
+    assert sorted(r[1] for r in found) == sorted({r[1] for r in obs})
+    assert [r[2:] for r in found if r[1] == 0] == [("success", "success", T0, 0)]
+
+
+def test_runs_that_end_again_after_silence_are_reported_anew(spark, tmp_path):
+    at = lambda h: T0 + timedelta(hours=h)
+    obs = [(1, 1, at(0), "dead"), (2, 9, at(30), "success"), (3, 1, at(60), "success")]
+    result = first_terminal_stream(stream_of(spark, tmp_path / "in", obs, 3), keep_sec=3600)
+    with with_rocksdb(spark):
+        _, found = state_rows(result, "update", tmp_path / "state")
+    assert [r[2] for r in found if r[1] == 1] == ["failed", "success"]
+
+
+def test_outcome_state_is_empty_in_the_end(spark, tmp_path):
+    """Neither rows whose start never comes nor runs that go on after their report stay."""
+    obs = [(i, i, T0 + timedelta(seconds=i), "success" if i % 2 else "running") for i in range(40)]  # no start
+    # Run 500 has a start, is reported, forgotten, and goes on ending.
+    obs += [(1000 + i, 500, T0 + timedelta(seconds=50 * i), "success") for i in range(20)]
+    obs.sort(key=lambda r: r[2])
+    obs.append((9999, 501, T0 + timedelta(days=1), "running"))
+    runs = spark.createDataFrame([(500, T0), (600, T0)], "run_id BIGINT, start_ts TIMESTAMP")
+    _, started = starts_of(spark, runs, tmp_path / "runs")
+    result = run_outcome_stream(stream_of(spark, tmp_path / "in", obs, 5), started, 60, wait_sec=120)
+    with with_rocksdb(spark):
+        sizes, found = state_rows(result, "append", tmp_path / "state")
+    assert sizes[-1] == 0 < max(sizes)
+    assert sorted(r[1:3] for r in found) == [(500, "success"), (600, "timeout")]
+
+
+def test_rows_wait_for_their_start_only_so_long(spark, tmp_path):
+    at = lambda s: T0 + timedelta(seconds=s)
+    obs = [(1, 1, at(0), "success"), (2, 2, at(5), "success")]
+    obs += [(i, 9, at(s), "running") for i, s in ((3, 50), (4, 300), (5, 900), (6, 950))]
+    # The start of run 2 comes in time, that of run 1 long after its row was forgotten.
+    for part in [(71, at(5000))], [(2, at(0))], [(72, at(5000))], [(73, at(5000))], [(74, at(5000))], [(1, at(0))]:
+        made = spark.createDataFrame(part, "run_id BIGINT, start_ts TIMESTAMP")
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "starts"))
+    started = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "starts"))
+    observed = stream_of(spark, tmp_path / "in", obs, 6)
+    with with_rocksdb(spark):
+        _, found = state_rows(run_outcome_stream(observed, started, 30, wait_sec=100), "append", tmp_path / "state")
+    assert sorted(r[1:4] for r in found) == [(1, "timeout", at(30)), (2, "success", at(5))]
+
+
 def test_provider_setting_is_put_back(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
