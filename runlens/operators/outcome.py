@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from runlens.functions.states import BATCH, Rule
-from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, split_join
+from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, HotKeys, split_join
 from runlens.operators.validate import DEFAULT_POLL_PERIOD_SEC, DEFAULT_TIMEOUT_SEC
 
 MICROS = 1_000_000
@@ -75,39 +75,51 @@ def first_nonempty(obs: DataFrame, field: str, name: str = "value") -> DataFrame
     return found.select("run_id", F.col("first.v").alias(name))
 
 
-def run_outcome(
+def deciding_rows(
     obs: DataFrame,
     runs: DataFrame,
     timeout_sec: int = DEFAULT_TIMEOUT_SEC,
     rule: Rule = BATCH,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """The class of the deciding observation, or timeout or pending, for each run.
-
-    Decided by the first observation that is terminal, or still pending more than
-    `timeout_sec` after the start: a terminal state seen late still counts if no
-    pending one was seen past the timeout before it.
-    """
-    starts = _one_start_per_run(runs)
+    """Observations any of which, as the first of its run, decides it by the rule of `run_outcome`."""
     timed = split_join(
         _timed(obs).select("run_id", "event_id", "ts", *rule.columns),
-        starts,
+        _one_start_per_run(runs),
         "run_id",
         "inner",
         hot_part,
         min_hot_rows,
+        hot,
     )
     late = elapsed_micros(F.col("ts"), F.col("start_ts")) > timeout_sec * MICROS
-    decided = (
-        timed.filter(rule.ends() | late)
-        .groupBy("run_id")
-        .agg(F.min(F.struct("ts", "event_id", *rule.columns)).alias("first"))
-    )
+    return timed.filter(rule.ends() | late)
+
+
+def run_outcome(
+    obs: DataFrame,
+    runs: DataFrame,
+    timeout_sec: int = DEFAULT_TIMEOUT_SEC,
+    rule: Rule = BATCH,
+    hot_part: float = HOT_PART,
+    min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """The class of the deciding observation, or timeout or pending, for each run.
+
+    Decided by the first observation that is terminal, or still pending more than
+    `timeout_sec` after the start: a terminal state seen late still counts if no
+    pending one was seen past the timeout before it.
+    """
+    decided = deciding_rows(obs, runs, timeout_sec, rule, hot_part, min_hot_rows, hot)
+    first = F.min(F.struct("ts", "event_id", *rule.columns)).alias("first")
     kind = rule("first")
     return (
-        starts.select("run_id")
-        .join(decided, "run_id", "left")
+        _one_start_per_run(runs)
+        .select("run_id")
+        .join(decided.groupBy("run_id").agg(first), "run_id", "left")
         .select(
             "run_id",
             F.when(F.col("first").isNull(), "pending")
@@ -128,6 +140,7 @@ def run_outcome_at_deadline(
     rule: Rule = BATCH,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Like `run_outcome`, but the deadline itself ends a run.
 
@@ -146,6 +159,7 @@ def run_outcome_at_deadline(
         "inner",
         hot_part,
         min_hot_rows,
+        hot,
     )
     in_time = elapsed_micros(F.col("ts"), F.col("start_ts")) <= timeout_sec * MICROS
     decided = (
@@ -170,7 +184,11 @@ def run_outcome_at_deadline(
 
 
 def polls_until_done(
-    obs: DataFrame, rule: Rule = BATCH, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS
+    obs: DataFrame,
+    rule: Rule = BATCH,
+    hot_part: float = HOT_PART,
+    min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Observations of each run up to and including the one that decided it.
 
@@ -189,6 +207,7 @@ def polls_until_done(
         "left",
         hot_part,
         min_hot_rows,
+        hot,
     )
     counted = F.col("decision").isNull() | (F.struct("ts", "event_id") <= F.col("decision"))
     return (
@@ -210,6 +229,7 @@ def sample_states(
     rule: Rule = BATCH,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The state each run is in at its start and every `period_sec` up to the timeout.
 
@@ -232,6 +252,7 @@ def sample_states(
         "inner",
         hot_part,
         min_hot_rows,
+        hot,
     )
     waited = elapsed_micros(F.col("ts"), F.col("start_ts")) + F.lit(period - 1)
     poll_no = F.greatest(F.lit(0), F.call_function("div", waited, F.lit(period))).cast("int")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.states import classify_batch
-from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, split_join
+from runlens.operators.skew import HOT_PART, MIN_HOT_ROWS, HotKeys, split_join
 from runlens.operators.validate import ALLOWED_VERIFIERS
 
 # Fixed value: the status a job and an application must end with.
@@ -74,6 +74,7 @@ def verify_jobs(
     app_jobs: DataFrame,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the job-list verdict: passed / failed / malformed / no_app_id, and the first bad job.
 
@@ -81,7 +82,7 @@ def verify_jobs(
     read, or an entry without its fields, is malformed.
     """
     first_bad = _bad_jobs(app_jobs).groupBy("app_id").agg(F.min("bad_job").alias("bad_job"))
-    joined = split_join(runs, first_bad, "app_id", "left", hot_part, min_hot_rows)
+    joined = split_join(runs, first_bad, "app_id", "left", hot_part, min_hot_rows, hot)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_jobs_result()).alias("verdict"),
@@ -95,10 +96,11 @@ def verify_final(
     app_final: DataFrame,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the final-status verdict: passed / failed / malformed (no row) / no_app_id."""
     verdicts = _final_verdicts(app_final).groupBy("app_id").agg(*_final_aggregates())
-    joined = split_join(runs, verdicts, "app_id", "left", hot_part, min_hot_rows)
+    joined = split_join(runs, verdicts, "app_id", "left", hot_part, min_hot_rows, hot)
     return joined.select(
         *runs.columns,
         F.when(F.col("app_id").isNull(), "no_app_id").otherwise(_final_result()).alias("verdict"),
@@ -117,6 +119,7 @@ def reconcile(
     app_final: DataFrame,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Overall result: the run must succeed by itself, then its verifier decides.
 
@@ -147,6 +150,7 @@ def reconcile(
         "left",
         hot_part,
         min_hot_rows,
+        hot,
     )
     final_result = _final_result()
     reason = (
@@ -205,8 +209,9 @@ def select_logs(
     kept: bool = True,
     hot_part: float = HOT_PART,
     min_hot_rows: int = MIN_HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Log rows of the runs that want their logs; with `kept=False`, all the others."""
     chosen = runs.filter(wants_logs(spill_by_default)).select("run_id").distinct()
     how = "left_semi" if kept else "left_anti"
-    return split_join(logs, chosen, "run_id", how, hot_part, min_hot_rows)
+    return split_join(logs, chosen, "run_id", how, hot_part, min_hot_rows, hot)
