@@ -52,24 +52,70 @@ def decode_all_entities(text: Column) -> Column:
     return unescape(text)
 
 
+# Elements whose content is no markup, up to their own closing tag.
+RAW_ELEMENTS = ("script", "style")
+
+# Quoted attribute values count as units: they may hold `>` and `/`.
+_ATTRIBUTES = r"""(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+"""
+_RAW_OPENING = rf"<(?:{'|'.join(RAW_ELEMENTS)})(?=[\s>/]){_ATTRIBUTES}(?<!/)>"
+_TOKEN = "|".join(
+    (
+        r"<!--.*?(?:-->|\z)",
+        r"<!\[CDATA\[.*?(?:\]\]>|\z)",
+        r"<(?:[!?]|/(?![a-z]))[^>]*+(?:>|\z)",
+        # With all that it holds, up to the closing tag, which is a token of its own.
+        *(rf"<{x}(?=[\s>/]){_ATTRIBUTES}(?<!/)>.*?(?=</{x}(?:[\s>/]|\z)|\z)" for x in RAW_ELEMENTS),
+        r"</[a-z][^>]*+(?:>|\z)",
+        rf"<[a-z]{_ATTRIBUTES}>",
+        r"[^<]++",
+        r"<",
+    )
+)
+
+
+def html_tokens(col: Column | str) -> Column:
+    """An HTML document cut into tags, comments and the like, raw elements with their text, and text runs."""
+    return F.regexp_extract_all(as_column(col), F.lit(f"(?is){_TOKEN}"), F.lit(0))
+
+
 def tag_text(col: Column | str, tag: str = "pre", all_entities: bool = False) -> Column:
     """Text of the last `tag` element of an HTML document, NULL without one.
 
     The text of an element runs to the first closing or self-closing tag of any
     name, and of several text runs in it (parted by opening tags or comments) the
-    last one counts. The five basic entities are decoded; `all_entities` decodes
+    last one counts. Scripts and styles are one text run each, in which nothing opens or
+    closes an element and no entity is decoded; comments, CDATA sections and declarations
+    hold no text. The five basic entities are decoded; `all_entities` decodes
     every one, at the price of passing the text found through Python.
+
+    One scan over the document's tokens, inside the JVM, with the element's state and the
+    text found last.
     """
     name = re.escape(tag)
-    # Quoted attribute values count as units: they may hold `>` and `/`.
-    quoted = r"""\"[^\"]*+\"|'[^']*+'"""
-    opening = rf"<{name}(?:\s(?:{quoted}|[^>\"'/]|/(?!>))*+)?>"
-    closing = rf"(?:</[a-z]|<[a-z](?:{quoted}|[^>\"'/]|/(?!>))*+/>|\z)"
-    markup = rf"<(?:{quoted}|[^>\"'])+>"
-    # A comment must neither open an element nor join two runs.
-    no_comments = F.regexp_replace(as_column(col), r"(?s)<!--.*?-->", "<!>")
-    bodies = F.regexp_extract_all(no_comments, F.lit(rf"(?is){opening}(.*?){closing}"), F.lit(1))
-    runs = F.flatten(F.transform(bodies, lambda body: F.split(body, markup)))
-    filled = F.filter(runs, lambda run: run != "")
-    text = F.try_element_at(filled, F.lit(-1))
-    return decode_all_entities(text) if all_entities else decode_basic_entities(text)
+
+    def state(inside: Column, text: Column, raw: Column) -> Column:
+        return F.struct(inside.alias("inside"), text.alias("text"), raw.alias("raw"))
+
+    def step(now: Column, token: Column) -> Column:
+        inside, text, raw = now["inside"], now["text"], now["raw"]
+        is_text = ~token.startswith("<") | (token == "<")
+        opens = token.rlike(rf"(?i)\A<{name}[\s>/]")
+        held = F.regexp_replace(token, rf"(?is)\A{_RAW_OPENING}", "")
+        found = (inside | opens) & (held != "")
+        ends = token.endswith("/>") | token.rlike(r"(?i)\A</[a-z]")
+        return (
+            F.when(is_text, state(inside, F.when(inside, token).otherwise(text), ~inside & raw))
+            .when(token.startswith("<!") | token.startswith("<?"), now)
+            .when(
+                token.rlike(rf"(?is)\A{_RAW_OPENING}"),
+                state(inside | opens, F.when(found, held).otherwise(text), found | raw),
+            )
+            .when(ends, state(F.lit(False), text, raw))
+            .when(opens, state(F.lit(True), text, raw))
+            .otherwise(now)
+        )
+
+    start = state(F.lit(False), F.lit(None).cast("string"), F.lit(False))
+    last = F.aggregate(html_tokens(col), start, step)
+    decoded = decode_all_entities(last["text"]) if all_entities else decode_basic_entities(last["text"])
+    return F.when(last["raw"], last["text"]).otherwise(decoded)
