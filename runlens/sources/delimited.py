@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from runlens.functions.text import quote_name
 
 # Defaults of the delimited reader and writer.
 DEFAULT_SEP = "\t"
@@ -50,6 +54,70 @@ def read_delimited(
     return reader.csv(path)
 
 
+# Columns that a checked scan adds.
+RECORD, REASON, COLUMN = "_record", "_reason", "_column"
+# A text that stands for NULL nowhere, so that an empty field and a missing one differ.
+_NEVER = "\u0000"
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str,
+    header: bool | str | None = None,
+    sep: str | None = None,
+    quote: str | None = None,
+    escape: str | None = None,
+    **options,
+) -> DataFrame:
+    """Scan delimited files and say of each row whether, and why, it is to be rejected.
+
+    Adds `_reason` (NULL for a good row), `_record`, the text of a bad one, and `_column`, the
+    first column it is about. `short_row` and `long_row` have fewer or more fields than the
+    schema, and `_column` is the first one that is missing; a `bad_value` is not of its
+    column's type. Fields of bad rows that could be read are there. An empty field is NULL
+    and fine.
+
+    One scan gives both kinds; only the text of bad rows is looked at again. All columns are
+    read, whichever are wanted, since a row is bad for any of them.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    taken = {RECORD, REASON, COLUMN}.intersection(f.name for f in fields)
+    if taken:
+        raise ValueError(f"columns of these names are added: {sorted(taken)}")
+    found = read_delimited(
+        spark, path, f"{schema}, `{RECORD}` STRING", header, sep, quote, escape,
+        mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD, columnPruning="false", **options,
+    )
+    raw = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(fields) + 1)])
+    same = {"sep": sep or DEFAULT_SEP, "quote": quote or DEFAULT_QUOTE, "escape": escape or DEFAULT_ESCAPE}
+    texts = F.from_csv(RECORD, raw.simpleString()[7:-1].replace(":", " "), {**same, "nullValue": _NEVER, "emptyValue": ""})
+    # Spark looks for bad values in the columns it needs only, so all go in; no hash is below that.
+    names = [F.col(quote_name(f.name)) for f in fields]
+    is_bad = F.col(RECORD).isNotNull() | (F.hash(*names) < F.lit(-(1 << 31)))
+    text = [F.col(f"_texts.f{i}") for i in range(len(fields) + 1)]
+    missing = F.coalesce(*(F.when(text[i].isNull(), F.lit(f.name)) for i, f in enumerate(fields)), F.lit(None))
+    unread = F.coalesce(
+        *(F.when(F.col(quote_name(f.name)).isNull() & (text[i] != ""), F.lit(f.name)) for i, f in enumerate(fields)),
+        F.lit(None),
+    )
+    reason = F.when(text[-1].isNotNull(), "long_row").when(missing.isNotNull(), "short_row").otherwise("bad_value")
+    column = F.when(text[-1].isNotNull(), F.lit(None)).otherwise(F.coalesce(missing, unread))
+    return found.withColumn("_texts", F.when(is_bad, texts)).select(
+        *names, F.when(is_bad, reason).alias(REASON), F.when(is_bad, column).alias(COLUMN), RECORD
+    )
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    """The rows of a checked scan that are as the schema says."""
+    return checked.filter(F.col(REASON).isNull()).drop(RECORD, REASON, COLUMN)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """The text of all others, and what is wrong: (_reason, _column, _record)."""
+    return checked.filter(F.col(REASON).isNotNull()).select(REASON, COLUMN, RECORD)
+
+
 def write_delimited(
     df: DataFrame,
     path: str | None,

@@ -4,7 +4,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from runlens.sources.delimited import clean_options, read_delimited, write_delimited
+from runlens.sources.delimited import clean_options, good_rows, read_checked, read_delimited, rejected_rows, write_delimited
+from runlens.sources.mounts import mount
 from runlens.sources.rows import id_range, literal_column, literal_rows
 from tests.conftest import rows
 
@@ -57,6 +58,34 @@ def test_only_wanted_columns_are_read(spark, tmp_path):
     assert "ReadSchema: struct<b:int>" in plan
 
 
+def test_rejected_rows(spark, tmp_path):
+    text = 'id,name,score\n1,"a,b",1.5\n2,"say \\"x\\"",\n3\nfour,d,1.5\n5,e,none\n6,f,1,extra\n7,,\n8,g\n'
+    path = write(tmp_path / "a.csv", text)
+    checked = read_checked(spark, path, "id INT, name STRING, score DOUBLE", header=True, sep=",")
+    assert rows(good_rows(checked)) == [(1, "a,b", 1.5), (2, 'say "x"', None), (7, None, None)]
+    assert rows(rejected_rows(checked)) == [
+        ("bad_value", "id", "four,d,1.5"), ("bad_value", "score", "5,e,none"), ("long_row", None, "6,f,1,extra"),
+        ("short_row", "name", "3"), ("short_row", "score", "8,g"),
+    ]
+    assert good_rows(checked).select("name").count() == 3  # whichever columns are wanted
+    scans = checked.groupBy("_reason").count()._jdf.queryExecution().executedPlan().toString()
+    assert scans.count("FileScan csv") == 1
+    with pytest.raises(ValueError, match="_reason"):
+        read_checked(spark, path, "_reason STRING")
+
+
+def test_mounted_folders(spark, tmp_path):
+    write(tmp_path / "a.csv", "1,x\n2,y\n")
+    (tmp_path / "out").mkdir()
+    root = mount(spark, "for-a-test", {"in": str(tmp_path), "/results/": f"file://{tmp_path}/out"})
+    assert root == "viewfs://for-a-test"
+    df = read_delimited(spark, f"{root}/in/a.csv", "n INT, t STRING", sep=",")
+    write_delimited(df, f"{root}/results/copy")
+    assert rows(read_delimited(spark, str(tmp_path / "out/copy"), "n INT, t STRING")) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="a b"):
+        mount(spark, "a b", {"in": str(tmp_path)})
+
+
 def test_empty_options_are_dropped():
     assert clean_options({"a": "", "b": None, "c": False, "d": "x"}) == {"c": False, "d": "x"}
 
