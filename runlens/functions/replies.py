@@ -107,36 +107,79 @@ def numeric_id(df: DataFrame, body: str, path: str = "$.id") -> DataFrame:
     )
 
 
+# Job lists as they mostly come: entries of an integer `jobId`, a plain `status`, or one of
+# the two, each once and in either order. What is so is not only JSON, but holds nothing that
+# a typed reader would overlook.
+_SPACE = rf"[{JSON_SPACE}]*+"
+_ID = rf'"jobId"{_SPACE}:{_SPACE}-?+(?:0|[1-9][0-9]{{0,17}}+){_SPACE}'
+_STATUS = rf'"status"{_SPACE}:{_SPACE}"[^"\\\x00-\x1f]*+"{_SPACE}'
+_ENTRY = rf"\{{{_SPACE}(?:{_ID}(?:,{_SPACE}{_STATUS})?+|{_STATUS}(?:,{_SPACE}{_ID})?+)?+\}}{_SPACE}"
+PLAIN_JOBS = rf"\A{_SPACE}\[{_SPACE}(?:{_ENTRY}(?:,{_SPACE}{_ENTRY})*+)?+\]{_SPACE}\z"
+
+
+def shredded_jobs(df: DataFrame, body: str, name: str = "jobs") -> DataFrame:
+    """Add `name`: the entries of a JSON job list as an array of (job_id, status, error).
+
+    NULL for a body that is not a list. The error of an entry is `missing_path` if it lacks
+    `jobId` or `status`, and `bad_job_id` if its `jobId` is not an integer, as it stands:
+    neither a fraction nor a quoted number is taken for one, and it is left out.
+
+    A reply is parsed once: a plain list by a typed reader, straight into these columns, any
+    other as a VARIANT, which also tells lists with text behind them or a repeated key.
+    """
+    missing = lambda job_id, status: job_id.isNull() | status.isNull()
+
+    def entry(job_id: Column, status: Column, error: Column) -> Column:
+        return F.struct(job_id.alias("job_id"), status.alias("status"), error.alias("error"))
+
+    def plain(job: Column) -> Column:
+        absent = F.when(missing(job["jobId"], job["status"]), "missing_path")
+        return entry(job["jobId"], job["status"], absent)
+
+    def other(job: Column) -> Column:
+        job_id, status = (F.try_variant_get(job, path, "variant") for path in ("$.jobId", "$.status"))
+        whole = F.schema_of_variant(job_id) == "BIGINT"
+        error = F.when(missing(job_id, status), "missing_path").when(~whole, "bad_job_id")
+        return entry(
+            F.when(whole, F.try_variant_get(job_id, "$", "bigint")), F.try_variant_get(status, "$", "string"), error
+        )
+
+    typed = F.from_json(F.col(body), "array<struct<jobId: bigint, status: string>>")
+    is_plain = F.coalesce(F.col(body).rlike(PLAIN_JOBS), F.lit(False))
+    made = df.withColumn("_plain", F.when(is_plain, typed)).withColumn(
+        "_other", F.when(F.col("_plain").isNull(), F.col(body))
+    )
+    made = with_parsed(made, "_other", "[", "]")
+    jobs = F.coalesce(
+        F.transform("_plain", plain),
+        F.transform(F.try_variant_get(F.col("_parsed"), "$[0]", "array<variant>"), other),
+    )
+    return made.withColumn(name, jobs).drop("_plain", "_other", "_parsed")
+
+
 def explode_jobs(df: DataFrame, body: str) -> DataFrame:
     """One row per job of a JSON job list: `job_pos`, `job_id`, `status`, `error`.
 
-    An empty list gives no row. A body that is not a list gives one `malformed`
-    row, and an entry without `jobId` or `status` is a `missing_path` row.
+    An empty list gives no row, a body that is not a list one `malformed` row; the errors of
+    entries are those of `shredded_jobs`.
     """
-    parsed, job = F.col("_parsed"), F.col("_job")
-    jobs = F.try_variant_get(parsed, "$[0]", "array<variant>")
     # Outer, with empty lists dropped after it: a plain explode would have Spark
     # check for empty lists ahead of it, which means parsing each body again.
-    exploded = (
-        with_parsed(df, body, "[", "]")
-        .withColumn("_jobs", jobs)
+    return (
+        shredded_jobs(df, body, "_jobs")
         .select(
             *df.columns,
             F.col("_jobs").isNull().alias("_bad"),
             F.posexplode_outer("_jobs").alias("job_pos", "_job"),
         )
         .filter("_bad OR job_pos IS NOT NULL")
-    )
-    absent = (
-        F.try_variant_get(job, "$.jobId", "variant").isNull()
-        | F.try_variant_get(job, "$.status", "variant").isNull()
-    )
-    return exploded.select(
-        *df.columns,
-        "job_pos",
-        F.try_variant_get(job, "$.jobId", "bigint").alias("job_id"),
-        F.try_variant_get(job, "$.status", "string").alias("status"),
-        F.when(F.col("_bad"), "malformed").when(absent, "missing_path").alias("error"),
+        .select(
+            *df.columns,
+            "job_pos",
+            "_job.job_id",
+            "_job.status",
+            F.when(F.col("_bad"), "malformed").otherwise(F.col("_job.error")).alias("error"),
+        )
     )
 
 

@@ -178,6 +178,18 @@ ORACLE: dict[str, str] = {
     "scan_csv_infer": """SELECT CAST(o_orderkey AS INTEGER) AS _c0, CAST(o_custkey AS INTEGER) AS _c1,
         o_orderstatus AS _c2, o_totalprice AS _c3, o_orderdate AS _c4, o_orderpriority AS _c5
         FROM orders""",
+    "scan_rejects": """WITH kinds AS (SELECT *, c_custkey % 10 AS kind,
+                concat_ws(',', c_custkey, c_name, c_nationkey) AS head FROM customer)
+        SELECT CASE kind WHEN 1 THEN 'short_row' WHEN 2 THEN 'long_row' WHEN 3 THEN 'bad_value' END AS reason,
+            CASE kind WHEN 1 THEN 'c_acctbal' WHEN 3 THEN 'c_nationkey' END AS "column",
+            count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys,
+            min(CASE kind WHEN 1 THEN head WHEN 2 THEN concat_ws(',', head, c_acctbal, c_mktsegment, 'more')
+                WHEN 3 THEN concat_ws(',', c_custkey, c_name, 'none', c_acctbal, c_mktsegment) END) AS example
+        FROM kinds GROUP BY 1, 2""",
+    "scan_good_rows": """SELECT c_custkey, CASE WHEN c_custkey % 10 <> 4 THEN c_name END AS c_name, c_nationkey,
+            CASE WHEN c_custkey % 10 <> 4 THEN c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % 10 NOT IN (1, 2, 3)""",
+    "sink_mounted": """SELECT *, CASE WHEN o_orderstatus = 'F' THEN CAST(2 AS BIGINT) ELSE 1 END AS n FROM orders""",
     "sink_csv_roundtrip": "SELECT * FROM orders",
     "sink_append_twice": "SELECT *, 2 AS n FROM orders",
     "sink_ignore_existing": "SELECT * FROM orders",
@@ -343,7 +355,8 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, 0 AS job_pos, CAST(l_linenumber AS BIGINT) AS job_id,
             'SUCCEEDED' AS status, NULL AS error FROM kinds WHERE kind IN ('AO', 'AF', 'NO')
         UNION ALL
-        SELECT l_orderkey, l_linenumber, 1, l_partkey, 'FAILED', NULL FROM kinds WHERE kind = 'AO'
+        SELECT l_orderkey, l_linenumber, 1, CASE WHEN l_linenumber NOT IN (6, 7) THEN l_partkey END, 'FAILED',
+            CASE WHEN l_linenumber IN (6, 7) THEN 'bad_job_id' END FROM kinds WHERE kind = 'AO'
         UNION ALL
         SELECT l_orderkey, l_linenumber, 1, NULL, 'SUCCEEDED', 'missing_path' FROM kinds WHERE kind = 'NO'
         UNION ALL
@@ -359,17 +372,19 @@ ORACLE: dict[str, str] = {
                 WHEN {batch_class('d.state')} = 'pending' THEN 'timeout' ELSE {batch_class('d.state')} END AS own
             FROM starts s LEFT JOIN decided d USING (run_id)),
         lists AS (SELECT l_orderkey AS app_id,
-                bool_or(l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linestatus = 'O')) AS unread,
+                bool_or(l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linestatus = 'O')
+                    OR (l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber IN (6, 7))) AS unread,
                 bool_or(l_returnflag = 'A' AND l_linestatus = 'O') AS failed
             FROM lineitem GROUP BY 1),
-        reasons AS (SELECT r.run_id, o.own, r.spill_logs, f.final_status, CASE WHEN o.own = 'pending' THEN NULL
-                WHEN o.own = 'timeout' THEN 'timeout' WHEN o.own <> 'success' THEN 'run_failed'
+        reasons AS (SELECT r.run_id, r.own, r.spill_logs, f.final_status, CASE WHEN r.own = 'pending' THEN NULL
+                WHEN r.own = 'timeout' THEN 'timeout' WHEN r.own <> 'success' THEN 'run_failed'
                 WHEN r.verify_in IS NULL THEN NULL WHEN r.app_id IS NULL THEN 'no_app_id'
                 WHEN r.verify_in = 'spark' AND l.unread THEN 'bad_jobs_reply'
                 WHEN r.verify_in = 'spark' AND l.failed THEN 'bad_job'
                 WHEN r.verify_in = 'yarn' AND f.app_id IS NULL THEN 'no_final_status'
                 WHEN r.verify_in = 'yarn' AND f.final_status <> 'SUCCEEDED' THEN 'bad_final_status' END AS reason
-            FROM settings r JOIN owns o USING (run_id) LEFT JOIN lists l ON r.app_id = l.app_id
+            FROM (SELECT s.*, coalesce(o.own, 'pending') AS own FROM settings s LEFT JOIN owns o USING (run_id)) r
+                LEFT JOIN lists l ON r.app_id = l.app_id
                 LEFT JOIN app_final f ON r.app_id = f.app_id),
         results AS (SELECT *, CASE WHEN own = 'pending' THEN 'pending' WHEN reason IS NULL THEN 'success'
                 ELSE 'failed' END AS outcome FROM reasons),
@@ -448,6 +463,15 @@ ORACLE: dict[str, str] = {
     "html_tag_text": f"""SELECT page_id, {_tag_text('title')} AS title, {_tag_text('p')} AS last_p,
             {_tag_text('h1')} AS heading
         FROM pages""",
+    "html_raw_text": f"""SELECT page_id, {_tag_text('h1')} AS heading, 'a < "<h1>no</h1>" &amp;' AS script,
+            '<p>no</p>' AS style, CAST(NULL AS VARCHAR) AS pre
+        FROM pages""",
+    "paginate_unnumbered": """WITH numbered AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS run_id,
+                event_type || ' ' || event_id AS line, ts, event_id FROM events),
+            placed AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) - 1 AS pos FROM numbered)
+        SELECT run_id, CAST(pos // 100 * 100 AS BIGINT) AS "from", CAST(count(*) AS INTEGER) AS n_lines,
+            string_agg(line, chr(10) ORDER BY pos) AS log_text
+        FROM placed GROUP BY run_id, pos // 100""",
     "stream_first_terminal": f"SELECT * FROM ({FIRST_TERMINAL_ROWS}) WHERE outcome <> 'pending'",
     # A drained stream has seen time pass up to its last whole millisecond.
     "stream_run_outcome": f"""SELECT * FROM ({_deadline_outcomes()})

@@ -24,14 +24,16 @@ from runlens.functions.states import (
     classify_statement,
 )
 from runlens.functions.text import path_safe, tag_text
-from runlens.operators import logs, outcome, scripts, verify
+from runlens.operators import history, logs, outcome, scripts, verify
 from runlens.operators.join_files import FileInput, JoinJob, join_two_files, preview
+from runlens.operators.skew import HotKeys
 from runlens.operators.validate import split_valid, validate
 from runlens.plans import tables
 from runlens.plans.sql import run_script, run_sql
 from runlens.plans.tables import NTZ_FORMAT, ddl_of, staged_text, table
 from runlens.session import remove_at_end, scratch_path
-from runlens.sources.delimited import read_delimited, register, write_delimited
+from runlens.sources.delimited import good_rows, read_checked, read_delimited, register, write_delimited
+from runlens.sources.mounts import mount
 from runlens.sources.rows import id_range, literal_column, literal_rows
 from runlens.streaming.outcome import (
     drain,
@@ -44,6 +46,10 @@ from runlens.streaming.outcome import (
 RUN_TIMEOUT_SEC = 12 * 3600
 SAMPLE_PERIOD_SEC = 6 * 3600
 SAMPLE_TIMEOUT_SEC = 10 * 24 * 3600
+# Lines of a run that are numbered in one task, low enough for small tables to have more.
+NUMBERED_ROWS = 1000
+# Users are silent for weeks, and come back as the runs that they were.
+STREAM_KEEP_SEC = 40 * 24 * 3600
 
 
 # --- delimited files -------------------------------------------------------
@@ -101,6 +107,37 @@ def sink_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, ddl_of(orders), header=False, **NTZ_FORMAT)
 
 
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as text, some lines short, long or with a word for a number: counts by reason."""
+    path, schema = tables.damaged_customers(spark, sf_dir)
+    checked = read_checked(spark, path, schema, sep=",")
+    return checked.groupBy(F.col("_reason").alias("reason"), F.col("_column").alias("column")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("c_custkey").alias("keys"),
+        F.min("_record").alias("example"),
+    )
+
+
+def scan_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, schema = tables.damaged_customers(spark, sf_dir)
+    return good_rows(read_checked(spark, path, schema, sep=","))
+
+
+def sink_mounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out to one file system and back in through another scheme, and the other way round."""
+    orders, store = table(spark, sf_dir, "orders"), _scratch(spark, "store")
+    for folder in ("in", "out"):
+        write_delimited(orders.limit(0), f"{store}/{folder}/empty")
+    root = mount(spark, store.rsplit("-", 1)[1], {"orders/in": f"{store}/in", "joined": f"{store}/out"})
+    write_delimited(orders, f"{store}/in/plain", header=True, **NTZ_FORMAT)
+    schema = ddl_of(orders)
+    seen = read_delimited(spark, f"{root}/orders/in/plain", schema, header=True, **NTZ_FORMAT)
+    write_delimited(seen, f"{root}/joined/copy", **NTZ_FORMAT)
+    write_delimited(seen.filter("o_orderstatus = 'F'"), f"{root}/joined/copy", mode="append", **NTZ_FORMAT)
+    copies = read_delimited(spark, f"{store}/out/copy", schema, **NTZ_FORMAT)
+    return copies.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     path = scratch_path(spark, name)
     remove_at_end(spark, path)
@@ -487,9 +524,6 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From replies to kept logs: state replies and timeouts, job lists, final statuses, log lines."""
     replies = parse_replies(tables.responses(spark, sf_dir), "body", {"reported": ("$.state", "string")})
     obs = replies.select("run_id", "event_id", "ts", F.coalesce("error", "reported").alias("state"))
-    own = outcome.run_outcome(obs, tables.run_starts(spark, sf_dir), RUN_TIMEOUT_SEC)
-    settings = tables.runs(spark, sf_dir).drop("state")
-    runs = settings.join(own.select("run_id", F.col("outcome").alias("own")), "run_id")
     lists = explode_jobs(tables.job_list_replies(spark, sf_dir), "body")
     jobs = lists.select(
         F.col("l_orderkey").alias("app_id"),
@@ -498,10 +532,18 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         "status",
         "error",
     )
-    result = verify.reconcile(runs, jobs, tables.app_final(spark, sf_dir))
-    kept = verify.select_logs(result, tables.run_logs(spark, sf_dir))
-    lines = kept.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    return result.join(lines, "run_id", "left").select("run_id", "own", "outcome", "reason", "bad_status", "n_lines")
+    runs = tables.runs(spark, sf_dir)
+    return history.run_verdicts(
+        runs,
+        tables.run_starts(spark, sf_dir),
+        obs,
+        jobs,
+        tables.app_final(spark, sf_dir),
+        tables.run_logs(spark, sf_dir),
+        RUN_TIMEOUT_SEC,
+        hot_runs=HotKeys.find(tables.observations(spark, sf_dir), key="run_id"),
+        hot_apps=HotKeys.find(runs, key="app_id"),
+    )
 
 
 def json_explode_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -570,11 +612,43 @@ def html_tag_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with headings in scripts, styles, comments and CDATA sections around them, which are none."""
+    html = F.concat(
+        F.lit("<SCRIPT type='a>b'>var a = \"<pre>no</pre>\";</SCRIPT><!-- <h1>no</h1> -->"),
+        "html",
+        F.lit("<style><p>no</p></style><![CDATA[<h1>no</h1>]]><!-- <pre>no</pre> --><!x <h1>"),
+        F.lit('<script>a < "<h1>no</h1>" &amp;</script><style/>'),
+    )
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        tag_text(html, "h1").alias("heading"),
+        tag_text(html, "script").alias("script"),
+        tag_text(html, "style").alias("style"),
+        tag_text(html, "pre").alias("pre"),
+    )
+
+
+def paginate_unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in order of time; one run has a third of them, and is cut into ranges where that is many."""
+    event_id = F.col("event_id")
+    lines = table(spark, sf_dir, "events").select(
+        F.when(event_id % 3 == 0, 0).otherwise(F.col("user_id")).alias("run_id"),
+        "ts",
+        "event_id",
+        F.concat_ws(" ", "event_type", event_id.cast("string")).alias("line"),
+    )
+    pages = logs.paginate(lines, ["run_id"], ["ts", "event_id"], min_hot_rows=NUMBERED_ROWS)
+    return pages.select(
+        "run_id", "from", F.size("log").alias("n_lines"), F.array_join("log", "\n").alias("log_text")
+    )
+
+
 # --- streams -----------------------------------------------------------------
 
 
 def stream_first_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = first_terminal_stream(tables.observation_stream(spark, sf_dir))
+    decided = first_terminal_stream(tables.observation_stream(spark, sf_dir), keep_sec=STREAM_KEEP_SEC)
     with with_rocksdb(spark):
         updates = drain(decided, "update", "first-terminal")
     row = F.max_by(F.struct("outcome", "state", "decided_ts", "event_id"), "batch_id").alias("r")
@@ -591,7 +665,7 @@ def stream_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
         "run_id", F.col("start_ts").cast("timestamp").alias("start_ts")
     )
     path = _scratch(spark, "starts")
-    starts.coalesce(1).write.parquet(path)
+    starts.write.parquet(path)
     started = spark.readStream.schema(starts.schema).parquet(path)
     observed = tables.observation_stream(spark, sf_dir)
     decided = run_outcome_stream(observed, started, RUN_TIMEOUT_SEC)
@@ -605,9 +679,12 @@ def stream_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_csv_schema": scan_csv_schema,
     "scan_csv_infer": scan_csv_infer,
+    "scan_rejects": scan_rejects,
+    "scan_good_rows": scan_good_rows,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_append_twice": sink_append_twice,
     "sink_ignore_existing": sink_ignore_existing,
+    "sink_mounted": sink_mounted,
     "join_two_files": join_two_files_query,
     "join_renamed": join_renamed,
     "join_diff_keys": join_diff_keys,
@@ -656,12 +733,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compact_session_json": compact_session_json,
     "paginate_lines": paginate_lines_query,
     "paginate_full_pages": paginate_full_pages,
+    "paginate_unnumbered": paginate_unnumbered,
     "page_counts": page_counts_query,
     "page_counts_empty_logs": page_counts_empty_logs,
     "assemble_log_lines": assemble_log_lines,
     "log_completeness": log_completeness,
     "unescape_lines": unescape_lines_query,
     "html_tag_text": html_tag_text,
+    "html_raw_text": html_raw_text,
     "stream_first_terminal": stream_first_terminal,
     "stream_run_outcome": stream_run_outcome,
 }

@@ -12,6 +12,9 @@ from runlens.sources.delimited import write_delimited
 # Rows of one log page where whole logs are short.
 SHORT_PAGE = 10
 
+# Rows in a file of a stream's micro-batch, about.
+FILE_ROWS = 5000
+
 # Written and read with all digits, so that text keeps the exact time.
 NTZ_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -39,6 +42,31 @@ def ddl_of(df: DataFrame) -> str:
     return ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def damaged_customers(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Customers as comma-separated text, three lines of ten damaged, and their schema.
+
+    Some lack their last fields, some have one more, some a word where a number belongs.
+    """
+    customer = table(spark, sf_dir, "customer")
+    kind, key = F.col("c_custkey") % 10, F.col("c_custkey").cast("string")
+    balance, nation = F.col("c_acctbal").cast("string"), F.col("c_nationkey").cast("string")
+    whole = F.concat_ws(",", key, "c_name", nation, balance, "c_mktsegment")
+    line = (
+        F.when(kind == 1, F.concat_ws(",", key, "c_name", nation))
+        .when(kind == 2, F.concat_ws(",", whole, F.lit("more")))
+        .when(kind == 3, F.concat_ws(",", key, "c_name", F.lit("none"), balance, "c_mktsegment"))
+        .when(kind == 4, F.concat_ws(",", key, F.lit(""), nation, F.lit(""), "c_mktsegment"))
+        .otherwise(whole)
+    )
+    name = (spark.sparkContext.applicationId, sf_dir, "damaged customers")
+    if name not in _staged:
+        path = scratch_path(spark, "text-damaged")
+        customer.select(line).write.text(path)
+        remove_at_end(spark, path)
+        _staged[name] = path
+    return _staged[name], ddl_of(customer)
+
+
 def event_state(event_type: Column | str = "event_type") -> Column:
     """Events read as states a run was seen in."""
     kind = F.col(event_type) if isinstance(event_type, str) else event_type
@@ -65,7 +93,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observation_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
     """The same observations as a stream of `batches` micro-batches, in order of time."""
     events = table(spark, sf_dir, "events")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    parts = [(i + 1) / batches for i in range(batches - 1)]
+    n, cuts = events.agg(F.count(F.lit(1)), F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), parts)).first()
+    # Files of a micro-batch: as many as there are tasks, if none is left empty.
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // (batches * FILE_ROWS)))
     path = scratch_path(spark, "observations")
     remove_at_end(spark, path)
     observed = events.select(
@@ -74,25 +105,26 @@ def observation_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> Da
         F.col("ts").cast("timestamp").alias("ts"),
         event_state().alias("state"),
     )
-    step = (last - first) / batches if first else None
-    for i in range(batches if first else 1):
+    at = F.unix_micros("ts")
+    for low, high in zip([None, *(cuts or [])], [*(cuts or []), None]):
         part = observed
-        if first and i:
-            part = part.filter(F.col("ts") >= F.lit(first + i * step).cast("timestamp"))
-        if first and i < batches - 1:
-            part = part.filter(F.col("ts") < F.lit(first + (i + 1) * step).cast("timestamp"))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(observed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        if low is not None:
+            part = part.filter(at > low)
+        if high is not None:
+            part = part.filter(at <= high)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(observed.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def run_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, start_ts): users start with their first event, customers without any with the first of all."""
     events = table(spark, sf_dir, "events")
-    seen = events.filter("user_id IS NOT NULL").groupBy(F.col("user_id").alias("run_id"))
-    seen = seen.agg(F.min("ts").alias("start_ts"))
-    silent = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id")).distinct()
-    silent = silent.join(seen, "run_id", "left_anti").join(events.agg(F.min("ts").alias("start_ts")))
-    return seen.unionByName(silent)
+    known = events.select(F.col("user_id").alias("run_id"), "ts").unionByName(
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id")), allowMissingColumns=True
+    )
+    seen = known.filter("run_id IS NOT NULL").groupBy("run_id").agg(F.min("ts").alias("seen_ts"))
+    first = events.agg(F.min("ts").alias("first_ts"))
+    return seen.join(F.broadcast(first)).select("run_id", F.coalesce("seen_ts", "first_ts").alias("start_ts"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,10 +210,12 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_list_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job lists of up to two jobs: some cut short, no list, incomplete, or with text behind."""
+    """Job lists of up to two jobs: some cut short, no list, incomplete, with text behind, or without a proper id."""
     flag = F.col("l_returnflag")
     first = F.concat(F.lit('{"jobId": '), F.col("l_linenumber"), F.lit(', "status": "SUCCEEDED"}'))
-    second = F.concat(F.lit('{"jobId": '), F.col("l_partkey"), F.lit(', "status": "FAILED"}'))
+    number = F.col("l_linenumber")
+    job_id = F.when(number == 7, '"7"').when(number == 6, "6.5").otherwise(F.col("l_partkey").cast("string"))
+    second = F.concat(F.lit('{"jobId": '), job_id, F.lit(', "status": "FAILED"}'))
     nameless = F.lit('{"status": "SUCCEEDED"}')
     both = F.concat(F.lit("["), first, F.lit(", "), second, F.lit("]"))
     status = F.col("l_linestatus")

@@ -34,9 +34,9 @@ def test_session_states(spark):
         ("waiting", None, "pending"),
         ("running", "ok", "pending"),
         ("available", "ok", "success"),
-        ("available", "something", "failed"),
+        ("available", "partly", "failed"),
         ("available", None, "malformed"),
-        ("IDK", "ok", "failed"),
+        ("paused", "ok", "failed"),
         (None, "ok", "failed"),
     ],
 )

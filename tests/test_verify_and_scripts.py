@@ -135,7 +135,7 @@ def test_second_statement_fails(spark):
     df = spark.createDataFrame(
         [(1, 0, "available", "ok"), (1, 1, "available", "error"), (1, 2, "available", "ok"),
          (2, 0, "available", "ok"), (2, 1, "running", None),
-         (3, 0, "IDK", "ok"), (3, 1, "available", "ok"),
+         (3, 0, "paused", "ok"), (3, 1, "available", "ok"),
          (4, 0, "available", None), (4, 1, "available", "ok")],
         DDL,
     )
