@@ -23,7 +23,7 @@ from runlens.llm.words import DIGIT, LETTER, is_capital, mixed, tokens_of, windo
 # Words of a window, and how many of an item's words must be matched (all, if it has fewer).
 WORDS = 8
 COVERED = 13
-# Items of fewer words are found anywhere by chance and match nothing.
+# Items of fewer words are found anywhere by chance, and count only as a whole line or sentence.
 LEAST_WORDS = 5
 # Least share of a window that must not be placeholders; others are compared by their values.
 LITERAL = 0.5
@@ -58,10 +58,11 @@ def templates(texts: list[str]):
         ends = np.isin(found.points, np.array([ord(c) for c in ".!?:\n"], np.uint32))
         # Sentence ends before each token; a point inside a number is none.
         before = np.concatenate([[0], np.cumsum(ends)])[found.starts]
+        line = np.concatenate([[0], np.cumsum(found.points == 10)])[found.starts]
         place = np.flatnonzero(word)
         starts, stops, hashes = found.starts[place], found.ends[place], found.hashes[place]
         raw, hashes = hashes, hashes.copy()
-        number, before = number[place], before[place]
+        number, before, line = number[place], before[place], line[place]
         after_number = np.concatenate([[False], number[:-1]])
         unit = after_number & ~number & _is_unit(hashes)
         hashes[number], hashes[unit] = _NUMBER, _UNIT
@@ -86,6 +87,7 @@ def templates(texts: list[str]):
             part = slice(first[i], first[i + 1])
             slots = (number | unit)[part]
             text = _Text(found.text, starts[part], stops[part], hashes[part], named[part], raw[part], slots, name[part])
+            text.parts = [before[part], line[part]]
             part = slice(first_head[i], first_head[i + 1])
             head, tail = heads[part], tails[part]
             slots = (number | unit)[head]
@@ -97,7 +99,10 @@ def templates(texts: list[str]):
 
 
 class _Text:
-    """One text's words: where they stand, both templates and the words, and which are placeholders."""
+    """One text's words: where they stand, both templates and the words, and which are placeholders.
+
+    `parts` has the number of each word's sentence and of its line.
+    """
 
     def __init__(self, text, starts, stops, plain, named, raw, slots, names):
         self.text, self.starts, self.stops = text, starts, stops
@@ -122,6 +127,19 @@ class _Text:
         hashes = np.concatenate([hashes, windows(self.named, size)[b]]) ^ mixed(np.array([kind]))
         return np.concatenate([np.arange(n), b]), hashes, np.repeat([False, True], [n, len(b)])
 
+    def whole(self, size: int):
+        """(position, hash, False) of every line or sentence of so many words, by the words themselves.
+
+        A single word counts as a line only.
+        """
+        at = [np.zeros(0, np.int64)]
+        for part in self.parts if size > 1 else self.parts[1:]:
+            starts = np.flatnonzero(np.diff(part, prepend=-1))
+            at.append(starts[np.diff(starts, append=len(part)) == size])
+        at = np.unique(np.concatenate(at))
+        hashes = windows(self.raw, size)[at] if len(at) else np.zeros(0, np.uint64)
+        return at, hashes ^ mixed(np.array([size + 512], np.uint64)), np.zeros(len(at), bool)
+
     def values(self, at: int, size: int, with_names: bool) -> list[str]:
         """What stands behind the placeholders of a window, as place in it and value."""
         part = slice(at, at + size)
@@ -172,7 +190,10 @@ _WINDOW = "window long, at int, named boolean, size int, slots array<string>, fo
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """Every window of every item in both forms; an item of fewer words is one window."""
+    """Every window of every item in both forms; an item of fewer words is one window.
+
+    One of very few words is a window of a third form, which whole lines and sentences have.
+    """
 
     def run(batches):
         for batch in batches:
@@ -183,6 +204,9 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
                     for at, window, named in zip(*(x.tolist() for x in text.windows(size)), strict=True):
                         slots = text.values(at, size, named)
                         out.append((item, n, window, at, named, size, slots, 0, at, at + size))
+                elif size:
+                    window = int(windows(text.raw, size)[0] ^ mixed(np.array([size + 512], np.uint64))[0])
+                    out.append((item, n, window, 0, False, size, [], 2, 0, size))
                 joined = text.joined
                 size = min(WORDS, len(joined.plain))
                 if size >= LEAST_WORDS and joined.names.any():
@@ -225,13 +249,14 @@ def _document_windows(docs: DataFrame, bits, sizes: list[tuple[int, int]]) -> Da
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             for name, row, text in zip(ids, rows, templates(texts_of(batch)), strict=True):
                 for form, size in sizes:
-                    of = text.joined if form else text
-                    at, found, named = of.windows(size)
+                    of = text.joined if form == 1 else text
+                    at, found, named = of.whole(size) if form == 2 else of.windows(size)
                     place = found & mask
                     hit = bits.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
                     for k, window, n in zip(at[hit].tolist(), found[hit].tolist(), named[hit].tolist(), strict=True):
-                        start, stop = (int(of.words[k]), int(of.words[k + size])) if form else (k, k + size)
-                        out.append((name, row, window, k, n, size, of.values(k, size, n), form, start, stop))
+                        start, stop = (int(of.words[k]), int(of.words[k + size])) if form == 1 else (k, k + size)
+                        slots = [] if form == 2 else of.values(k, size, n)
+                        out.append((name, row, window, k, n, size, slots, form, start, stop))
             yield _batch(out, ["doc_id", "row"], [pa.int64(), pa.int64()])
 
     return docs.mapInArrow(run, f"doc_id long, row long, {_WINDOW}")
@@ -286,8 +311,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     `covered` is how many of the item's `n_words` words the best place has, at least
     COVERED or all; `places` at how many places; `changed` whether every place has other
-    values. Documents without any give no row. NULL, empty and wordless texts, and items
-    of fewer than LEAST_WORDS words, match nothing. A NULL doc_id or item_id is kept; rows that agree in doc_id and text
+    values. Documents without any give no row. NULL, empty and wordless texts match nothing;
+    items of fewer than LEAST_WORDS words match lines and sentences that have just these words, and
+    an item of one word lines only. A NULL doc_id or item_id is kept; rows that agree in doc_id and text
     count once, and so do equal items with one id. Other columns are ignored.
 
     Documents are read once, whole; only windows that pass a filter of fixed size are

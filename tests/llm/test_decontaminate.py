@@ -24,6 +24,10 @@ def benchmark(spark):
         ("A farmer named Alice has 12 apples and gives 12 apples to Bob before walking 12 km home with 12 apples.", []),
         ("here: six plain, words stand right HERE!", [(2, False)]),
         ("it was too short for all of us", []),
+        ("First line\n - Too short -\nanother", [(3, False)]),
+        ("Was it long? TOO, short! So they say.", [(3, False)]),
+        ("too short", [(3, False)]),
+        ("too short they say. It is too short", []),
         ("A farmer has apples and gives some apples to others before walking home", []),
         ("A farmer named Alice has 12 apples and", []),
         ("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17", []),
@@ -34,6 +38,13 @@ def test_items_in_texts(spark, benchmark, text, found):
     assert [(r.item_id, r.changed) for r in rows] == found
 
 
+def test_items_of_one_word_are_lines(spark):
+    benchmark = spark.createDataFrame([(1, "Photosynthesis"), (2, "42")], "item_id long, text string")
+    rows = [(1, "a\nphotosynthesis.\nb"), (2, "It is. Photosynthesis. Yes."), (3, "42"), (4, "It is 42"), (5, "43")]
+    found = decontaminate.leaks(documents(spark, rows), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.covered) for r in found) == [(1, 1, 1), (3, 2, 1)]
+
+
 def test_odd_rows(spark, benchmark):
     docs = documents(spark, [*ODD_ROWS, (None, ITEM), (1, ITEM), (1, ITEM), (1, "other text"), (2, f"{ITEM} {ITEM}")])
     found = decontaminate.leaks(docs, benchmark).collect()
