@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from runlens.llm.chunks import Pieces
 from runlens.llm.shared import pick, stored, text_batches, texts_of
 from runlens.llm.token_files import can_be_cut
-from runlens.llm.tokens import _byte_symbols
+from runlens.llm.tokens import byte_symbols
 
 # Links of a block of documents, unless one document has more.
 BLOCK = 1 << 22
@@ -86,7 +86,7 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
-        number = {c: i for i, c in enumerate(_byte_symbols())}
+        number = {c: i for i, c in enumerate(byte_symbols())}
         self.a_bytes = {i: bytes(map(number.__getitem__, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items() if set(t) <= number.keys()}
         self.b = SentencePieceProcessor(model_file=b_path)
         size = self.b.get_piece_size()
@@ -160,15 +160,16 @@ class Aligner:
         made = self.values(cuts, ends)
         return made and made[1:]
 
-    def _together(self, pieces: list[str]) -> list[Piece | None]:
+    def _together(self, pieces: list[str]) -> list[Piece | tuple]:
         return self._behind(pieces) or [self._alone(x, False) for x in pieces]
 
-    def _alone(self, piece: str, _: bool) -> Piece | None:
+    def _alone(self, piece: str, _: bool) -> Piece | tuple:
+        """The piece, or () if its tokens don't decode to it."""
         if piece[0] != " ":
             made = self._behind([piece])
-            return made[0] if made else None
+            return made[0] if made else ()
         cuts = self.cuts(piece)
-        return cuts and self.values(cuts, cuts.a_ends[-1:])[0]
+        return self.values(cuts, cuts.a_ends[-1:])[0] if cuts else ()
 
     def of(self, texts: list[str]) -> list[list[Piece] | None]:
         """The pieces of each text, or None for one without tokens."""
@@ -176,7 +177,7 @@ class Aligner:
             found = self.pieces.of(texts)
         else:
             found = [[self._alone(" " + x, True)] for x in texts]
-        return [None if not text or None in parts else parts for text, parts in zip(texts, found, strict=True)]
+        return [parts if text and all(parts) else None for text, parts in zip(texts, found, strict=True)]
 
 
 def _words_stand_alone(pieces, names: list[str]) -> bool:

@@ -10,8 +10,14 @@ each is kept.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Characters in the pieces that one generation of a table holds, unless said otherwise.
 KEPT = 5_000_000
@@ -24,30 +30,72 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _HEAD, _WHOLE = "\ud800", "\ud801"
 
 
+def together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to so many bytes: the more texts, the fewer pieces are new in each."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where the pieces of each text between spaces begin and end, the number of each, and the pieces.
+
+    A line break begins a piece of its own. Only distinct pieces are made strings here.
+    """
+    parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+    pieces = parts.flatten().dictionary_encode()
+    return parts.offsets.to_numpy().astype(np.int64), pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+
+
+def gathered(values: list[bytes], numbers: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The packed numbers of `values`, those that `numbers` names one after another, and where each ends."""
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // kind.itemsize
+    starts = np.cumsum(lengths) - lengths
+    sizes = lengths[numbers]
+    stops = np.cumsum(sizes)
+    at = np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts[numbers] - stops + sizes, sizes)
+    return np.frombuffer(b"".join(values), kind)[at], stops
+
+
 class Generations(dict):
-    """A dict that forgets: what hasn't been looked up since the last turn but one is gone."""
+    """A dict that forgets: what hasn't been looked up since the last turn but one is gone. No value is None."""
 
     def __init__(self, most: int):
         super().__init__()
         self.most, self.size, self.old = most, 0, {}
 
-    def __missing__(self, key):
-        value = self.old[key]
-        self.add(key, value)
-        return value
-
     def add(self, key: str, value) -> None:
         self[key] = value
         self.size += len(key)
 
+    def find(self, key: str):
+        """The value, or None."""
+        value = self.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.add(key, value)
+        return value
+
+    def all(self, keys: Iterable[str]) -> dict:
+        """Each key with its value, or None; keys are a list or a dict."""
+        found = dict(zip(keys, map(self.get, keys), strict=True))
+        if self.old:
+            for key in [x for x, value in found.items() if value is None]:
+                found[key] = self.find(key)
+        return found
+
     def turn(self) -> None:
         if self.size > self.most:
             self.old, self.size = dict(self), 0
             self.clear()
 
-    def unknown(self, keys: set) -> set:
-        return {x for x in keys if x not in self and x not in self.old}
-
 
 def _is_regular(piece: str) -> bool:
     """Whether a piece between spaces is one that the text can be cut around."""
@@ -56,7 +104,7 @@ def _is_regular(piece: str) -> bool:
 
 
 class Pieces:
-    """Values of the pieces of texts.
+    """Values of the pieces of texts, none of which is None.
 
     `together` gives the values of many pieces, each with the space or line break in
     front of it, that may be encoded as one text; `alone` the value of a piece that has
@@ -94,7 +142,7 @@ class Pieces:
                 out.append(_WHOLE + piece)
         return out
 
-    def _learn(self, keys: set[str]) -> None:
+    def _learn(self, keys: list[str]) -> None:
         some, size = [], 0
 
         def learn():
@@ -116,12 +164,58 @@ class Pieces:
 
     def of(self, texts: list[str]) -> list[list]:
         """The values of the pieces of each text, in their order."""
+        # Nothing cyclic is made here, and the collector would go over all that is kept
+        # again and again.
+        gc.disable()
+        try:
+            return self._of(texts)
+        finally:
+            gc.enable()
+
+    def values(self, pieces: list[str]) -> tuple[dict, set[str]]:
+        """The values of pieces that stood behind a space, and those that no text can be cut around.
+
+        A piece at the start of a line has the line break in front.
+        """
+        gc.disable()
+        try:
+            self.known.turn()
+            own = self.known.all(pieces)
+            new = [x for x, value in own.items() if value is None]
+            odd = {x for x in new if not _is_regular(x)}
+            new = [x for x in new if x not in odd]
+            self._learn(new)
+            for key in new:
+                own[key] = self.known[key]
+            return own, odd
+        finally:
+            gc.enable()
+
+    def head(self, piece: str):
+        """The value of the piece that a text begins with, or None if the text can't be cut behind it."""
+        if not _is_regular(piece) or piece[0] == "\n":
+            return None
+        value = self.known.find(_HEAD + piece)
+        if value is None:
+            value = self.alone(piece, True)
+            self.known.add(_HEAD + piece, value)
+        return value
+
+    def _of(self, texts: list[str]) -> list[list]:
         self.known.turn()
         cut = [self._cut(x) for x in texts]
-        new = self.known.unknown(set().union(*cut))
+        # What the batch needs is looked up once in the large table, and then in one of its own.
+        own, new = self._known(cut)
         odd = {x for x in new if not _is_regular(x.removeprefix(_HEAD))}
         if odd:
             cut = [parts if odd.isdisjoint(parts) else self._cut_with_care(x) for parts, x in zip(cut, texts, strict=True)]
-            new = self.known.unknown(set().union(*cut))
+            own, new = self._known(cut)
         self._learn(new)
-        return [list(map(self.known.__getitem__, parts)) for parts in cut]
+        for key in new:
+            own[key] = self.known[key]
+        return [list(map(own.__getitem__, parts)) for parts in cut]
+
+    def _known(self, cut: list[list[str]]) -> tuple[dict, list[str]]:
+        """The values of all pieces, and those without one."""
+        own = self.known.all(dict.fromkeys(chain.from_iterable(cut)))
+        return own, [x for x, value in own.items() if value is None]

@@ -6,8 +6,8 @@ the rest in unary: number i has the bit at (its high part) + i set. That makes
 which the i-th number is found by looking at a few words.
 
 Layout, little-endian: n, low bits of a number, bytes of the low part, bytes of the
-high part (64 bits each); low part; high part; positions (64 bits each). Parts are
-filled up to multiples of 8 bytes.
+high part (64 bits each); low part; high part; positions (32 bits each). Parts are
+filled up to multiples of 8 bytes. The high part has less than 2n bits, and may have 2^32.
 """
 
 from __future__ import annotations
@@ -33,10 +33,12 @@ def encoded(numbers: np.ndarray) -> bytes:
     shifts = np.arange(low, dtype=np.uint64)
     lower = _padded(((x[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel())
     ones = (x >> np.uint64(low)).astype(np.int64) + np.arange(n)
+    if n and ones[-1] >= 1 << 32:
+        raise ValueError("too many numbers for one code")
     upper = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
     upper[ones] = 1
     upper = _padded(upper)
-    return _HEADER.pack(n, low, len(lower), len(upper)) + lower + upper + ones[::SAMPLED].astype("<u8").tobytes()
+    return _HEADER.pack(n, low, len(lower), len(upper)) + lower + upper + ones[::SAMPLED].astype("<u4").tobytes()
 
 
 class EliasFano:
@@ -47,7 +49,7 @@ class EliasFano:
         at = _HEADER.size
         self._lower = np.frombuffer(code, np.uint8, lower, at)
         self._upper = np.frombuffer(code, "<u8", upper // 8, at + lower)
-        self._samples = np.frombuffer(code, "<u8", -(-self.n // SAMPLED), at + lower + upper)
+        self._samples = np.frombuffer(code, "<u4", -(-self.n // SAMPLED), at + lower + upper)
         self.n_bytes = at + lower + upper + self._samples.nbytes
 
     def __len__(self) -> int:

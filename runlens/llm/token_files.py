@@ -18,21 +18,33 @@ import functools
 import json
 import math
 import os
+import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.chunks import Pieces
+from runlens.llm.chunks import Pieces, gathered, numbered, together
 from runlens.llm.elias_fano import EliasFano, encoded
-from runlens.llm.shared import pick, stored, text_batches, texts_of
+from runlens.llm.shared import pick, stored, text_batches
+from runlens.llm.tokens import byte_symbols
 
 # Ids and documents of a shard, unless one document has more; ids of a writing task.
 SHARD_IDS, SHARD_DOCS, TASK_IDS = 1 << 21, 1 << 16, 1 << 25
+# Bytes of texts encoded at once, unless one batch from Spark has more.
+TOGETHER = 1 << 24
+
+# A word and ASCII marks behind it, but for the apostrophe, which may begin a token of letters.
+_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ʯ]+")
+_MARKED = re.compile(rf"({_WORD.pattern})([!-&(-/:-@\[-`{{-~]+)")
+_SYMBOLS = dict(enumerate(byte_symbols()))
+# Runs of marks whose ids a worker keeps.
+KEPT_MARKS = 20_000
 
 MAGIC, VERSION = b"RLTI", 1
 _HEADER = struct.Struct("<4sHHQQqQQ")
@@ -48,18 +60,57 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces = Pieces(self._together, self._alone, spaced=False) if can_be_cut(spec) else None
+        self.marks: dict[str, bytes] = {}
         if self.pieces:
             self.lengths = byte_lengths(self.library)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
 
     def _alone(self, piece: str, _: bool) -> bytes:
         return self._packed(self.library.encode(piece, add_special_tokens=False).ids)
 
     def _together(self, pieces: list[str]) -> list[bytes]:
+        """Pieces of a word and marks are put together from the two: no token has some of both."""
+        out, others, known = [b""] * len(pieces), [], self.pieces.known
+        for i, piece in enumerate(pieces):
+            if _WORD.fullmatch(piece):
+                out[i] = self._word(piece)
+            elif found := _MARKED.fullmatch(piece):
+                word, marks = found.groups()
+                ids = known.find(word[1:])
+                if ids is None:
+                    ids = self._word(word)
+                    known.add(word[1:], ids)
+                out[i] = ids + self._marks(marks)
+            else:
+                others.append(i)
+        if others:
+            for i, ids in zip(others, self._encoded([pieces[i] for i in others]), strict=True):
+                out[i] = ids
+        return out
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            if len(self.marks) > KEPT_MARKS:
+                self.marks.clear()
+            ids = self.marks[marks] = self._alone(marks, True)
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """A space and letters are one word to the library, and go to its model without being looked for."""
+        if word.isascii():
+            symbols = _SYMBOLS[32] + word[1:]
+        else:
+            symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
+        return self._packed([x.id for x in self.model.tokenize(symbols)])
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """Pieces encoded as one text, and cut where each ends."""
         (made,) = self.library.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
         ids = np.array(made.ids, np.int64)
         ends = np.cumsum([len(x.encode()) for x in pieces])
@@ -69,9 +120,50 @@ class Encoder:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if self.pieces:
-            return [b"".join(x) for x in self.pieces.of(texts)]
-        return [self._alone(x, True) for x in texts]
+        ids, ends = self.batch(pa.array(texts, pa.string()), b"")
+        return [x.tobytes() for x in np.split(ids, ends[:-1])] if texts else []
+
+    def batch(self, texts: pa.Array, last: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, `last` behind each, and where each ends among them.
+
+        Arrow cuts the texts and numbers the pieces, so that only those that a batch has are
+        strings here, once each; the ids of all are then gathered by number.
+        """
+        if not self.pieces:
+            values = [self._alone(x, True) + last for x in texts.to_pylist()]
+            ids = np.frombuffer(b"".join(values), self.kind)
+            return ids, np.cumsum([len(x) // self.kind.itemsize for x in values], dtype=np.int64)
+        edges, codes, names = numbered(texts)
+        heads, n = edges[:-1], len(names)
+        behind = np.ones(len(codes), bool)
+        behind[heads] = False
+        used = np.zeros(n, bool)
+        used[codes[behind]] = True
+        values, odd = self._values(names, used.tolist())
+        # A text with a piece that can't be cut off is looked at by itself, whole.
+        whole = np.zeros(len(heads), bool)
+        whole[np.searchsorted(edges, np.flatnonzero(behind & odd[codes]), "right") - 1] = True
+        numbers = codes.astype(np.int64)
+        for i, (head, code) in enumerate(zip(heads.tolist(), codes[heads].tolist(), strict=True)):
+            value = None if whole[i] else self.pieces.head(names[code])
+            if value is None:
+                value = b"".join(self.pieces.of([texts[i].as_py()])[0])
+                numbers[edges[i] : edges[i + 1]] = n  # nothing
+            numbers[head] = n + 1 + i
+            values.append(value)
+        values.append(last)
+        numbers = np.insert(numbers, edges[1:], len(values) - 1)
+        ids, stops = gathered(values, numbers, self.kind)
+        return ids, stops[edges[1:] + np.arange(len(heads))]
+
+    def _values(self, names: list[str], used: list[bool]) -> tuple[list[bytes], np.ndarray]:
+        """The ids of pieces that are used, nothing for others, and nothing at the end; which can't be cut off."""
+        found, new = self.pieces.values([x for x, y in zip(names, used, strict=True) if y])
+        values = [found.get(x) or b"" for x in names]
+        odd = np.zeros(len(names), bool)
+        if new:
+            odd[[i for i, x in enumerate(names) if x in new]] = True
+        return [*values, b""], odd
 
 
 def can_be_cut(spec: dict) -> bool:
@@ -146,10 +238,14 @@ def token_ids(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
     def run(batches):
         encode = encoder(vocabulary)
         last = b"" if end is None else np.array([end], encode.kind).tobytes()
-        for batch in batches:
-            parts = [x + last for x in encode.of(texts_of(batch))]
-            counts = pa.array([len(x) // encode.kind.itemsize for x in parts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.array(parts, pa.binary())], schema=_IDS)
+        for batch in together(batches, TOGETHER):
+            ids, ends = encode.batch(pc.fill_null(batch.column("text"), ""), last)
+            counts = np.diff(ends, prepend=0)
+            raw = np.concatenate([[0], ends]) * encode.kind.itemsize
+            packed = pa.Array.from_buffers(
+                pa.large_binary(), len(ends), [None, pa.py_buffer(raw.astype(np.int64)), pa.py_buffer(ids.tobytes())]
+            ).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), packed], schema=_IDS)
 
     return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n long, ids binary")
 

@@ -39,7 +39,7 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spare = iter(range(256, 512))
@@ -60,8 +60,8 @@ class MergeCounter:
         self.pairs = {
             of(a) << 32 | of(b): (rank << 40, of(a + b)) for rank, (a, b) in enumerate(model["merges"])
         }
-        self.first = [of(x) for x in _byte_symbols()]
-        self.last = [of(x + end) for x in _byte_symbols()]
+        self.first = [of(x) for x in byte_symbols()]
+        self.last = [of(x + end) for x in byte_symbols()]
         specials = [x["content"] for x in spec["added_tokens"]]
         self.specials = set(specials)
         self.cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None

@@ -7,7 +7,7 @@ import pytest
 
 from runlens.llm import alignment, chunks
 from runlens.llm.queries import BYTE_VOCABULARY, PIECE_VOCABULARY, QUERIES, read
-from runlens.llm.tokens import _byte_symbols
+from runlens.llm.tokens import byte_symbols
 from tests.llm.helpers import ODD_ROWS, documents
 from tests.llm.test_token_files import spaced_texts
 from tests.llm.test_tokens_and_packing import strange_texts
@@ -25,7 +25,7 @@ def plain():
     a = Tokenizer.from_file(BYTE_VOCABULARY)
     a.encode_special_tokens = True
     b = SentencePieceProcessor(model_file=PIECE_VOCABULARY)
-    number = {c: i for i, c in enumerate(_byte_symbols())}
+    number = {c: i for i, c in enumerate(byte_symbols())}
 
     def tokens(text):
         if not text:

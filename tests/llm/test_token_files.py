@@ -47,7 +47,7 @@ def test_elias_fano_is_small():
     ends = np.cumsum(rng.integers(1, 2000, 50_000)).astype(np.uint64)
     code = encoded(ends)
     bound = 2 + int(ends[-1] // len(ends)).bit_length()
-    assert len(code) <= len(ends) * (bound + 64 / 256) / 8 + 64
+    assert len(code) <= len(ends) * (bound + 32 / 256) / 8 + 64
     assert len(code) < len(ends) * 2  # where 64-bit numbers take 8 bytes
     assert EliasFano(code).n_bytes == len(code)
     top = np.array([0, 0, (1 << 64) - 1, (1 << 64) - 1], np.uint64)
