@@ -59,7 +59,10 @@ def gathered(values: list[bytes], numbers: np.ndarray, kind: np.dtype) -> tuple[
     starts = np.cumsum(lengths) - lengths
     sizes = lengths[numbers]
     stops = np.cumsum(sizes)
-    at = np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts[numbers] - stops + sizes, sizes)
+    n = int(stops[-1]) if len(stops) else 0
+    wide = np.int32 if max(n, int(lengths.sum())) < 1 << 31 else np.int64
+    at = np.repeat((starts[numbers] - stops + sizes).astype(wide), sizes)
+    at += np.arange(n, dtype=wide)
     return np.frombuffer(b"".join(values), kind)[at], stops
 
 

@@ -17,37 +17,55 @@ import bisect
 import functools
 import gc
 import os
+import re
 import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.shared import pick, stored, text_batches, texts_of
-from runlens.llm.tokens import chunks_of
+from runlens.llm.chunks import Generations, gathered, numbered, together
+from runlens.llm.shared import pick, stored, text_batches
+from runlens.llm.tokens import byte_symbols, chunks_of
 
-# Most chunks and words whose ids a worker keeps; a table starts anew beyond it.
-KEPT = 600_000
+# Characters of the pieces that one generation of a worker's table holds.
+KEPT = 5_000_000
+# Bytes of texts encoded at once, unless one batch from Spark has more.
+TOGETHER = 1 << 23
+# Lower-case letters that the library takes as they are, and as one word.
+_WORD = re.compile(r"[a-zà-öø-ʯ]+")
+_SYMBOLS = dict(enumerate(byte_symbols()))
+_KIND = np.dtype("<u4")
 
 _RUN = "length long, first_rank long, n long, each long, sequence long, at long"
 
 
 class Ids:
-    """Ids of texts by the library; each word and each chunk between white space is encoded once."""
+    """Ids of texts by the library; each piece between spaces is encoded once in a while."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
+        self.model = self.library.model
+        self.known = Generations(KEPT)
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces between spaces may have other white space; most are one chunk."""
+        cut = [[x] if x.isalnum() else chunks_of(x) for x in pieces]
+        made = self._made({x for chunks in cut for x in chunks})
+        found = {piece: b"".join([made[x] for x in chunks]) for piece, chunks in zip(pieces, cut, strict=True)}
+        for piece, ids in found.items():
+            self.known.add(piece, ids)
+        return found
+
+    def _made(self, chunks: set[str]) -> dict[str, bytes]:
         """Chunks of letters, and perhaps a mark, are put together from a word and the mark."""
         parts, wanted = [], set()
         for chunk in chunks:
@@ -60,31 +78,42 @@ class Ids:
             parts.append((chunk, word, mark))
             wanted.add(word)
             wanted.add(mark)
-        new = list(wanted.difference(self.words))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        known = self.known.all(list(wanted))
+        others = []
+        for word in [x for x, ids in known.items() if ids is None]:
+            if _WORD.fullmatch(word):  # goes to the model without being looked for
+                symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+                ids = [x.id for x in self.model.tokenize(symbols)]
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+                self.known.add(word, known[word])
+            else:
+                others.append(word)
+        for at in range(0, len(others), 20_000):
+            some = others[at : at + 20_000]
             for word, made in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                found = made.ids
-                self.words[word] = struct.pack(f"<{len(found)}I", *found)
-        self.chunks.update((chunk, self.words[word] + self.words[mark]) for chunk, word, mark in parts)
+                known[word] = struct.pack(f"<{len(made.ids)}I", *made.ids)
+        return {chunk: known[word] + known[mark] for chunk, word, mark in parts}
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.chunks) > KEPT:
-            self.chunks.clear()
-        if len(self.words) > KEPT:
-            self.words.clear()
-        cut = [chunks_of(x) for x in texts]
-        new = {x for parts in cut for x in parts}.difference(self.chunks)
-        if new:
-            # Nothing cyclic is made here, and the collector would go over all that is
-            # kept again and again.
-            gc.disable()
-            try:
-                self._learn(new)
-            finally:
-                gc.enable()
-        return [b"".join(map(self.chunks.__getitem__, parts)) for parts in cut]
+        ids, ends = self.batch(pa.array(texts, pa.string()), b"")
+        return [x.tobytes() for x in np.split(ids, ends[:-1])] if texts else []
+
+    def batch(self, texts: pa.Array, last: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, `last` behind each, and where each ends among them."""
+        edges, codes, names = numbered(texts)
+        # Nothing cyclic is made here, and the collector would go over all that is
+        # kept again and again.
+        gc.disable()
+        try:
+            self.known.turn()
+            found = self.known.all(names)
+            found.update(self._learn([x for x, ids in found.items() if ids is None]))
+        finally:
+            gc.enable()
+        values = [*map(found.__getitem__, names), last]
+        ids, stops = gathered(values, np.insert(codes.astype(np.int64), edges[1:], len(names)), _KIND)
+        return ids, stops[edges[1:] + np.arange(len(edges) - 1)]
 
 
 @functools.cache
@@ -103,17 +132,18 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
 
     def run(batches):
         encode, task, seen = ids(vocabulary), TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in together(batches, TOGETHER):
             out = []
             names = batch.column("doc_id").to_pylist()
-            for name, raw in zip(names, encode.of(texts_of(batch)), strict=True):
-                raw += b"\0\0\0\0"
-                total = len(raw) // 4
-                for number, start in enumerate(range(0, total, capacity)):
-                    length = min(capacity, total - start)
-                    crc = zlib.crc32(memoryview(raw)[4 * start : 4 * (start + length)])
+            found, ends = encode.batch(pc.fill_null(batch.column("text"), ""), b"\0\0\0\0")
+            raw, begin = memoryview(found.tobytes()), 0
+            for name, end in zip(names, ends.tolist(), strict=True):
+                for number, start in enumerate(range(0, end - begin, capacity)):
+                    length = min(capacity, end - begin - start)
+                    crc = zlib.crc32(raw[4 * (begin + start) : 4 * (begin + start + length)])
                     out.append((name, number, start, length, crc, task, seen[length]))
                     seen[length] += 1
+                begin = end
             columns = list(zip(*out, strict=True)) or [()] * 7
             kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays(
