@@ -39,7 +39,7 @@ CLASSES = 16
 # Lines of a group that are searched together.
 BLOCK = 4096
 # Lines that a task remembers having looked up.
-HELD = 1 << 20
+HELD = 1 << 18
 # Characters of line pairs verified at once.
 VERIFIED = 1 << 21
 

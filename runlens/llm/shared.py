@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.session import scratch_path
+from runlens.session import remove_at_end, scratch_path
 
 # Rows of text handed to Python at once; Spark's own byte limit holds besides.
 TEXT_ROWS = 512
@@ -24,6 +24,21 @@ def text_batches(spark: SparkSession) -> None:
 NARROW = 8
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`df` written to the shared folder and read back, and where it is; removed at the end at the latest."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    remove_at_end(spark, path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """`df` written to the shared folder and read back: lineage ends there.
 
@@ -32,16 +47,10 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     Every executor reads the files, so the loss of one costs nothing. They are
     removed when the application ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
     if narrow:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.coalesce(max(1, -(-partitions // NARROW)))
-    df.write.option("compression", "zstd").parquet(path)
-    jvm, context = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)[0]
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
