@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm import decontaminate, lines, ngram_join, packing, quality
 from runlens.llm.queries import VOCABULARY, read
+from runlens.llm.shared import remove, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over documents, each written to the shared folder once and read by the next.
+
+    What a stage has read goes when it is written, so no more than two are there at a time.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        docs, path = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            remove(spark, before)
+        before = path
     return docs
