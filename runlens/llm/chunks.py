@@ -94,6 +94,11 @@ class Generations(dict):
                 found[key] = self.find(key)
         return found
 
+    def rest(self) -> None:
+        """Gives back what may not be needed again, as at the end of a task whose process goes on to another."""
+        self.old = {}
+        pa.default_memory_pool().release_unused()
+
     def turn(self) -> None:
         if self.size > self.most:
             self.old, self.size = dict(self), 0

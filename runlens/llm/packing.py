@@ -150,6 +150,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"],
             )
+        encode.known.rest()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
     return pick(docs, doc_id="long", text="string").mapInArrow(run, schema)
