@@ -36,7 +36,7 @@ from runlens.llm.tokens import byte_symbols, chunks_of
 # Characters of the pieces that one generation of a worker's table holds.
 KEPT = 5_000_000
 # Bytes of texts encoded at once, unless one batch from Spark has more.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 24
 # Lower-case letters that the library takes as they are, and as one word.
 _WORD = re.compile(r"[a-zà-öø-ʯ]+")
 _SYMBOLS = dict(enumerate(byte_symbols()))
