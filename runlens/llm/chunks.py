@@ -99,6 +99,12 @@ class Generations(dict):
         self.old = {}
         pa.default_memory_pool().release_unused()
 
+    def forget(self) -> None:
+        """Gives back everything, as where a process goes on to tasks that look nothing up."""
+        self.clear()
+        self.size = 0
+        self.rest()
+
     def turn(self) -> None:
         if self.size > self.most:
             self.old, self.size = dict(self), 0

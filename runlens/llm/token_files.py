@@ -246,6 +246,8 @@ def token_ids(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
                 pa.large_binary(), len(ends), [None, pa.py_buffer(raw.astype(np.int64)), pa.py_buffer(ids.tobytes())]
             ).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), packed], schema=_IDS)
+        if encode.pieces:
+            encode.pieces.known.rest()
 
     return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n long, ids binary")
 
@@ -268,7 +270,10 @@ def write(docs: DataFrame, vocabulary: str, path: str, end: int | None = 2) -> N
     dealt = made.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(tasks, *order)
 
     def shards(batches):
-        kind, task = encoder(vocabulary).kind, TaskContext.get().partitionId()
+        encode, task = encoder(vocabulary), TaskContext.get().partitionId()
+        kind = encode.kind
+        if encode.pieces:  # all ids are made by now
+            encode.pieces.known.forget()
         names, parts, size, nth, at = [], [], 0, 0, 0
 
         def shard():

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,6 +34,29 @@ def spaced_texts(n, seed):
     return ["".join(rng.choice(gaps) + rng.choice(pool) for _ in range(rng.randint(0, 9))) + rng.choice(gaps) for _ in range(n)]
 
 
+def test_tasks_give_back_what_they_kept(spark, monkeypatch):
+    docs = documents(spark, [(1, "some words here"), (2, "words and more")])
+    runs, plain = [], type(docs).mapInArrow
+
+    def noted(df, run, schema):
+        runs.append((run, df.schema))
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    token_files.write(docs, BYTE_VOCABULARY, scratch_path(spark, "given-back"))
+    (ids, _), (shards, _) = runs
+    known = token_files.encoder(BYTE_VOCABULARY).pieces.known
+    known.forget()
+    batch = pa.record_batch({"doc_id": pa.array([1, 2]), "text": ["some words here", "words and more"]})
+    known.old = {"seldom": b""}
+    (made,) = ids(iter([batch]))
+    assert known and not known.old
+    monkeypatch.setattr(token_files.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    (image,) = shards(iter([made]))
+    assert not known and not known.old and not known.size
+    assert token_files.Shard(image.column("image")[0].as_py()).names() == [1, 2]
+
+
 @given(st.lists(st.integers(0, 1 << 62), max_size=700), st.integers(0, 60))
 @settings(max_examples=60, deadline=None)
 def test_elias_fano_gives_back_its_numbers(numbers, shift):
