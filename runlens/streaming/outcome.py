@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,6 +25,10 @@ PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 # Seconds that a decided run is remembered after its last terminal observation.
 KEEP_SEC = 24 * 3600
 
+# Runs share rows of state in so many buckets, of which a task holds one at a time. A
+# stream that was begun with one number can't go on with another.
+BUCKETS = 2048
+
 
 def _thin_out(latest_per_run: bool):
     """Keep, per run and Arrow batch, the start and the first terminal row, and one latest row.
@@ -69,55 +73,96 @@ def _observed(stream: DataFrame, rule: Rule) -> DataFrame:
     ).filter(F.col("run_id").isNotNull() & F.col("ts_us").isNotNull())
 
 
-def _first_terminal_processor(keep_us: int) -> StatefulProcessor:
-    """Per run: its first terminal row so far, reported when it changes, until it has been silent."""
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("run_id"), F.lit(BUCKETS))
+
+
+def _bucket_processor(columns: str) -> type[StatefulProcessor]:
+    """A processor whose keys are buckets of runs, with a row of state and a timer for each.
+
+    A call to the state store or for a timer costs about as much as the work on many rows,
+    so runs share them. A bucket's state has an array of each of `columns`, of which the
+    first is the run and the last, `due_ms`, the time when something is to be done for it;
+    the timer is that of the run that is due first. Defined inside a function as above.
+    """
 
-    class FirstTerminalProcessor(StatefulProcessor):
+    class BucketProcessor(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.run = handle.getValueState("run", "first_us BIGINT, first_id BIGINT, last_us BIGINT, timer_ms BIGINT")
+            arrays = (x.split() for x in columns.split(", "))
+            schema = ", ".join(f"{name} ARRAY<{kind}>" for name, kind in arrays)
+            self.bucket = handle.getValueState("runs", f"{schema}, timer_ms BIGINT")
+
+        def load(self):
+            """The runs of the bucket, by run_id, and when its timer is due."""
+            known = self.bucket.get()
+            if known is None:
+                return {}, None
+            run_ids, *values, timer_ms = known
+            return dict(zip(run_ids, zip(*values))), timer_ms
+
+        def save(self, runs, timer_ms):
+            """`timer_ms`: that of the timer that is set, None if it is none or has just expired."""
+            next_ms = min((run[-1] for run in runs.values()), default=None)
+            if timer_ms != next_ms:
+                if timer_ms is not None:
+                    self.handle.deleteTimer(timer_ms)
+                if next_ms is not None:
+                    self.handle.registerTimer(next_ms)
+            if runs:
+                self.bucket.update((list(runs), *map(list, zip(*runs.values())), next_ms))
+            else:
+                self.bucket.clear()
 
+        def close(self) -> None:
+            pass
+
+    return BucketProcessor
+
+
+def _first_terminal_processor(keep_us: int) -> StatefulProcessor:
+    """Per run: its first terminal row so far, reported when it changes, until it has been silent."""
+
+    class FirstTerminalProcessor(_bucket_processor("run_id BIGINT, first_us BIGINT, first_id BIGINT, last_us BIGINT, due_ms BIGINT")):
         def handleInputRows(self, key, rows, timerValues):
             order = lambda row: (row.ts_us, row.event_id is not None, row.event_id or 0)
-            ends = [row for row in rows if row.terminal]
+            ends = {}
+            for row in rows:
+                if row.terminal:
+                    best, last_us = ends.get(row.run_id, (row, row.ts_us))
+                    ends[row.run_id] = (min(best, row, key=order), max(last_us, row.ts_us))
             if not ends:
                 return
-            best, last_us = min(ends, key=order), max(row.ts_us for row in ends)
-            known, watermark_ms = self.run.get(), timerValues.getCurrentWatermarkInMs()
-            # Timers are due after the rows of a batch; what should be gone by now is gone.
-            if known is None or -(-(known[2] + keep_us) // 1000) <= watermark_ms:
-                timer_ms = max(-(-(last_us + keep_us) // 1000), watermark_ms + 1)
-                self.handle.registerTimer(timer_ms)
-                self.run.update((best.ts_us, best.event_id, last_us, timer_ms))
-                yield self.report(key, best)
-                return
-            first_us, first_id, known_us, timer_ms = known
-            better = order(best) < (first_us, first_id is not None, first_id or 0)
-            if better:
-                first_us, first_id = best.ts_us, best.event_id
-                yield self.report(key, best)
-            if better or last_us > known_us:
-                self.run.update((first_us, first_id, max(last_us, known_us), timer_ms))
-
-        def report(self, key, row):
-            return Row(run_id=key[0], outcome=row.outcome, state=row.state, decided_us=row.ts_us, event_id=row.event_id)
+            runs, timer_ms = self.load()
+            watermark_ms = timerValues.getCurrentWatermarkInMs()
+            for run_id, (best, last_us) in ends.items():
+                known = runs.get(run_id)
+                # Timers are due after the rows of a batch; what should be gone by now is gone.
+                if known is None or self.silent_ms(known[2]) <= watermark_ms:
+                    runs[run_id] = (best.ts_us, best.event_id, last_us, max(self.silent_ms(last_us), watermark_ms + 1))
+                    yield self.report(best)
+                    continue
+                first_us, first_id, known_us, due_ms = known
+                if order(best) < (first_us, first_id is not None, first_id or 0):
+                    first_us, first_id = best.ts_us, best.event_id
+                    yield self.report(best)
+                last_us = max(last_us, known_us)
+                runs[run_id] = (first_us, first_id, last_us, max(due_ms, self.silent_ms(last_us)))
+            self.save(runs, timer_ms)
+
+        def silent_ms(self, last_us):
+            return -(-(last_us + keep_us) // 1000)
+
+        def report(self, row):
+            return Row(run_id=row.run_id, outcome=row.outcome, state=row.state, decided_us=row.ts_us, event_id=row.event_id)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            known = self.run.get()
-            if known is None:
-                return
-            # The timer stays where it was while the run went on, and is moved only now.
-            due_ms = -(-(known[2] + keep_us) // 1000)
-            if due_ms > timerValues.getCurrentWatermarkInMs():
-                self.handle.registerTimer(due_ms)
-                self.run.update((*known[:3], due_ms))
-            else:
-                self.run.clear()
+            runs, timer_ms = self.load()
+            if expiredTimerInfo.getExpiryTimeInMs() == timer_ms:
+                watermark_ms = timerValues.getCurrentWatermarkInMs()
+                self.save({run_id: run for run_id, run in runs.items() if run[-1] > watermark_ms}, None)
             yield from ()
 
-        def close(self) -> None:
-            pass
-
     return FirstTerminalProcessor()
 
 
@@ -127,8 +172,8 @@ def first_terminal_stream(
     """First terminal observation per run, updated as observations arrive.
 
     Use output mode update, where the latest row of a run replaces earlier ones, and
-    `with_rocksdb`. Only observations that can decide a run are kept: a run has one row of
-    state from its first one on, until `keep_sec` after its last one by the watermark, which
+    `with_rocksdb`. Only observations that can decide a run are kept: a run has its place in
+    the state from its first one on, until `keep_sec` after its last one by the watermark, which
     follows the latest observation of any run by `delay`. A run that ends again after such
     a silence is reported anew; rows later than the watermark are dropped. So state grows
     with the runs that ended within `keep_sec`, not with all that ever did.
@@ -136,7 +181,8 @@ def first_terminal_stream(
     timed = _observed(stream, rule)
     timed = timed.mapInArrow(_thin_out(True), timed.schema).withWatermark("ts", delay)
     return (
-        timed.groupBy("run_id")
+        timed.withColumn("bucket", _bucket())
+        .groupBy("bucket")
         .transformWithState(
             statefulProcessor=_first_terminal_processor(keep_sec * MICROS),
             outputStructType="run_id BIGINT, outcome STRING, state STRING, decided_us BIGINT, event_id BIGINT",
@@ -150,84 +196,82 @@ def first_terminal_stream(
 def _outcome_processor(timeout_us: int, wait_us: int) -> StatefulProcessor:
     """Per run: learn its start, wait for a terminal row or the deadline, report once, forget.
 
-    Whatever is kept of a run has one timer, at whose time it is reported or forgotten.
+    Whatever is kept of a run has one time when it is due to be reported or forgotten.
     """
 
-    class OutcomeProcessor(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.run = handle.getValueState(
-                "run",
-                "deadline_us BIGINT, first_us BIGINT, first_id BIGINT, "
-                "state STRING, outcome STRING, reported BOOLEAN, timer_ms BIGINT",
-            )
+    columns = (
+        "run_id BIGINT, deadline_us BIGINT, first_us BIGINT, first_id BIGINT, "
+        "state STRING, outcome STRING, reported BOOLEAN, due_ms BIGINT"
+    )
 
+    class OutcomeProcessor(_bucket_processor(columns)):
         def handleInputRows(self, key, rows, timerValues):
-            known = self.run.get()
-            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known or (None,) * 5 + (False, None)
-            changed = False
+            runs, timer_ms = self.load()
+            unknown, changed = (None,) * 5 + (False, None), {}
             for row in rows:
+                run_id = row.run_id
+                deadline_us, first_us, first_id, state, outcome, reported, due_ms = runs.get(run_id, unknown)
+                if reported:
+                    continue  # nothing changes a run that was reported
                 if row.starts:
-                    if deadline_us is None or row.ts_us + timeout_us < deadline_us:
-                        deadline_us, changed = row.ts_us + timeout_us, True
+                    if deadline_us is not None and row.ts_us + timeout_us >= deadline_us:
+                        continue
+                    deadline_us = row.ts_us + timeout_us
                 elif row.terminal:
                     found = (row.ts_us, row.event_id is not None, row.event_id or 0)
-                    if first_us is None or found < (first_us, first_id is not None, first_id or 0):
-                        first_us, first_id, state, outcome = row.ts_us, row.event_id, row.state, row.outcome
-                        changed = True
-            if reported or not changed:
-                return  # nothing changes a run that was reported
+                    if first_us is not None and found >= (first_us, first_id is not None, first_id or 0):
+                        continue
+                    first_us, first_id, state, outcome = row.ts_us, row.event_id, row.state, row.outcome
+                else:
+                    continue
+                runs[run_id] = (deadline_us, first_us, first_id, state, outcome, False, due_ms)
+                changed[run_id] = True
+            if not changed:
+                return
             # The watermark has whole milliseconds; timers round up to the next one.
             watermark_ms = timerValues.getCurrentWatermarkInMs()
-            if deadline_us is None:
-                # No start yet: the row waits for it, but not for good.
-                if timer_ms is None:
-                    timer_ms = -(-(first_us + wait_us) // 1000)
-                    if timer_ms <= watermark_ms:
-                        return
-                    self.handle.registerTimer(timer_ms)
-                self.run.update((None, first_us, first_id, state, outcome, False, timer_ms))
-                return
-            due_us = deadline_us if first_us is None else min(first_us, deadline_us)
-            due_ms = -(-due_us // 1000)
-            if due_ms <= watermark_ms:  # a start or row that comes after its time
-                yield self.report(key, deadline_us, first_us, outcome, state)
-                self.keep_until_deadline(deadline_us, watermark_ms, timer_ms)
-                return
-            if timer_ms != due_ms:
-                if timer_ms is not None:
-                    self.handle.deleteTimer(timer_ms)
-                self.handle.registerTimer(due_ms)
-            self.run.update((deadline_us, first_us, first_id, state, outcome, False, due_ms))
-
-        def report(self, key, deadline_us, first_us, outcome, state):
+            for run_id in changed:
+                deadline_us, first_us, first_id, state, outcome, _, due_ms = runs[run_id]
+                if deadline_us is None:
+                    # No start yet: the row waits for it, but not for good.
+                    if due_ms is None:
+                        due_ms = -(-(first_us + wait_us) // 1000)
+                        if due_ms <= watermark_ms:
+                            del runs[run_id]
+                            continue
+                else:
+                    due_us = deadline_us if first_us is None else min(first_us, deadline_us)
+                    due_ms = -(-due_us // 1000)
+                    if due_ms <= watermark_ms:  # a start or row that comes after its time
+                        yield self.report(run_id, deadline_us, first_us, outcome, state)
+                        runs[run_id] = self.until_deadline(deadline_us, watermark_ms)
+                        continue
+                runs[run_id] = (deadline_us, first_us, first_id, state, outcome, False, due_ms)
+            self.save(runs, timer_ms)
+
+        def report(self, run_id, deadline_us, first_us, outcome, state):
             if first_us is not None and first_us <= deadline_us:
-                return Row(run_id=key[0], outcome=outcome, decided_us=first_us, state=state)
-            return Row(run_id=key[0], outcome="timeout", decided_us=deadline_us, state=None)
+                return Row(run_id=run_id, outcome=outcome, decided_us=first_us, state=state)
+            return Row(run_id=run_id, outcome="timeout", decided_us=deadline_us, state=None)
 
-        def keep_until_deadline(self, deadline_us, now_ms, timer_ms):
+        def until_deadline(self, deadline_us, now_ms):
             """A reported run is remembered for as long as its rows may still come."""
-            if timer_ms is not None and timer_ms > now_ms:
-                self.handle.deleteTimer(timer_ms)
             forget_ms = max(-(-deadline_us // 1000), now_ms) + timeout_us // 1000 + 1
-            self.handle.registerTimer(forget_ms)
-            self.run.update((deadline_us, None, None, None, None, True, forget_ms))
+            return (deadline_us, None, None, None, None, True, forget_ms)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            known = self.run.get()
-            if known is None:
-                return
-            deadline_us, first_us, first_id, state, outcome, reported, timer_ms = known
+            runs, timer_ms = self.load()
             if expiredTimerInfo.getExpiryTimeInMs() != timer_ms:
                 return  # an earlier timer, due in the same batch as rows that changed it
-            if reported or deadline_us is None:
-                self.run.clear()
-                return
-            yield self.report(key, deadline_us, first_us, outcome, state)
-            self.keep_until_deadline(deadline_us, timer_ms, None)
-
-        def close(self) -> None:
-            pass
+            watermark_ms = timerValues.getCurrentWatermarkInMs()
+            for run_id in [run_id for run_id, run in runs.items() if run[-1] <= watermark_ms]:
+                deadline_us, first_us, first_id, state, outcome, reported, due_ms = runs[run_id]
+                if reported or deadline_us is None:
+                    del runs[run_id]
+                    continue
+                yield self.report(run_id, deadline_us, first_us, outcome, state)
+                runs[run_id] = self.until_deadline(deadline_us, due_ms)
+            self.save(runs, None)
 
     return OutcomeProcessor()
 
@@ -275,7 +319,8 @@ def run_outcome_stream(
     timed = events.mapInArrow(_thin_out(False), events.schema).withWatermark("ts", delay)
     wait_us = (timeout_sec if wait_sec is None else wait_sec) * MICROS
     return (
-        timed.groupBy("run_id")
+        timed.withColumn("bucket", _bucket())
+        .groupBy("bucket")
         .transformWithState(
             statefulProcessor=_outcome_processor(timeout_sec * MICROS, wait_us),
             outputStructType="run_id BIGINT, outcome STRING, decided_us BIGINT, state STRING",

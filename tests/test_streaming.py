@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens.operators import outcome
+from runlens.streaming import outcome as streaming_outcome
 from runlens.streaming.outcome import (
     drain,
     first_terminal_stream,
@@ -186,6 +187,21 @@ def test_rows_wait_for_their_start_only_so_long(spark, tmp_path):
     assert sorted(r[1:4] for r in found) == [(1, "timeout", at(30)), (2, "success", at(5))]
 
 
+def test_runs_share_rows_of_state(spark, tmp_path, monkeypatch):
+    """A few buckets of runs have a row and a timer each, however many runs there are."""
+    monkeypatch.setattr(streaming_outcome, "BUCKETS", 4)
+    at = lambda s: T0 + timedelta(seconds=s)
+    obs = [(i, i, at(i % 3), "success" if i % 2 else "running") for i in range(100)] + [(999, 999, at(900), "running")]
+    runs = spark.createDataFrame([(i, T0) for i in range(100)], "run_id BIGINT, start_ts TIMESTAMP")
+    _, started = starts_of(spark, runs, tmp_path / "runs")
+    result = run_outcome_stream(stream_of(spark, tmp_path / "in", obs, 2), started, 60)
+    with with_rocksdb(spark):
+        sizes, found = state_rows(result, "append", tmp_path / "state")
+    # A bucket has its row and a timer in two tables.
+    assert 0 < max(sizes) <= 4 * 3
+    assert sorted(r[1:3] for r in found) == [(i, "success" if i % 2 else "timeout") for i in range(100)]
+
+
 def test_provider_setting_is_put_back(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
