@@ -20,6 +20,11 @@ from pyspark.sql import types as T
 HOT_PART = 0.5
 # Below this many rows a key fits one task, whatever its share.
 MIN_HOT_ROWS = 1_000_000
+# Rows that one task joins, if it is known how many there are: a join of more rows has
+# more tasks, and what one of them sorts in memory stays as it is.
+TASK_ROWS = 250_000
+# Parts for each task that rows without a key are dealt in.
+NULL_SALTS = 100
 # Keys are counted in groups, each with a summary of at most so many keys, which finds
 # every key with a 512th of its group's rows. There are as many groups as it takes to
 # find keys with half a task's share.
@@ -106,18 +111,20 @@ class HotKeys:
 
     At most a few for each task, so that they are kept here and go with the plan. Keys
     that have become hot since, or rows that were not looked at, make a join slower and
-    never wrong.
+    never wrong. The same holds for `n_rows`, which tells how many tasks a join needs.
     """
 
     kind: T.DataType
     keys: tuple[tuple, ...]
+    n_rows: int = 0
 
     @staticmethod
     def find(*rows: DataFrame, key: str, hot_part: float = HOT_PART, min_hot_rows: int = MIN_HOT_ROWS) -> HotKeys:
-        """Reads the key column of each of `rows` once, now."""
+        """Reads the key column of each of `rows` once, now, and counts their rows."""
         sketch = merged_sketches(*(key_sketch(x, key) for x in rows)) if len(rows) > 1 else key_sketch(rows[0], key)
         hot = keys_of_sketch(sketch, key, hot_part, min_hot_rows).select(key, "n_salts")
-        return HotKeys(rows[0].schema[key].dataType, tuple(tuple(x) for x in hot.collect()))
+        found = tuple(tuple(x) for x in hot.collect())
+        return HotKeys(rows[0].schema[key].dataType, found, sum(x.count() for x in rows))
 
     def frame(self, like: DataFrame, key: str) -> DataFrame:
         schema = T.StructType([T.StructField(key, self.kind), T.StructField("n_salts", T.LongType())])
@@ -138,19 +145,30 @@ def split_join(
     `per_key` must hold one row per key, as an aggregate does: so little of it is
     repeated. `how`: inner, left, left_semi or left_anti. Rows without a key match
     nothing and are spread over all tasks. The rows are read once for their keys, unless
-    `hot` has them already, and once for the join.
+    `hot` has them already, and once for the join. With `hot` there are as many tasks as
+    its rows need, if that is more than the shuffle partitions.
     """
-    spread = F.when(F.col(key).isNull(), F.lit(_partitions(rows)))
+    n_tasks = -(-hot.n_rows // TASK_ROWS) if hot is not None else 0
+    n_tasks = n_tasks if n_tasks > _partitions(rows) else None
+
+    def dealt(side: DataFrame) -> DataFrame:
+        return side.repartition(n_tasks, key, "_salt") if n_tasks else side
+
+    # As few salts as tasks would leave some tasks none of them and others several.
+    spread = F.when(F.col(key).isNull(), F.lit((n_tasks or _partitions(rows)) * NULL_SALTS))
     if how in ("inner", "left_semi"):
         rows = rows.filter(F.col(key).isNotNull())
     turn = F.xxhash64(F.monotonically_increasing_id())
     if hot is not None and not hot.keys:
         salted = rows.withColumn("_salt", F.pmod(turn, F.coalesce(spread, F.lit(1))))
-        return salted.join(per_key.withColumn("_salt", F.lit(0).cast("bigint")), [key, "_salt"], how).drop("_salt")
+        # Always 0, and no constant: Spark takes that out of the keys of the join, so that all
+        # rows without a key would meet in one task.
+        once = per_key.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1)))
+        return dealt(salted).join(dealt(once), [key, "_salt"], how).drop("_salt")
     found = hot_keys(rows, key, hot_part, min_hot_rows) if hot is None else hot.frame(rows, key)
     found = F.broadcast(found)
     parts = F.coalesce(F.col("n_salts"), spread, F.lit(1))
     salted = rows.join(found, key, "left").withColumn("_salt", F.pmod(turn, parts))
     salts: Column = F.sequence(F.lit(0).cast("bigint"), F.coalesce("n_salts", F.lit(1)).cast("bigint") - 1)
     repeated = per_key.join(found, key, "left").withColumn("_salt", F.explode(salts)).drop("n_salts")
-    return salted.drop("n_salts").join(repeated, [key, "_salt"], how).drop("_salt")
+    return dealt(salted.drop("n_salts")).join(dealt(repeated), [key, "_salt"], how).drop("_salt")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from runlens.operators import outcome, verify
 from runlens.operators.history import run_verdicts
+from runlens.operators import skew
 from runlens.operators.skew import HotKeys, hot_keys, key_sketch, keys_of_sketch, merged_sketches, split_join
 from runlens.plans.queries import QUERIES
 from tests.conftest import rows
@@ -119,3 +120,26 @@ def test_joins_with_shared_hot_keys(spark, how, tmp_path):
         again = split_join(joined, right.withColumnRenamed("v", "w"), "k", how, hot=hot)
         assert scans_of(again) == 1
         assert rows(again) == rows(left.join(right, "k", how).join(right.withColumnRenamed("v", "w"), "k", how))
+
+
+def test_rows_without_a_key_are_spread_where_no_key_is_hot(spark):
+    left = spark.range(4000).select(F.when(F.col("id") < 10, F.col("id")).alias("k"), "id")
+    right = spark.range(20).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("v"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = split_join(left, right, "k", hot=HotKeys.find(left, key="k")).hint("merge")
+        sizes = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        found = rows(joined.filter("k IS NOT NULL").select("k", "v"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sum(r.n for r in sizes) == 4000 and max(r.n for r in sizes) < 2000
+    assert found == [(i, i) for i in range(10)]
+
+
+def test_a_join_has_as_many_tasks_as_its_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    left = spark.range(1000).withColumnRenamed("id", "k")
+    joined = split_join(left, left.withColumn("v", F.col("k")), "k", hot=HotKeys.find(left, key="k"))
+    assert joined.rdd.getNumPartitions() == 10
+    assert joined.filter("k = v").count() == 1000
