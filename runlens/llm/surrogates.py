@@ -14,6 +14,7 @@ takes its next surrogate until none does.
 from __future__ import annotations
 
 import hashlib
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,19 @@ GIVEN = {
 
 _BEFORE, _AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 _SECRET = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
-_NAMES = "|".join(sorted({x for names in GIVEN.values() for x in names.split()}))
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern for any of some words, which shares their beginnings, so that most fail at the first letter."""
+    rests: dict[str, list[str]] = {}
+    for word in words:
+        rests.setdefault(word[:1], []).append(word[1:])
+    # Longer words go first; the empty rest comes last.
+    found = [first + _any_of(rest) if first else "" for first, rest in sorted(rests.items(), reverse=True)]
+    return found[0] if len(found) == 1 else "(?:" + "|".join(found) + ")"
+
+
+_NAMES = _any_of(sorted({x for names in GIVEN.values() for x in names.split()}))
 
 #: Types in the order in which they are tried: a pattern, and what of it is replaced.
 TYPES = {
@@ -51,7 +64,22 @@ TYPES = {
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}_]|-\d)",
     "name": r"(?<!\p{L})(?:" + _NAMES + r")\s\p{Lu}[\p{Ll}'-]{1,24}(?!\p{L})",
 }
-PATTERN = "|".join(f"(?:{x})" for x in TYPES.values())
+
+# What the first character of some types is; the others are tried wherever no letter stands before.
+_FIRST = {"secret": "[aApPsStT]", "key": "A", "name": r"\p{Lu}"} | dict.fromkeys(["ip", "card", "ssn", "phone"], r"[\d+(]")
+
+
+def _gated(kinds: list[str]) -> str:
+    """Any of the types in their order; neighbours with the same first characters are tried behind one look at them."""
+    out = []
+    for first, group in groupby(kinds, _FIRST.get):
+        some = "|".join(f"(?:{TYPES[x]})" for x in group)
+        out.append(f"(?={first})(?:{some})" if first else some)
+    return "|".join(out)
+
+
+# No type begins with white space or behind a letter, so nearly all places are left after two looks.
+PATTERN = rf"(?=\S)(?<!\p{{L}})(?:{_gated(list(TYPES))})"
 
 
 def _given(key: str) -> dict[str, str]:
