@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gc
 import re
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -35,12 +36,15 @@ def together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
     held, size = [], 0
     for batch in batches:
         if held and size + batch.nbytes > most:
-            yield pa.concat_batches(held)
+            whole = pa.concat_batches(held)
             held, size = [], 0
+            yield whole
         held.append(batch)
         size += batch.nbytes
     if held:
-        yield pa.concat_batches(held)
+        whole = pa.concat_batches(held)
+        held.clear()
+        yield whole
 
 
 def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -56,27 +60,38 @@ def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 def gathered(values: list[bytes], numbers: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """The packed numbers of `values`, those that `numbers` names one after another, and where each ends."""
     lengths = np.fromiter(map(len, values), np.int64, len(values)) // kind.itemsize
-    starts = np.cumsum(lengths) - lengths
-    sizes = lengths[numbers]
-    stops = np.cumsum(sizes)
+    few = np.int32 if int(lengths.sum()) < 1 << 31 else np.int64
+    starts = (np.cumsum(lengths) - lengths).astype(few)
+    sizes = lengths.astype(few)[numbers]
+    stops = np.cumsum(sizes, dtype=np.int64)
     n = int(stops[-1]) if len(stops) else 0
-    wide = np.int32 if max(n, int(lengths.sum())) < 1 << 31 else np.int64
-    at = np.repeat((starts[numbers] - stops + sizes).astype(wide), sizes)
+    wide = few if n < 1 << 31 else np.int64
+    firsts = starts[numbers] - (stops - sizes).astype(wide)
+    at = np.repeat(firsts, sizes)
     at += np.arange(n, dtype=wide)
     return np.frombuffer(b"".join(values), kind)[at], stops
 
 
+# The tables of this process.
+_made: list[weakref.ref] = []
+
+
 class Generations(dict):
     """A dict that forgets: what hasn't been looked up since the last turn but one is gone. No value is None."""
 
     def __init__(self, most: int):
         super().__init__()
         self.most, self.size, self.old = most, 0, {}
+        _made.append(weakref.ref(self))
 
     def add(self, key: str, value) -> None:
         self[key] = value
         self.size += len(key)
 
+    def add_all(self, found: dict) -> None:
+        self.update(found)
+        self.size += sum(map(len, found))
+
     def find(self, key: str):
         """The value, or None."""
         value = self.get(key)
@@ -90,8 +105,11 @@ class Generations(dict):
         """Each key with its value, or None; keys are a list or a dict."""
         found = dict(zip(keys, map(self.get, keys), strict=True))
         if self.old:
-            for key in [x for x, value in found.items() if value is None]:
-                found[key] = self.find(key)
+            missing = [x for x, value in found.items() if value is None]
+            values = map(self.old.get, missing)
+            again = {x: value for x, value in zip(missing, values, strict=True) if value is not None}
+            found.update(again)
+            self.add_all(again)
         return found
 
     def rest(self) -> None:
@@ -111,6 +129,13 @@ class Generations(dict):
             self.clear()
 
 
+def give_back() -> None:
+    """Gives back all tables of this process, for tasks that look nothing up and follow others that did."""
+    for table in [x() for x in _made]:
+        if table is not None and (table or table.old):
+            table.forget()
+
+
 def _is_regular(piece: str) -> bool:
     """Whether a piece between spaces is one that the text can be cut around."""
     body = piece[1:] if piece[:1] == "\n" else piece
@@ -161,8 +186,7 @@ class Pieces:
 
         def learn():
             pieces = [x if x[0] == "\n" else " " + x for x in some]
-            for key, value in zip(some, self.together(pieces), strict=True):
-                self.known.add(key, value)
+            self.known.add_all(dict(zip(some, self.together(pieces), strict=True)))
 
         for key in keys:
             if key[0] in (_HEAD, _WHOLE):
@@ -196,7 +220,7 @@ class Pieces:
             self.known.turn()
             own = self.known.all(pieces)
             new = [x for x, value in own.items() if value is None]
-            odd = {x for x in new if not _is_regular(x)}
+            odd = {x for x in new if not (x.isalnum() or _is_regular(x))}
             new = [x for x in new if x not in odd]
             self._learn(new)
             for key in new:

@@ -61,8 +61,7 @@ class Ids:
         cut = [[x] if x.isalnum() else chunks_of(x) for x in pieces]
         made = self._made({x for chunks in cut for x in chunks})
         found = {piece: b"".join([made[x] for x in chunks]) for piece, chunks in zip(pieces, cut, strict=True)}
-        for piece, ids in found.items():
-            self.known.add(piece, ids)
+        self.known.add_all(found)
         return found
 
     def _made(self, chunks: set[str]) -> dict[str, bytes]:
@@ -112,7 +111,7 @@ class Ids:
         finally:
             gc.enable()
         values = [*map(found.__getitem__, names), last]
-        ids, stops = gathered(values, np.insert(codes.astype(np.int64), edges[1:], len(names)), _KIND)
+        ids, stops = gathered(values, np.insert(codes, edges[1:], len(names)), _KIND)
         return ids, stops[edges[1:] + np.arange(len(edges) - 1)]
 
 

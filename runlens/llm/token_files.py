@@ -43,8 +43,11 @@ TOGETHER = 1 << 24
 _WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ʯ]+")
 _MARKED = re.compile(rf"({_WORD.pattern})([!-&(-/:-@\[-`{{-~]+)")
 _SYMBOLS = dict(enumerate(byte_symbols()))
+_SPACE = _SYMBOLS[32]
 # Runs of marks whose ids a worker keeps.
 KEPT_MARKS = 20_000
+# Pieces of fewer ids are packed by functions made once.
+PACKERS = 32
 
 MAGIC, VERSION = b"RLTI", 1
 _HEADER = struct.Struct("<4sHHQQqQQ")
@@ -62,13 +65,15 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.packers = [struct.Struct(f"<{n}{self.kind.char}").pack for n in range(PACKERS)]
         self.pieces = Pieces(self._together, self._alone, spaced=False) if can_be_cut(spec) else None
         self.marks: dict[str, bytes] = {}
         if self.pieces:
             self.lengths = byte_lengths(self.library)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
+        n = len(ids)
+        return self.packers[n](*ids) if n < len(self.packers) else struct.pack(f"<{n}{self.kind.char}", *ids)
 
     def _alone(self, piece: str, _: bool) -> bytes:
         return self._packed(self.library.encode(piece, add_special_tokens=False).ids)
@@ -76,8 +81,11 @@ class Encoder:
     def _together(self, pieces: list[str]) -> list[bytes]:
         """Pieces of a word and marks are put together from the two: no token has some of both."""
         out, others, known = [b""] * len(pieces), [], self.pieces.known
+        tokenize, packed = self.model.tokenize, self._packed
         for i, piece in enumerate(pieces):
-            if _WORD.fullmatch(piece):
+            if piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+                out[i] = packed([x.id for x in tokenize(_SPACE + piece[1:])])
+            elif _WORD.fullmatch(piece):
                 out[i] = self._word(piece)
             elif found := _MARKED.fullmatch(piece):
                 word, marks = found.groups()
@@ -104,7 +112,7 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         """A space and letters are one word to the library, and go to its model without being looked for."""
         if word.isascii():
-            symbols = _SYMBOLS[32] + word[1:]
+            symbols = _SPACE + word[1:]
         else:
             symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
         return self._packed([x.id for x in self.model.tokenize(symbols)])

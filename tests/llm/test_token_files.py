@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import weakref
 import zlib
 from types import SimpleNamespace
 
@@ -102,6 +103,36 @@ def test_a_vocabulary_that_cannot_be_cut_is_used_whole():
         assert np.frombuffer(ids, made.kind).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_ascii_letters_go_to_the_model_without_a_pattern(library, monkeypatch):
+    encode, asked = token_files.Encoder(BYTE_VOCABULARY), []
+
+    def fullmatch(x, plain=token_files._WORD):
+        asked.append(x)
+        return plain.fullmatch(x)
+
+    monkeypatch.setattr(token_files, "_WORD", SimpleNamespace(fullmatch=fullmatch))
+    texts = ["some Words of asciiLetters alone", "x été x3 x. " + "unsplittable" * 40 + " end", "x " + "Zq" * 300 + " x"]
+    found = [np.frombuffer(x, encode.kind).tolist() for x in encode.of(texts)]
+    assert found == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert not [x for x in asked if x[1:].isascii() and x[1:].isalpha()]
+
+
+def test_joined_batches_are_not_kept_twice():
+    made = (pa.record_batch({"text": [str(i) * 1000]}) for i in range(4))
+    seen = []
+
+    def watched():
+        for batch in made:
+            seen.append(weakref.ref(batch))
+            yield batch
+
+    found = []
+    for whole in chunks.together(watched(), 2500):
+        found += whole.column("text").to_pylist()
+        assert sum(x() is not None for x in seen) <= 1
+    assert found == [str(i) * 1000 for i in range(4)]
+
+
 def test_images_hold_what_was_put_in():
     kind = np.dtype("<u4")
     parts = [np.arange(n, dtype=kind) + 7 * n for n in (3, 0, 1, 400, 0, 2)]
