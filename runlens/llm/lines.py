@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runlens.llm.chunks import give_back
 from runlens.llm.meeting import lists_of, unpacked
 from runlens.llm.shared import runs_of, stored, text_batches, texts_of
 from runlens.llm.words import _BASE, BUFFER, _powers, mixed
@@ -187,6 +188,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     """Every line that is not blank: its key, its place, and counts of its characters."""
 
     def run(batches):
+        give_back()
         for batch in batches:
             out = [[], [], [], []]
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
@@ -326,6 +328,7 @@ def repeated(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT) ->
     )
 
     def start():
+        give_back()
         seen: set[int] = set()
 
         def hashed(batch):

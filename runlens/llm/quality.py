@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runlens.llm.chunks import give_back
 from runlens.llm.shared import pick, text_batches, texts_of
 from runlens.llm.words import _BASE, is_capital, mixed, tokens_of
 
@@ -93,6 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> np.ndarra
     chosen = labels.orderBy(order, "doc_id").limit(most)
 
     def vectors(batches):
+        give_back()
         for batch in batches:
             found = list(features(texts_of(batch)))
             yield pa.RecordBatch.from_arrays(
@@ -164,6 +166,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def good(texts):
         import pandas as pd
 
+        give_back()
         w = shared.value
         found = features([x or "" for x in texts])
         return pd.Series([bool(probability(w[places] @ values) >= 0.5) for places, values in found], dtype=bool)

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import pytest
 
-from runlens.llm import lines
+from runlens.llm import chunks, lines
 from tests.llm.helpers import ODD_ROWS, distance, documents
 
 
@@ -125,3 +126,13 @@ def test_limits_grow_with_the_length():
             for h, p, o in zip(hashes.tolist(), places.tolist(), own.tolist()):
                 met.setdefault(h, set()).add((p, o))
             assert any(len({p for p, _ in v}) == 2 and any(o for _, o in v) for v in met.values())
+
+
+def test_tables_of_pieces_are_given_back_before_lines_are_read():
+    table = chunks.Generations(4)
+    table.add_all({"ab": b"1", "cde": b"2"})
+    table.turn()
+    assert table.all(["ab", "x"]) == {"ab": b"1", "x": None} and table.old and table.size == 2
+    run = lines._occurrences(SimpleNamespace(mapInArrow=lambda run, schema: run))
+    assert list(run(iter([]))) == []
+    assert not table and not table.old and table.size == 0
