@@ -43,7 +43,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of each piece of each document in a sequence."""
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, VOCABULARY, sparing=True)
 
 
 STAGES = [

@@ -37,6 +37,8 @@ from runlens.llm.tokens import byte_symbols, chunks_of
 KEPT = 5_000_000
 # Bytes of texts encoded at once, unless one batch from Spark has more.
 TOGETHER = 1 << 24
+# The same where memory is short.
+SPARING = 1 << 22
 # Lower-case letters that the library takes as they are, and as one word.
 _WORD = re.compile(r"[a-zà-öø-ʯ]+")
 _SYMBOLS = dict(enumerate(byte_symbols()))
@@ -121,7 +123,7 @@ def ids(path: str) -> Ids:
     return Ids(path)
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int, sparing: bool = False) -> DataFrame:
     """Each document's ids and a closing id 0, cut after every `capacity` ids.
 
     `task` and `nth` tell pieces of one length apart: the nth piece of that length
@@ -131,7 +133,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
 
     def run(batches):
         encode, task, seen = ids(vocabulary), TaskContext.get().partitionId(), Counter()
-        for batch in together(batches, TOGETHER):
+        for batch in together(batches, SPARING if sparing else TOGETHER):
             out = []
             names = batch.column("doc_id").to_pylist()
             found, ends = encode.batch(pc.fill_null(batch.column("text"), ""), b"\0\0\0\0")
@@ -149,7 +151,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"],
             )
-        encode.known.rest()
+        if sparing:
+            encode.known.forget()
+        else:
+            encode.known.rest()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
     return pick(docs, doc_id="long", text="string").mapInArrow(run, schema)
@@ -222,7 +227,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return runs
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, sparing: bool = False) -> DataFrame:
     """Places every piece of every document in a sequence of at most `capacity` ids.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
@@ -232,9 +237,13 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     One pass makes the pieces, which are written to the shared folder as a few numbers
     each. Ranks within a length come from counts per task, so no window holds the
     pieces of a length together and a common length is no burden.
+
+    With `sparing`, fewer texts are encoded at once, and tables of pieces end with their task
+    instead of staying for the worker's next: where earlier stages have left more workers than
+    there are cores, tasks go round them, and each would hold tables.
     """
     spark = docs.sparkSession
-    made = stored(pieces(docs, vocabulary, capacity), "pieces")
+    made = stored(pieces(docs, vocabulary, capacity, sparing), "pieces")
     counted = made.groupBy("length", "task").agg(F.count("*").alias("n"))
     by_length = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = spark.createDataFrame(plan(by_length, capacity), _RUN)

@@ -4,8 +4,10 @@ import os
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from runlens.llm import packing, tokens
@@ -109,3 +111,17 @@ def test_pack(spark, library):
     total = sum(r.length for r in found)
     assert len(by_sequence) <= -(-total // 16) + 3
     assert packing.pack(documents(spark, rows).limit(0), VOCABULARY).count() == 0
+
+
+def test_sparing_packing_is_the_same_and_leaves_no_table(spark, monkeypatch):
+    made = documents(spark, [*ODD_ROWS, *((i, f"word{i % 40} and some more, " * (i % 90)) for i in range(400))])
+    monkeypatch.setattr(packing, "SPARING", 1 << 12)
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    plain, sparing = (packing.pack(made, VOCABULARY, 64, sparing=x).select(names).collect() for x in (False, True))
+    assert sorted(map(str, plain)) == sorted(map(str, sparing))
+    kept = []
+    run = packing.pieces(SimpleNamespace(sparkSession=spark, select=lambda *_: SimpleNamespace(mapInArrow=lambda f, _: f)), VOCABULARY, 64, sparing=True)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    for batch in run(iter([pa.record_batch({"doc_id": [1], "text": ["some words"]})])):
+        kept.append(len(packing.ids(VOCABULARY).known))
+    assert kept[0] > 0 and not packing.ids(VOCABULARY).known and not packing.ids(VOCABULARY).known.old
