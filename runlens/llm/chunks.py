@@ -15,6 +15,7 @@ import re
 import weakref
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,12 @@ TOGETHER = 1 << 14
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
+# Letters whose lower case is one letter, in Arrow as in Python; ASCII marks but for the apostrophe, which may
+# begin a token of letters.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02af]+"
+_MARKS = r"[!-&(-/:-@\[-`{-~]"
+_TRIMMED = "".join(x for x in map(chr, range(128)) if re.fullmatch(_MARKS, x))
+
 # Marks of keys that aren't pieces behind a space; no text holds these characters.
 _HEAD, _WHOLE = "\ud800", "\ud801"
 
@@ -47,21 +54,67 @@ def together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
         yield whole
 
 
-def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Where the pieces of each text between spaces begin and end, the number of each, and the pieces.
 
-    A line break begins a piece of its own. Only distinct pieces are made strings here.
+    A line break begins a piece of its own. Nothing is made a Python string here.
     """
     parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
     pieces = parts.flatten().dictionary_encode()
-    return parts.offsets.to_numpy().astype(np.int64), pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+    return parts.offsets.to_numpy().astype(np.int64), pieces.indices.to_numpy(), pieces.dictionary
+
+
+class Words(NamedTuple):
+    """Pieces of a word and marks, `plain` ones: the distinct words and marks, and the numbers of those of each piece."""
+
+    plain: np.ndarray
+    words: pa.Array
+    word: np.ndarray
+    marks: pa.Array
+    mark: np.ndarray
+    others: list[str]
+
+
+def words_of(pieces: pa.Array, lower: bool = False) -> Words:
+    """Tells words, with the line break in front unless lower-cased, and the marks behind them from other pieces."""
+    plain = pc.match_substring_regex(pieces, f"^\n?{_LETTERS}{_MARKS}*$")
+    some = pieces.filter(plain)
+    words = pc.utf8_rtrim(some, _TRIMMED)
+    if lower:
+        words = pc.utf8_lower(pc.utf8_ltrim(words, "\n"))
+    words = words.dictionary_encode()
+    marks = pc.replace_substring_regex(some, f"^\n?{_LETTERS}", "").dictionary_encode()
+    others = pieces.filter(pc.invert(plain)).to_pylist()
+    plain = plain.to_numpy(zero_copy_only=False)
+    return Words(plain, words.dictionary, words.indices.to_numpy(), marks.dictionary, marks.indices.to_numpy(), others)
+
+
+def joined(values: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The packed numbers of all values one after another, and where each value ends."""
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // kind.itemsize
+    return np.frombuffer(b"".join(values), kind), np.cumsum(lengths)
+
+
+def put_together(words: Words, of_words: list[bytes], of_marks: list[bytes], of_others: list[bytes], kind: np.dtype):
+    """The numbers of all pieces as `joined` gives them: those of a piece's word, then of its marks."""
+    halves = np.full((len(words.plain), 2), len(of_words) + len(of_marks) + len(of_others))  # nothing
+    halves[words.plain, 0] = words.word
+    halves[words.plain, 1] = words.mark + len(of_words)
+    halves[~words.plain, 0] = np.arange(len(of_others)) + len(of_words) + len(of_marks)
+    found, stops = gathered([*of_words, *of_marks, *of_others, b""], halves.ravel(), kind)
+    return found, stops[1::2]
 
 
 def gathered(values: list[bytes], numbers: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """The packed numbers of `values`, those that `numbers` names one after another, and where each ends."""
-    lengths = np.fromiter(map(len, values), np.int64, len(values)) // kind.itemsize
-    few = np.int32 if int(lengths.sum()) < 1 << 31 else np.int64
-    starts = (np.cumsum(lengths) - lengths).astype(few)
+    return chosen(*joined(values, kind), numbers)
+
+
+def chosen(found: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of numbers that are joined already."""
+    lengths = np.diff(ends, prepend=0)
+    few = np.int32 if len(found) < 1 << 31 else np.int64
+    starts = (ends - lengths).astype(few)
     sizes = lengths.astype(few)[numbers]
     stops = np.cumsum(sizes, dtype=np.int64)
     n = int(stops[-1]) if len(stops) else 0
@@ -69,7 +122,7 @@ def gathered(values: list[bytes], numbers: np.ndarray, kind: np.dtype) -> tuple[
     firsts = starts[numbers] - (stops - sizes).astype(wide)
     at = np.repeat(firsts, sizes)
     at += np.arange(n, dtype=wide)
-    return np.frombuffer(b"".join(values), kind)[at], stops
+    return found[at], stops
 
 
 # The tables of this process.

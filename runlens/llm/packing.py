@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.chunks import Generations, gathered, numbered, together
+from runlens.llm.chunks import Generations, chosen, numbered, put_together, together, words_of
 from runlens.llm.shared import pick, stored, text_batches
 from runlens.llm.tokens import byte_symbols, chunks_of
 
@@ -101,21 +101,44 @@ class Ids:
         return [x.tobytes() for x in np.split(ids, ends[:-1])] if texts else []
 
     def batch(self, texts: pa.Array, last: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, `last` behind each, and where each ends among them."""
+        """The ids of all texts, `last` behind each, and where each ends among them.
+
+        Arrow tells the words of pieces from the marks behind them, so that of most pieces only
+        distinct words are strings here.
+        """
         edges, codes, names = numbered(texts)
+        words = words_of(names, lower=True)
         # Nothing cyclic is made here, and the collector would go over all that is
         # kept again and again.
         gc.disable()
         try:
             self.known.turn()
-            found = self.known.all(names)
+            marks = words.marks.to_pylist()
+            of_marks = {"": b"", **self._made({x for x in marks if x})}
+            of_words = self._words(words.words.to_pylist())
+            found = self.known.all(words.others)
             found.update(self._learn([x for x, ids in found.items() if ids is None]))
         finally:
             gc.enable()
-        values = [*map(found.__getitem__, names), last]
-        ids, stops = gathered(values, np.insert(codes, edges[1:], len(names)), _KIND)
+        of_others = [found[x] for x in words.others]
+        made, ends = put_together(words, of_words, [of_marks[x] for x in marks], of_others, _KIND)
+        made = np.concatenate([made, np.frombuffer(last, _KIND)])
+        ends = np.append(ends, len(made))
+        ids, stops = chosen(made, ends, np.insert(codes, edges[1:], len(names)))
         return ids, stops[edges[1:] + np.arange(len(edges) - 1)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct lower-case words, which go to the model without being looked for."""
+        found = self.known.all(words)
+        tokenize, new = self.model.tokenize, {}
+        for word in [x for x, ids in found.items() if ids is None]:
+            symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+            made = [x.id for x in tokenize(symbols)]
+            new[word] = struct.pack(f"<{len(made)}I", *made)
+        self.known.add_all(new)
+        found.update(new)
+        return [*found.values()]
+
 
 @functools.cache
 def ids(path: str) -> Ids:

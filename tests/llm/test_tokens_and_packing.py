@@ -113,6 +113,18 @@ def test_pack(spark, library):
     assert packing.pack(documents(spark, rows).limit(0), VOCABULARY).count() == 0
 
 
+def test_pieces_of_one_word_share_its_ids(library):
+    encode = packing.Ids(VOCABULARY)
+    texts = ["word Word, WORD!! wörd. WÖRD,;- (word) x\nWord\n\nword's", "İa Ⱥb ŉc ǅd ΑΣ. word<|endoftext|> word<| 12. ,, .", ""]
+    for text, ids in zip(texts, encode.of(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert {"word", "wörd"} <= encode.known.keys() and encode.known.keys().isdisjoint(["Word,", "WORD!!", "wörd.", "\nWord"])
+    letters = [chr(c) for c in range(0xC0, 0x2B0)]
+    texts = [f"a{x} {x}b. {x}" for x in letters]
+    for text, ids in zip(texts, encode.of(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_sparing_packing_is_the_same_and_leaves_no_table(spark, monkeypatch):
     made = documents(spark, [*ODD_ROWS, *((i, f"word{i % 40} and some more, " * (i % 90)) for i in range(400))])
     monkeypatch.setattr(packing, "SPARING", 1 << 12)
