@@ -15,6 +15,7 @@ both codes (64 bits each); the code of doc_id - first doc_id; the code of the en
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import math
 import os
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.chunks import Pieces, gathered, numbered, together
+from runlens.llm.chunks import Pieces, chosen, joined, numbered, put_together, together, words_of
 from runlens.llm.elias_fano import EliasFano, encoded
 from runlens.llm.shared import pick, stored, text_batches
 from runlens.llm.tokens import byte_symbols
@@ -147,31 +148,58 @@ class Encoder:
         behind[heads] = False
         used = np.zeros(n, bool)
         used[codes[behind]] = True
-        values, odd = self._values(names, used.tolist())
+        made, ends, odd = self._values(names, used)
         # A text with a piece that can't be cut off is looked at by itself, whole.
         whole = np.zeros(len(heads), bool)
         whole[np.searchsorted(edges, np.flatnonzero(behind & odd[codes]), "right") - 1] = True
-        numbers = codes.astype(np.int64)
-        for i, (head, code) in enumerate(zip(heads.tolist(), codes[heads].tolist(), strict=True)):
-            value = None if whole[i] else self.pieces.head(names[code])
+        numbers, values = codes.astype(np.int64), [b""]
+        firsts = names.take(pa.array(codes[heads])).to_pylist()
+        for i, (head, first) in enumerate(zip(heads.tolist(), firsts, strict=True)):
+            value = None if whole[i] else self.pieces.head(first)
             if value is None:
                 value = b"".join(self.pieces.of([texts[i].as_py()])[0])
                 numbers[edges[i] : edges[i + 1]] = n  # nothing
             numbers[head] = n + 1 + i
             values.append(value)
         values.append(last)
-        numbers = np.insert(numbers, edges[1:], len(values) - 1)
-        ids, stops = gathered(values, numbers, self.kind)
+        numbers = np.insert(numbers, edges[1:], n + len(values) - 1)
+        more, stops = joined(values, self.kind)
+        ids, stops = chosen(np.concatenate([made, more]), np.concatenate([ends, stops + len(made)]), numbers)
         return ids, stops[edges[1:] + np.arange(len(heads))]
 
-    def _values(self, names: list[str], used: list[bool]) -> tuple[list[bytes], np.ndarray]:
-        """The ids of pieces that are used, nothing for others, and nothing at the end; which can't be cut off."""
-        found, new = self.pieces.values([x for x, y in zip(names, used, strict=True) if y])
-        values = [found.get(x) or b"" for x in names]
+    def _values(self, names: pa.Array, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of pieces that are used, nothing for others, where each ends; which can't be cut off."""
+        at = np.flatnonzero(used)
+        words = words_of(names.take(pa.array(at)))
+        gc.disable()  # as in Pieces
+        try:
+            self.pieces.known.turn()
+            marks = [self._marks(x) if x else b"" for x in words.marks.to_pylist()]
+            of_words = self._words(words.words.to_pylist())
+        finally:
+            gc.enable()
+        found, new = self.pieces.values(words.others)
+        made, stops = put_together(words, of_words, marks, [found.get(x) or b"" for x in words.others], self.kind)
+        lengths = np.zeros(len(names), np.int64)
+        lengths[at] = np.diff(stops, prepend=0)
         odd = np.zeros(len(names), bool)
         if new:
-            odd[[i for i, x in enumerate(names) if x in new]] = True
-        return [*values, b""], odd
+            odd[at[~words.plain]] = [x in new for x in words.others]
+        return made, np.cumsum(lengths), odd
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words behind a space, or behind the line break in front of them."""
+        found = self.pieces.known.all(words)
+        tokenize, packed, line, new = self.model.tokenize, self._packed, self._marks("\n"), {}
+        for word in [x for x, ids in found.items() if ids is None]:
+            symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+            if word[0] != "\n":
+                new[word] = packed([x.id for x in tokenize(_SPACE + symbols)])
+            else:
+                new[word] = line + packed([x.id for x in tokenize(symbols[1:])])
+        self.pieces.known.add_all(new)
+        found.update(new)
+        return [*found.values()]
 
 
 def can_be_cut(spec: dict) -> bool:

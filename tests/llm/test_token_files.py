@@ -117,6 +117,16 @@ def test_words_of_ascii_letters_go_to_the_model_without_a_pattern(library, monke
     assert not [x for x in asked if x[1:].isascii() and x[1:].isalpha()]
 
 
+def test_pieces_of_one_word_share_its_ids(library):
+    encode = token_files.Encoder(BYTE_VOCABULARY)
+    texts = ["x word word, word!! wörd. (word) word's", "x\nword\nword. \nwörd,\n\nword 12. ,, .", "x word<|endoftext|> word<|", ""]
+    texts += [f"x a{c} {c}b.\n{c}c," for c in map(chr, range(0xC0, 0x2B0))]
+    for text, ids in zip(texts, encode.of(texts), strict=True):
+        assert np.frombuffer(ids, encode.kind).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    known = encode.pieces.known
+    assert {"word", "\nword", "wörd"} <= known.keys() and known.keys().isdisjoint(["word,", "word!!", "\nword.", "wörd."])
+
+
 def test_joined_batches_are_not_kept_twice():
     made = (pa.record_batch({"text": [str(i) * 1000]}) for i in range(4))
     seen = []
