@@ -1,11 +1,10 @@
 """Alignment of two tokenizers over the same texts.
 
-The byte-level tokenizer gives character offsets, the piece tokenizer byte spans. They
-are coarse: bytes of one character that went to several tokens all carry the span of
-that character. Such tokens are told apart by the bytes that they decode to. What
-comes out are the ends of both tokenizers' tokens as byte offsets. Offsets where both
-end cut the tokens into groups; between any two neighbouring ends lies exactly one
-pair of overlapping tokens, a link.
+Tokens end where the bytes that they decode to do: offsets that the libraries give are
+coarse where bytes of one character went to several tokens. What comes out are the ends
+of both tokenizers' tokens as byte offsets. Offsets where both end cut the tokens into
+groups; between any two neighbouring ends lies exactly one pair of overlapping tokens, a
+link.
 
 A text is taken with a space in front, as the piece tokenizer does by itself. A text
 whose tokens do not decode to it has none.
@@ -58,24 +57,6 @@ class Piece(NamedTuple):
     groups: str
 
 
-def _byte_places(text: str, raw: bytes) -> np.ndarray | None:
-    """The byte offset of each character and of the end; None if they are the same."""
-    if len(raw) == len(text):
-        return None
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    wide = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    return np.concatenate([[0], np.cumsum(wide)])
-
-
-def _refined(spans: np.ndarray, decoded: np.ndarray) -> np.ndarray:
-    """Ends of tokens: those of spans, and of decoded bytes where neighbours share a span's end."""
-    rises = np.diff(spans, prepend=0, append=spans[-1:] + 1) > 0
-    clear = rises[:-1] & rises[1:]
-    cuts = np.where(clear, spans, decoded)
-    # All bytes are there, so lengths decide if a library trims spans in its own way.
-    return cuts if np.array_equal(cuts, decoded) else decoded
-
-
 class Aligner:
     """Aligns a byte-level vocabulary (A) and a vocabulary of pieces with byte fallback (B)."""
 
@@ -101,7 +82,9 @@ class Aligner:
         for i, x in self.a_bytes.items():
             self.a_lengths[i] = len(x)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_names, self.b_names = list(map(str, range(len(self.a_lengths)))), list(map(str, range(size)))
+        # Ids as groups have them: what stands behind an id of A and of B, and behind the last of a group.
+        of_a = [f"{i}{x}" for i in range(len(self.a_lengths)) for x in ",|"]
+        self.names, self.first_b = [*of_a, *(f"{i}{x}" for i in range(size) for x in ",;")], len(of_a)
         with open(a_path, encoding="utf-8") as file:
             cut = can_be_cut(json.load(file)) and _words_stand_alone(self.b, names)
         self.pieces = Pieces(self._together, self._alone, spaced=True, kept=KEPT) if cut else None
@@ -109,22 +92,12 @@ class Aligner:
     def cuts(self, text: str) -> Cuts | None:
         """Tokens of a text that begins with a space."""
         raw = text.encode()
-        made = self.a.encode(text, add_special_tokens=False)
-        a = made.ids
-        if b"".join([self.a_bytes.get(i, b"") for i in a]) != raw:
-            return None
-        found = [(p.id, p.end) for p in self.b.encode(text[1:], return_type="proto").pieces]
-        b = [i for i, _ in found]
-        if b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+        (made,) = self.a.encode_batch_fast([text], add_special_tokens=False)
+        a, b = made.ids, self.b.encode(text[1:])
+        if b"".join([self.a_bytes.get(i, b"") for i in a]) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
         a, b = np.array(a, np.int64), np.array(b, np.int64)
-        a_spans = np.array([end for _, end in made.offsets], np.int64)
-        places = _byte_places(text, raw)
-        if places is not None:
-            a_spans = places[a_spans]
-        b_spans = np.array([end for _, end in found], np.int64) + 1  # they leave out the space in front
-        a_ends = _refined(a_spans, np.cumsum(self.a_lengths[a]))
-        return Cuts(a, a_ends, b, _refined(b_spans, np.cumsum(self.b_lengths[b])))
+        return Cuts(a, np.cumsum(self.a_lengths[a]), b, np.cumsum(self.b_lengths[b]))
 
     def values(self, cuts: Cuts, ends: np.ndarray) -> list[Piece] | None:
         """The pieces that end at these byte offsets; None if some token crosses one."""
@@ -135,22 +108,26 @@ class Aligner:
         every = np.union1d(a_ends, b_ends)
         links = a[np.searchsorted(a_ends, every)] << self.shift | b[np.searchsorted(b_ends, every)]
         links, wide = links.astype(self.kind).tobytes(), self.kind.itemsize
-        of_a = np.searchsorted(a_ends, both, "right").tolist()
-        of_b = np.searchsorted(b_ends, both, "right").tolist()
-        a_names, b_names = [self.a_names[i] for i in a.tolist()], [self.b_names[i] for i in b.tolist()]
-        groups = [
-            ",".join(a_names[i:j]) + "|" + ",".join(b_names[k:m])
-            for i, j, k, m in zip([0, *of_a], of_a, [0, *of_b], of_b, strict=False)
-        ]
+        names = self._named(a, np.searchsorted(a_ends, both, "right"), b, np.searchsorted(b_ends, both, "right"))
         edges = [np.searchsorted(x, ends, "right").tolist() for x in (a_ends, b_ends, both, every)]
         out, last = [], (0, 0, 0, 0)
         for now in zip(*edges, strict=True):
             n_a, n_b, n_groups = (y - x for x, y in zip(last[:3], now, strict=False))
             some = links[last[3] * wide : now[3] * wide]
-            out.append(Piece(n_a, n_b, n_groups, some, ";".join(groups[last[2] : now[2]])))
+            out.append(Piece(n_a, n_b, n_groups, some, "".join(names[last[0] + last[1] : now[0] + now[1]])[:-1]))
             last = now
         return out
 
+    def _named(self, a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> list[str]:
+        """Ids with what stands behind each, by group those of A and then those of B; of_a, of_b: where groups end."""
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[of_a - 1] = last_b[of_b - 1] = 1
+        n_a, n_b = np.diff(of_a, prepend=0), np.diff(of_b, prepend=0)
+        out = np.empty(len(a) + len(b), np.int64)
+        out[np.arange(len(a)) + np.repeat(of_b - n_b, n_a)] = 2 * a + last_a
+        out[np.arange(len(b)) + np.repeat(of_a, n_b)] = self.first_b + 2 * b + last_b
+        return [*map(self.names.__getitem__, out.tolist())]
+
     def _behind(self, pieces: list[str]) -> list[Piece] | None:
         """Pieces aligned as one text, behind a word of their own."""
         cuts = self.cuts(_BEFORE + "".join(pieces))

@@ -30,9 +30,9 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 # Letters whose lower case is one letter, in Arrow as in Python; ASCII marks but for the apostrophe, which may
 # begin a token of letters.
-_LETTERS = "[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02af]+"
-_MARKS = r"[!-&(-/:-@\[-`{-~]"
-_TRIMMED = "".join(x for x in map(chr, range(128)) if re.fullmatch(_MARKS, x))
+LETTERS = "[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02af]+"
+MARKS = r"[!-&(-/:-@\[-`{-~]"
+_TRIMMED = "".join(x for x in map(chr, range(128)) if re.fullmatch(MARKS, x))
 
 # Marks of keys that aren't pieces behind a space; no text holds these characters.
 _HEAD, _WHOLE = "\ud800", "\ud801"
@@ -77,13 +77,13 @@ class Words(NamedTuple):
 
 def words_of(pieces: pa.Array, lower: bool = False) -> Words:
     """Tells words, with the line break in front unless lower-cased, and the marks behind them from other pieces."""
-    plain = pc.match_substring_regex(pieces, f"^\n?{_LETTERS}{_MARKS}*$")
+    plain = pc.match_substring_regex(pieces, f"^\n?{LETTERS}{MARKS}*$")
     some = pieces.filter(plain)
     words = pc.utf8_rtrim(some, _TRIMMED)
     if lower:
         words = pc.utf8_lower(pc.utf8_ltrim(words, "\n"))
     words = words.dictionary_encode()
-    marks = pc.replace_substring_regex(some, f"^\n?{_LETTERS}", "").dictionary_encode()
+    marks = pc.replace_substring_regex(some, f"^\n?{LETTERS}", "").dictionary_encode()
     others = pieces.filter(pc.invert(plain)).to_pylist()
     plain = plain.to_numpy(zero_copy_only=False)
     return Words(plain, words.dictionary, words.indices.to_numpy(), marks.dictionary, marks.indices.to_numpy(), others)

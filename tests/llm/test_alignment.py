@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 
@@ -125,6 +126,20 @@ def test_pieces_together_are_like_whole_texts(plain, monkeypatch, kept):
                 assert sorted(packed) == sorted(i << made.shift | j for i, j in links)
 
 
+def test_tokens_are_asked_for_without_their_places(plain, monkeypatch):
+    made, asked = alignment.Aligner(BYTE_VOCABULARY, PIECE_VOCABULARY), []
+    a, b = made.a, made.b
+    some = SimpleNamespace(encode_batch_fast=lambda *x, **y: asked.append("a") or a.encode_batch_fast(*x, **y))
+    monkeypatch.setattr(made, "a", some)
+    monkeypatch.setattr(made, "b", SimpleNamespace(encode=lambda x: asked.append("b") or b.encode(x)))
+    texts = ["word, 🙂é汉字͸ \U000e0041 word's", "x\nword.\n\n<s> \0"]
+    for text, parts in zip(texts, made.of(texts), strict=True):
+        groups, n_groups, links = described(plain(text))
+        assert ";".join(x.groups for x in parts) == groups, repr(text)
+        assert sum(x.n_groups for x in parts) == n_groups
+    assert set(asked) == {"a", "b"}
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_align_equals_brute_force(spark, plain, monkeypatch, small):
     if small:
