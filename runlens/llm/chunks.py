@@ -10,6 +10,7 @@ each is kept.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import weakref
@@ -168,7 +169,7 @@ class Generations(dict):
     def rest(self) -> None:
         """Gives back what may not be needed again, as at the end of a task whose process goes on to another."""
         self.old = {}
-        pa.default_memory_pool().release_unused()
+        release()
 
     def forget(self) -> None:
         """Gives back everything, as where a process goes on to tasks that look nothing up."""
@@ -189,6 +190,14 @@ def give_back() -> None:
             table.forget()
 
 
+def release() -> None:
+    """Gives memory that is free to the system, not only to this process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _is_regular(piece: str) -> bool:
     """Whether a piece between spaces is one that the text can be cut around."""
     body = piece[1:] if piece[:1] == "\n" else piece

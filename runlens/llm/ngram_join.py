@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.llm.chunks import release
 from runlens.llm.components import components
 from runlens.llm.meeting import lists_of, unpacked
 from runlens.llm.shared import pick, stored, text_batches, texts_of
@@ -169,11 +170,15 @@ def _frequent(docs: DataFrame, n_docs: int) -> np.ndarray:
         known, counts, held, n_held = np.zeros(0, _U8), np.zeros(0, np.int64), [], 0
 
         def merged():
-            both = np.concatenate([known, *held])
-            weights = np.concatenate([counts, np.ones(n_held, np.int64)])
-            members, at = np.unique(both, return_inverse=True)
-            total = np.bincount(at, weights, len(members)).astype(np.int64)
-            return members[total > 1], total[total > 1]
+            """The windows held that stand twice or are known, sorted where they lie: few besides are copied."""
+            every = np.concatenate([np.zeros(0, _U8), *held])
+            held.clear()
+            every.sort()
+            repeated = every[1:][every[1:] == every[:-1]]
+            members = np.union1d(known, repeated)
+            total = np.searchsorted(every, members, "right") - np.searchsorted(every, members)
+            total[np.searchsorted(members, known)] += counts
+            return members, total
 
         for batch in batches:
             for found in sets_of(texts_of(batch)):
@@ -181,9 +186,10 @@ def _frequent(docs: DataFrame, n_docs: int) -> np.ndarray:
                 n_held += len(found)
                 if n_held >= HELD:
                     known, counts = merged()
-                    held, n_held = [], 0
+                    n_held = 0
         known, counts = merged()
         many = counts >= REPORTED
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array(known[many].view(np.int64)), pa.array(counts[many])], names=["window", "n"]
         )

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+from collections import Counter
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 
@@ -85,3 +89,29 @@ def test_components(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {x: top(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_windows_are_counted_where_they_lie(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 62, 4000).astype(np.uint64) >> np.uint64(x)) for x in rng.choice([0, 54], 500)]
+    n = sum(map(len, sets))
+    monkeypatch.setattr(ngram_join, "HELD", n // 2)
+    monkeypatch.setattr(ngram_join, "texts_of", lambda batch: batch)
+    monkeypatch.setattr(ngram_join, "sets_of", lambda texts: (x.copy() for x in texts))
+    runs = []
+
+    def mapped(run, schema):
+        runs.append(run)
+        raise StopIteration
+
+    docs = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=mapped))
+    with pytest.raises(StopIteration):
+        ngram_join._frequent(docs, n)
+    tracemalloc.start()
+    (made,) = runs[0](iter([sets[:200], sets[200:]]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected = Counter(x for found in sets for x in found.tolist())
+    expected = {x: k for x, k in expected.items() if k >= ngram_join.REPORTED}
+    assert expected and dict(zip(made.column("window").to_pylist(), made.column("n").to_pylist())) == expected
+    assert peak < 6 * 8 * ngram_join.HELD
