@@ -38,7 +38,7 @@ KEPT = 5_000_000
 # Bytes of texts encoded at once, unless one batch from Spark has more.
 TOGETHER = 1 << 24
 # The same where memory is short.
-SPARING = 1 << 22
+SPARING = 1 << 20
 # Lower-case letters that the library takes as they are, and as one word.
 _WORD = re.compile(r"[a-zà-öø-ʯ]+")
 _SYMBOLS = dict(enumerate(byte_symbols()))
@@ -174,9 +174,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, sparing: bool = Fals
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"],
             )
-        if sparing:
-            encode.known.forget()
-        else:
+            if sparing:
+                encode.known.forget()
+        if not sparing:
             encode.known.rest()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
@@ -261,8 +261,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, sparing: bool =
     each. Ranks within a length come from counts per task, so no window holds the
     pieces of a length together and a common length is no burden.
 
-    With `sparing`, fewer texts are encoded at once, and tables of pieces end with their task
-    instead of staying for the worker's next: where earlier stages have left more workers than
+    With `sparing`, fewer texts are encoded at once, and tables of words end with them
+    instead of staying for the worker's next task: where earlier stages have left more workers than
     there are cores, tasks go round them, and each would hold tables.
     """
     spark = docs.sparkSession

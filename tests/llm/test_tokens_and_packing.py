@@ -137,3 +137,16 @@ def test_sparing_packing_is_the_same_and_leaves_no_table(spark, monkeypatch):
     for batch in run(iter([pa.record_batch({"doc_id": [1], "text": ["some words"]})])):
         kept.append(len(packing.ids(VOCABULARY).known))
     assert kept[0] > 0 and not packing.ids(VOCABULARY).known and not packing.ids(VOCABULARY).known.old
+
+
+def test_sparing_packing_keeps_no_words_from_batch_to_batch(monkeypatch):
+    monkeypatch.setattr(packing, "text_batches", lambda spark: None)
+    monkeypatch.setattr(packing, "SPARING", 1)
+    docs = SimpleNamespace(sparkSession=None, select=lambda *_: SimpleNamespace(mapInArrow=lambda run, _: run))
+    monkeypatch.setattr(packing, "pick", lambda docs, **_: docs.select())
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run, kept = packing.pieces(docs, VOCABULARY, 64, sparing=True), []
+    batches = [pa.record_batch({"doc_id": [i], "text": [f"{word} words, and {word}"]}) for i, word in enumerate(["one", "two"])]
+    for _ in run(iter(batches)):
+        kept.append({"one", "two"} & packing.ids(VOCABULARY).known.keys())
+    assert kept == [{"one"}, {"two"}]
